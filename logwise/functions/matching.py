@@ -1,0 +1,70 @@
+"""Multi-word search in text with an Aho-Corasick automaton (Arrow-batched).
+
+For dictionaries that passed the broadcast size check. The word list is a
+broadcast variable; each Python worker builds the automaton once per
+dictionary and then scans every comment in one pass, whatever the number of
+words. Spark still does the rest (explode, partial aggregation, shuffle).
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable, Iterable
+
+import pandas as pd
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+try:  # optional: callers fall back to pure Spark expressions without it
+    import ahocorasick  # type: ignore
+
+    HAVE_AUTOMATON = True
+except ImportError:  # pragma: no cover
+    ahocorasick = None
+    HAVE_AUTOMATON = False
+
+_AUTOMATA: dict[str, object] = {}
+
+
+def _automaton(key: str, words: list[str]):
+    a = _AUTOMATA.get(key)
+    if a is None:
+        a = ahocorasick.Automaton()
+        for w in words:
+            a.add_word(w, w)
+        a.make_automaton()
+        _AUTOMATA[key] = a
+    return a
+
+
+def _matcher(spark: SparkSession, words: Iterable[str], longest: bool) -> Callable[[Column], Column]:
+    if not HAVE_AUTOMATON:
+        raise RuntimeError("pyahocorasick is not installed")
+    unique = sorted({w for w in words if w})
+    if not unique:
+        raise ValueError("dictionary is empty")
+    bc = spark.sparkContext.broadcast(unique)
+    key = uuid.uuid4().hex
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def found(texts: pd.Series) -> pd.Series:
+        a = _automaton(key, bc.value)
+        if longest:
+            scan = lambda t: list(dict.fromkeys(w for _, w in a.iter_long(t)))
+        else:
+            scan = lambda t: sorted({w for _, w in a.iter(t)})
+        return texts.map(lambda t: scan(t) if isinstance(t, str) and t else [])
+
+    return found
+
+
+def substring_matcher(spark: SparkSession, words: Iterable[str]) -> Callable[[Column], Column]:
+    """``f(text)`` -> distinct dictionary words occurring anywhere (overlaps count)."""
+    return _matcher(spark, words, longest=False)
+
+
+def longest_matcher(spark: SparkSession, words: Iterable[str]) -> Callable[[Column], Column]:
+    """``f(text)`` -> distinct words of a left-to-right longest-match segmentation
+    (forward maximum matching, no overlaps), in order of first occurrence."""
+    return _matcher(spark, words, longest=True)

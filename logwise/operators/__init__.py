@@ -39,3 +39,8 @@ __all__ = [
     "tumbling_counts",
     "word_document_counts",
 ]
+
+from logwise.operators.balance import spread  # noqa: E402
+from logwise.operators.responses import parse_responses, valid_terms  # noqa: E402
+
+__all__ += ["parse_responses", "spread", "valid_terms"]

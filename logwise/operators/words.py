@@ -13,6 +13,11 @@ below the broadcast limits it is broadcast and filters the tokens before the
 aggregation; above them the tokens are aggregated per word first (partial
 aggregation absorbs hot words) and only then joined on the word, so no task
 ever holds the rows of one hot word.
+
+Substring search picks its plan by dictionary size: a few literal words are
+tested with ``contains``; a dictionary within the broadcast limits is matched
+by an Aho-Corasick automaton (one pass per comment); a larger one by n-grams,
+aggregation and a shuffle join.
 """
 
 from __future__ import annotations
@@ -28,14 +33,18 @@ from logwise.functions.text import (
     segment_dictionary,
     segment_spaces,
 )
+from logwise.functions.matching import HAVE_AUTOMATON, longest_matcher, substring_matcher
 from logwise.operators.counts import count_by
 from logwise.operators.sizing import Size, broadcast_if_small, measure
 
 Dictionary = Sequence[str] | DataFrame
 
-# The alternation of method ``dictionary`` is one literal in the plan; past this
-# many words use method ``substrings`` or ``spaces``, which join instead.
-PATTERN_MAX_WORDS = 20_000
+# The alternation of method ``dictionary`` is one regex literal in the plan;
+# past this many words the automaton takes over (its leftmost-longest scan is
+# the same segmentation).
+PATTERN_MAX_WORDS = 500
+# Literal lists up to this size are searched with one ``contains`` per word.
+CONTAINS_MAX_WORDS = 64
 
 
 def _is_frame(d: Dictionary) -> bool:
@@ -95,13 +104,15 @@ def word_document_counts(
     name: str = "n",
     size: Size | None = None,
     by: Sequence[str] = (),
+    plan: str = "auto",
 ) -> DataFrame:
     """``(word, by..., n)``: number of comments that contain each dictionary word.
 
     ``by`` adds grouping columns (for example the date of the comment).
     ``size`` is a measurement of a frame dictionary taken earlier (for example
     by :class:`logwise.sources.dictionary.RefreshingDictionary`); it saves one
-    aggregate.
+    aggregate. ``plan`` forces the substring plan (``contains``,
+    ``automaton`` or ``ngrams``); ``auto`` chooses by size.
     """
     t = F.col(text)
     if method == "spaces":
@@ -111,28 +122,56 @@ def word_document_counts(
         return _count_joined(tokens, dictionary, size, name, by)
 
     if method == "dictionary":
-        words = _as_word_list(dictionary, size)
-        found = F.array_distinct(segment_dictionary(t, words))
+        words, spark = _bounded_words(dictionary, size, docs)
+        if len(words) <= PATTERN_MAX_WORDS or not HAVE_AUTOMATON:
+            found = F.array_distinct(segment_dictionary(t, words))
+        else:
+            found = longest_matcher(spark, words)(t)
         return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
 
     if method == "substrings":
-        if not _is_frame(dictionary):
-            found = contained_words(t, dictionary)
+        if plan == "auto":
+            plan = _substring_plan(dictionary, size)
+        if plan == "contains":
+            words, _ = _bounded_words(dictionary, size, docs)
+            found = contained_words(t, words)
             return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
-        return _substring_counts_by_ngrams(docs, dictionary, t, size, name, by)
+        if plan == "ngrams":
+            frame = dictionary if _is_frame(dictionary) else docs.sparkSession.createDataFrame(
+                [(w,) for w in sorted(set(dictionary))], "word string"
+            )
+            return _substring_counts_by_ngrams(docs, frame, t, size, name, by)
+        if plan != "automaton":
+            raise ValueError(f"unknown plan {plan!r}")
+        words, spark = _bounded_words(dictionary, size, docs)
+        found = substring_matcher(spark, words)(t)
+        return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
 
     raise ValueError(f"unknown method {method!r}")
 
 
-def _as_word_list(dictionary: Dictionary, size: Size | None) -> list[str]:
+def _substring_plan(dictionary: Dictionary, size: Size | None) -> str:
+    if not _is_frame(dictionary):
+        if len(set(dictionary)) <= CONTAINS_MAX_WORDS or not HAVE_AUTOMATON:
+            return "contains"
+        return "automaton"
+    s = size if size is not None else measure(dictionary)
+    return "automaton" if HAVE_AUTOMATON and s.fits() else "ngrams"
+
+
+def _bounded_words(dictionary: Dictionary, size: Size | None, docs: DataFrame) -> tuple[list[str], object]:
+    """The words as a Python list; a frame only after its size check passed
+    (the list then travels like a broadcast)."""
+    spark = docs.sparkSession
     if not _is_frame(dictionary):
-        return sorted(set(dictionary))
+        return sorted(set(dictionary)), spark
     s = size if size is not None else measure(dictionary)
-    if s.rows > PATTERN_MAX_WORDS:
+    if not s.fits():
         raise ValueError(
-            f"{s.rows} words are too many for one pattern; use method 'substrings'"
+            f"dictionary of {s.rows} words / {s.bytes} bytes is over the broadcast limits; "
+            "use method 'substrings' or 'spaces', which join instead"
         )
-    return sorted(r["word"] for r in dictionary.collect())
+    return sorted(r["word"] for r in dictionary.select("word").collect()), spark
 
 
 def _substring_counts_by_ngrams(
@@ -145,23 +184,18 @@ def _substring_counts_by_ngrams(
 ) -> DataFrame:
     """Substring containment for a dictionary of any size.
 
-    For each distinct word length n: the set of n-grams of a comment (one regex
-    pass), exploded, matched against the words of length n. Words of different
-    lengths never collide, so the per-length results are simply unioned.
+    The candidate set of a comment is its distinct n-grams for every distinct
+    word length n (one regex pass per length, all in one projection). N-grams
+    of different lengths never collide, so one explode feeds one join and one
+    aggregation, whatever the number of lengths.
     """
     lengths = sorted(
         r["len"]
         for r in dictionary.select(F.length("word").alias("len")).distinct().collect()
     )
-    s = size if size is not None else measure(dictionary)
-    parts = []
-    for n in lengths:
-        grams = docs.select(*by, F.explode(F.array_distinct(ngrams(text, n))).alias("word"))
-        words_n = dictionary.where(F.length("word") == n)
-        parts.append(_count_joined(grams, words_n, s, name, by))
-    if not parts:
+    if not lengths:
         raise ValueError("dictionary is empty")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    grams = [F.array_distinct(ngrams(text, n)) for n in lengths]
+    candidates = grams[0] if len(grams) == 1 else F.concat(*grams)
+    tokens = docs.select(*by, F.explode(candidates).alias("word"))
+    return _count_joined(tokens, dictionary, size, name, by)

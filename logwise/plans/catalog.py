@@ -18,9 +18,6 @@ from logwise.functions import (
     format_millis,
     format_response,
     format_seconds,
-    parse_response,
-    response_ok,
-    split_terms,
 )
 from logwise.operators import (
     accumulate,
@@ -34,6 +31,8 @@ from logwise.operators import (
     tumbling_counts,
     word_document_counts,
 )
+from logwise.operators.balance import spread
+from logwise.operators.responses import valid_terms
 from logwise.operators.words import dictionary_words as distinct_words
 from logwise.plans.apps import comment_word_counts
 from logwise.session import scratch_path
@@ -70,8 +69,12 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events")
 
 
-def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+def _documents(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """Documents, projected first, spread over the cluster if the scan is narrow."""
+    docs = table(spark, d, "documents")
+    if cols:
+        docs = docs.select(*cols)
+    return spread(docs, "doc_id" if "doc_id" in docs.columns else None)
 
 
 def _benchmark_words(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +90,7 @@ def _ntz(c: str) -> F.Column:
 
 
 def log_records_q(spark: SparkSession, d: str) -> DataFrame:
-    lines = log_lines_from_events(_events(spark, d))
+    lines = log_lines_from_events(spread(_events(spark, d), "event_id"))
     recs = log_records(lines)
     return recs.select("event_id", "log_level", "method", "content", _ntz("event_ts"))
 
@@ -172,22 +175,22 @@ def dictionary_words_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def word_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    docs = non_empty(_documents(spark, d), "text")
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, WORD_LIST, text="text", method="spaces")
 
 
 def segment_spaces_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    docs = non_empty(_documents(spark, d), "text")
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, _benchmark_words(spark, d), text="text", method="spaces")
 
 
 def segment_dictionary_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    docs = non_empty(_documents(spark, d), "text")
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, SEGMENT_WORDS, text="text", method="dictionary")
 
 
 def segment_ngrams_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    docs = non_empty(_documents(spark, d), "text")
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, SUBSTRING_WORDS, text="text", method="substrings")
 
 
@@ -195,7 +198,7 @@ def segment_ngrams_dictionary_counts_q(spark: SparkSession, d: str) -> DataFrame
     """Substring containment against a frame dictionary (benchmark words of up
     to three characters): the n-gram + join plan."""
     words = _benchmark_words(spark, d).where(F.length("word") <= 3)
-    docs = non_empty(_documents(spark, d), "text")
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, words, text="text", method="substrings")
 
 
@@ -242,15 +245,16 @@ def accumulate_counts_q(spark: SparkSession, d: str) -> DataFrame:
 def service_terms_q(spark: SparkSession, d: str) -> DataFrame:
     """Responses as the segmentation service writes them for each document
     (terms = whitespace tokens), then parsed, validated and split."""
-    docs = _documents(spark, d).select("doc_id", collapse_whitespace("text").alias("terms"))
+    docs = _documents(spark, d, "doc_id", "text").select(
+        "doc_id", collapse_whitespace("text").alias("terms")
+    )
     responses = docs.select(
         "doc_id",
         F.when(F.col("terms") != "", F.lit(200)).otherwise(F.lit(404)).alias("code"),
         format_response("terms").alias("body"),
     )
-    parsed = responses.select("doc_id", "code", parse_response("body").alias("r"))
-    ok = parsed.where(response_ok("code", "r"))
-    return ok.select("doc_id", F.size(split_terms(F.col("r.terms"))).cast("bigint").alias("n"))
+    ok = valid_terms(responses, keep=("doc_id",))
+    return ok.select("doc_id", F.size("terms").cast("bigint").alias("n"))
 
 
 def format_epochs_q(spark: SparkSession, d: str) -> DataFrame:
@@ -270,7 +274,7 @@ def format_epochs_q(spark: SparkSession, d: str) -> DataFrame:
 def comment_word_counts_q(spark: SparkSession, d: str) -> DataFrame:
     """The batch form of the comment application (date from a time column is
     not available in documents, so counts are per word)."""
-    comments = _documents(spark, d).select(F.col("text").alias("value"))
+    comments = _documents(spark, d, "doc_id", "text").select(F.col("text").alias("value"))
     return comment_word_counts(comments, WORD_LIST, method="spaces").withColumnRenamed("count", "n")
 
 
