@@ -71,10 +71,11 @@ def log_records(df: DataFrame, value: str = "value", mode: str = "quarantine") -
     """
     parsed = parse_log_lines(df, value)
     if mode == "strict":
+        # A filter, not a column: an unused column would be pruned with its check.
         checked = F.when(
             ~is_complete(), F.raise_error(F.concat(F.lit("incomplete log line: "), F.col(value)))
-        )
-        return parsed.withColumn("_check", checked).drop("_check", "n_fields")
+        ).otherwise(F.lit(True))
+        return parsed.where(checked).drop("n_fields")
     if mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
     good, _ = quarantine(parsed)
