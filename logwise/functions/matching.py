@@ -16,6 +16,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logwise.session import ship_package
+
 try:  # optional: callers fall back to pure Spark expressions without it
     import ahocorasick  # type: ignore
 
@@ -44,6 +46,7 @@ def _matcher(spark: SparkSession, words: Iterable[str], longest: bool) -> Callab
     unique = sorted({w for w in words if w})
     if not unique:
         raise ValueError("dictionary is empty")
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(unique)
     key = uuid.uuid4().hex
 

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from logwise.session import ship_package
+
 Fetch = Callable[[str], tuple[int, str]]
 
 ENRICH_FIELDS = [
@@ -47,6 +49,7 @@ def enrich_with_retry(
     if attempts < 1:
         raise ValueError("attempts must be at least 1")
     schema = T.StructType(list(df.schema.fields) + ENRICH_FIELDS)
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

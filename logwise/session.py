@@ -7,6 +7,7 @@ cluster names in ``spark.checkpoint.dir``. Only when that setting is missing
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -73,3 +74,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/logwise/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``logwise`` importable in executor Python workers.
+
+    Pandas UDFs and ``mapInPandas`` functions refer to helpers of this package
+    by name; executors need the package on their path. It is zipped once per
+    application and handed to ``addPyFile``, which serves it to every
+    executor (the same as ``--py-files`` at submit time).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="logwise-pyfiles-")
+    target = os.path.join(out_dir, "logwise.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from logwise.operators.balance import spread
 from logwise.operators.filters import non_empty
 from logwise.operators.words import word_document_counts
 from logwise.sinks.ledger import contributions, write_contributions
@@ -28,17 +29,22 @@ def batch_word_counts(
     method: str = "spaces",
     time_col: str | None = "timestamp",
     batch_time: dt.datetime | None = None,
-    partitions: int | None = None,
+    partitions: int | str | None = "auto",
 ) -> DataFrame:
     """(word, date, count) for one batch of comments.
 
     The date comes from ``time_col`` (the message time) or, when it is None,
     from ``batch_time`` (the wall clock at processing, as a receiver would).
+    ``partitions``: a number repartitions the comments round-robin before
+    segmentation; ``"auto"`` does so only when the batch has fewer partitions
+    than the cluster has task slots; None never.
     """
     words = dictionary.current()
     docs = non_empty(df, "value")
-    if partitions:
-        docs = docs.repartition(partitions)
+    if partitions == "auto":
+        docs = spread(docs)
+    elif partitions:
+        docs = docs.repartition(int(partitions))
     if time_col is not None:
         date = F.to_date(F.col(time_col))
     else:
@@ -56,7 +62,7 @@ def comment_counts_query(
     checkpoint: str,
     method: str = "spaces",
     time_col: str | None = "timestamp",
-    partitions: int | None = None,
+    partitions: int | str | None = "auto",
     trigger: str | None = None,
 ) -> StreamingQuery:
     """Start the comment word count stream; totals via ``monthly_totals``."""
