@@ -45,6 +45,10 @@ Dictionary = Sequence[str] | DataFrame
 PATTERN_MAX_WORDS = 500
 # Literal lists up to this size are searched with one ``contains`` per word.
 CONTAINS_MAX_WORDS = 64
+# Every Python worker (one per core) builds its own automaton, so its bound is
+# well below the broadcast limits; larger dictionaries use n-grams + join.
+AUTOMATON_MAX_WORDS = 200_000
+AUTOMATON_MAX_BYTES = 8 * 1024 * 1024
 
 
 def _is_frame(d: Dictionary) -> bool:
@@ -123,7 +127,7 @@ def word_document_counts(
 
     if method == "dictionary":
         words, spark = _bounded_words(dictionary, size, docs)
-        if len(words) <= PATTERN_MAX_WORDS or not HAVE_AUTOMATON:
+        if len(words) <= PATTERN_MAX_WORDS or not HAVE_AUTOMATON or len(words) > AUTOMATON_MAX_WORDS:
             found = F.array_distinct(segment_dictionary(t, words))
         else:
             found = longest_matcher(spark, words)(t)
@@ -156,7 +160,8 @@ def _substring_plan(dictionary: Dictionary, size: Size | None) -> str:
             return "contains"
         return "automaton"
     s = size if size is not None else measure(dictionary)
-    return "automaton" if HAVE_AUTOMATON and s.fits() else "ngrams"
+    fits = s.fits(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES)
+    return "automaton" if HAVE_AUTOMATON and fits else "ngrams"
 
 
 def _bounded_words(dictionary: Dictionary, size: Size | None, docs: DataFrame) -> tuple[list[str], object]:

@@ -19,10 +19,7 @@ from logwise.operators.parse import line_levels, parse_log_lines, quarantine
 from logwise.operators.windows import sliding_counts
 from logwise.operators.words import Dictionary, word_document_counts
 
-# Batch interval, window length and slide of the log analysis.
-LOG_BATCH = "2 seconds"
-LOG_WINDOW = "4 seconds"
-LOG_SLIDE = "2 seconds"
+from logwise.settings import LOG_BATCH, LOG_SLIDE, LOG_WINDOW  # noqa: F401
 
 
 @dataclass

@@ -110,7 +110,8 @@ def error_log_stream_q(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "error_log_stream")
     lines = log_lines_from_events(_events(spark, d), keep=())
     write_log_files(lines, f"{root}/logs")
-    stream = log_lines(spark, f"{root}/logs", stream=True, glob="*.txt", max_files_per_trigger=4)
+    per_trigger = max(4, spark.sparkContext.defaultParallelism)
+    stream = log_lines(spark, f"{root}/logs", stream=True, glob="*.txt", max_files_per_trigger=per_trigger)
     drain(error_log_query(stream, f"{root}/out", f"{root}/ckpt", sql=LOG_ERROR_SQL))
     out = spark.read.schema(
         "log_level string, method string, content string, event_ts timestamp, batch_id bigint"

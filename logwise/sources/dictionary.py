@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from logwise.operators.sizing import Size, measure
 from logwise.session import checkpoint_root
+from logwise.settings import DICTIONARY_TTL_MS
 
 log = logging.getLogger(__name__)
 
-# Fixed value: the dictionary is reloaded when older than five minutes.
-DEFAULT_TTL_MS = 300_000
+DEFAULT_TTL_MS = DICTIONARY_TTL_MS
 
 
 def load_words(

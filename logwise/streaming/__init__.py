@@ -1,10 +1,14 @@
 """Structured Streaming forms of the two applications."""
 
+from logwise.streaming.apps import LogAnalysisQueries, start_comment_word_counts, start_log_analysis
 from logwise.streaming.comments import batch_word_counts, comment_counts_query
 from logwise.streaming.logs import error_log_query, level_totals_query, sliding_counts_query
 from logwise.streaming.runner import drain, latest_per_key, start
 
 __all__ = [
+    "LogAnalysisQueries",
+    "start_comment_word_counts",
+    "start_log_analysis",
     "batch_word_counts",
     "comment_counts_query",
     "drain",

@@ -67,6 +67,12 @@ def comment_counts_query(
 ) -> StreamingQuery:
     """Start the comment word count stream; totals via ``monthly_totals``."""
 
+    comments = comments.observe(
+        "comments",
+        F.count(F.lit(1)).alias("comments"),
+        F.sum(F.when(F.coalesce(F.length("value"), F.lit(0)) == 0, 1).otherwise(0)).alias("empty"),
+    )
+
     def per_batch(df: DataFrame, batch_id: int) -> None:
         counts = batch_word_counts(
             df,

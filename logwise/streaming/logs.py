@@ -40,18 +40,28 @@ def error_log_query(
     instead of the level filter, e.g. ``select * from alldata where
     log_level='[error]'``. Incomplete lines go to ``quarantine_path`` if given.
     """
-    parsed = parse_log_lines(lines)
+    parsed = parse_log_lines(lines).observe(
+        "log_lines",
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.when(F.col("n_fields") < 3, 1).otherwise(0)).alias("quarantined"),
+    )
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        good, bad = quarantine(df)
-        records = good.select(*RECORD_OUT)
-        if sql:
-            kept = sql_over_batch(records, sql, "alldata")
-        else:
-            kept = filter_levels(records, levels)
-        append_batch(kept, out_path, batch_id)
-        if quarantine_path:
-            append_batch(bad.select("value"), quarantine_path, batch_id)
+        # two sinks read the same batch: parse it once
+        shared = df.persist() if quarantine_path else df
+        try:
+            good, bad = quarantine(shared)
+            records = good.select(*RECORD_OUT)
+            if sql:
+                kept = sql_over_batch(records, sql, "alldata")
+            else:
+                kept = filter_levels(records, levels)
+            append_batch(kept, out_path, batch_id)
+            if quarantine_path:
+                append_batch(bad.select("value"), quarantine_path, batch_id)
+        finally:
+            if shared is not df:
+                shared.unpersist()
 
     return start(parsed.writeStream.foreachBatch(per_batch), checkpoint, trigger)
 

@@ -136,3 +136,31 @@ def test_error_stream_from_events_matches_filter(spark, tmp):
     ).parquet(f"{tmp}/out")
     assert out.count() == ev.where("event_type = 'error'").count()
     assert out.select("batch_id").distinct().count() == 3
+
+
+def test_log_analysis_app_drains_and_reports_metrics(spark, tmp):
+    from logwise.streaming import start_log_analysis
+
+    _g1_files(f"{tmp}/logs")
+    qs = start_log_analysis(spark, f"{tmp}/logs", f"{tmp}/out", f"{tmp}/ck", trigger=None, glob="*.log")
+    for q in qs.all():
+        drain(q)
+    metrics = [p["observedMetrics"].get("log_lines") for p in qs.errors.recentProgress if p.get("observedMetrics")]
+    assert sum(m["lines"] for m in metrics) == 12 and sum(m["quarantined"] for m in metrics) == 1
+    totals = latest_per_key(spark, f"{tmp}/out/totals", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"])
+    assert rows(totals) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
+    bad = spark.read.schema("value string, batch_id bigint").parquet(f"{tmp}/out/quarantine")
+    assert bad.count() == 1
+
+
+def test_arrival_time_windows(spark, tmp):
+    write_lines(f"{tmp}/logs", "a.log", [_line("error", 0)] * 4 + [_line("info", 0)], mtime=1_600_000_000)
+    lines = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log")
+    from logwise.operators import log_records
+
+    drain(sliding_counts_query(log_records(lines), "log_level", f"{tmp}/w", f"{tmp}/ck", "4 seconds", "2 seconds", time_col=None))
+    w = spark.read.schema("ws timestamp, we timestamp, log_level string, n bigint, batch_id bigint").parquet(f"{tmp}/w")
+    # arrival time = processing time: two windows of 4 s hold the batch, far from the 2020 event times
+    got = w.where("log_level = '[error]'").collect()
+    assert sorted(r.n for r in got) == [4, 4]
+    assert all(r.ws.year > 2020 for r in got)
