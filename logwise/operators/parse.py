@@ -34,18 +34,22 @@ def parse_log_lines(df: DataFrame, value: str = "value", keep: bool = True) -> D
     Fields past the third are ignored. ``get`` yields NULL for a missing field
     instead of failing the task (ANSI mode makes ``p[i]`` throw).
     ``keep=False`` drops the input columns except the new ones.
+
+    The split is computed once; its fields come out of a one-row generator,
+    so a later filter on ``n_fields`` (the quarantine) stays after the parse
+    instead of being pushed under it with a second copy of the split.
     """
-    parts = split_fields(F.col(value))
     base = [F.col(c) for c in df.columns] if keep else []
+    names = [c for c in df.columns] if keep else []
+    fields = F.struct(
+        F.get("_parts", 0).alias("log_level"),
+        F.get("_parts", 1).alias("method"),
+        F.get("_parts", 2).alias("content"),
+        F.size("_parts").alias("n_fields"),
+    )
     return (
-        df.select(*base, parts.alias("_parts"))
-        .select(
-            *base,
-            F.get("_parts", 0).alias("log_level"),
-            F.get("_parts", 1).alias("method"),
-            F.get("_parts", 2).alias("content"),
-            F.size("_parts").alias("n_fields"),
-        )
+        df.select(*base, split_fields(F.col(value)).alias("_parts"))
+        .select(*names, F.inline(F.array(fields)))
         .withColumn("event_ts", content_time("content"))
     )
 
@@ -90,11 +94,25 @@ def line_levels(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.get(split_fields(F.col(value)), 0).alias("log_level"))
 
 
+def compact_time(ts: Column) -> Column:
+    """``yyyyMMddHHmmss`` from a timestamp by field arithmetic (no formatter:
+    the same string as ``date_format`` at a fraction of its cost per row)."""
+    n = (
+        F.year(ts).cast("bigint") * 10**10
+        + F.month(ts) * 10**8
+        + F.dayofmonth(ts) * 10**6
+        + F.hour(ts) * 10**4
+        + F.minute(ts) * 100
+        + F.second(ts)
+    )
+    return F.lpad(n.cast("string"), 14, "0")
+
+
 def lines_from_columns(level: Column, method: Column, ts: Column) -> Column:
     """Build a log line from three columns (level in brackets, time in content)."""
     return F.concat_ws(
         "\t",
         F.concat(F.lit("["), level, F.lit("]")),
         method,
-        F.concat(F.lit("Date:"), F.date_format(ts, CONTENT_TIME_FORMAT)),
+        F.concat(F.lit("Date:"), compact_time(ts)),
     )

@@ -94,7 +94,13 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="logwise-pyfiles-")
+    root = checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        # addPyFile serves the file from the driver; only its build is local
+        out_dir = tempfile.mkdtemp(prefix="logwise-pyfiles-")
+    else:
+        out_dir = os.path.join(root.removeprefix("file:"), f"logwise-pyfiles-{uuid.uuid4().hex}")
+        os.makedirs(out_dir, exist_ok=True)
     target = os.path.join(out_dir, "logwise.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(pkg_dir):

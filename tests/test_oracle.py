@@ -6,7 +6,7 @@ import decimal
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
@@ -26,12 +26,13 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_ORACLE])
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, duck, name):
-    df = QUERIES[name](spark, SF_SMALL)
+def test_query_matches_oracle(spark, duck, name, sf_dir):
+    df = QUERIES[name](spark, sf_dir)
     cols = sorted(df.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
-    cur = duck(SF_SMALL).execute(ORACLES[name])
+    cur = duck(sf_dir).execute(ORACLES[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(ocols) == cols
     idx = [ocols.index(c) for c in cols]
