@@ -7,6 +7,7 @@ month: a 4 s / 2 s window becomes 4 h / 2 h. Every query reads whole tables.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ from logwise.operators import (
     tumbling_counts,
     word_document_counts,
 )
+from logwise.functions.responses import RESPONSE_PREFIX, RESPONSE_SUFFIX
+from logwise.operators import enrich_with_retry, line_levels
 from logwise.operators.balance import spread
 from logwise.operators.responses import valid_terms
 from logwise.operators.words import dictionary_words as distinct_words
@@ -123,6 +126,12 @@ def level_totals_q(spark: SparkSession, d: str) -> DataFrame:
     return count_by(_events(spark, d), "event_type", name="n")
 
 
+def level_totals_from_lines_q(spark: SparkSession, d: str) -> DataFrame:
+    """The counting path: first field of every rebuilt log line, no arity check."""
+    lines = log_lines_from_events(_events(spark, d), keep=())
+    return count_by(line_levels(lines), "log_level", name="n")
+
+
 def level_totals_stream_q(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "level_totals_stream")
     stream = table_stream(spark, d, "events")
@@ -258,6 +267,28 @@ def service_terms_q(spark: SparkSession, d: str) -> DataFrame:
     return ok.select("doc_id", F.size("terms").cast("bigint").alias("n"))
 
 
+# Fixed value: the whitespace class the service splits on.
+_SERVICE_SPACE = re.compile(r"[\t\n\f\r ]+")
+
+
+def segmentation_service(text: str) -> tuple[int, str]:
+    """An in-process stand-in for the segmentation service: whitespace
+    tokens joined by one space, pasted unescaped into its response body."""
+    terms = _SERVICE_SPACE.sub(" ", text).strip(" ")
+    if not terms:
+        return 404, ""
+    return 200, RESPONSE_PREFIX + terms + RESPONSE_SUFFIX
+
+
+def enriched_terms_q(spark: SparkSession, d: str) -> DataFrame:
+    """Every document sent through ``enrich_with_retry`` (Arrow batches), the
+    answers parsed, validated and split into term sets."""
+    docs = _documents(spark, d, "doc_id", "text").select("doc_id", F.col("text").alias("value"))
+    answers = enrich_with_retry(docs, segmentation_service, column="value")
+    ok = valid_terms(answers, keep=("doc_id",))
+    return ok.select("doc_id", F.size("terms").cast("bigint").alias("n"))
+
+
 def format_epochs_q(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d).select(
         "event_id",
@@ -285,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "error_logs_sql": error_logs_sql_q,
     "error_log_stream": error_log_stream_q,
     "level_totals": level_totals_q,
+    "level_totals_from_lines": level_totals_from_lines_q,
     "level_totals_stream": level_totals_stream_q,
     "level_total_snapshots": level_total_snapshots_q,
     "sliding_level_counts": sliding_level_counts_q,
@@ -302,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "monthly_counts": monthly_counts_q,
     "accumulate_counts": accumulate_counts_q,
     "service_terms": service_terms_q,
+    "enriched_terms": enriched_terms_q,
     "format_epochs": format_epochs_q,
 }
 
@@ -330,6 +363,16 @@ _SPACE_COUNTS = (
     "where word <> '' and word in ({dictionary}) group by 1"
 )
 
+_SERVICE_TERMS = (
+    "with r as (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) terms from documents), "
+    "b as (select doc_id, case when terms <> '' then 200 else 404 end code, "
+    "'{\"ret\":0, \"msg\":\"OK\", \"terms\":\"' || terms || '\"}' body from r) "
+    "select doc_id, cast(len(list_filter(list_distinct(string_split("
+    "json_extract_string(body, '$.terms'), ' ')), lambda x: x <> '')) as bigint) n from b "
+    "where code = 200 and json_valid(body) and cast(json_extract(body, '$.ret') as integer) = 0 "
+    "and json_type(body, '$.msg') = 'VARCHAR' and json_type(body, '$.terms') = 'VARCHAR'"
+)
+
 ORACLES: dict[str, str] = {
     "log_records": (
         "select event_id, '[' || event_type || ']' log_level, 'u' || user_id as method, "
@@ -345,6 +388,7 @@ ORACLES: dict[str, str] = {
     ),
     "level_totals": "select event_type, count(*) n from events group by 1",
     "level_totals_stream": "select event_type, count(*) n from events group by 1",
+    "level_totals_from_lines": "select '[' || event_type || ']' log_level, count(*) n from events group by 1",
     "level_total_snapshots": (
         "with d as (select cast(ts as date) batch, event_type, count(*) c from events group by all), "
         "r as (select batch, event_type, sum(c) over (partition by event_type order by batch) total, "
@@ -385,15 +429,8 @@ ORACLES: dict[str, str] = {
     "accumulate_counts": (
         "select event_type word, cast(ts as date) date, count(*) count from events group by all"
     ),
-    "service_terms": (
-        "with r as (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) terms from documents), "
-        "b as (select doc_id, case when terms <> '' then 200 else 404 end code, "
-        "'{\"ret\":0, \"msg\":\"OK\", \"terms\":\"' || terms || '\"}' body from r) "
-        "select doc_id, cast(len(list_filter(list_distinct(string_split("
-        "json_extract_string(body, '$.terms'), ' ')), lambda x: x <> '')) as bigint) n from b "
-        "where code = 200 and json_valid(body) and cast(json_extract(body, '$.ret') as integer) = 0 "
-        "and json_type(body, '$.msg') = 'VARCHAR' and json_type(body, '$.terms') = 'VARCHAR'"
-    ),
+    "service_terms": _SERVICE_TERMS,
+    "enriched_terms": _SERVICE_TERMS,
     "format_epochs": (
         "select event_id, strftime(ts, '%Y%m') m, strftime(ts, '%Y-%m-%d') d, "
         "strftime(ts, '%Y-%m-%d') d2 from events"
