@@ -13,8 +13,13 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+# Batches per block in total_snapshots: no task sorts, and no array holds, more
+# than this many batches of one key.
+SNAPSHOT_BLOCK = 4096
+
+
 def total_snapshots(
-    df: DataFrame, key: str, batch: str, name: str = "total"
+    df: DataFrame, key: str, batch: str, name: str = "total", block: int = SNAPSHOT_BLOCK
 ) -> DataFrame:
     """Running total of every known key after each batch.
 
@@ -23,33 +28,54 @@ def total_snapshots(
     the last one, also when it has no new rows. Batches form a grid (integers
     step 1, dates step 1 day) from the first to the last batch with data.
 
-    Plan: (1) count per (batch, key) with partial aggregation, so a hot key
-    shrinks to one row per batch before any shuffle; (2) running sum and next
-    batch per key over those counts (window input is bounded by the number of
-    batches); (3) each row repeats itself up to the batch before the key's
-    next count, or to the last batch overall (a scalar subquery, one value).
-    No spine of keys x batches is joined.
+    Plan, built so that a key present in every batch is never one task's work:
+    (1) count per (batch, key), partial aggregation first, so a hot key
+    shrinks to one row per batch; (2) batches are cut into blocks of
+    ``block``; totals per (key, block) and a window over the blocks of a key
+    give each block its starting offset and the first batch of the key's next
+    block; (3) the running sum inside a (key, block) window adds the offset;
+    (4) each row is repeated up to the batch before the key's next count, or
+    to the last batch overall (a scalar subquery), exploding block-sized
+    chunks so no array grows with the gap. No keys x batches spine is built.
     """
     per_batch = count_by(df, batch, key, name="_c")
     b_type = per_batch.schema[batch].dataType
     if isinstance(b_type, T.DateType):
-        before = lambda c: F.date_sub(c, 1)
+        to_int, from_int = F.unix_date, F.date_from_unix_date
     elif isinstance(b_type, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        before = lambda c: c - F.lit(1)
+        to_int, from_int = (lambda c: c.cast("bigint")), (lambda c: c.cast(b_type))
     else:
         raise TypeError(f"batch column must be a date or an integer, not {b_type}")
 
-    w = Window.partitionBy(key).orderBy(batch)
-    running = per_batch.select(
+    ints = per_batch.select(key, to_int(F.col(batch)).alias("_b"), "_c").withColumn(
+        "_blk", F.floor(F.col("_b") / F.lit(block))
+    )
+    per_block = ints.groupBy(key, "_blk").agg(F.sum("_c").alias("_bc"), F.min("_b").alias("_first"))
+    over_blocks = Window.partitionBy(key).orderBy("_blk")
+    offsets = per_block.select(
         key,
-        batch,
-        F.sum("_c").over(w).alias(name),
-        F.lead(batch).over(w).alias("_next"),
+        "_blk",
+        (F.sum("_bc").over(over_blocks) - F.col("_bc")).alias("_before"),
+        F.lead("_first").over(over_blocks).alias("_next_first"),
     )
-    last_batch = per_batch.select(F.max(batch)).scalar()
-    until = F.coalesce(before(F.col("_next")), last_batch)
-    return running.select(
-        F.explode(F.sequence(F.col(batch), until)).alias(batch),
+    in_block = Window.partitionBy(key, "_blk").orderBy("_b")
+    running = ints.join(offsets, [key, "_blk"]).select(
         key,
-        F.col(name),
+        "_b",
+        (F.col("_before") + F.sum("_c").over(in_block)).alias(name),
+        F.coalesce(F.lead("_b").over(in_block), F.col("_next_first")).alias("_next"),
+    )
+    last = ints.select(F.max("_b")).scalar()
+    until = F.coalesce(F.col("_next") - F.lit(1), last)
+    chunked = running.select(
+        key,
+        name,
+        "_b",
+        until.alias("_until"),
+        F.explode(F.sequence(F.floor(F.col("_b") / block), F.floor(until / block))).alias("_chunk"),
+    )
+    lo = F.greatest(F.col("_b"), F.col("_chunk") * block)
+    hi = F.least(F.col("_until"), F.col("_chunk") * block + (block - 1))
+    return chunked.select(key, name, F.explode(F.sequence(lo, hi)).alias("_i")).select(
+        from_int(F.col("_i")).alias(batch), key, name
     )

@@ -75,3 +75,27 @@ def test_window_not_multiple_of_slide(spark):
     got = rows(sliding_counts(df, "ts", "k", "3 hours", "2 hours").select(F.hour("ws"), "n"))
     # windows [22,1) [0,3) [2,5) [4,7) hold hours {0} {0,1,2} {2,3,4} {4,5}
     assert got == [(0, 3), (2, 3), (4, 2), (22, 1)]
+
+
+def test_snapshots_blocked_plan_equals_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    data = []
+    for b in range(200):
+        data.append((b, "hot"))  # a key present in every batch
+        if rnd.random() < 0.05:
+            data.append((b, "rare"))
+        if b in (3, 150):
+            data.append((b, "two"))  # a gap spanning many blocks
+    df = spark.createDataFrame(data, "batch int, k string")
+    want = {}
+    for k in ("hot", "rare", "two"):
+        mine = [b for b, kk in data if kk == k]
+        total = 0
+        for b in range(min(mine), 200):
+            total += mine.count(b)
+            want[(b, k)] = total
+    for block in (4, 7, 4096):
+        got = {(r.batch, r.k): r.total for r in total_snapshots(df, "k", "batch", block=block).collect()}
+        assert got == want
