@@ -164,3 +164,43 @@ def test_arrival_time_windows(spark, tmp):
     got = w.where("log_level = '[error]'").collect()
     assert sorted(r.n for r in got) == [4, 4]
     assert all(r.ws.year > 2020 for r in got)
+
+
+def test_failed_batch_replayed_after_restart_counts_once(spark, tmp, monkeypatch):
+    import logwise.streaming.comments as comments_mod
+
+    base = 1_600_000_000
+    for i, texts in enumerate([["a b", "a"], ["a c", "b b"], ["c"]]):
+        spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.parquet(f"{tmp}/in/{i}")
+        for root, _, files in os.walk(f"{tmp}/in/{i}"):
+            for f in files:
+                os.utime(os.path.join(root, f), (base + i, base + i))
+    real_write = comments_mod.write_contributions
+    state = {"failed": False}
+
+    def flaky_write(rows, path):
+        real_write(rows, path)
+        batch_ids = {r.batch_id for r in rows.select("batch_id").distinct().collect()}
+        if 1 in batch_ids and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("executor lost after the write")
+
+    monkeypatch.setattr(comments_mod, "write_contributions", flaky_write)
+    dictionary = RefreshingDictionary(spark, lambda: spark.createDataFrame([("a",), ("b",), ("c",)], "word string"))
+
+    def stream():
+        return spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).option(
+            "recursiveFileLookup", "true"
+        ).option("pathGlobFilter", "*.parquet").parquet(f"{tmp}/in").select(
+            "value", F.lit(dt.datetime(2024, 1, 2)).cast("timestamp").alias("timestamp")
+        )
+
+    q = comment_counts_query(stream(), dictionary, f"{tmp}/ledger", f"{tmp}/ck")
+    try:
+        q.awaitTermination()
+    except Exception:  # noqa: BLE001 - the injected failure
+        pass
+    assert q.exception() is not None and state["failed"]
+    drain(comment_counts_query(stream(), dictionary, f"{tmp}/ledger", f"{tmp}/ck"))  # restart
+    totals = rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "count"))
+    assert totals == [("a", 3), ("b", 2), ("c", 2)]
