@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logwise.session import checkpoint_root
+
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """``count(*)`` per key (partial aggregation before the shuffle, so a hot
@@ -37,7 +39,13 @@ def total_snapshots(
     (4) each row is repeated up to the batch before the key's next count, or
     to the last batch overall (a scalar subquery), exploding block-sized
     chunks so no array grows with the gap. No keys x batches spine is built.
+
+    The per-(batch, key) counts feed three branches (block totals, the join
+    back, the last batch); they are checkpointed to the shared checkpoint
+    folder (one job, at call time) so the input is scanned once, not three
+    times, and a lost executor does not recompute them from the input.
     """
+    checkpoint_root(df.sparkSession)
     per_batch = count_by(df, batch, key, name="_c")
     b_type = per_batch.schema[batch].dataType
     if isinstance(b_type, T.DateType):
@@ -47,8 +55,10 @@ def total_snapshots(
     else:
         raise TypeError(f"batch column must be a date or an integer, not {b_type}")
 
-    ints = per_batch.select(key, to_int(F.col(batch)).alias("_b"), "_c").withColumn(
-        "_blk", F.floor(F.col("_b") / F.lit(block))
+    ints = (
+        per_batch.select(key, to_int(F.col(batch)).alias("_b"), "_c")
+        .withColumn("_blk", F.floor(F.col("_b") / F.lit(block)))
+        .checkpoint(eager=True)
     )
     per_block = ints.groupBy(key, "_blk").agg(F.sum("_c").alias("_bc"), F.min("_b").alias("_first"))
     over_blocks = Window.partitionBy(key).orderBy("_blk")
