@@ -61,6 +61,14 @@ def dictionary_words(dictionary: DataFrame, column: str = "word") -> DataFrame:
     return dictionary.select(w.alias("word")).where(w.isNotNull() & (w != "")).distinct()
 
 
+def _clean(dictionary: Dictionary) -> Dictionary:
+    """Frames keep non-empty, non-NULL words (duplicates are harmless in a semi join)."""
+    if not _is_frame(dictionary):
+        return dictionary
+    w = F.col("word")
+    return dictionary.select("word").where(w.isNotNull() & (w != ""))
+
+
 def _token_set(text: Column) -> Column:
     return F.array_distinct(segment_spaces(text))
 
@@ -90,8 +98,15 @@ def match_words(
     keep: Sequence[str] = (),
     size: Size | None = None,
 ) -> DataFrame:
-    """One row per (comment, dictionary word among its space tokens)."""
+    """One row per (comment, dictionary word among its space tokens).
+
+    Rows stay per comment, so a dictionary too large to broadcast means a
+    shuffle join on the word; Spark's adaptive skew-join handling splits the
+    partition of a hot word. For counts use :func:`word_document_counts`,
+    which aggregates before that join.
+    """
     t = F.col(text)
+    dictionary = _clean(dictionary)
     if not _is_frame(dictionary):
         words = F.array(*[F.lit(w) for w in sorted(set(dictionary))])
         return docs.select(*keep, F.explode(F.array_intersect(_token_set(t), words)).alias("word"))
@@ -119,6 +134,7 @@ def word_document_counts(
     ``automaton`` or ``ngrams``); ``auto`` chooses by size.
     """
     t = F.col(text)
+    dictionary = _clean(dictionary)
     if method == "spaces":
         if not _is_frame(dictionary):
             return count_by(match_words(docs, dictionary, text, keep=by), "word", *by, name=name)
@@ -127,10 +143,15 @@ def word_document_counts(
 
     if method == "dictionary":
         words, spark = _bounded_words(dictionary, size, docs)
-        if len(words) <= PATTERN_MAX_WORDS or not HAVE_AUTOMATON or len(words) > AUTOMATON_MAX_WORDS:
+        if len(words) <= PATTERN_MAX_WORDS:
             found = F.array_distinct(segment_dictionary(t, words))
-        else:
+        elif HAVE_AUTOMATON and len(words) <= AUTOMATON_MAX_WORDS:
             found = longest_matcher(spark, words)(t)
+        else:
+            raise ValueError(
+                f"forward maximum matching takes at most {AUTOMATON_MAX_WORDS} words "
+                f"({len(words)} given); use method 'substrings' or 'spaces'"
+            )
         return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
 
     if method == "substrings":

@@ -112,7 +112,7 @@ def error_log_stream_q(spark: SparkSession, d: str) -> DataFrame:
     the SQL over each batch and appended per batch id; the sink read back."""
     root = scratch_path(spark, "error_log_stream")
     lines = log_lines_from_events(_events(spark, d), keep=())
-    write_log_files(lines, f"{root}/logs")
+    write_log_files(spread(lines), f"{root}/logs")
     per_trigger = max(4, spark.sparkContext.defaultParallelism)
     stream = log_lines(spark, f"{root}/logs", stream=True, glob="*.txt", max_files_per_trigger=per_trigger)
     drain(error_log_query(stream, f"{root}/out", f"{root}/ckpt", sql=LOG_ERROR_SQL))

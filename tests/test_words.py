@@ -109,3 +109,10 @@ def test_dictionary_method_over_limit_raises(spark):
     words = spark.createDataFrame([("a",)], "word string")
     with pytest.raises(ValueError):
         word_document_counts(docs, words, method="dictionary", size=Size(10**12, 10**15))
+
+
+def test_frame_dictionary_with_empty_and_null_words(spark):
+    docs = _docs(spark, ["ab cd", "cd"])
+    words = spark.createDataFrame([("cd",), ("",), (None,), ("cd",)], "word string")
+    for method, plan in [("spaces", "auto"), ("substrings", "ngrams"), ("substrings", "automaton"), ("dictionary", "auto")]:
+        assert rows(word_document_counts(docs, words, method=method, plan=plan)) == [("cd", 2)]
