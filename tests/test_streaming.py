@@ -204,3 +204,58 @@ def test_failed_batch_replayed_after_restart_counts_once(spark, tmp, monkeypatch
     drain(comment_counts_query(stream(), dictionary, f"{tmp}/ledger", f"{tmp}/ck"))  # restart
     totals = rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "count"))
     assert totals == [("a", 3), ("b", 2), ("c", 2)]
+
+
+# Golden G3 (FIXTURES.md): lines per level in five log files named by their time.
+G3_FILES = {
+    "20200606215836": {"error": 4, "warn": 1, "info": 3, "debug": 2},
+    "20200606215839": {"error": 1, "warn": 4, "info": 4, "debug": 1},
+    "20200606215842": {"error": 5, "warn": 2, "info": 2, "debug": 1},
+    "20200606215845": {"error": 5, "warn": 3, "info": 1, "debug": 1},
+    "20200606215846": {"error": 1, "warn": 5, "info": 1, "debug": 3},
+}
+G3_WINDOWS = {  # window start second -> error, warn, info, debug
+    34: (4, 1, 3, 2),
+    36: (5, 5, 7, 3),
+    38: (1, 4, 4, 1),
+    40: (5, 2, 2, 1),
+    42: (10, 5, 3, 2),
+    44: (6, 8, 2, 4),
+    46: (1, 5, 1, 3),
+}
+
+
+def test_g3_sample_logs_totals_and_windows(spark, tmp):
+    from logwise.streaming import start_log_analysis
+
+    methods = ["main", "calculate", "saveFile", "openFile"]
+    for i, (stamp, counts) in enumerate(G3_FILES.items()):
+        lines = [
+            f"[{level}]\t{methods[j % 4]}\tDate:{stamp}"
+            for level, n in counts.items()
+            for j in range(n)
+        ]
+        write_lines(f"{tmp}/logs", f"{stamp}.log", lines, mtime=1_591_480_000 + i)
+    qs = start_log_analysis(
+        spark, f"{tmp}/logs", f"{tmp}/out", f"{tmp}/ck", trigger=None, glob="*.log", max_files_per_trigger=1
+    )
+    for q in qs.all():
+        drain(q)
+    totals = latest_per_key(spark, f"{tmp}/out/totals", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"])
+    assert {r.log_level: r.n for r in totals.collect()} == {"[error]": 16, "[warn]": 15, "[info]": 11, "[debug]": 8}
+    w = latest_per_key(
+        spark, f"{tmp}/out/windows", "ws timestamp, we timestamp, log_level string, n bigint, batch_id bigint",
+        ["ws", "we", "log_level"], ["n"],
+    )
+    got = {}
+    for r in w.collect():
+        got.setdefault(r.ws.second, {})[r.log_level] = r.n
+    want = {
+        s: {f"[{lvl}]": n for lvl, n in zip(("error", "warn", "info", "debug"), counts) if n}
+        for s, counts in G3_WINDOWS.items()
+    }
+    assert got == want
+    errors = spark.read.schema(
+        "log_level string, method string, content string, event_ts timestamp, batch_id bigint"
+    ).parquet(f"{tmp}/out/errors")
+    assert errors.count() == 16 and errors.select("batch_id").distinct().count() == 5
