@@ -128,7 +128,8 @@ def level_totals_q(spark: SparkSession, d: str) -> DataFrame:
 
 def level_totals_from_lines_q(spark: SparkSession, d: str) -> DataFrame:
     """The counting path: first field of every rebuilt log line, no arity check."""
-    lines = log_lines_from_events(_events(spark, d), keep=())
+    ev = _events(spark, d).select("event_id", "event_type", "user_id", "ts")
+    lines = log_lines_from_events(spread(ev, "event_id"), keep=())
     return count_by(line_levels(lines), "log_level", name="n")
 
 

@@ -87,3 +87,38 @@ def test_levels_parameter(spark):
     got = sorted(r.log_level for r in filter_levels(recs, ("[error]", "[warn]")).collect())
     assert got == ["[error]", "[warn]"]
     assert recs.where(F.col("log_level") == "[info]").count() == 1
+
+
+def _model_split(line):
+    """Plain-Python model of the split rule: drop trailing empty fields;
+    an empty or separator-only line is one empty field."""
+    parts = line.split("\t")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts or [""]
+
+
+def test_split_and_parse_match_model_on_random_lines(spark):
+    import random
+
+    rnd = random.Random(11)
+    alphabet = ["a", "b", "\t", "\t", "中", "[", "]"]
+    lines = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    parsed = {r.i: r for r in parse_log_lines(df.select("i", "value")).collect()}
+    fields = {r.i: r.p for r in df.select("i", split_fields("value").alias("p")).collect()}
+    good, bad = quarantine(parse_log_lines(df))
+    assert good.count() + bad.count() == len(lines)
+    for i, line in enumerate(lines):
+        want = _model_split(line)
+        assert fields[i] == want
+        r = parsed[i]
+        assert r.n_fields == len(want)
+        padded = want + [None, None, None]
+        assert (r.log_level, r.method, r.content) == tuple(padded[:3])
+    levels = {r.log_level: r.n for r in count_by(line_levels(df), "log_level").collect()}
+    model = {}
+    for line in lines:
+        k = _model_split(line)[0]
+        model[k] = model.get(k, 0) + 1
+    assert levels == model
