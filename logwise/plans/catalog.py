@@ -39,7 +39,13 @@ from logwise.operators.responses import valid_terms
 from logwise.operators.words import dictionary_words as distinct_words
 from logwise.plans.apps import comment_word_counts
 from logwise.session import scratch_path
-from logwise.sinks.ledger import contributions, monthly_totals, write_contributions
+from logwise.sinks.ledger import (
+    compact_months,
+    contributions,
+    monthly_totals,
+    read_contributions,
+    write_contributions,
+)
 from logwise.sources import (
     RefreshingDictionary,
     log_lines,
@@ -109,16 +115,17 @@ def error_logs_sql_q(spark: SparkSession, d: str) -> DataFrame:
 
 def error_log_stream_q(spark: SparkSession, d: str) -> DataFrame:
     """Lines written as text files, read by the file stream, parsed, filtered by
-    the SQL over each batch and appended per batch id; the sink read back."""
+    the SQL over the records and appended through the exactly-once file sink;
+    the sink read back."""
     root = scratch_path(spark, "error_log_stream")
     lines = log_lines_from_events(_events(spark, d), keep=())
     write_log_files(spread(lines), f"{root}/logs")
     per_trigger = max(4, spark.sparkContext.defaultParallelism)
     stream = log_lines(spark, f"{root}/logs", stream=True, glob="*.txt", max_files_per_trigger=per_trigger)
-    drain(error_log_query(stream, f"{root}/out", f"{root}/ckpt", sql=LOG_ERROR_SQL))
-    out = spark.read.schema(
-        "log_level string, method string, content string, event_ts timestamp, batch_id bigint"
-    ).parquet(f"{root}/out")
+    drain(error_log_query(stream, f"{root}/out", f"{root}/ckpt", sql=LOG_ERROR_SQL, sink="files"))
+    out = spark.read.schema("log_level string, method string, content string, event_ts timestamp").parquet(
+        f"{root}/out"
+    )
     return out.select("log_level", "method", "content", _ntz("event_ts"))
 
 
@@ -228,7 +235,8 @@ def comment_word_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
 
 def monthly_counts_q(spark: SparkSession, d: str) -> DataFrame:
     """Per-day batches of (type, date) counts written to the contributions
-    ledger in one distributed write, then the monthly totals read back."""
+    ledger in one distributed write, the months compacted, and the monthly
+    totals read back through the compacted table."""
     root = scratch_path(spark, "monthly_counts")
     ev = _events(spark, d).select(
         F.col("event_type").alias("word"),
@@ -238,7 +246,9 @@ def monthly_counts_q(spark: SparkSession, d: str) -> DataFrame:
     counts = count_by(ev, "batch_id", "word", "date", name="count")
     rows = contributions(counts).repartition("month", "batch_id")
     write_contributions(rows, f"{root}/ledger")
-    return monthly_totals(spark, f"{root}/ledger").select(
+    months = [r.month for r in read_contributions(spark, f"{root}/ledger").select("month").distinct().collect()]
+    compact_months(spark, f"{root}/ledger", f"{root}/compacted", months)
+    return monthly_totals(spark, f"{root}/ledger", compacted_path=f"{root}/compacted").select(
         "month", "date", "word", F.col("count").cast("bigint").alias("count")
     )
 

@@ -1,6 +1,7 @@
 """Sinks: replay-safe batch tables, the monthly count ledger, JDBC, console."""
 
 from logwise.sinks.ledger import (
+    compact_months,
     contributions,
     monthly_totals,
     read_contributions,
@@ -10,6 +11,7 @@ from logwise.sinks.tables import append_batch, console, jdbc_append, read_batche
 
 __all__ = [
     "append_batch",
+    "compact_months",
     "console",
     "contributions",
     "jdbc_append",

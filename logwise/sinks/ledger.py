@@ -49,9 +49,53 @@ def read_contributions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONTRIBUTION).parquet(path)
 
 
-def monthly_totals(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
-    """``(month, date, word, count)``: the sum of all contributions per key."""
-    ledger = read_contributions(spark, path)
+COMPACTED = "word string, date date, count bigint, through_batch bigint, month string"
+
+
+def compact_months(spark: SparkSession, path: str, compacted_path: str, months: list[str]) -> None:
+    """Fold the contributions of (closed) months into one totals table.
+
+    A stream that runs for months leaves one ledger partition per batch.
+    Compaction writes, per month, the totals and ``through_batch`` (the last
+    batch folded in) into ``compacted_path`` partitioned by month (dynamic
+    overwrite, so compacting a month again replaces it). Readers then take
+    that month from the compacted table plus only the ledger batches after
+    ``through_batch``; the folded ledger partitions may be deleted afterwards.
+    Compact a month again only while its ledger partitions still exist.
+    """
+    rows = read_contributions(spark, path).where(F.col("month").isin(*months))
+    marks = rows.groupBy("month").agg(F.max("batch_id").alias("through_batch"))
+    totals = rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))
+    (
+        totals.join(F.broadcast(marks), "month")  # one row per month
+        .select("word", "date", "count", "through_batch", "month")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(compacted_path)
+    )
+
+
+def monthly_totals(
+    spark: SparkSession, path: str, months: list[str] | None = None, compacted_path: str | None = None
+) -> DataFrame:
+    """``(month, date, word, count)``: the sum of all contributions per key.
+
+    With ``compacted_path``, compacted months come from there and the ledger
+    adds only batches after each month's ``through_batch`` (late data).
+    """
+    ledger = read_contributions(spark, path).select("month", "date", "word", "count", "batch_id")
+    parts = None
+    if compacted_path is not None:
+        done = spark.read.schema(COMPACTED).parquet(compacted_path)
+        marks = done.select("month", "through_batch").distinct()  # one row per month
+        ledger = ledger.join(F.broadcast(marks), "month", "left").where(
+            F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch"))
+        )
+        parts = done.select("month", "date", "word", "count")
+    rows = ledger.select("month", "date", "word", "count")
+    if parts is not None:
+        rows = rows.unionByName(parts)
     if months:
-        ledger = ledger.where(F.col("month").isin(*months))
-    return ledger.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))
+        rows = rows.where(F.col("month").isin(*months))
+    return rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))

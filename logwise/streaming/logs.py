@@ -33,18 +33,35 @@ def error_log_query(
     sql: str | None = None,
     quarantine_path: str | None = None,
     trigger: str | None = None,
+    sink: str = "batches",
 ) -> StreamingQuery:
     """Parse each batch of ``value`` lines, keep the given levels, append.
 
-    ``sql`` (optional) runs against the batch registered as view ``alldata``
-    instead of the level filter, e.g. ``select * from alldata where
-    log_level='[error]'``. Incomplete lines go to ``quarantine_path`` if given.
+    ``sql`` (optional) runs against the records registered as view
+    ``alldata`` instead of the level filter, e.g. ``select * from alldata
+    where log_level='[error]'``. Incomplete lines go to ``quarantine_path``.
+
+    ``sink='batches'`` writes one partition per batch id from
+    ``foreachBatch`` (a replay replaces its partition; needed for the
+    quarantine, a second output of the same batch). ``sink='files'`` uses
+    Spark's parquet file sink: exactly-once through its own commit log and no
+    directory per micro-batch, the better choice for a stream that runs for
+    months; read it with ``spark.read.parquet(out_path)``.
     """
     parsed = parse_log_lines(lines).observe(
         "log_lines",
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.when(F.col("n_fields") < 3, 1).otherwise(0)).alias("quarantined"),
     )
+    if sink == "files":
+        if quarantine_path:
+            raise ValueError("quarantine_path needs sink='batches'")
+        records = quarantine(parsed)[0].select(*RECORD_OUT)
+        kept = sql_over_batch(records, sql, "alldata") if sql else filter_levels(records, levels)
+        writer = kept.writeStream.format("parquet").option("path", out_path).outputMode("append")
+        return start(writer, checkpoint, trigger)
+    if sink != "batches":
+        raise ValueError(f"unknown sink {sink!r}")
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         # two sinks read the same batch: parse it once
@@ -100,13 +117,20 @@ def sliding_counts_query(
     time_col: str | None = "event_ts",
     watermark: str = "10 minutes",
     trigger: str | None = None,
+    sink: str = "updates",
 ) -> StreamingQuery:
-    """Counts per (window, key) with an event-time watermark, update mode.
+    """Counts per (window, key) with an event-time watermark.
 
     ``time_col=None`` uses arrival time (the batch time) instead, like a
     receiver-side window: replays then give different windows. With event
     time, rows older than the watermark are dropped and their windows' state
     is evicted, which bounds the state store.
+
+    ``sink='updates'``: update mode; every batch writes the windows it changed
+    to its own partition (read the current values with ``latest_per_key``).
+    ``sink='files'``: append mode into Spark's parquet file sink; each window
+    is written once, when the watermark has passed its end (windows still
+    open when the stream stops are not written).
     """
     if time_col is None:
         stream = stream.withColumn("_arrival", F.current_timestamp())
@@ -115,6 +139,11 @@ def sliding_counts_query(
     else:
         stream = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
     counts = sliding_counts(stream.withWatermark(time_col, watermark), time_col, key, length, slide)
+    if sink == "files":
+        writer = counts.writeStream.format("parquet").option("path", out_path).outputMode("append")
+        return start(writer, checkpoint, trigger)
+    if sink != "updates":
+        raise ValueError(f"unknown sink {sink!r}")
     writer = counts.writeStream.outputMode("update").foreachBatch(
         lambda df, batch_id: append_batch(df, out_path, batch_id)
     )

@@ -195,3 +195,25 @@ def test_log_folder_batch_reader(spark, tmp):
     assert log_lines(spark, f"{tmp}/logs", glob="*.log").count() == 2
     newer = log_lines(spark, f"{tmp}/logs", glob="*.log", ignore_existing_before=dt.datetime(1970, 1, 20))
     assert [r.value for r in newer.collect()] == ["[warn]\tmain\tDate:20200606215837"]
+
+
+def test_ledger_compaction_keeps_totals_and_late_batches(spark, tmp):
+    from logwise.sinks import compact_months
+
+    def batch(words):
+        return spark.createDataFrame(
+            [(w, dt.date(2018, m, d), c) for w, m, d, c in words], "word string, date date, count long"
+        )
+
+    ledger, comp = f"{tmp}/ledger", f"{tmp}/compacted"
+    write_contributions(contributions(batch([("狗", 8, 5, 40), ("酒", 8, 19, 2)]), 0), ledger)
+    write_contributions(contributions(batch([("狗", 8, 5, 4), ("狗", 11, 18, 1)]), 1), ledger)
+    before = rows(monthly_totals(spark, ledger).select("month", "word", "date", "count"))
+    compact_months(spark, ledger, comp, ["201808"])
+    compact_months(spark, ledger, comp, ["201808"])  # again: same result
+    assert rows(monthly_totals(spark, ledger, compacted_path=comp).select("month", "word", "date", "count")) == before
+    # a late batch for the compacted month still counts, once
+    write_contributions(contributions(batch([("狗", 8, 5, 1)]), 2), ledger)
+    after = {(r.month, r.word, r.date): r["count"] for r in monthly_totals(spark, ledger, compacted_path=comp).collect()}
+    assert after[("201808", "狗", dt.date(2018, 8, 5))] == 45
+    assert after[("201811", "狗", dt.date(2018, 11, 18))] == 1

@@ -259,3 +259,23 @@ def test_g3_sample_logs_totals_and_windows(spark, tmp):
         "log_level string, method string, content string, event_ts timestamp, batch_id bigint"
     ).parquet(f"{tmp}/out/errors")
     assert errors.count() == 16 and errors.select("batch_id").distinct().count() == 5
+
+
+def test_file_sink_modes(spark, tmp):
+    from logwise.operators import log_records
+
+    _g1_files(f"{tmp}/logs")
+    lines = lambda: log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log", max_files_per_trigger=1)
+    drain(error_log_query(lines(), f"{tmp}/err", f"{tmp}/ck1", sql="select * from alldata where log_level='[error]'", sink="files"))
+    err = spark.read.parquet(f"{tmp}/err")
+    assert err.count() == 9 and set(err.columns) == {"log_level", "method", "content", "event_ts"}
+    drain(
+        sliding_counts_query(
+            log_records(lines()), "log_level", f"{tmp}/w", f"{tmp}/ck2", "4 seconds", "2 seconds",
+            watermark="0 seconds", sink="files",
+        )
+    )
+    w = spark.read.parquet(f"{tmp}/w").where("log_level = '[error]'")
+    # append mode writes a window once the watermark (the latest event time) passed its end
+    got = sorted(((r.we.replace(tzinfo=None) - T0).seconds, r.n) for r in w.collect())
+    assert got == [(2, 6), (4, 6)]
