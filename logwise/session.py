@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of dictionary snapshots and snapshot counts are deleted
+    # once no DataFrame refers to them (a stream refreshing its dictionary
+    # every 5 minutes would otherwise keep every copy).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -53,6 +53,10 @@ class RefreshingDictionary:
     uses one snapshot sees the same words even if the source changes or an
     executor is lost, and its size is measured once for the broadcast check.
 
+    Superseded snapshots are removed by Spark's checkpoint cleaner when
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on (a default of
+    :func:`logwise.session.build_session`).
+
     ``on_error``: ``'keep'`` keeps the previous snapshot when a reload fails
     (the first load still raises); ``'empty'`` falls back to an empty
     dictionary; ``'raise'`` propagates.
