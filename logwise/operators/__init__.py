@@ -2,6 +2,7 @@
 unless its docstring says otherwise."""
 
 from logwise.operators.accumulate import accumulate
+from logwise.operators.balance import spread
 from logwise.operators.counts import count_by, total_snapshots
 from logwise.operators.enrich import call_with_retry, enrich_with_retry
 from logwise.operators.filters import filter_levels, non_empty, sql_over_batch
@@ -12,6 +13,7 @@ from logwise.operators.parse import (
     parse_log_lines,
     quarantine,
 )
+from logwise.operators.responses import parse_responses, valid_terms
 from logwise.operators.sizing import Size, broadcast_if_small, measure
 from logwise.operators.windows import sliding_counts, tumbling_counts
 from logwise.operators.words import dictionary_words, match_words, word_document_counts
@@ -32,15 +34,14 @@ __all__ = [
     "measure",
     "non_empty",
     "parse_log_lines",
+    "parse_responses",
     "quarantine",
     "sliding_counts",
+    "spread",
     "sql_over_batch",
     "total_snapshots",
     "tumbling_counts",
+    "valid_terms",
     "word_document_counts",
 ]
 
-from logwise.operators.balance import spread  # noqa: E402
-from logwise.operators.responses import parse_responses, valid_terms  # noqa: E402
-
-__all__ += ["parse_responses", "spread", "valid_terms"]
