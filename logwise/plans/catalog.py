@@ -43,7 +43,6 @@ from logwise.sinks.ledger import (
     compact_months,
     contributions,
     monthly_totals,
-    read_contributions,
     write_contributions,
 )
 from logwise.sources import (
@@ -246,8 +245,7 @@ def monthly_counts_q(spark: SparkSession, d: str) -> DataFrame:
     counts = count_by(ev, "batch_id", "word", "date", name="count")
     rows = contributions(counts).repartition("month", "batch_id")
     write_contributions(rows, f"{root}/ledger")
-    months = [r.month for r in read_contributions(spark, f"{root}/ledger").select("month").distinct().collect()]
-    compact_months(spark, f"{root}/ledger", f"{root}/compacted", months)
+    compact_months(spark, f"{root}/ledger", f"{root}/compacted")
     return monthly_totals(spark, f"{root}/ledger", compacted_path=f"{root}/compacted").select(
         "month", "date", "word", F.col("count").cast("bigint").alias("count")
     )

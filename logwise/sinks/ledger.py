@@ -52,7 +52,9 @@ def read_contributions(spark: SparkSession, path: str) -> DataFrame:
 COMPACTED = "word string, date date, count bigint, through_batch bigint, month string"
 
 
-def compact_months(spark: SparkSession, path: str, compacted_path: str, months: list[str]) -> None:
+def compact_months(
+    spark: SparkSession, path: str, compacted_path: str, months: list[str] | None = None
+) -> None:
     """Fold the contributions of (closed) months into one totals table.
 
     A stream that runs for months leaves one ledger partition per batch.
@@ -62,8 +64,11 @@ def compact_months(spark: SparkSession, path: str, compacted_path: str, months:
     that month from the compacted table plus only the ledger batches after
     ``through_batch``; the folded ledger partitions may be deleted afterwards.
     Compact a month again only while its ledger partitions still exist.
+    ``months=None`` compacts every month in the ledger.
     """
-    rows = read_contributions(spark, path).where(F.col("month").isin(*months))
+    rows = read_contributions(spark, path)
+    if months is not None:
+        rows = rows.where(F.col("month").isin(*months))
     marks = rows.groupBy("month").agg(F.max("batch_id").alias("through_batch"))
     totals = rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))
     (
