@@ -142,7 +142,12 @@ def level_totals_from_lines_q(spark: SparkSession, d: str) -> DataFrame:
 def level_totals_stream_q(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "level_totals_stream")
     stream = table_stream(spark, d, "events")
-    drain(level_totals_query(stream, "event_type", f"{root}/out", f"{root}/ckpt", mode="complete"))
+    drain(
+        level_totals_query(
+            stream, "event_type", f"{root}/out", f"{root}/ckpt", mode="complete",
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
+    )
     return latest_per_key(
         spark, f"{root}/out", "event_type string, n bigint, batch_id bigint", ["event_type"], ["n"]
     )
@@ -163,7 +168,7 @@ def sliding_level_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
     drain(
         sliding_counts_query(
             stream, "event_type", f"{root}/out", f"{root}/ckpt", "4 hours", "2 hours",
-            time_col="ts", watermark="1 hour",
+            time_col="ts", watermark="1 hour", state_partitions=spark.sparkContext.defaultParallelism,
         )
     )
     latest = latest_per_key(

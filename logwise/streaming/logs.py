@@ -90,6 +90,7 @@ def level_totals_query(
     checkpoint: str,
     mode: str = "complete",
     trigger: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running ``count(*)`` per key, never evicted.
 
@@ -104,7 +105,7 @@ def level_totals_query(
     writer = counts.writeStream.outputMode(mode).foreachBatch(
         lambda df, batch_id: append_batch(df, out_path, batch_id)
     )
-    return start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger, spark=stream.sparkSession, state_partitions=state_partitions)
 
 
 def sliding_counts_query(
@@ -118,6 +119,7 @@ def sliding_counts_query(
     watermark: str = "10 minutes",
     trigger: str | None = None,
     sink: str = "updates",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Counts per (window, key) with an event-time watermark.
 
@@ -139,12 +141,13 @@ def sliding_counts_query(
     else:
         stream = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
     counts = sliding_counts(stream.withWatermark(time_col, watermark), time_col, key, length, slide)
+    spark = stream.sparkSession
     if sink == "files":
         writer = counts.writeStream.format("parquet").option("path", out_path).outputMode("append")
-        return start(writer, checkpoint, trigger)
+        return start(writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions)
     if sink != "updates":
         raise ValueError(f"unknown sink {sink!r}")
     writer = counts.writeStream.outputMode("update").foreachBatch(
         lambda df, batch_id: append_batch(df, out_path, batch_id)
     )
-    return start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions)

@@ -14,11 +14,19 @@ def start(
     checkpoint: str,
     trigger: str | None = None,
     name: str | None = None,
+    spark: SparkSession | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start with a checkpoint (offsets + state survive restarts).
 
     ``trigger=None`` processes what is available now and stops (a replay or a
     catch-up job); a string like ``"2 seconds"`` runs micro-batches forever.
+
+    ``state_partitions`` sets the shuffle (and state store) partitions of a
+    stateful query. Spark records the number in the checkpoint at the first
+    start and keeps it for the life of the query, so it should match the
+    expected state size, not the current batch. The setting applies only
+    while the query starts (the stream runs on a copy of the session conf).
     """
     w = writer.option("checkpointLocation", checkpoint)
     if name:
@@ -27,7 +35,15 @@ def start(
         w = w.trigger(availableNow=True)
     else:
         w = w.trigger(processingTime=trigger)
-    return w.start()
+    if state_partitions is None or spark is None:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

@@ -279,3 +279,14 @@ def test_file_sink_modes(spark, tmp):
     # append mode writes a window once the watermark (the latest event time) passed its end
     got = sorted(((r.we.replace(tzinfo=None) - T0).seconds, r.n) for r in w.collect())
     assert got == [(2, 6), (4, 6)]
+
+
+def test_state_partitions_apply_to_the_query_only(spark, tmp):
+    _g1_files(f"{tmp}/logs")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    lines = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log")
+    levels = lines.select(F.get(F.split("value", "\t"), 0).alias("log_level"))
+    drain(level_totals_query(levels, "log_level", f"{tmp}/out", f"{tmp}/ck", state_partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state = [d for d in os.listdir(f"{tmp}/ck/state/0") if d.isdigit()]
+    assert len(state) == 3
