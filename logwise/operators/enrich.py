@@ -8,6 +8,8 @@ rows over tasks and hands them over in Arrow batches (``mapInPandas``).
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,13 +18,19 @@ from pyspark.sql import types as T
 
 from logwise.session import ship_package
 
+log = logging.getLogger(__name__)
+
 Fetch = Callable[[str], tuple[int, str]]
 
+# Fixed value: a call slower than this many milliseconds is logged as slow.
+SLOW_CALL_MS = 20
+
 ENRICH_FIELDS = [
     T.StructField("code", T.IntegerType(), True),
     T.StructField("body", T.StringType(), True),
     T.StructField("attempts", T.IntegerType(), True),
     T.StructField("error", T.StringType(), True),
+    T.StructField("elapsed_ms", T.IntegerType(), True),
 ]
 
 
@@ -41,20 +49,30 @@ def call_with_retry(fetch: Fetch, text: str, attempts: int) -> tuple[int | None,
 def enrich_with_retry(
     df: DataFrame, fetch: Fetch, column: str = "value", attempts: int = 3
 ) -> DataFrame:
-    """Add ``code, body, attempts, error`` from ``fetch`` applied to ``column``.
+    """Add ``code, body, attempts, error, elapsed_ms`` from ``fetch`` applied
+    to ``column``.
 
     Empty or NULL values are not sent (they have no words); they get NULL code
-    and 0 attempts.
+    and 0 attempts. ``elapsed_ms`` covers all attempts of a row; calls slower
+    than ``SLOW_CALL_MS`` are logged by the executor.
     """
     if attempts < 1:
         raise ValueError("attempts must be at least 1")
     schema = T.StructType(list(df.schema.fields) + ENRICH_FIELDS)
     ship_package(df.sparkSession)
 
+    def timed(v: str) -> tuple:
+        t0 = time.perf_counter()
+        r = call_with_retry(fetch, v, attempts)
+        ms = int((time.perf_counter() - t0) * 1000)
+        if ms > SLOW_CALL_MS:
+            log.warning("slow call: %d ms, %d attempt(s)", ms, r[2])
+        return (*r, ms)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             results = [
-                call_with_retry(fetch, v, attempts) if isinstance(v, str) and v else (None, None, 0, None)
+                timed(v) if isinstance(v, str) and v else (None, None, 0, None, None)
                 for v in pdf[column]
             ]
             out = pdf.copy()
@@ -62,6 +80,7 @@ def enrich_with_retry(
             out["body"] = [r[1] for r in results]
             out["attempts"] = pd.array([r[2] for r in results], dtype="Int32")
             out["error"] = [r[3] for r in results]
+            out["elapsed_ms"] = pd.array([r[4] for r in results], dtype="Int32")
             yield out
 
     return df.mapInPandas(run, schema)

@@ -84,8 +84,11 @@ class RefreshingDictionary:
 
     def _snapshot(self) -> tuple[DataFrame, Size]:
         checkpoint_root(self._spark)
+        t0 = time.perf_counter()
         words = self._loader().select("word").checkpoint(eager=True)
-        return words, measure(words)
+        size = measure(words)
+        log.info("dictionary loaded: %d words, %d bytes, %.0f ms", size.rows, size.bytes, (time.perf_counter() - t0) * 1000)
+        return words, size
 
     def _empty(self) -> tuple[DataFrame, Size]:
         return self._spark.createDataFrame([], "word string"), Size(0, 0)

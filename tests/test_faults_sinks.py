@@ -217,3 +217,15 @@ def test_ledger_compaction_keeps_totals_and_late_batches(spark, tmp):
     after = {(r.month, r.word, r.date): r["count"] for r in monthly_totals(spark, ledger, compacted_path=comp).collect()}
     assert after[("201808", "狗", dt.date(2018, 8, 5))] == 45
     assert after[("201811", "狗", dt.date(2018, 11, 18))] == 1
+
+
+def test_enrich_reports_elapsed_time(spark):
+    import time as _time
+
+    def fetch(text):
+        _time.sleep(0.03 if text == "slow" else 0)
+        return 200, '{"ret":0, "msg":"OK", "terms":"x"}'
+
+    df = spark.createDataFrame([("slow",), ("fast",), ("",)], "value string")
+    out = {r.value: r.elapsed_ms for r in enrich_with_retry(df, fetch).collect()}
+    assert out["slow"] >= 30 and out["fast"] < 30 and out[""] is None
