@@ -57,9 +57,11 @@ from logwise.streaming import (
     comment_counts_query,
     drain,
     error_log_query,
+    last_batch_id,
     latest_per_key,
     level_totals_query,
     sliding_counts_query,
+    snapshot_at,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,15 +144,17 @@ def level_totals_from_lines_q(spark: SparkSession, d: str) -> DataFrame:
 def level_totals_stream_q(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "level_totals_stream")
     stream = table_stream(spark, d, "events")
-    drain(
+    q = drain(
         level_totals_query(
             stream, "event_type", f"{root}/out", f"{root}/ckpt", mode="complete",
             state_partitions=spark.sparkContext.defaultParallelism,
         )
     )
-    return latest_per_key(
-        spark, f"{root}/out", "event_type string, n bigint, batch_id bigint", ["event_type"], ["n"]
-    )
+    schema = "event_type string, n bigint, batch_id bigint"
+    last = last_batch_id(q)
+    if last is None:  # nothing was processed
+        return latest_per_key(spark, f"{root}/out", schema, ["event_type"], ["n"])
+    return snapshot_at(spark, f"{root}/out", schema, last)  # complete mode: every key
 
 
 def level_total_snapshots_q(spark: SparkSession, d: str) -> DataFrame:

@@ -63,3 +63,18 @@ def latest_per_key(
     ledger = spark.read.schema(schema).parquet(path)
     aggs = [F.max_by(F.col(v), F.col("batch_id")).alias(v) for v in values]
     return ledger.groupBy(*keys).agg(*aggs)
+
+
+def last_batch_id(query: StreamingQuery) -> int | None:
+    """Id of the last micro-batch the query ran, from its progress reports."""
+    progress = query.lastProgress
+    return None if progress is None else int(progress["batchId"])
+
+
+def snapshot_at(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """One batch of a complete-mode ledger: every known key as of that batch.
+
+    Reads a single ``batch_id`` partition (partition pruning), so the cost is
+    the number of keys, not keys x batches as with ``latest_per_key``.
+    """
+    return spark.read.schema(schema).parquet(path).where(F.col("batch_id") == F.lit(batch_id)).drop("batch_id")

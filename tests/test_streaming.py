@@ -290,3 +290,17 @@ def test_state_partitions_apply_to_the_query_only(spark, tmp):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     state = [d for d in os.listdir(f"{tmp}/ck/state/0") if d.isdigit()]
     assert len(state) == 3
+
+
+def test_snapshot_at_last_batch_has_every_key(spark, tmp):
+    from logwise.streaming import last_batch_id, snapshot_at
+
+    _g1_files(f"{tmp}/logs")
+    lines = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log", max_files_per_trigger=1)
+    levels = lines.select(F.get(F.split("value", "\t"), 0).alias("log_level"))
+    q = drain(level_totals_query(levels, "log_level", f"{tmp}/out", f"{tmp}/ck", mode="complete"))
+    last = last_batch_id(q)
+    assert last == 2
+    snap = snapshot_at(spark, f"{tmp}/out", "log_level string, n bigint, batch_id bigint", last)
+    # [info] had no rows in the last batch and is still there
+    assert rows(snap) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
