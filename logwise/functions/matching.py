@@ -8,7 +8,8 @@ words. Spark still does the rest (explode, partial aggregation, shuffle).
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+from collections import OrderedDict
 from collections.abc import Callable, Iterable
 
 import pandas as pd
@@ -26,17 +27,27 @@ except ImportError:  # pragma: no cover
     ahocorasick = None
     HAVE_AUTOMATON = False
 
-_AUTOMATA: dict[str, object] = {}
+# Worker side: automata by dictionary digest, the few most recent only (a
+# stream that refreshes its dictionary must not pile up old automata).
+_AUTOMATA: OrderedDict[str, object] = OrderedDict()
+_WORKER_KEEP = 4
+# Driver side: one matcher (and one broadcast) per dictionary content.
+_MATCHERS: OrderedDict[tuple, tuple] = OrderedDict()
+_DRIVER_KEEP = 8
 
 
 def _automaton(key: str, words: list[str]):
     a = _AUTOMATA.get(key)
-    if a is None:
-        a = ahocorasick.Automaton()
-        for w in words:
-            a.add_word(w, w)
-        a.make_automaton()
-        _AUTOMATA[key] = a
+    if a is not None:
+        _AUTOMATA.move_to_end(key)
+        return a
+    a = ahocorasick.Automaton()
+    for w in words:
+        a.add_word(w, w)
+    a.make_automaton()
+    _AUTOMATA[key] = a
+    while len(_AUTOMATA) > _WORKER_KEEP:
+        _AUTOMATA.popitem(last=False)
     return a
 
 
@@ -46,9 +57,14 @@ def _matcher(spark: SparkSession, words: Iterable[str], longest: bool) -> Callab
     unique = sorted({w for w in words if w})
     if not unique:
         raise ValueError("dictionary is empty")
+    key = hashlib.sha1("\0".join(unique).encode("utf-8")).hexdigest()
+    cache_key = (spark.sparkContext.applicationId, key, longest)
+    hit = _MATCHERS.get(cache_key)
+    if hit is not None:  # same dictionary as an earlier batch: reuse broadcast + automaton
+        _MATCHERS.move_to_end(cache_key)
+        return hit[0]
     ship_package(spark)
     bc = spark.sparkContext.broadcast(unique)
-    key = uuid.uuid4().hex
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def found(texts: pd.Series) -> pd.Series:
@@ -59,6 +75,10 @@ def _matcher(spark: SparkSession, words: Iterable[str], longest: bool) -> Callab
             scan = lambda t: sorted({w for _, w in a.iter(t)})
         return texts.map(lambda t: scan(t) if isinstance(t, str) and t else [])
 
+    _MATCHERS[cache_key] = (found, bc)
+    while len(_MATCHERS) > _DRIVER_KEEP:
+        _, (_, old_bc) = _MATCHERS.popitem(last=False)
+        old_bc.unpersist()
     return found
 
 

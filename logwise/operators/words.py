@@ -138,6 +138,10 @@ def word_document_counts(
     """
     t = F.col(text)
     dictionary = _clean(dictionary)
+    if not _is_frame(dictionary) and not any(dictionary):
+        # an empty dictionary matches nothing (same result type, no job)
+        nothing = docs.select(*by, F.lit(None).cast("string").alias("word")).where(F.lit(False))
+        return count_by(nothing, "word", *by, name=name)
     if method == "spaces":
         if not _is_frame(dictionary):
             return count_by(match_words(docs, dictionary, text, keep=by), "word", *by, name=name)

@@ -80,6 +80,7 @@ class RefreshingDictionary:
         self.loaded_at: int | None = None
         self.loads = 0
         self._words: DataFrame | None = None
+        self._word_list: list[str] | None = None
         self.size: Size | None = None
 
     def _snapshot(self) -> tuple[DataFrame, Size]:
@@ -105,10 +106,22 @@ class RefreshingDictionary:
                 words, size = self._empty()
             else:
                 words, size = self._words, self.size
+        if words is not self._words:
+            self._word_list = None
         self._words, self.size, self.loaded_at = words, size, now
         self.loads += 1
         return words
 
+    def word_list(self, max_rows: int, max_bytes: int) -> list[str] | None:
+        """The current words as a sorted Python list, collected once per
+        snapshot, or None when the snapshot is over the given bounds."""
+        words = self.current()
+        if not self.size.fits(max_rows, max_bytes):
+            return None
+        if self._word_list is None:
+            self._word_list = sorted(r["word"] for r in words.collect())
+        return self._word_list
+
     def current(self) -> DataFrame:
         if self._words is None or self._clock() - self.loaded_at > self.ttl_ms:
             return self.refresh()

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logwise.operators.balance import spread
 from logwise.operators.filters import non_empty
-from logwise.operators.words import word_document_counts
+from logwise.operators.words import AUTOMATON_MAX_BYTES, AUTOMATON_MAX_WORDS, word_document_counts
 from logwise.sinks.ledger import contributions, write_contributions
 from logwise.sources.dictionary import RefreshingDictionary
 from logwise.streaming.runner import start
@@ -40,6 +40,12 @@ def batch_word_counts(
     than the cluster has task slots; None never.
     """
     words = dictionary.current()
+    if method != "spaces":
+        # collected once per snapshot: the matcher (broadcast + automaton) of
+        # an unchanged dictionary is reused by every batch
+        listed = dictionary.word_list(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES)
+        if listed is not None:
+            words = listed
     docs = non_empty(df, "value")
     if partitions == "auto":
         docs = spread(docs)

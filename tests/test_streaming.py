@@ -304,3 +304,39 @@ def test_snapshot_at_last_batch_has_every_key(spark, tmp):
     snap = snapshot_at(spark, f"{tmp}/out", "log_level string, n bigint, batch_id bigint", last)
     # [info] had no rows in the last batch and is still there
     assert rows(snap) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
+
+
+def test_substring_stream_reuses_one_matcher(spark, tmp):
+    import logwise.functions.matching as matching
+
+    base = 1_600_000_000
+    texts = [["the cat", "a theme"], ["catalog", "dog"], ["other", "the"]]
+    for i, batch in enumerate(texts):
+        spark.createDataFrame([(t,) for t in batch], "value string").coalesce(1).write.parquet(f"{tmp}/in/{i}")
+        for root, _, files in os.walk(f"{tmp}/in/{i}"):
+            for f in files:
+                os.utime(os.path.join(root, f), (base + i, base + i))
+    words = ["the", "cat", "dog", "hem", "ot", "log", "her", "a", "x", "zz"]  # over the contains limit
+    dictionary = RefreshingDictionary(spark, lambda: spark.createDataFrame([(w,) for w in words], "word string"))
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", "true"
+    ).option("pathGlobFilter", "*.parquet").parquet(f"{tmp}/in").select(
+        "value", F.lit(dt.datetime(2024, 5, 1)).cast("timestamp").alias("timestamp")
+    )
+    before = len(matching._MATCHERS)
+    q = drain(comment_counts_query(stream, dictionary, f"{tmp}/ledger", f"{tmp}/ck", method="substrings"))
+    assert len(q.recentProgress) >= 3 and dictionary.loads == 1
+    assert len(matching._MATCHERS) - before <= 1
+    got = rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "count"))
+    flat = [t for batch in texts for t in batch]
+    want = sorted((w, sum(1 for t in flat if w in t)) for w in words if any(w in t for t in flat))
+    assert got == want
+
+
+def test_empty_dictionary_counts_nothing(spark):
+    from logwise.operators import word_document_counts
+
+    docs = spark.createDataFrame([("a b",)], "text string")
+    for method in ("spaces", "dictionary", "substrings"):
+        out = word_document_counts(docs, [], method=method)
+        assert out.columns == ["word", "n"] and out.count() == 0
