@@ -15,6 +15,10 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     deterministic for task retries; without a key it is round-robin.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming:
+        # a stream has no partition count until a batch runs; spread inside
+        # foreachBatch (each batch is a plain DataFrame) instead
+        return df
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
