@@ -45,6 +45,11 @@ def total_snapshots(
     folder (one job, at call time) so the input is scanned once, not three
     times, and a lost executor does not recompute them from the input.
     """
+    if df.isStreaming:
+        raise ValueError(
+            "total_snapshots is the batch form; on a stream use "
+            "streaming.level_totals_query(mode='complete'), whose sink holds the same series"
+        )
     checkpoint_root(df.sparkSession)
     per_batch = count_by(df, batch, key, name="_c")
     b_type = per_batch.schema[batch].dataType

@@ -99,3 +99,11 @@ def test_snapshots_blocked_plan_equals_brute_force(spark):
     for block in (4, 7, 4096):
         got = {(r.batch, r.k): r.total for r in total_snapshots(df, "k", "batch", block=block).collect()}
         assert got == want
+
+
+def test_snapshots_reject_streams_with_a_pointer(spark):
+    import pytest
+
+    s = spark.readStream.format("rate").load().selectExpr("value % 3 as k", "value as batch")
+    with pytest.raises(ValueError, match="level_totals_query"):
+        total_snapshots(s, "k", "batch")
