@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logwise.settings import NGRAM
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,7 +58,7 @@ def segment_dictionary(text: str | Column, words: Iterable[str]) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(dictionary_pattern(words)), 1)
 
 
-def ngrams(text: str | Column, n: int) -> Column:
+def ngrams(text: str | Column, n: int = NGRAM) -> Column:
     """All overlapping n-character substrings, in one regex pass.
 
     A zero-width look-ahead matches at every position and captures the next n

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logwise.settings import CONSOLE_ROWS
+
 
 def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Write one batch as partition ``batch_id=<id>``.
@@ -46,6 +48,6 @@ def jdbc_append(
     w.jdbc(url, table, properties=properties or {})
 
 
-def console(df: DataFrame, rows: int = 10) -> None:
+def console(df: DataFrame, rows: int = CONSOLE_ROWS) -> None:
     """Print the first rows of a batch (only ``rows`` rows reach the driver)."""
     df.show(rows, truncate=False)

@@ -3,13 +3,21 @@
 from logwise.streaming.apps import LogAnalysisQueries, start_comment_word_counts, start_log_analysis
 from logwise.streaming.comments import batch_word_counts, comment_counts_query
 from logwise.streaming.logs import error_log_query, level_totals_query, sliding_counts_query
-from logwise.streaming.runner import drain, last_batch_id, latest_per_key, snapshot_at, start
+from logwise.streaming.runner import (
+    console_query,
+    drain,
+    last_batch_id,
+    latest_per_key,
+    snapshot_at,
+    start,
+)
 
 __all__ = [
     "LogAnalysisQueries",
     "start_comment_word_counts",
     "start_log_analysis",
     "batch_word_counts",
+    "console_query",
     "comment_counts_query",
     "drain",
     "error_log_query",

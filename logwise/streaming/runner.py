@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from logwise.settings import CONSOLE_ROWS
+
 
 def start(
     writer: DataStreamWriter,
@@ -78,3 +80,21 @@ def snapshot_at(spark: SparkSession, path: str, schema: str, batch_id: int) -> D
     the number of keys, not keys x batches as with ``latest_per_key``.
     """
     return spark.read.schema(schema).parquet(path).where(F.col("batch_id") == F.lit(batch_id)).drop("batch_id")
+
+
+def console_query(
+    stream: DataFrame,
+    checkpoint: str,
+    mode: str = "update",
+    rows: int = CONSOLE_ROWS,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Print the first ``rows`` rows of every micro-batch on the driver's
+    console (only those rows reach the driver)."""
+    writer = (
+        stream.writeStream.format("console")
+        .outputMode(mode)
+        .option("numRows", rows)
+        .option("truncate", "false")
+    )
+    return start(writer, checkpoint, trigger)

@@ -340,3 +340,16 @@ def test_empty_dictionary_counts_nothing(spark):
     for method in ("spaces", "dictionary", "substrings"):
         out = word_document_counts(docs, [], method=method)
         assert out.columns == ["word", "n"] and out.count() == 0
+
+
+def test_console_sink_runs_on_running_totals(spark, tmp):
+    from logwise.functions import ngrams
+    from logwise.operators import count_by
+    from logwise.streaming import console_query
+
+    _g1_files(f"{tmp}/logs")
+    lines = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log")
+    levels = lines.select(F.get(F.split("value", "\t"), 0).alias("log_level"))
+    q = drain(console_query(count_by(levels, "log_level"), f"{tmp}/ck", mode="complete"))
+    assert q.lastProgress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
+    assert spark.createDataFrame([("abcd",)], "t string").select(ngrams("t").alias("g")).first().g == ["abc", "bcd"]
