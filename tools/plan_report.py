@@ -88,6 +88,9 @@ def main() -> None:
         f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], AQE on): the final",
         "adaptive plan after one execution. Streaming keys show the plan that reads their",
         "sink back; their streaming plans are the same operators per micro-batch.",
+        "An `Exchange hashpartitioning(doc_id|event_id, N)` marked REPARTITION_BY_NUM is the",
+        "narrow-scan spread (the test files are single parquet row groups); it is not planned",
+        "when the scan already has as many partitions as the cluster has task slots.",
         "",
     ]
     for name, fn in QUERIES.items():
