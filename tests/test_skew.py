@@ -52,3 +52,17 @@ def test_hot_word_document_counts(spark):
     _partial_before_every_exchange(counts)
     want = docs.where(F.array_contains(F.split("text", " "), "the")).count()
     assert {r.word: r.n for r in counts.collect()}["the"] == want
+
+
+def test_spread_is_a_no_op_on_wide_scans(spark, tmp):
+    from logwise.operators import spread
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs.repartition(16).write.parquet(f"{tmp}/wide")
+    wide = spark.read.parquet(f"{tmp}/wide")
+    slots = spark.sparkContext.defaultParallelism
+    assert wide.rdd.getNumPartitions() >= slots
+    plan = spread(wide, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan
+    narrow = spread(docs.coalesce(1), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in narrow
