@@ -20,22 +20,23 @@ from logwise.functions import (
     format_response,
     format_seconds,
 )
+from logwise.functions.responses import RESPONSE_PREFIX, RESPONSE_SUFFIX
 from logwise.operators import (
     accumulate,
     count_by,
+    enrich_with_retry,
     filter_levels,
+    line_levels,
     log_records,
     non_empty,
     sliding_counts,
+    spread,
     sql_over_batch,
     total_snapshots,
     tumbling_counts,
+    valid_terms,
     word_document_counts,
 )
-from logwise.functions.responses import RESPONSE_PREFIX, RESPONSE_SUFFIX
-from logwise.operators import enrich_with_retry, line_levels
-from logwise.operators.balance import spread
-from logwise.operators.responses import valid_terms
 from logwise.operators.words import dictionary_words as distinct_words
 from logwise.plans.apps import comment_word_counts
 from logwise.session import scratch_path
