@@ -47,4 +47,4 @@ def response_ok(code: str | Column, parsed: str | Column) -> Column:
 def split_terms(terms: str | Column) -> Column:
     """Terms joined by one space -> set of non-empty terms."""
     t = F.col(terms) if isinstance(terms, str) else terms
-    return F.array_distinct(F.filter(F.split(t, " "), lambda x: x != F.lit("")))
+    return F.array_distinct(F.array_remove(F.split(t, " "), ""))

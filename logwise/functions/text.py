@@ -31,8 +31,11 @@ def split_fields(value: str | Column, sep: str = "\t") -> Column:
 
 
 def segment_spaces(text: str | Column) -> Column:
-    """Tokens separated by one space; empty tokens removed, duplicates kept."""
-    return F.filter(F.split(_col(text), " "), lambda t: t != F.lit(""))
+    """Tokens separated by one space; empty tokens removed, duplicates kept.
+
+    ``array_remove`` keeps the step in generated code (a lambda ``filter``
+    would be interpreted element by element)."""
+    return F.array_remove(F.split(_col(text), " "), "")
 
 
 def distinct_tokens(tokens: Column) -> Column:
