@@ -149,6 +149,13 @@ def word_document_counts(
         return _count_joined(tokens, dictionary, size, name, by)
 
     if method == "dictionary":
+        if _is_frame(dictionary):
+            size = size if size is not None else measure(dictionary)
+            if not size.fits(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES):  # checked before any collect
+                raise ValueError(
+                    f"forward maximum matching takes at most {AUTOMATON_MAX_WORDS} words "
+                    f"({size.rows} given); use method 'substrings' or 'spaces'"
+                )
         words, spark = _bounded_words(dictionary, size, docs)
         if len(words) <= PATTERN_MAX_WORDS:
             found = F.array_distinct(segment_dictionary(t, words))
