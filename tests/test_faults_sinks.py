@@ -229,3 +229,14 @@ def test_enrich_reports_elapsed_time(spark):
     df = spark.createDataFrame([("slow",), ("fast",), ("",)], "value string")
     out = {r.value: r.elapsed_ms for r in enrich_with_retry(df, fetch).collect()}
     assert out["slow"] >= 30 and out["fast"] < 30 and out[""] is None
+
+
+def test_record_view_of_topic_shaped_rows(spark):
+    from logwise.sources import record_view
+
+    raw = spark.createDataFrame(
+        [(bytearray(b"user_7"), bytearray("今天 天气".encode()), 2, 41, dt.datetime(2018, 8, 5, 9))],
+        "key binary, value binary, partition int, offset long, timestamp timestamp",
+    )
+    r = record_view(raw).first()
+    assert (r.key, r.value, r.partition, r.offset) == ("user_7", "今天 天气", 2, 41)
