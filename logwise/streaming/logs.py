@@ -91,6 +91,7 @@ def level_totals_query(
     mode: str = "complete",
     trigger: str | None = None,
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     """Running ``count(*)`` per key, never evicted.
 
@@ -105,7 +106,10 @@ def level_totals_query(
     writer = counts.writeStream.outputMode(mode).foreachBatch(
         lambda df, batch_id: append_batch(df, out_path, batch_id)
     )
-    return start(writer, checkpoint, trigger, spark=stream.sparkSession, state_partitions=state_partitions)
+    return start(
+        writer, checkpoint, trigger, spark=stream.sparkSession,
+        state_partitions=state_partitions, state_store=state_store,
+    )
 
 
 def sliding_counts_query(
@@ -120,6 +124,7 @@ def sliding_counts_query(
     trigger: str | None = None,
     sink: str = "updates",
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     """Counts per (window, key) with an event-time watermark.
 
@@ -144,10 +149,14 @@ def sliding_counts_query(
     spark = stream.sparkSession
     if sink == "files":
         writer = counts.writeStream.format("parquet").option("path", out_path).outputMode("append")
-        return start(writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions)
+        return start(
+            writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions, state_store=state_store
+        )
     if sink != "updates":
         raise ValueError(f"unknown sink {sink!r}")
     writer = counts.writeStream.outputMode("update").foreachBatch(
         lambda df, batch_id: append_batch(df, out_path, batch_id)
     )
-    return start(writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions)
+    return start(
+        writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions, state_store=state_store
+    )

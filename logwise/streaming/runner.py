@@ -11,6 +11,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from logwise.settings import CONSOLE_ROWS
 
 
+# Fixed value: the state store Spark ships for large state (kept off-heap).
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start(
     writer: DataStreamWriter,
     checkpoint: str,
@@ -18,6 +22,7 @@ def start(
     name: str | None = None,
     spark: SparkSession | None = None,
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     """Start with a checkpoint (offsets + state survive restarts).
 
@@ -27,8 +32,10 @@ def start(
     ``state_partitions`` sets the shuffle (and state store) partitions of a
     stateful query. Spark records the number in the checkpoint at the first
     start and keeps it for the life of the query, so it should match the
-    expected state size, not the current batch. The setting applies only
-    while the query starts (the stream runs on a copy of the session conf).
+    expected state size, not the current batch. ``state_store='rocksdb'``
+    keeps the state in RocksDB instead of executor memory (large key sets).
+    Both apply only while the query starts (the stream runs on a copy of the
+    session conf).
     """
     w = writer.option("checkpointLocation", checkpoint)
     if name:
@@ -37,15 +44,26 @@ def start(
         w = w.trigger(availableNow=True)
     else:
         w = w.trigger(processingTime=trigger)
-    if state_partitions is None or spark is None:
+    conf: dict[str, str] = {}
+    if state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store == "rocksdb":
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    elif state_store not in (None, "default"):
+        raise ValueError(f"unknown state store {state_store!r}")
+    if not conf or spark is None:
         return w.start()
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         return w.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

@@ -353,3 +353,17 @@ def test_console_sink_runs_on_running_totals(spark, tmp):
     q = drain(console_query(count_by(levels, "log_level"), f"{tmp}/ck", mode="complete"))
     assert q.lastProgress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
     assert spark.createDataFrame([("abcd",)], "t string").select(ngrams("t").alias("g")).first().g == ["abc", "bcd"]
+
+
+def test_rocksdb_state_store_gives_the_same_totals(spark, tmp):
+    _g1_files(f"{tmp}/logs")
+    lines = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log", max_files_per_trigger=1)
+    levels = lines.select(F.get(F.split("value", "\t"), 0).alias("log_level"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    drain(level_totals_query(levels, "log_level", f"{tmp}/out", f"{tmp}/ck", state_partitions=2, state_store="rocksdb"))
+    assert spark.conf.get(key, None) == before
+    totals = latest_per_key(spark, f"{tmp}/out", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"])
+    assert rows(totals) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
+    meta = open(f"{tmp}/ck/offsets/0").read()
+    assert "RocksDBStateStoreProvider" in meta
