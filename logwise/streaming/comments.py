@@ -71,7 +71,17 @@ def comment_counts_query(
     partitions: int | str | None = "auto",
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """Start the comment word count stream; totals via ``monthly_totals``."""
+    """Start the comment word count stream; totals via ``monthly_totals``.
+
+    ``time_col=None`` dates each comment by the time of its micro-batch, as a
+    receiver would. That time is ``current_timestamp()`` of the stream, which
+    Spark records in the offset log per batch and reuses when a batch is
+    replayed, so a replay after midnight still lands on the same date and
+    month partition.
+    """
+    if time_col is None:
+        comments = comments.withColumn("_batch_time", F.current_timestamp())
+        time_col = "_batch_time"
 
     comments = comments.observe(
         "comments",
@@ -85,7 +95,6 @@ def comment_counts_query(
             dictionary,
             method=method,
             time_col=time_col,
-            batch_time=dt.datetime.now(dt.timezone.utc),
             partitions=partitions,
         )
         write_contributions(contributions(counts, batch_id), ledger_path)

@@ -367,3 +367,16 @@ def test_rocksdb_state_store_gives_the_same_totals(spark, tmp):
     assert rows(totals) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
     meta = open(f"{tmp}/ck/offsets/0").read()
     assert "RocksDBStateStoreProvider" in meta
+
+
+def test_batch_time_dates_come_from_the_offset_log(spark, tmp):
+    import json
+
+    spark.createDataFrame([("狗 酒",), ("狗",)], "value string").write.parquet(f"{tmp}/in")
+    dictionary = RefreshingDictionary(spark, lambda: spark.createDataFrame([("狗",), ("酒",)], "word string"))
+    stream = spark.readStream.schema("value string").parquet(f"{tmp}/in")
+    drain(comment_counts_query(stream, dictionary, f"{tmp}/ledger", f"{tmp}/ck", time_col=None))
+    meta = json.loads(open(f"{tmp}/ck/offsets/0").read().splitlines()[1])
+    batch_day = dt.datetime.fromtimestamp(meta["batchTimestampMs"] / 1000, dt.timezone.utc).date()
+    got = rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "date", "count"))
+    assert got == [("狗", batch_day, 2), ("酒", batch_day, 1)]
