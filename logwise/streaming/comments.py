@@ -78,6 +78,10 @@ def comment_counts_query(
     Spark records in the offset log per batch and reuses when a batch is
     replayed, so a replay after midnight still lands on the same date and
     month partition.
+
+    A replayed batch is matched against the dictionary snapshot current at
+    replay time; if the dictionary was reloaded in between, the replayed
+    counts follow the new words.
     """
     if time_col is None:
         comments = comments.withColumn("_batch_time", F.current_timestamp())
