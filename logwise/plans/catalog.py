@@ -236,7 +236,9 @@ def comment_word_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
     comments = table_stream(spark, d, "documents").select(
         F.col("text").alias("value"), F.current_timestamp().alias("timestamp")
     )
-    dictionary = RefreshingDictionary(spark, lambda: _benchmark_words(spark, d))
+    dictionary = RefreshingDictionary(
+        spark, lambda: _benchmark_words(spark, d), store_path=f"{root}/dictionary"
+    )
     drain(comment_counts_query(comments, dictionary, f"{root}/ledger", f"{root}/ckpt"))
     totals = monthly_totals(spark, f"{root}/ledger")
     return totals.groupBy("word").agg(F.sum("count").alias("n"))

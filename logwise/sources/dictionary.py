@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +48,25 @@ def _now_ms() -> int:
     return int(time.time() * 1000)
 
 
+@dataclass
+class Snapshot:
+    """One loaded version of the dictionary."""
+
+    words: DataFrame
+    size: Size
+    version: str
+    _list: list[str] | None = field(default=None, repr=False)
+
+    def word_list(self, max_rows: int, max_bytes: int) -> list[str] | None:
+        """The words as a sorted Python list (collected once), or None when the
+        snapshot is over the given bounds."""
+        if not self.size.fits(max_rows, max_bytes):
+            return None
+        if self._list is None:
+            self._list = sorted(r["word"] for r in self.words.collect())
+        return self._list
+
+
 class RefreshingDictionary:
     """Holds a snapshot of the dictionary and its load time.
 
@@ -52,11 +74,16 @@ class RefreshingDictionary:
     A load is checkpointed to the shared checkpoint folder, so every batch that
     uses one snapshot sees the same words even if the source changes or an
     executor is lost, and its size is measured once for the broadcast check.
-
     Superseded snapshots are removed by Spark's checkpoint cleaner when
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on (a default of
     :func:`logwise.session.build_session`).
 
+    With ``store_path`` (a folder in shared storage) every snapshot is written
+    there as a table instead, and :meth:`for_batch` pins the snapshot each
+    micro-batch used. A batch replayed after a restart, even by a new driver
+    whose dictionary has been reloaded, reads its pinned snapshot and so
+    produces the same counts again.
+
     ``on_error``: ``'keep'`` keeps the previous snapshot when a reload fails
     (the first load still raises); ``'empty'`` falls back to an empty
     dictionary; ``'raise'`` propagates.
@@ -69,6 +96,7 @@ class RefreshingDictionary:
         ttl_ms: int = DEFAULT_TTL_MS,
         clock: Callable[[], int] = _now_ms,
         on_error: str = "keep",
+        store_path: str | None = None,
     ) -> None:
         if on_error not in ("keep", "empty", "raise"):
             raise ValueError(f"unknown on_error {on_error!r}")
@@ -77,52 +105,94 @@ class RefreshingDictionary:
         self.ttl_ms = ttl_ms
         self._clock = clock
         self.on_error = on_error
+        self.store_path = store_path.rstrip("/") if store_path else None
         self.loaded_at: int | None = None
         self.loads = 0
-        self._words: DataFrame | None = None
-        self._word_list: list[str] | None = None
-        self.size: Size | None = None
+        self._snap: Snapshot | None = None
 
-    def _snapshot(self) -> tuple[DataFrame, Size]:
-        checkpoint_root(self._spark)
-        t0 = time.perf_counter()
-        words = self._loader().select("word").checkpoint(eager=True)
-        size = measure(words)
-        log.info("dictionary loaded: %d words, %d bytes, %.0f ms", size.rows, size.bytes, (time.perf_counter() - t0) * 1000)
-        return words, size
+    # -- snapshots -----------------------------------------------------------
 
-    def _empty(self) -> tuple[DataFrame, Size]:
-        return self._spark.createDataFrame([], "word string"), Size(0, 0)
+    def _read_version(self, version: str) -> Snapshot:
+        words = self._spark.read.schema("word string").parquet(f"{self.store_path}/snapshots/version={version}")
+        return Snapshot(words, measure(words), version)
+
+    def _load(self) -> Snapshot:
+        t0 = time.perf_counter()
+        version = uuid.uuid4().hex
+        if self.store_path:
+            self._loader().select("word").write.parquet(f"{self.store_path}/snapshots/version={version}")
+            snap = self._read_version(version)
+        else:
+            checkpoint_root(self._spark)
+            words = self._loader().select("word").checkpoint(eager=True)
+            snap = Snapshot(words, measure(words), version)
+        log.info(
+            "dictionary loaded: %d words, %d bytes, %.0f ms",
+            snap.size.rows, snap.size.bytes, (time.perf_counter() - t0) * 1000,
+        )
+        return snap
+
+    def _empty(self) -> Snapshot:
+        return Snapshot(self._spark.createDataFrame([], "word string"), Size(0, 0), "empty")
 
     def refresh(self) -> DataFrame:
         now = self._clock()
         try:
-            words, size = self._snapshot()
+            snap = self._load()
         except Exception:
-            if self.on_error == "raise" or (self.on_error == "keep" and self._words is None):
+            if self.on_error == "raise" or (self.on_error == "keep" and self._snap is None):
                 raise
             log.exception("dictionary reload failed; on_error=%s", self.on_error)
-            if self.on_error == "empty":
-                words, size = self._empty()
-            else:
-                words, size = self._words, self.size
-        if words is not self._words:
-            self._word_list = None
-        self._words, self.size, self.loaded_at = words, size, now
+            snap = self._empty() if self.on_error == "empty" else self._snap
+        self._snap, self.loaded_at = snap, now
         self.loads += 1
-        return words
+        return snap.words
+
+    def current_snapshot(self) -> Snapshot:
+        if self._snap is None or self._clock() - self.loaded_at > self.ttl_ms:
+            self.refresh()
+        return self._snap
+
+    def current(self) -> DataFrame:
+        return self.current_snapshot().words
+
+    @property
+    def size(self) -> Size | None:
+        return None if self._snap is None else self._snap.size
 
     def word_list(self, max_rows: int, max_bytes: int) -> list[str] | None:
         """The current words as a sorted Python list, collected once per
         snapshot, or None when the snapshot is over the given bounds."""
-        words = self.current()
-        if not self.size.fits(max_rows, max_bytes):
-            return None
-        if self._word_list is None:
-            self._word_list = sorted(r["word"] for r in words.collect())
-        return self._word_list
-
-    def current(self) -> DataFrame:
-        if self._words is None or self._clock() - self.loaded_at > self.ttl_ms:
-            return self.refresh()
-        return self._words
+        return self.current_snapshot().word_list(max_rows, max_bytes)
+
+    def for_batch(self, batch_id: int) -> Snapshot:
+        """The snapshot micro-batch ``batch_id`` uses.
+
+        With a ``store_path``, a driver that starts over (a restart) first
+        resumes the latest snapshot pinned at or before this batch, keeping
+        its load time, so a replayed batch sees the words it saw before.
+        A reload is pinned once, as (version, first batch, load time): one
+        small write per time to live, none per batch.
+        """
+        if not self.store_path:
+            return self.current_snapshot()
+        if self._snap is None:
+            self._resume(batch_id)
+        before = self._snap
+        snap = self.current_snapshot()
+        if snap is not before and snap.version != "empty":
+            self._spark.createDataFrame(
+                [(snap.version, self.loaded_at)], "version string, loaded_at long"
+            ).coalesce(1).write.mode("overwrite").parquet(f"{self.store_path}/pins/first_batch={batch_id}")
+        return snap
+
+    def _resume(self, batch_id: int) -> None:
+        try:
+            pins = self._spark.read.schema("version string, loaded_at long, first_batch long").parquet(
+                f"{self.store_path}/pins"
+            )
+            row = pins.where(pins.first_batch <= batch_id).orderBy(pins.first_batch.desc()).first()
+        except AnalysisException:  # nothing pinned yet
+            row = None
+        if row is not None:
+            self._snap, self.loaded_at = self._read_version(row["version"]), row["loaded_at"]

@@ -30,6 +30,7 @@ def batch_word_counts(
     time_col: str | None = "timestamp",
     batch_time: dt.datetime | None = None,
     partitions: int | str | None = "auto",
+    batch_id: int | None = None,
 ) -> DataFrame:
     """(word, date, count) for one batch of comments.
 
@@ -39,11 +40,12 @@ def batch_word_counts(
     segmentation; ``"auto"`` does so only when the batch has fewer partitions
     than the cluster has task slots; None never.
     """
-    words = dictionary.current()
+    snap = dictionary.current_snapshot() if batch_id is None else dictionary.for_batch(batch_id)
+    words = snap.words
     if method != "spaces":
         # collected once per snapshot: the matcher (broadcast + automaton) of
         # an unchanged dictionary is reused by every batch
-        listed = dictionary.word_list(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES)
+        listed = snap.word_list(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES)
         if listed is not None:
             words = listed
     docs = non_empty(df, "value")
@@ -57,7 +59,7 @@ def batch_word_counts(
         date = F.lit((batch_time or dt.datetime.now(dt.timezone.utc)).date())
     docs = docs.select("value", date.alias("date"))
     return word_document_counts(
-        docs, words, text="value", method=method, name="count", size=dictionary.size, by=("date",)
+        docs, words, text="value", method=method, name="count", size=snap.size, by=("date",)
     )
 
 
@@ -79,9 +81,9 @@ def comment_counts_query(
     replayed, so a replay after midnight still lands on the same date and
     month partition.
 
-    A replayed batch is matched against the dictionary snapshot current at
-    replay time; if the dictionary was reloaded in between, the replayed
-    counts follow the new words.
+    A replayed batch uses the dictionary snapshot pinned for its batch id
+    when the dictionary has a ``store_path``; without one it uses the
+    snapshot current at replay time.
     """
     if time_col is None:
         comments = comments.withColumn("_batch_time", F.current_timestamp())
@@ -100,6 +102,7 @@ def comment_counts_query(
             method=method,
             time_col=time_col,
             partitions=partitions,
+            batch_id=batch_id,
         )
         write_contributions(contributions(counts, batch_id), ledger_path)
 

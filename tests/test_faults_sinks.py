@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logwise.functions import format_millis, format_response, format_seconds
 from logwise.operators import accumulate, enrich_with_retry, parse_responses, valid_terms
 from logwise.sinks import append_batch, contributions, monthly_totals, read_batches, write_contributions
+from logwise.operators import Size
 from logwise.sources import RefreshingDictionary, comments_from_table, kafka_options, load_words, log_lines
 from conftest import rows, write_lines
 
@@ -240,3 +241,29 @@ def test_record_view_of_topic_shaped_rows(spark):
     )
     r = record_view(raw).first()
     assert (r.key, r.value, r.partition, r.offset) == ("user_7", "今天 天气", 2, 41)
+
+
+def test_pinned_snapshots_survive_reload_and_a_new_driver(spark, tmp):
+    clock = Clock(0)
+    state = {"words": ["a"]}
+
+    def loader():
+        return spark.createDataFrame([(w,) for w in state["words"]], "word string")
+
+    def words(snap):
+        return sorted(r.word for r in snap.words.collect())
+
+    d = RefreshingDictionary(spark, loader, ttl_ms=10, clock=clock, store_path=f"{tmp}/dict")
+    assert words(d.for_batch(0)) == ["a"] and words(d.for_batch(1)) == ["a"]
+    state["words"], clock.t = ["a", "b"], 20  # source changed, TTL passed
+    assert words(d.for_batch(2)) == ["a", "b"]
+    assert d.loads == 2
+    # a new driver replays batch 2, then goes on: it resumes the pinned snapshot
+    state["words"] = ["z"]
+    again = RefreshingDictionary(spark, loader, ttl_ms=10, clock=clock, store_path=f"{tmp}/dict")
+    assert words(again.for_batch(2)) == ["a", "b"] and again.loads == 0
+    assert words(again.for_batch(3)) == ["a", "b"]  # still within the TTL of that snapshot
+    clock.t = 40
+    assert words(again.for_batch(4)) == ["z"]  # TTL over: reloaded and pinned at batch 4
+    third = RefreshingDictionary(spark, loader, ttl_ms=10, clock=clock, store_path=f"{tmp}/dict")
+    assert words(third.for_batch(4)) == ["z"] and third.for_batch(4).size == Size(1, 1)
