@@ -4,6 +4,7 @@ from logwise.streaming.apps import LogAnalysisQueries, start_comment_word_counts
 from logwise.streaming.comments import batch_word_counts, comment_counts_query
 from logwise.streaming.logs import error_log_query, level_totals_query, sliding_counts_query
 from logwise.streaming.runner import (
+    compact_latest,
     console_query,
     drain,
     last_batch_id,
@@ -17,6 +18,7 @@ __all__ = [
     "start_comment_word_counts",
     "start_log_analysis",
     "batch_word_counts",
+    "compact_latest",
     "console_query",
     "comment_counts_query",
     "drain",

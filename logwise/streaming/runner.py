@@ -76,15 +76,54 @@ def drain(query: StreamingQuery) -> StreamingQuery:
 
 
 def latest_per_key(
-    spark: SparkSession, path: str, schema: str, keys: Sequence[str], values: Sequence[str]
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    keys: Sequence[str],
+    values: Sequence[str],
+    compacted_path: str | None = None,
 ) -> DataFrame:
     """Read an update-mode ledger (one partition per batch) and keep, per key,
-    the values written by the latest batch that touched it."""
+    the values written by the latest batch that touched it.
+
+    With ``compacted_path`` (written by :func:`compact_latest`), the folded
+    batches come from there and the ledger adds only later batches.
+    """
     ledger = spark.read.schema(schema).parquet(path)
+    cols = [*keys, *values, "batch_id"]
+    if compacted_path is not None:
+        done = spark.read.parquet(compacted_path)
+        through = done.select(F.max("through_batch")).scalar()
+        ledger = ledger.where(F.col("batch_id") > through).select(*cols).unionByName(done.select(*cols))
     aggs = [F.max_by(F.col(v), F.col("batch_id")).alias(v) for v in values]
     return ledger.groupBy(*keys).agg(*aggs)
 
 
+def compact_latest(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    keys: Sequence[str],
+    values: Sequence[str],
+    compacted_path: str,
+) -> None:
+    """Fold an update-mode ledger into one row per key (its latest values and
+    batch) plus ``through_batch``, the last batch folded in.
+
+    A stream that runs for months writes one partition per batch; after
+    compaction readers scan the compacted rows and only the newer batches
+    (``latest_per_key(..., compacted_path=...)``), and the folded partitions
+    may be dropped. Run it between batches of the stream (a maintenance job):
+    it rewrites the compacted table from the ledger, so keep the ledger's
+    folded partitions until the rewrite has finished.
+    """
+    ledger = spark.read.schema(schema).parquet(path)
+    aggs = [F.max_by(F.col(v), F.col("batch_id")).alias(v) for v in values]
+    latest = ledger.groupBy(*keys).agg(*aggs, F.max("batch_id").alias("batch_id"))
+    through = ledger.select(F.max("batch_id")).scalar()
+    latest.withColumn("through_batch", through).write.mode("overwrite").parquet(compacted_path)
+
+
 def last_batch_id(query: StreamingQuery) -> int | None:
     """Id of the last micro-batch the query ran, from its progress reports."""
     progress = query.lastProgress

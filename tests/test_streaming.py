@@ -380,3 +380,18 @@ def test_batch_time_dates_come_from_the_offset_log(spark, tmp):
     batch_day = dt.datetime.fromtimestamp(meta["batchTimestampMs"] / 1000, dt.timezone.utc).date()
     got = rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "date", "count"))
     assert got == [("狗", batch_day, 2), ("酒", batch_day, 1)]
+
+
+def test_compact_latest_then_newer_batches(spark, tmp):
+    from logwise.sinks import append_batch
+    from logwise.streaming import compact_latest
+
+    schema = "k string, n bigint, batch_id bigint"
+    batches = [[("a", 1), ("b", 5)], [("a", 3)], [("c", 2)]]
+    for i, b in enumerate(batches):
+        append_batch(spark.createDataFrame(b, "k string, n bigint"), f"{tmp}/ledger", i)
+    compact_latest(spark, f"{tmp}/ledger", schema, ["k"], ["n"], f"{tmp}/compacted")
+    append_batch(spark.createDataFrame([("b", 7)], "k string, n bigint"), f"{tmp}/ledger", 3)  # after compaction
+    want = rows(latest_per_key(spark, f"{tmp}/ledger", schema, ["k"], ["n"]))
+    got = rows(latest_per_key(spark, f"{tmp}/ledger", schema, ["k"], ["n"], compacted_path=f"{tmp}/compacted"))
+    assert got == want == [("a", 3), ("b", 7), ("c", 2)]
