@@ -122,3 +122,24 @@ def test_split_and_parse_match_model_on_random_lines(spark):
         k = _model_split(line)[0]
         model[k] = model.get(k, 0) + 1
     assert levels == model
+
+
+def test_log_analysis_batch_outputs_agree(spark):
+    from logwise.plans import log_analysis
+
+    lines = _lines(
+        spark,
+        [
+            "[error]\tcalculate\tDate:20200606215836",
+            "[error]\tmain\tDate:20200606215839\textra",
+            "[warn]\tmain\tDate:20200606215839",
+            "[info]\tsaveFile",  # two fields: quarantined, still counted
+            "",
+        ],
+    )
+    la = log_analysis(lines)
+    assert la.records.count() == 3
+    assert sorted(r.method for r in la.errors.collect()) == ["calculate", "main"]
+    assert sorted(r.value for r in la.quarantined.collect()) == ["", "[info]\tsaveFile"]
+    assert {r.log_level: r.n for r in la.totals.collect()} == {"[error]": 2, "[warn]": 1, "[info]": 1, "": 1}
+    assert la.windows.agg(F.sum("n")).first()[0] == 2 * 3  # two windows per complete record
