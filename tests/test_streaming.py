@@ -395,3 +395,13 @@ def test_compact_latest_then_newer_batches(spark, tmp):
     want = rows(latest_per_key(spark, f"{tmp}/ledger", schema, ["k"], ["n"]))
     got = rows(latest_per_key(spark, f"{tmp}/ledger", schema, ["k"], ["n"], compacted_path=f"{tmp}/compacted"))
     assert got == want == [("a", 3), ("b", 7), ("c", 2)]
+
+
+def test_stream_ignores_files_older_than_start(spark, tmp):
+    write_lines(f"{tmp}/logs", "old.log", [_line("error", 0)] * 4, mtime=1_500_000_000)
+    write_lines(f"{tmp}/logs", "new.log", [_line("error", 2)] * 2, mtime=1_700_000_000)
+    lines = log_lines(
+        spark, f"{tmp}/logs", stream=True, glob="*.log", ignore_existing_before=dt.datetime(2020, 1, 1)
+    )
+    drain(error_log_query(lines, f"{tmp}/out", f"{tmp}/ck", sink="files"))
+    assert spark.read.parquet(f"{tmp}/out").count() == 2
