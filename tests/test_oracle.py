@@ -45,3 +45,20 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["word", "n"]
     assert df.count() > 0
+
+
+def test_registered_queries_read_whole_tables():
+    """No id subsets, modulo filters, samples or row caps in any registered
+    query or its oracle (format strings such as '%Y%m' are not modulo)."""
+    import inspect
+    import re
+
+    from logwise.plans import catalog
+
+    modulo = re.compile(r"(\w|\))\s*%\s*\d")
+    for name in QUERIES:
+        sql = ORACLES[name]
+        assert not modulo.search(sql), name
+        assert " limit " not in sql.lower() and "sample" not in sql.lower(), name
+    src = inspect.getsource(catalog)
+    assert ".limit(" not in src and ".sample(" not in src and "% 2" not in src
