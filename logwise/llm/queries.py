@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, pieces
+from logwise.llm import chat, lattice, mtree, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,35 @@ select conv_id, count(*) as n_turns,
   cast(0 as bigint) as expanded_tokens
 from e group by conv_id
 """
+
+
+@register
+def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every query row (ids divisible
+    by 50) over all other rows."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    return mtree.top_k(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+ORACLES["op8_top_inner_products"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as z
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on c.vec_id <> q.vec_id and len(c.z) = len(q.z)
+  where q.vec_id % 50 = 0
+), r as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s
+)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
+
+
+@register
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine >= 0.95 between all embeddings, and their components."""
+    return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
