@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, lattice, mtree, pieces
+from logwise.llm import chat, language, lattice, mtree, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,9 @@ select query_id, rank, vec_id, score from r where rank <= 5
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine >= 0.95 between all embeddings, and their components."""
     return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document by the random field."""
+    return language.identify(read_table(spark, sf_dir, "documents"))
