@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, language, lattice, mtree, pieces
+from logwise.llm import chat, language, lattice, mixing, mtree, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,87 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole document by the random field."""
     return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+#: Domain of a source by its number; other names belong to "other".
+DOMAINS = {"web": (0, 4), "news": (5, 9), "books": (10, 14), "forum": (15, 19)}
+#: Relative weights per level of the mixture; unlisted names weigh 1.
+MIX_WEIGHTS = {
+    "domain": {"web": 4, "news": 2, "books": 3, "forum": 1},
+    "lang": {"en": 6, "de": 2, "fr": 2, "es": 2},
+    "source": {},
+}
+MIX_EPOCHS, MIX_SEED = 4, 20
+
+
+def domain_of(source: Column) -> Column:
+    """Domain of a source name such as ``src12``."""
+    number = F.regexp_extract(source, r"^src(\d{1,4})$", 1)
+    number = F.when(number == "", None).otherwise(number).cast("int")
+    out = F.lit("other")
+    for name, (low, high) in DOMAINS.items():
+        out = F.when(number.between(low, high), name).otherwise(out)
+    return out
+
+
+@register
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed to target weights, as many tokens as the table has."""
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.mix(docs, domain_of(F.col("source")), MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+
+
+def _sql_weight(column: str, weights: dict[str, int]) -> str:
+    whens = " ".join(f"when '{k}' then {v}" for k, v in weights.items())
+    return f"(case {column} {whens} else 1 end)" if whens else "1"
+
+
+def _sql_level(name: str, path: list[str], above: str) -> str:
+    """Budgets of one level: nodes, their level, the common level."""
+    cols, parent = ", ".join(path), ", ".join(path[:-1]) or "1"
+    join = f"join {above} using ({', '.join(path[:-1])})" if path[:-1] else f"cross join {above}"
+    return f"""
+{name}_n as (
+  select {cols}, cap, {_sql_weight(path[-1], MIX_WEIGHTS[path[-1]])} as w, total
+  from (select {cols}, cast(sum(cap) as bigint) as cap from leaves group by {cols}) {join}
+), {name}_l as (
+  select *, (total - coalesce(sum(cap) over (p rows between unbounded preceding and 1 preceding), 0))::double
+      / sum(w) over (p rows between current row and unbounded following) as lv
+  from {name}_n window p as (partition by {parent} order by cap::double / w, {path[-1]})
+), {name} as (
+  select {cols}, case when cap <= lv * w then cap
+      else least(cap, cast(floor(max(case when cap > lv * w then lv end) over (partition by {parent}) * w) as bigint)) end as total
+  from {name}_l
+)"""
+
+
+ORACLES["op1_source_mix"] = f"""
+with d as (
+  select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as n_tokens,
+    try_cast(regexp_extract(source, '^src([0-9]{{1,4}})$', 1) as integer) as num
+  from documents
+), light as (
+  select doc_id, lang, source, n_tokens,
+    case {' '.join(f"when num between {a} and {b} then '{k}'" for k, (a, b) in DOMAINS.items())} else 'other' end as domain
+  from d
+), leaves as (
+  select domain, lang, source, cast(sum(n_tokens) as bigint) as tokens, cast(sum(n_tokens) * {MIX_EPOCHS} as bigint) as cap
+  from light group by all
+), root as (
+  select cast(least(sum(tokens), sum(cap)) as bigint) as total from leaves
+),{_sql_level("l1", ["domain"], "root")},{_sql_level("l2", ["domain", "lang"], "l1")},{_sql_level("l3", ["domain", "lang", "source"], "l2")}
+, plan as (
+  select domain, lang, source, total as budget,
+    case when tokens > 0 then total // tokens else 0 end as epochs,
+    total - case when tokens > 0 then total // tokens else 0 end * tokens as rest
+  from leaves join l3 using (domain, lang, source)
+), ranked as (
+  select *, sum(n_tokens) over (partition by domain, lang, source
+    order by md5('{MIX_SEED}:' || epochs || ':' || coalesce(cast(doc_id as varchar), ''))) as upto
+  from light join plan using (domain, lang, source)
+), t as (
+  select *, epochs + case when rest > 0 and upto <= rest then 1 else 0 end as times from ranked
+)
+select doc_id, domain, lang, source, n_tokens, unnest(range(cast(times as bigint))) as epoch from t where times > 0
+"""
