@@ -45,7 +45,7 @@ class WordHashes:
     def __init__(self, limit: int = 400_000):
         self.limit, self.memo = limit, {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         import xxhash
 
         memo, digest = self.memo, xxhash.xxh3_64_intdigest
@@ -55,16 +55,15 @@ class WordHashes:
         if None in out:
             for i, h in enumerate(out):
                 if h is None:
-                    w = words[i]
-                    out[i] = memo[w] = digest(w.encode("utf-8", "surrogatepass"))
+                    out[i] = memo[words[i]] = digest(words[i])
         return np.array(out, dtype=np.uint64)
 
 
 _HASHES = WordHashes()
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    """Hashes of ``words`` through the memo of this Python worker."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of UTF-8 ``words`` through the memo of this Python worker."""
     return _HASHES(words)
 
 

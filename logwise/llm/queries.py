@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, language, lattice, mixing, mtree, pieces
+from logwise.llm import chat, language, lattice, mixing, mtree, ngram_join, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +216,9 @@ with d as (
 )
 select doc_id, domain, lang, source, n_tokens, unnest(range(cast(times as bigint))) as epoch from t where times > 0
 """
+
+
+@register
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with 3-word-shingle Jaccard >= 0.9."""
+    return ngram_join.join_documents(read_table(spark, sf_dir, "documents"))
