@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, language, lattice, mixing, mtree, ngram_join, pieces
+from logwise.llm import chat, language, lattice, lm, mixing, mtree, ngram_join, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +222,9 @@ select doc_id, domain, lang, source, n_tokens, unnest(range(cast(times as bigint
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with 3-word-shingle Jaccard >= 0.9."""
     return ngram_join.join_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole document by the recurrent model."""
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))
