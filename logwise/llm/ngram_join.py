@@ -236,9 +236,30 @@ def join_documents(
         .join(wanted, "id")
         .mapInPandas(gather, "sid long, family long, n long, hashes binary, point binary")
         .dropDuplicates(["sid"])
-        .withColumn("tile", F.floor(F.log(F.col("n").cast("double")) / F.lit(0.02)).cast("int"))
     )
-    sets = materialize(sets, "jaccard-sets")
+    edges = family_links(sets, bounds)
+    linked = components(edges, "a", "b").select(F.col("node").alias("sid"), F.col("component").alias("class"))
+    ids = reps.join(linked, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
+    least = ids.groupBy("class").agg(F.min("rep").alias("component_id"))
+    named = ids.join(least, "class").select("sid", "component_id")
+    return (
+        signed.select("id", "n", "sid")
+        .join(named, "sid", "left")
+        .select(
+            F.col("id").alias(id_col),
+            F.col("n").alias("n_shingles"),
+            F.coalesce("component_id", "id").alias("component_id"),
+        )
+    )
+
+
+def family_links(sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """Links (a, b) between sets of the same family, enough to connect what
+    is connected. ``sets``: sid, family, n, hashes, point; every sid once.
+    """
+    spark = sets.sparkSession
+    tile = F.floor(F.log(F.col("n").cast("double")) / F.lit(0.02)).cast("int")
+    sets = materialize(sets.withColumn("tile", tile), "jaccard-sets")
     # leaf pages: sets of a family by size, cut by number and bytes
     tiles = sets.groupBy("family").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
     tiles = tiles.withColumn("_one", (F.col("c") <= PAGE_SETS) & (F.col("w") * 8 <= PAGE_BYTES))
@@ -274,19 +295,7 @@ def join_documents(
     wide = paged.join(tiles.where(~F.col("_one")).select("family"), "family", "left_semi")
     if wide.limit(1).count():
         edges = edges.unionByName(_across(wide, inside, bounds, tasks))
-    linked = components(edges, "a", "b").select(F.col("node").alias("sid"), F.col("component").alias("class"))
-    ids = reps.join(linked, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
-    least = ids.groupBy("class").agg(F.min("rep").alias("component_id"))
-    named = ids.join(least, "class").select("sid", "component_id")
-    return (
-        signed.select("id", "n", "sid")
-        .join(named, "sid", "left")
-        .select(
-            F.col("id").alias(id_col),
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component_id", "id").alias("component_id"),
-        )
-    )
+    return edges
 
 
 def _across(wide: DataFrame, inside: DataFrame, bounds: Bounds, tasks: int) -> DataFrame:

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, language, lattice, lm, mixing, mtree, ngram_join, pieces
+from logwise.llm import chat, language, lattice, lm, mixing, mtree, ngram_join, paragraphs, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,3 +228,9 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every whole document by the recurrent model."""
     return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that occur in an earlier document or place."""
+    return paragraphs.repeated_passages(read_table(spark, sf_dir, "documents")).drop("text_hash")
