@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwise.session import scratch_path, ship_package
 
-__all__ = ["components", "materialize", "mix64", "read_table", "ship_package", "word_hashes"]
+__all__ = ["components", "materialize", "mix64", "read_table", "ship_package", "small", "word_hashes"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +70,12 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return _HASHES(words)
 
 
+def small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """A written table of narrow rows as the small side of a join: broadcast
+    up to ``max_rows`` counted rows, else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge list of long ids.
 
@@ -74,54 +83,76 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
     node; component is the smallest node id reachable. Null ends and loops are
     ignored; an empty list gives an empty result.
 
-    Alternating large-star / small-star rounds: every node is attached to the
-    smallest neighbour known so far. Minima are aggregated map-side and joined
-    back on the node, so a hub with any number of neighbours is split by the
-    skew-join rule instead of being gathered. Each round is written to the
-    shared folder. The driver sees two numbers a round.
+    Each task first contracts its own edges to stars. Then alternating
+    large-star / small-star rounds attach every node to the smallest neighbour
+    known so far, until all that is left are stars. Minima are aggregated
+    map-side and joined back on the node, so a hub with any number of
+    neighbours is split by the skew-join rule instead of being gathered. Each
+    round is written to the shared folder. The driver sees three numbers a
+    round; files and tasks follow the number of edges.
     """
+    ship_package(edges.sparkSession)
     a, b = F.col(src).cast("long"), F.col(dst).cast("long")
-    cur = materialize(
-        edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .distinct(),
-        "cc-edges",
+    plain = edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(
+        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     )
-    seen = _mark(cur)
+    cur = materialize(plain.mapInPandas(_contract, "u long, v long").distinct(), "cc-edges")
     for _ in range(max_rounds):
-        if seen[0] == 0:
+        n, settled = _state(cur)
+        if settled:
             break
+        tasks = max(1, n // EDGES_PER_TASK)
         # large star: larger neighbours of u go to the smallest of u and all its neighbours
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).distinct()
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
-        small = (
-            joined.where(F.col("v") != F.col("m"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        nxt = materialize(small, "cc-round")
-        now = _mark(nxt)
-        cur = nxt
-        if now == seen:
-            break
-        seen = now
+        star = joined.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = star.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(tasks)
+        cur = materialize(after.mapInPandas(_contract, "u long, v long").distinct().coalesce(tasks), "cc-round")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = cur.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    """Count and order-free checksum of an edge list."""
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("h"),
+#: Edges of one task of a components round.
+EDGES_PER_TASK = 200_000
+
+
+def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges of each batch as stars around the smallest node of a component."""
+    for pdf in frames:
+        up: dict[int, int] = {}
+        for a, b in zip(pdf["u"].tolist(), pdf["v"].tolist(), strict=True):
+            while (x := up.get(a, a)) != a:
+                up[a] = up.get(x, x)
+                a = x
+            while (x := up.get(b, b)) != b:
+                up[b] = up.get(x, x)
+                b = x
+            if a != b:
+                up[max(a, b)] = min(a, b)
+        roots = []
+        for x in up:
+            r = x
+            while (y := up.get(r, r)) != r:
+                r = y
+            roots.append(r)
+        yield pd.DataFrame({"u": list(up), "v": roots}, dtype="int64")
+
+
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """(edges, whether they are stars: no node with two centres, no centre
+    that has a centre itself)."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    node = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    row = node.agg(
+        F.coalesce(F.sum("up"), F.lit(0)).alias("n"),
+        F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("bad"),
     ).first()
-    return int(row["n"]), int(row["h"])
+    return int(row["n"]), row["bad"] == 0

@@ -11,7 +11,10 @@ exact matching of coordinate blocks. Sets that link differ in at most
 ``t = (a + b) / 19`` shingles (at Jaccard 0.9); with more than t blocks of
 coordinates, some block is equal in both points. Each set is dealt to one cell
 per block of its size class (and of the next class, if a larger partner can be
-there). Only sets that share a cell, directly or through others, meet again.
+there). A block with few shingles is equal in many unrelated sets, so there are
+some more blocks than t + 1 and a set leaves out its weak ones if they are no
+more than that slack. Only sets that share a cell, directly or through others,
+meet again.
 
 Those families are packed into R-tree leaf pages by size. A page is searched
 within itself, pairs of pages only if their boxes can hold a link and their
@@ -28,12 +31,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwise.llm.common import components, materialize, mix64, ship_package, word_hashes
+from logwise.llm.common import components, materialize, mix64, ship_package, small, word_hashes
 
 #: Coordinates of a point that is used for bounds.
 GROUPS = 64
 #: Coordinates of one routing block; finer than any block's share of a set.
 BLOCK_GROUPS = 1 << 20
+#: A block of at most so many shingles is weak.
+WEAK = 3
 #: Sets, and bytes of their hashes, on one leaf page.
 PAGE_SETS, PAGE_BYTES = 128, 16 << 20
 #: Sets of each family that are compared with all page components first.
@@ -95,7 +100,12 @@ def size_classes(limit: int, growth: float = 1.35) -> list[int]:
 def route(hashes: np.ndarray, bounds: Bounds, ends: list[int]) -> np.ndarray:
     """Cells of a set: one per block of its class, and of the next class if a
     partner there can link. A cell is named by class, block and the counts of
-    the block's coordinates (through a linear hash of the counts)."""
+    the block's coordinates (through a linear hash of the counts).
+
+    With at most t differences and t + 1 + slack blocks, slack + 1 blocks are
+    equal in both sets. Equal blocks hold equally many shingles; so if either
+    set has at most slack weak blocks, an equal block that is not weak exists.
+    """
     n = len(hashes)
     at = int(np.searchsorted(ends, n, side="right")) - 1
     out = []
@@ -103,14 +113,18 @@ def route(hashes: np.ndarray, bounds: Bounds, ends: list[int]) -> np.ndarray:
         low, high = ends[c], ends[c + 1] - 1
         if c > at and 100 * n < bounds.p * low:
             break
-        blocks = bounds.differ(high, high) + 1
-        if blocks == 1:
+        differ = bounds.differ(high, high)
+        if differ == 0:
             continue  # only equal sets link
+        slack = 1 + differ // 8 if differ >= 4 else 0
+        blocks = differ + 1 + slack
         block = ((hashes >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
         value = mix64(hashes % np.uint64(BLOCK_GROUPS) + np.uint64(1))
         total = np.zeros(blocks, dtype=np.uint64)
         np.add.at(total, block, value)
-        out.append(mix64(total + mix64(np.arange(blocks, dtype=np.uint64) + np.uint64(c << 40))))
+        cells = mix64(total + mix64(np.arange(blocks, dtype=np.uint64) + np.uint64(c << 40)))
+        strong = np.bincount(block, minlength=blocks) > WEAK
+        out.append(cells[strong] if blocks - strong.sum() <= slack else cells)
     return np.concatenate(out).view(np.int64) if out else np.empty(0, dtype=np.int64)
 
 
@@ -233,7 +247,7 @@ def join_documents(
 
     sets = (
         source.where(F.col("t").isNotNull())
-        .join(wanted, "id")
+        .join(small(wanted), "id")
         .mapInPandas(gather, "sid long, family long, n long, hashes binary, point binary")
         .dropDuplicates(["sid"])
     )
