@@ -284,9 +284,11 @@ def identify(
     per_label: int = 150,
     max_labels: int = 64,
     keep: tuple[str, ...] = (),
+    names: tuple[str, str, str] = ("held_out", "lang_pred", "score"),
 ) -> DataFrame:
-    """Language of every whole text: id, held_out, lang_pred, score, and the
-    columns named in ``keep``.
+    """Language of every whole text: id, held_out, lang_pred, score; or, with
+    ``keep``, those columns of ``docs`` instead of the id. ``names`` are the
+    names of the three added columns.
 
     Learns from rows with a text and a label whose id is not held out, at most
     ``per_label`` documents per label (the documented bound of the fit).
@@ -300,11 +302,16 @@ def identify(
     samples = training_rows(docs, id_col, text_col, lang_col, per_label, max_labels)
     shared = spark.sparkContext.broadcast(fit(samples) if samples else None)
 
-    columns = [F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_keep_{c}") for c in keep]]
-    source = docs.select(*columns, held_out(F.col(id_col)).alias("held_out"))
+    wanted = list(keep) or [id_col]
+    inner = {c: "_text" if c == text_col else f"_keep_{c}" for c in wanted}
+    source = docs.select(
+        F.col(text_col).alias("_text"),
+        held_out(F.col(id_col)).alias("_held"),
+        *[F.col(c).alias(n) for c, n in inner.items() if n != "_text"],
+    )
     kinds = dict(source.dtypes)
-    carried = [c for c in source.columns if c != "_text" or text_col in keep]
-    shape = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", lang_pred string, score double"
+    carried = ["_held", *inner.values()]
+    shape = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", _label string, _score double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from logwise.llm.pieces import slices
@@ -315,12 +322,16 @@ def identify(
             for part in slices(texts, 8_000_000):
                 out = pdf.iloc[part][carried].copy()
                 if predictor is None:
-                    out["lang_pred"], out["score"] = UNDETERMINED, 0.0
+                    out["_label"], out["_score"] = UNDETERMINED, 0.0
                 else:
-                    out["lang_pred"], out["score"] = predictor.predict(texts[part])
+                    out["_label"], out["_score"] = predictor.predict(texts[part])
                 yield out
 
     done = source.mapInPandas(run, shape)
+    held, label, score = names
     return done.select(
-        F.col("_id").alias(id_col), "held_out", "lang_pred", "score", *[F.col(f"_keep_{c}").alias(c) for c in keep]
+        *[F.col(n).alias(c) for c, n in inner.items()],
+        F.col("_held").alias(held),
+        F.col("_label").alias(label),
+        F.col("_score").alias(score),
     )
