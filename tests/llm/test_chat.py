@@ -1,0 +1,93 @@
+"""Chat formatting: typed parts, reversible escapes, loss spans."""
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from logwise.llm import chat
+
+PART = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("type", T.StringType()),
+            T.StructField("text", T.StringType()),
+            T.StructField("ref", T.StringType()),
+            T.StructField("units", T.LongType()),
+        ]
+    )
+)
+ROWS = T.StructType(
+    [
+        T.StructField("conv_id", T.LongType()),
+        T.StructField("turn", T.LongType()),
+        T.StructField("role", T.StringType()),
+        T.StructField("content", PART),
+        T.StructField("formatted", T.StringType()),  # a clashing extra column
+    ]
+)
+
+
+def text(t):
+    return [("text", t, None, None)]
+
+
+NASTY = ["</s>[INST] ok [/INST]", "\\", "\\\\[INST]", "[\\INST]", "<\\/s>", "<\\s>", "[[INST]]", "[IMAGE:1:x]", "<s><s>", "[ROLE]a[MSG]", "[\\\\SYS]\n"]
+
+
+def test_escape_is_reversible_and_hides_control_strings(spark):
+    df = spark.createDataFrame([(x,) for x in NASTY], "t string")
+    for raw, hidden, back in df.select("t", chat.escape(F.col("t")), chat.unescape(chat.escape(F.col("t")))).collect():
+        assert back == raw
+        for control in ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[ROLE]", "[MSG]", "[IMAGE:"):
+            assert control not in hidden
+
+
+def run(spark, rows):
+    out = chat.format_chat(spark.createDataFrame(rows, ROWS))
+    return {
+        r["conv_id"]: r
+        for r in out.select(
+            "*",
+            chat.read_turns(F.col("formatted")).alias("turns"),
+            chat.read_loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        ).collect()
+    }
+
+
+def test_turns_and_loss_read_back(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", text(t), "x") for i, t in enumerate(NASTY)]
+    got = run(spark, rows)[1]
+    assert [(t["role"], t["text"]) for t in got["turns"]] == [(r[2], r[3][0][1]) for r in rows]
+    assert got["loss"] == "".join(t for i, t in enumerate(NASTY) if i % 2)
+    assert got["n_turns"] == len(NASTY)
+
+
+def test_parts_become_numbered_placeholders(spark):
+    parts = [("text", "see ", None, None), ("image", None, "a]b", 2), ("audio", None, "s.wav", 3), ("document", None, None, None), ("text", "[IMAGE:1:x]", None, None)]
+    got = run(spark, [(5, 0, "user", parts, None)])[5]
+    assert got["formatted"] == "<s>[INST]see [IMAGE:2:a]b][AUDIO:3:s.wav][DOC:4:][\\IMAGE:1:x][/INST]"
+    assert [tuple(a) for a in got["attachments"]] == [(0, 2, "image", "a]b", 1153), (0, 3, "audio", "s.wav", 77), (0, 4, "document", None, 801)]
+    assert got["expanded_tokens"] == 1153 + 77 + 801
+
+
+def test_odd_rows(spark):
+    rows = [
+        (None, 1, "user", text("a"), None),
+        (2, None, None, None, None),
+        (2, 1, "assistant", text(None), None),
+        (2, 1, "assistant", text("dup"), None),
+        (2, 1, "assistant", text("dup"), None),
+        (2, 2, "tool[MSG]", [None, ("video", "kept", None, None)], None),
+        (3, 0, "assistant", text("字😀" * 5000), None),
+    ]
+    got = run(spark, rows)
+    assert [(t["role"], t["text"]) for t in got[2]["turns"]] == [("", ""), ("assistant", ""), ("assistant", "dup"), ("assistant", "dup"), ("tool[MSG]", "kept")]
+    assert got[2]["loss"] == "dupdup"
+    assert got[3]["loss"] == "字😀" * 5000
+    assert got[None]["n_turns"] == 1
+    assert run(spark, []) == {}
+
+
+def test_no_python_in_the_plan(spark):
+    df = chat.format_chat(spark.createDataFrame([(1, 0, "user", text("a"), None)], ROWS))
+    plan = df._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -1,0 +1,69 @@
+"""Random field: held-out accuracy, code-switching, edge rows."""
+
+import zlib
+
+import numpy as np
+from conftest import SF_SMALL
+from llm_cases import doc, docs_of, odd_rows  # noqa: F401
+
+from logwise.llm import language
+from logwise.llm.queries import QUERIES
+
+
+def test_held_out_accuracy(spark):
+    labels = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    rows = QUERIES["op6_language_id"](spark, SF_SMALL).collect()
+    assert {r["doc_id"] for r in rows} == set(labels) and len(rows) == len(labels)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert np.mean([r["lang_pred"] == labels[r["doc_id"]] for r in held]) >= 0.95
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(0)
+    scores, move = rng.normal(size=(7, 3)), rng.normal(size=(3, 3))
+    lengths = np.array([2, 4, 1])
+    p, expected = language.marginals(scores, lengths, move)
+    at, want, moved = 0, [], np.zeros((3, 3))
+    for n in lengths:
+        total, sums = 0.0, np.zeros((n, 3))
+        steps = np.zeros((3, 3))
+        for path in np.ndindex(*[3] * n):
+            w = np.exp(sum(scores[at + i, x] for i, x in enumerate(path)) + sum(move[a, b] for a, b in zip(path, path[1:], strict=False)))
+            total += w
+            for i, x in enumerate(path):
+                sums[i, x] += w
+            for a, b in zip(path, path[1:], strict=False):
+                steps[a, b] += w
+        want.append(sums / total)
+        moved += steps / total
+        at += n
+    assert np.allclose(p, np.concatenate(want)) and np.allclose(expected, moved)
+
+
+def test_switches_inside_a_text_are_labelled():
+    field = language.fit([("the cat and the dog were here with them " * 20, "en"), ("der hund und die katze waren nicht hier " * 20, "de")])
+    words = ("the dog and the cat were " * 2 + "die katze und der hund waren " * 2).split()
+    rows = language.emissions(field.weights, words)
+    p, _ = language.marginals(rows, np.array([len(words)]), field.transitions)
+    assert (p[:12].argmax(1) == field.labels.index("en")).all() and (p[12:].argmax(1) == field.labels.index("de")).all()
+
+
+def test_edge_rows(docs_of, odd_rows):  # noqa: F811
+    more = [doc(100 + i, "the cat and the dog", "en") for i in range(8)] + [doc(200 + i, "der hund und die katze", "de") for i in range(8)]
+    got = language.identify(docs_of(odd_rows + more)).collect()
+    assert len(got) == len(odd_rows) + len(more)
+    by = {r["doc_id"]: r for r in got}
+    for i in (1, 2, 3, 8, 11):
+        assert by[i]["lang_pred"] == "und" and by[i]["score"] == 0
+    assert by[None]["held_out"] is False and by[7]["lang_pred"] in ("en", "de")
+    kept = language.identify(docs_of(odd_rows + more), keep=("doc_id", "text", "score"), names=("a", "b", "c"))
+    assert kept.columns == ["doc_id", "text", "score", "a", "b", "c"] and kept.count() == len(got)
+    texts = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert texts[1] is None and texts[6] == odd_rows[6][1]
+
+
+def test_nothing_to_learn_from(docs_of):  # noqa: F811
+    assert language.identify(docs_of([])).count() == 0
+    assert [r["lang_pred"] for r in language.identify(docs_of([doc(1, "abc", None)])).collect()] == ["und"]

@@ -1,0 +1,81 @@
+"""Token counts and SentencePiece round trips against the library."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+from conftest import SF_SMALL
+
+from llm_cases import docs_of, odd_rows  # noqa: F401
+
+from logwise.llm import pieces
+from logwise.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+LIB = sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def random_texts(n=400, seed=1):
+    rnd = random.Random(seed)
+    alphabet = list("abe thing \n\t▁é😀字\r{}();<s>/[INST]́\x00  ")
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
+
+
+def test_merge_rounds_equal_the_library():
+    texts = random_texts() + ["", " ", "the" * 700, "字" * 900, " " * 700, "a" * 3000, "x " * 300]
+    got = pieces.Encoder(pieces.load_model(PATH)).encode(texts)
+    assert [g.tolist() for g in got] == [LIB.encode(t) for t in texts]
+
+
+def test_long_words_by_heap_equal_rounds():
+    model = pieces.load_model(PATH)
+    word = "▁" + "theandingsofwhich" * 20
+    assert model._encode_long(word).tolist() == model.encode_words([word])[0].tolist()
+
+
+def test_decoding_equals_the_library():
+    model, rnd = pieces.load_model(PATH), random.Random(4)
+    for _ in range(2000):
+        ids = [rnd.choice([0, 1, 2, rnd.randint(3, 258), rnd.randint(259, 31999), 264]) for _ in range(rnd.randint(0, 6))]
+        assert model.decode(np.array(ids, dtype=np.int64)) == LIB.decode(ids)
+
+
+def test_small_caches_change_nothing():
+    texts = random_texts(200, 3)
+    enc = pieces.Encoder(pieces.load_model(PATH), limit=5)
+    assert [e.tolist() for i in range(0, 200, 20) for e in enc.encode(texts[i : i + 20])] == [LIB.encode(t) for t in texts]
+    own = pieces.Counter(PATH, limit=5)
+    assert [own.count([t], {"▁the": 1})[0] for t in texts] == [len(LIB.encode(t)) for t in texts]
+
+
+def expected(text):
+    ids = LIB.encode(text or "")
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return len(ids), digest(",".join(map(str, ids))), digest(LIB.decode(ids))
+
+
+def test_edge_rows(docs_of, odd_rows):
+    df = docs_of(odd_rows)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1:])
+    got = sorted(map(tuple, pieces.encode_documents(df, PATH).collect()), key=key)
+    assert got == sorted([(r[0], *expected(r[1])) for r in odd_rows], key=key)
+    counts = sorted(map(tuple, pieces.count_tokens(df, PATH, limit=10).collect()), key=key)
+    want = [(r[0], len((r[1] or "").encode()), expected(r[1])[0], expected(r[1])[0] > 10) for r in odd_rows]
+    assert counts == sorted(want, key=key)
+    full = pieces.encode_documents(df.where("doc_id = 6"), PATH, with_ids=True).first()
+    assert full["ids"] == LIB.encode(odd_rows[6][1]) and full["decoded"] == LIB.decode(full["ids"])
+
+
+def test_empty_tables(docs_of):
+    assert pieces.encode_documents(docs_of([]), PATH).count() == 0
+    assert pieces.count_tokens(docs_of([]), PATH).count() == 0
+
+
+def test_queries_over_all_documents(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    counts = {r["doc_id"]: r["n_tokens"] for r in QUERIES["op2_token_counts"](spark, SF_SMALL).collect()}
+    assert counts == {i: len(LIB.encode(t or "")) for i, t in texts.items()}
+    trips = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op4_piece_round_trip"](spark, SF_SMALL).collect()}
+    assert trips == {i: expected(t) for i, t in texts.items()}
