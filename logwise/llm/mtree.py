@@ -294,9 +294,10 @@ def top_k(
                 upper = (v @ v + norms - low * low) / 2 + SLACK * (v @ v + norms) + SLACK
                 open_ = names != h if pd.isna(least) else (names != h) & (upper >= least)
                 rows += [(q, raw, int(t), least) for t in names[open_]]
-            out = pd.DataFrame(rows, columns=["query_id", "vec", "tree", "least"])
-            out["least"] = out["least"].astype("Int64")
-            yield out
+            if rows:
+                out = pd.DataFrame(rows, columns=["query_id", "vec", "tree", "least"])
+                out["least"] = out["least"].astype("Int64")
+                yield out
 
     rest = home.drop("least").join(floor, "query_id", "left").select("query_id", "vec", "tree", "least")
     second = run(rest.mapInPandas(others, "query_id long, vec binary, tree long, least long"))

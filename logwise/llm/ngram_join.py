@@ -243,7 +243,8 @@ def join_documents(
                 s = shingle_set(lower_words(text), k)
                 if set_id(s) == sid:  # an id may repeat with another text
                     rows.append((sid, fam, len(s), s.tobytes(), point(s).tobytes()))
-            yield pd.DataFrame(rows, columns=["sid", "family", "n", "hashes", "point"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["sid", "family", "n", "hashes", "point"])
 
     sets = (
         source.where(F.col("t").isNotNull())
