@@ -12,8 +12,8 @@ exact matching of coordinate blocks. Sets that link differ in at most
 coordinates, some block is equal in both points. Each set is dealt to one cell
 per block of its size class (and of the next class, if a larger partner can be
 there). A block with few shingles is equal in many unrelated sets, so there are
-some more blocks than t + 1 and a set leaves out its weak ones if they are no
-more than that slack. Only sets that share a cell, directly or through others,
+more blocks than needed and each set leaves out as many of its smallest.
+Only sets that share a cell, directly or through others,
 meet again.
 
 Those families are packed into R-tree leaf pages by size. A page is searched
@@ -37,8 +37,6 @@ from logwise.llm.common import components, materialize, mix64, ship_package, sma
 GROUPS = 64
 #: Coordinates of one routing block; finer than any block's share of a set.
 BLOCK_GROUPS = 1 << 20
-#: A block of at most so many shingles is weak.
-WEAK = 3
 #: Sets, and bytes of their hashes, on one leaf page.
 PAGE_SETS, PAGE_BYTES = 128, 16 << 20
 #: Sets of each family that are compared with all page components first.
@@ -102,9 +100,11 @@ def route(hashes: np.ndarray, bounds: Bounds, ends: list[int]) -> np.ndarray:
     partner there can link. A cell is named by class, block and the counts of
     the block's coordinates (through a linear hash of the counts).
 
-    With at most t differences and t + 1 + slack blocks, slack + 1 blocks are
-    equal in both sets. Equal blocks hold equally many shingles; so if either
-    set has at most slack weak blocks, an equal block that is not weak exists.
+    With at most t differences and t + 1 + slack blocks, at least slack + 1
+    blocks are equal in both sets. Each set leaves out its slack smallest
+    blocks, ordered by number of shingles, then place. Equal blocks hold
+    equally many, so the last of them in that order comes after slack others
+    in either set: neither leaves it out.
     """
     n = len(hashes)
     at = int(np.searchsorted(ends, n, side="right")) - 1
@@ -116,15 +116,14 @@ def route(hashes: np.ndarray, bounds: Bounds, ends: list[int]) -> np.ndarray:
         differ = bounds.differ(high, high)
         if differ == 0:
             continue  # only equal sets link
-        slack = 1 + differ // 8 if differ >= 4 else 0
+        slack = 1 + differ // 4
         blocks = differ + 1 + slack
         block = ((hashes >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
         value = mix64(hashes % np.uint64(BLOCK_GROUPS) + np.uint64(1))
         total = np.zeros(blocks, dtype=np.uint64)
         np.add.at(total, block, value)
         cells = mix64(total + mix64(np.arange(blocks, dtype=np.uint64) + np.uint64(c << 40)))
-        strong = np.bincount(block, minlength=blocks) > WEAK
-        out.append(cells[strong] if blocks - strong.sum() <= slack else cells)
+        out.append(cells[np.argsort(np.bincount(block, minlength=blocks), kind="stable")[slack:]])
     return np.concatenate(out).view(np.int64) if out else np.empty(0, dtype=np.int64)
 
 
