@@ -1,12 +1,13 @@
 """Command line for the two applications.
 
   python -m logwise logs --input DIR --output DIR --checkpoint DIR [--once]
-      watch a folder of log files: error records, running totals per level,
-      4 s / 2 s windows per level (2 s micro-batches).
+      watch a folder of log files: error records, incomplete lines, counts
+      per level, 4 s / 2 s windows per level (2 s micro-batches).
   python -m logwise comments (--brokers B --topics T | --input DIR) \\
         --dictionary PATH --ledger DIR --checkpoint DIR [--once]
       comment word counts into the monthly ledger (3 s micro-batches,
-      dictionary reloaded every 5 minutes).
+      dictionary reloaded every 5 minutes, its versions kept beside the
+      checkpoint so that a replay sees the same words).
   python -m logwise totals --ledger DIR [--compacted DIR] [--month yyyyMM]
       print the monthly totals.
 
@@ -40,7 +41,6 @@ def parser() -> argparse.ArgumentParser:
     logs.add_argument("--checkpoint", required=True)
     logs.add_argument("--glob", default=None)
     logs.add_argument("--files-per-trigger", type=int, default=None)
-    logs.add_argument("--watermark", default="10 minutes")
     logs.add_argument("--once", action="store_true")
 
     com = sub.add_parser("comments", help="comment word counts into the monthly ledger")
@@ -67,7 +67,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     spark = spark or build_session(app_name=f"logwise-{args.command}")
 
     if args.command == "logs":
-        qs = start_log_analysis(
+        query = start_log_analysis(
             spark,
             args.input,
             args.output,
@@ -75,10 +75,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
             trigger=None if args.once else LOG_BATCH,
             glob=args.glob,
             max_files_per_trigger=args.files_per_trigger,
-            watermark=args.watermark,
         )
-        for q in qs.all():
-            drain(q)
+        drain(query)
         return 0
 
     if args.command == "comments":
@@ -89,7 +87,9 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
         else:
             comments = spark.readStream.schema("value string, timestamp timestamp").parquet(args.input)
             comments = comments.withColumn("timestamp", F.coalesce("timestamp", F.current_timestamp()))
-        dictionary = RefreshingDictionary(spark, lambda: load_words(spark, path=args.dictionary))
+        dictionary = RefreshingDictionary(
+            spark, lambda: load_words(spark, path=args.dictionary), store_path=f"{args.checkpoint}-dictionary"
+        )
         q = start_comment_word_counts(
             comments,
             dictionary,

@@ -6,6 +6,8 @@ codegen next to the scan; none needs Python on the executors.
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 from collections.abc import Iterable
 
@@ -43,17 +45,38 @@ def distinct_tokens(tokens: Column) -> Column:
     return F.array_distinct(tokens)
 
 
-def dictionary_pattern(words: Iterable[str]) -> str:
-    """Alternation of the escaped words, longest first.
+def trie_pattern(words: Iterable[str]) -> str:
+    """A regex for the longest of ``words`` that starts at a position.
 
-    With ordered alternation a regex scan left to right takes the longest word
-    that starts at each position and never overlaps two matches: forward
-    maximum matching.
+    The words are folded into a prefix tree: every branch starts with another
+    character, and a word that is a prefix of longer ones is followed by them
+    as a greedy option. The cost at a position is the length of the match, not
+    the number of words.
     """
-    unique = sorted({w for w in words if w}, key=lambda w: (-len(w), w))
+    unique = sorted({w for w in words if w})
     if not unique:
         raise ValueError("dictionary is empty")
-    return "(" + "|".join(re.escape(w) for w in unique) + ")"
+
+    def fold(tails: list[str]) -> str:
+        """Pattern of sorted distinct tails; an empty tail comes first."""
+        ends = tails[0] == ""
+        branches = []
+        for head, group in itertools.groupby(tails[1:] if ends else tails, key=lambda t: t[0]):
+            rest = list(group)
+            shared = len(os.path.commonprefix(rest))
+            branches.append(re.escape(rest[0][:shared]) + (fold([t[shared:] for t in rest]) if len(rest) > 1 else ""))
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 and not ends else f"(?:{'|'.join(branches)})"
+        return body + "?" if ends else body
+
+    return fold(unique)
+
+
+def dictionary_pattern(words: Iterable[str]) -> str:
+    """One group holding the longest word at a position: scanned left to right
+    without overlaps this is forward maximum matching."""
+    return f"({trie_pattern(words)})"
 
 
 def segment_dictionary(text: str | Column, words: Iterable[str]) -> Column:
@@ -61,15 +84,24 @@ def segment_dictionary(text: str | Column, words: Iterable[str]) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(dictionary_pattern(words)), 1)
 
 
-def ngrams(text: str | Column, n: int = NGRAM) -> Column:
-    """All overlapping n-character substrings, in one regex pass.
+# Start of a character: not between the two halves of one beyond the BMP.
+_CHARACTER = r"(?s)(?![\uDC00-\uDFFF])"
 
-    A zero-width look-ahead matches at every position and captures the next n
-    characters, so the cost is linear in the text length.
-    """
+
+def ngram_pattern(n: int, prefixes: Iterable[str] = ()) -> str:
+    """Regex of n-character substrings at every character, overlaps included
+    (a zero-width look-ahead); only those that start with one of ``prefixes``
+    if any are given."""
     if n < 1:
         raise ValueError("n must be positive")
-    return F.regexp_extract_all(_col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
+    prefixes = list(prefixes)
+    only = f"(?={trie_pattern(prefixes)})" if prefixes else ""
+    return f"{_CHARACTER}{only}(?=(.{{{n}}}))"
+
+
+def ngrams(text: str | Column, n: int = NGRAM) -> Column:
+    """All overlapping n-character substrings in order, in one regex pass."""
+    return F.regexp_extract_all(_col(text), F.lit(ngram_pattern(n)), 1)
 
 
 def contained_words(text: str | Column, words: Iterable[str]) -> Column:
@@ -82,5 +114,5 @@ def contained_words(text: str | Column, words: Iterable[str]) -> Column:
 
 
 def collapse_whitespace(text: str | Column) -> Column:
-    """Runs of whitespace to one space, ends trimmed."""
-    return F.trim(F.regexp_replace(_col(text), r"\s+", " "))
+    """Runs of ASCII white space to one space, ends trimmed."""
+    return F.trim(F.regexp_replace(_col(text), r"[\t\n\x0B\f\r ]+", " "))

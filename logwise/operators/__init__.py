@@ -3,7 +3,7 @@ unless its docstring says otherwise."""
 
 from logwise.operators.accumulate import accumulate
 from logwise.operators.balance import spread
-from logwise.operators.counts import count_by, total_snapshots
+from logwise.operators.counts import count_by, total_intervals, total_snapshots
 from logwise.operators.enrich import call_with_retry, enrich_with_retry
 from logwise.operators.filters import filter_levels, non_empty, sql_over_batch
 from logwise.operators.parse import (
@@ -13,7 +13,7 @@ from logwise.operators.parse import (
     parse_log_lines,
     quarantine,
 )
-from logwise.operators.responses import parse_responses, valid_terms
+from logwise.operators.responses import failed_answers, parse_responses, valid_terms
 from logwise.operators.sizing import Size, broadcast_if_small, measure
 from logwise.operators.windows import sliding_counts, tumbling_counts
 from logwise.operators.words import dictionary_words, match_words, word_document_counts
@@ -26,6 +26,7 @@ __all__ = [
     "count_by",
     "dictionary_words",
     "enrich_with_retry",
+    "failed_answers",
     "filter_levels",
     "line_levels",
     "lines_from_columns",
@@ -39,6 +40,7 @@ __all__ = [
     "sliding_counts",
     "spread",
     "sql_over_batch",
+    "total_intervals",
     "total_snapshots",
     "tumbling_counts",
     "valid_terms",

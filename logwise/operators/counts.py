@@ -21,7 +21,12 @@ SNAPSHOT_BLOCK = 4096
 
 
 def total_snapshots(
-    df: DataFrame, key: str, batch: str, name: str = "total", block: int = SNAPSHOT_BLOCK
+    df: DataFrame,
+    key: str,
+    batch: str,
+    name: str = "total",
+    block: int = SNAPSHOT_BLOCK,
+    weight: str | None = None,
 ) -> DataFrame:
     """Running total of every known key after each batch.
 
@@ -29,16 +34,55 @@ def total_snapshots(
     a key appears from its first batch on, and stays in every later batch up to
     the last one, also when it has no new rows. Batches form a grid (integers
     step 1, dates step 1 day) from the first to the last batch with data.
+    A row counts 1, or its ``weight`` column. A NULL key is a key like any
+    other; rows with a NULL batch belong to no batch and are left out.
+
+    The result has keys x batches rows by definition; :func:`total_intervals`
+    says the same in one row per change. Repeating a row until the key's next
+    change explodes block-sized chunks, so no array grows with the gap.
+    """
+    spans, from_int = _intervals(df, key, batch, name, block, weight)
+    chunked = spans.select(
+        key,
+        name,
+        "_b",
+        "_until",
+        F.explode(F.sequence(F.floor(F.col("_b") / block), F.floor(F.col("_until") / block))).alias("_chunk"),
+    )
+    lo = F.greatest(F.col("_b"), F.col("_chunk") * block)
+    hi = F.least(F.col("_until"), F.col("_chunk") * block + (block - 1))
+    return chunked.select(key, name, F.explode(F.sequence(lo, hi)).alias("_i")).select(
+        from_int(F.col("_i")).alias(batch), key, name
+    )
+
+
+def total_intervals(
+    df: DataFrame,
+    key: str,
+    batch: str,
+    name: str = "total",
+    block: int = SNAPSHOT_BLOCK,
+    weight: str | None = None,
+) -> DataFrame:
+    """The running totals of :func:`total_snapshots` as intervals: one row
+    (from_<batch>, to_<batch>, key, total) per change of a key's total, both
+    ends included; the last interval of a key ends with the last batch."""
+    spans, from_int = _intervals(df, key, batch, name, block, weight)
+    return spans.select(
+        from_int(F.col("_b")).alias(f"from_{batch}"), from_int(F.col("_until")).alias(f"to_{batch}"), key, name
+    )
+
+
+def _intervals(df: DataFrame, key: str, batch: str, name: str, block: int, weight: str | None):
+    """(key, _b, _until, total) with batches as integers, and the way back.
 
     Plan, built so that a key present in every batch is never one task's work:
     (1) count per (batch, key), partial aggregation first, so a hot key
     shrinks to one row per batch; (2) batches are cut into blocks of
     ``block``; totals per (key, block) and a window over the blocks of a key
     give each block its starting offset and the first batch of the key's next
-    block; (3) the running sum inside a (key, block) window adds the offset;
-    (4) each row is repeated up to the batch before the key's next count, or
-    to the last batch overall (a scalar subquery), exploding block-sized
-    chunks so no array grows with the gap. No keys x batches spine is built.
+    block; (3) the running sum inside a (key, block) window adds the offset.
+    No keys x batches spine is built.
 
     The per-(batch, key) counts feed three branches (block totals, the join
     back, the last batch); they are checkpointed to the shared checkpoint
@@ -47,11 +91,12 @@ def total_snapshots(
     """
     if df.isStreaming:
         raise ValueError(
-            "total_snapshots is the batch form; on a stream use "
+            "running totals per batch are the batch form; on a stream use "
             "streaming.level_totals_query(mode='complete'), whose sink holds the same series"
         )
     checkpoint_root(df.sparkSession)
-    per_batch = count_by(df, batch, key, name="_c")
+    measure = F.count(F.lit(1)) if weight is None else F.sum(F.col(weight))
+    per_batch = df.where(F.col(batch).isNotNull()).groupBy(batch, key).agg(measure.alias("_c"))
     b_type = per_batch.schema[batch].dataType
     if isinstance(b_type, T.DateType):
         to_int, from_int = F.unix_date, F.date_from_unix_date
@@ -68,13 +113,14 @@ def total_snapshots(
     per_block = ints.groupBy(key, "_blk").agg(F.sum("_c").alias("_bc"), F.min("_b").alias("_first"))
     over_blocks = Window.partitionBy(key).orderBy("_blk")
     offsets = per_block.select(
-        key,
-        "_blk",
+        F.col(key).alias("_key"),
+        F.col("_blk").alias("_block"),
         (F.sum("_bc").over(over_blocks) - F.col("_bc")).alias("_before"),
         F.lead("_first").over(over_blocks).alias("_next_first"),
     )
     in_block = Window.partitionBy(key, "_blk").orderBy("_b")
-    running = ints.join(offsets, [key, "_blk"]).select(
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_blk") == F.col("_block"))
+    running = ints.join(offsets, same).select(
         key,
         "_b",
         (F.col("_before") + F.sum("_c").over(in_block)).alias(name),
@@ -82,15 +128,4 @@ def total_snapshots(
     )
     last = ints.select(F.max("_b")).scalar()
     until = F.coalesce(F.col("_next") - F.lit(1), last)
-    chunked = running.select(
-        key,
-        name,
-        "_b",
-        until.alias("_until"),
-        F.explode(F.sequence(F.floor(F.col("_b") / block), F.floor(until / block))).alias("_chunk"),
-    )
-    lo = F.greatest(F.col("_b"), F.col("_chunk") * block)
-    hi = F.least(F.col("_until"), F.col("_chunk") * block + (block - 1))
-    return chunked.select(key, name, F.explode(F.sequence(lo, hi)).alias("_i")).select(
-        from_int(F.col("_i")).alias(batch), key, name
-    )
+    return running.select(key, name, "_b", until.alias("_until")), from_int

@@ -1,16 +1,17 @@
-"""Per-comment calls to an external function, with retries.
+"""Calls to a segmentation service, in batches, with retries.
 
-The reference calls a segmentation service for every comment and retries up to
-three times, immediately, on exceptions only (a non-200 answer is final). Here
-the call is a user-supplied ``fetch(text) -> (code, body)``; Spark spreads the
-rows over tasks and hands them over in Arrow batches (``mapInPandas``).
+The service is a user-supplied ``fetch(texts) -> [(code, body), ...]``, one
+answer per text in order. Spark spreads the rows over tasks and hands them
+over in Arrow batches (``mapInPandas``). Only the text and the columns asked
+for go to Python; the text does not come back. An exception is retried, any
+answer is final, as a non-200 code is.
 """
 
 from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,12 +21,12 @@ from logwise.session import ship_package
 
 log = logging.getLogger(__name__)
 
-Fetch = Callable[[str], tuple[int, str]]
+Fetch = Callable[[list[str]], list[tuple[int, str]]]
 
 # Fixed value: a call slower than this many milliseconds is logged as slow.
 SLOW_CALL_MS = 20
 
-ENRICH_FIELDS = [
+ANSWER_FIELDS = [
     T.StructField("code", T.IntegerType(), True),
     T.StructField("body", T.StringType(), True),
     T.StructField("attempts", T.IntegerType(), True),
@@ -33,49 +34,74 @@ ENRICH_FIELDS = [
     T.StructField("elapsed_ms", T.IntegerType(), True),
 ]
 
+Answer = tuple[int | None, str | None, int, str | None]
 
-def call_with_retry(fetch: Fetch, text: str, attempts: int) -> tuple[int | None, str | None, int, str | None]:
-    """(code, body, attempts used, last error); after the last failure no answer."""
+
+def call_with_retry(fetch: Fetch, texts: list[str], attempts: int) -> list[Answer]:
+    """(code, body, attempts used, last error) of each text.
+
+    A failed call of several texts says nothing about any one of them: they
+    are then sent one by one, each with up to ``attempts`` calls of its own.
+    """
+    if len(texts) > 1:
+        try:
+            return [(int(code), body, 1, None) for code, body in _answers(fetch, texts)]
+        except Exception:  # noqa: BLE001 - any failure is retried
+            return [answer for t in texts for answer in call_with_retry(fetch, [t], attempts)]
     error = None
     for n in range(1, attempts + 1):
         try:
-            code, body = fetch(text)
-            return int(code), body, n, None
-        except Exception as exc:  # noqa: BLE001 - any failure is retried
+            code, body = _answers(fetch, texts)[0]
+            return [(int(code), body, n, None)]
+        except Exception as exc:  # noqa: BLE001
             error = f"{type(exc).__name__}: {exc}"
-    return None, None, attempts, error
+    return [(None, None, attempts, error)]
+
+
+def _answers(fetch: Fetch, texts: list[str]) -> list[tuple[int, str]]:
+    got = list(fetch(texts))
+    if len(got) != len(texts):
+        raise ValueError(f"{len(got)} answers to {len(texts)} texts")
+    return got
 
 
 def enrich_with_retry(
-    df: DataFrame, fetch: Fetch, column: str = "value", attempts: int = 3
+    df: DataFrame,
+    fetch: Fetch,
+    column: str = "value",
+    keep: Sequence[str] = (),
+    attempts: int = 3,
+    batch: int = 32,
 ) -> DataFrame:
-    """Add ``code, body, attempts, error, elapsed_ms`` from ``fetch`` applied
-    to ``column``.
-
-    Empty or NULL values are not sent (they have no words); they get NULL code
-    and 0 attempts. ``elapsed_ms`` covers all attempts of a row; calls slower
-    than ``SLOW_CALL_MS`` are logged by the executor.
+    """``keep..., code, body, attempts, error, elapsed_ms``: the answers to
+    ``column``, ``batch`` texts a call.
+
+    Empty or NULL values are not sent (they have no words); they get a NULL
+    code and 0 attempts. ``elapsed_ms`` covers all attempts of the call that
+    held the row; calls slower than ``SLOW_CALL_MS`` are logged by the
+    executor. Rows without an answer stay in the result, with their error;
+    see :func:`logwise.operators.responses.failed_answers`.
     """
-    if attempts < 1:
-        raise ValueError("attempts must be at least 1")
-    schema = T.StructType(list(df.schema.fields) + ENRICH_FIELDS)
+    if attempts < 1 or batch < 1:
+        raise ValueError("attempts and batch must be at least 1")
+    sent = df.select(*keep, df[column].alias("_text"))
+    schema = T.StructType([f for f in sent.schema.fields if f.name != "_text"] + ANSWER_FIELDS)
     ship_package(df.sparkSession)
 
-    def timed(v: str) -> tuple:
-        t0 = time.perf_counter()
-        r = call_with_retry(fetch, v, attempts)
-        ms = int((time.perf_counter() - t0) * 1000)
-        if ms > SLOW_CALL_MS:
-            log.warning("slow call: %d ms, %d attempt(s)", ms, r[2])
-        return (*r, ms)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            results = [
-                timed(v) if isinstance(v, str) and v else (None, None, 0, None, None)
-                for v in pdf[column]
-            ]
-            out = pdf.copy()
+            results: list[tuple] = [(None, None, 0, None, None)] * len(pdf)
+            full = [i for i, v in enumerate(pdf["_text"]) if isinstance(v, str) and v]
+            for lo in range(0, len(full), batch):
+                at = full[lo : lo + batch]
+                t0 = time.perf_counter()
+                answers = call_with_retry(fetch, [pdf["_text"].iloc[i] for i in at], attempts)
+                ms = int((time.perf_counter() - t0) * 1000)
+                if ms > SLOW_CALL_MS:
+                    log.warning("slow call: %d ms, %d text(s)", ms, len(at))
+                for i, r in zip(at, answers, strict=True):
+                    results[i] = (*r, ms)
+            out = pdf.drop(columns="_text")
             out["code"] = pd.array([r[0] for r in results], dtype="Int32")
             out["body"] = [r[1] for r in results]
             out["attempts"] = pd.array([r[2] for r in results], dtype="Int32")
@@ -83,4 +109,4 @@ def enrich_with_retry(
             out["elapsed_ms"] = pd.array([r[4] for r in results], dtype="Int32")
             yield out
 
-    return df.mapInPandas(run, schema)
+    return sent.mapInPandas(run, schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,11 +25,16 @@ def non_empty(df: DataFrame, column: str = "value") -> DataFrame:
     return df.where(F.coalesce(F.length(F.col(column)), F.lit(0)) > 0)
 
 
-def sql_over_batch(df: DataFrame, query: str, view: str = "alldata") -> DataFrame:
-    """Register ``df`` under ``view`` in its own session and run ``query``.
+def sql_over_batch(df: DataFrame, query: str, view: str = "batch_rows") -> DataFrame:
+    """Run ``query`` with the word ``view`` in it standing for ``df``.
 
-    Inside ``foreachBatch`` the batch DataFrame carries the session of the
-    stream, so the view is private to that query.
+    The frame is registered under a name of its own while the query is
+    analysed, then dropped: the caller's views stay as they are, and two
+    threads cannot swap each other's rows.
     """
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(query)
+    own = f"{view}_{uuid.uuid4().hex}"
+    df.createTempView(own)
+    try:
+        return df.sparkSession.sql(re.sub(rf"\b{re.escape(view)}\b", own, query))
+    finally:
+        df.sparkSession.catalog.dropTempView(own)

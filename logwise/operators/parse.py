@@ -86,6 +86,20 @@ def log_records(df: DataFrame, value: str = "value", mode: str = "quarantine") -
     return good.drop("n_fields")
 
 
+def timed_levels(parsed: DataFrame, fallback: str = "file_time") -> DataFrame:
+    """Level and time of every parsed line, for window counts that keep all.
+
+    A line without a readable date gets the ``fallback`` column (the time of
+    its file, which a replay sees again), or the current time if the frame
+    has no such column, as a receiver would. Incomplete lines count with
+    their first field, as in :func:`line_levels`.
+    """
+    other = F.col(fallback) if fallback in parsed.columns else F.current_timestamp()
+    return parsed.select(
+        F.coalesce("log_level", F.lit("")).alias("log_level"), F.coalesce("event_ts", other).alias("event_ts")
+    )
+
+
 def line_levels(df: DataFrame, value: str = "value") -> DataFrame:
     """First field of every line, no arity check (the counting path).
 

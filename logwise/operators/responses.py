@@ -37,3 +37,12 @@ def parse_responses(
 def valid_terms(df: DataFrame, code: str = "code", body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """Rows with a valid response only: ``keep..., terms``."""
     return parse_responses(df, code, body, keep).where("ok").select(*keep, "terms")
+
+
+def failed_answers(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Answers of :func:`logwise.operators.enrich.enrich_with_retry` that give
+    no terms, for an error output: ``keep..., code, body, attempts, error``.
+    Rows that were never sent (empty texts) are no failures."""
+    extra = ("body", "attempts", "error")
+    parsed = parse_responses(df.where(F.col("attempts") > 0), keep=[*keep, *extra])
+    return parsed.where(~F.col("ok")).select(*keep, "code", *extra)

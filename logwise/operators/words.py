@@ -1,11 +1,12 @@
 """Comments x dictionary -> how many comments contain each dictionary word.
 
 A comment counts at most once per word (its tokens form a set), so the result
-is a document frequency. Three ways to find words in a comment:
+is a document frequency. Four ways to find words in a comment:
 
 * ``spaces``      tokens separated by spaces, exact equality with a word;
-* ``dictionary``  forward maximum matching against the dictionary (one regex);
-* ``substrings``  every occurrence as a substring (overlaps allowed).
+* ``dictionary``  forward maximum matching against the dictionary;
+* ``substrings``  every occurrence as a substring (overlaps allowed);
+* ``terms``       the set of terms that a segmentation service answered.
 
 A dictionary is either a Python list (a literal that travels with the plan) or
 a DataFrame with a ``word`` column. A DataFrame dictionary is measured first:
@@ -14,10 +15,8 @@ aggregation; above them the tokens are aggregated per word first (partial
 aggregation absorbs hot words) and only then joined on the word, so no task
 ever holds the rows of one hot word.
 
-Substring search picks its plan by dictionary size: a few literal words are
-tested with ``contains``; a dictionary within the broadcast limits is matched
-by an Aho-Corasick automaton (one pass per comment); a larger one by n-grams,
-aggregation and a shuffle join.
+Every method gives one answer at every dictionary size; sizes only choose how
+Spark finds it. All plans are built from Spark's own expressions.
 """
 
 from __future__ import annotations
@@ -29,29 +28,25 @@ from pyspark.sql import functions as F
 
 from logwise.functions.text import (
     contained_words,
-    ngrams,
+    ngram_pattern,
     segment_dictionary,
     segment_spaces,
 )
-from logwise.functions.matching import HAVE_AUTOMATON, longest_matcher, substring_matcher
 from logwise.operators.counts import count_by
 from logwise.operators.sizing import Size, broadcast_if_small, measure
 
 Dictionary = Sequence[str] | DataFrame
 
-# Plan thresholds, measured on the sf0.1 documents (24.8 M characters,
-# local[8], whole query): a regex alternation tries its words one after the
-# other at every position, so forward maximum matching took 0.97 / 1.32 /
-# 3.1 / 7.7 / 17.5 s for 4 / 8 / 50 / 150 / 400 words, against a flat 0.9-1.1 s
-# for the automaton (same segmentation: leftmost-longest). One ``contains``
-# per word took 0.73 / 0.81 / 1.30 s for 4 / 16 / 64 words, the automaton
-# 0.7 s. Below these sizes the plan stays inside the JVM.
-PATTERN_MAX_WORDS = 4
+# Up to this size a dictionary is folded into one regex; beyond it, candidate
+# substrings are joined with it. Both give the same words.
+PATTERN_MAX_WORDS = 5_000
+PATTERN_MAX_BYTES = 128 * 1024
+# Up to this many literal words, one ``contains`` per word.
 CONTAINS_MAX_WORDS = 8
-# Every Python worker (one per core) builds its own automaton, so its bound is
-# well below the broadcast limits; larger dictionaries use n-grams + join.
-AUTOMATON_MAX_WORDS = 200_000
-AUTOMATON_MAX_BYTES = 8 * 1024 * 1024
+# Characters of a word by which candidate n-grams are filtered, and how many
+# such beginnings a regex may hold.
+PREFIX = 3
+PREFIX_MAX = 5_000
 
 
 def _is_frame(d: Dictionary) -> bool:
@@ -60,8 +55,7 @@ def _is_frame(d: Dictionary) -> bool:
 
 def dictionary_words(dictionary: DataFrame, column: str = "word") -> DataFrame:
     """Distinct non-empty words of a dictionary frame as column ``word``."""
-    w = F.col(column)
-    return dictionary.select(w.alias("word")).where(w.isNotNull() & (w != "")).distinct()
+    return _clean(dictionary.select(F.col(column).alias("word"))).distinct()
 
 
 def _clean(dictionary: Dictionary) -> Dictionary:
@@ -72,6 +66,12 @@ def _clean(dictionary: Dictionary) -> Dictionary:
     return dictionary.select("word").where(w.isNotNull() & (w != ""))
 
 
+def _as_frame(dictionary: Dictionary, docs: DataFrame) -> DataFrame:
+    if _is_frame(dictionary):
+        return dictionary
+    return docs.sparkSession.createDataFrame([(w,) for w in sorted({w for w in dictionary if w})], "word string")
+
+
 def _token_set(text: Column) -> Column:
     return F.array_distinct(segment_spaces(text))
 
@@ -108,14 +108,18 @@ def match_words(
     partition of a hot word. For counts use :func:`word_document_counts`,
     which aggregates before that join.
     """
-    t = F.col(text)
+    return _match_sets(docs, _token_set(F.col(text)), dictionary, keep, size)
+
+
+def _match_sets(
+    docs: DataFrame, tokens: Column, dictionary: Dictionary, keep: Sequence[str], size: Size | None
+) -> DataFrame:
     dictionary = _clean(dictionary)
     if not _is_frame(dictionary):
         words = F.array(*[F.lit(w) for w in sorted(set(dictionary))])
-        return docs.select(*keep, F.explode(F.array_intersect(_token_set(t), words)).alias("word"))
-    tokens = docs.select(*keep, F.explode(_token_set(t)).alias("word"))
-    small, is_small = broadcast_if_small(dictionary, "word", size)
-    return tokens.join(small, "word", "left_semi")
+        return docs.select(*keep, F.explode(F.array_intersect(tokens, words)).alias("word"))
+    small, _ = broadcast_if_small(dictionary, "word", size)
+    return docs.select(*keep, F.explode(tokens).alias("word")).join(small, "word", "left_semi")
 
 
 def word_document_counts(
@@ -133,8 +137,10 @@ def word_document_counts(
     ``by`` adds grouping columns (for example the date of the comment).
     ``size`` is a measurement of a frame dictionary taken earlier (for example
     by :class:`logwise.sources.dictionary.RefreshingDictionary`); it saves one
-    aggregate. ``plan`` forces the substring plan (``contains``,
-    ``automaton`` or ``ngrams``); ``auto`` chooses by size.
+    aggregate. ``plan`` forces how words are found: ``pattern`` or ``join``
+    for forward maximum matching, ``contains`` or ``ngrams`` for substrings;
+    ``auto`` chooses by size. With method ``terms``, ``text`` names an array
+    column of terms.
     """
     t = F.col(text)
     dictionary = _clean(dictionary)
@@ -142,76 +148,125 @@ def word_document_counts(
         # an empty dictionary matches nothing (same result type, no job)
         nothing = docs.select(*by, F.lit(None).cast("string").alias("word")).where(F.lit(False))
         return count_by(nothing, "word", *by, name=name)
-    if method == "spaces":
+    if method in ("spaces", "terms"):
+        tokens = _token_set(t) if method == "spaces" else F.array_distinct(t)
         if not _is_frame(dictionary):
-            return count_by(match_words(docs, dictionary, text, keep=by), "word", *by, name=name)
-        tokens = docs.select(*by, F.explode(_token_set(t)).alias("word"))
-        return _count_joined(tokens, dictionary, size, name, by)
+            return count_by(_match_sets(docs, tokens, dictionary, by, size), "word", *by, name=name)
+        return _count_joined(docs.select(*by, F.explode(tokens).alias("word")), dictionary, size, name, by)
 
     if method == "dictionary":
-        if _is_frame(dictionary):
-            size = size if size is not None else measure(dictionary)
-            if not size.fits(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES):  # checked before any collect
-                raise ValueError(
-                    f"forward maximum matching takes at most {AUTOMATON_MAX_WORDS} words "
-                    f"({size.rows} given); use method 'substrings' or 'spaces'"
-                )
-        words, spark = _bounded_words(dictionary, size, docs)
-        if len(words) <= PATTERN_MAX_WORDS:
-            found = F.array_distinct(segment_dictionary(t, words))
-        elif HAVE_AUTOMATON and len(words) <= AUTOMATON_MAX_WORDS:
-            found = longest_matcher(spark, words)(t)
-        else:
-            raise ValueError(
-                f"forward maximum matching takes at most {AUTOMATON_MAX_WORDS} words "
-                f"({len(words)} given); use method 'substrings' or 'spaces'"
-            )
-        return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
+        found = _longest_words(docs, dictionary, t, size, by, plan)
+        return count_by(found, "word", *by, name=name)
 
     if method == "substrings":
         if plan == "auto":
-            plan = _substring_plan(dictionary, size)
+            literal = not _is_frame(dictionary) and len(set(dictionary)) <= CONTAINS_MAX_WORDS
+            plan = "contains" if literal else "ngrams"
         if plan == "contains":
-            words, _ = _bounded_words(dictionary, size, docs)
+            words = _listed(dictionary, size)
+            if words is None:
+                raise ValueError("the dictionary is over the pattern limits; use plan 'ngrams'")
+            if not words:
+                return word_document_counts(docs, [], text, method, name, by=by)
             found = contained_words(t, words)
             return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
-        if plan == "ngrams":
-            frame = dictionary if _is_frame(dictionary) else docs.sparkSession.createDataFrame(
-                [(w,) for w in sorted(set(dictionary))], "word string"
-            )
-            return _substring_counts_by_ngrams(docs, frame, t, size, name, by)
-        if plan != "automaton":
+        if plan != "ngrams":
             raise ValueError(f"unknown plan {plan!r}")
-        words, spark = _bounded_words(dictionary, size, docs)
-        found = substring_matcher(spark, words)(t)
-        return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
+        return _substring_counts_by_ngrams(docs, _as_frame(dictionary, docs), t, size, name, by)
 
     raise ValueError(f"unknown method {method!r}")
 
 
-def _substring_plan(dictionary: Dictionary, size: Size | None) -> str:
+def _listed(dictionary: Dictionary, size: Size | None) -> list[str] | None:
+    """The words as a sorted list if they are within the pattern limits; a
+    frame is collected only after its measurement."""
     if not _is_frame(dictionary):
-        if len(set(dictionary)) <= CONTAINS_MAX_WORDS or not HAVE_AUTOMATON:
-            return "contains"
-        return "automaton"
+        words = sorted({w for w in dictionary if w})
+        fits = Size(len(words), sum(len(w.encode()) for w in words)).fits(PATTERN_MAX_WORDS, PATTERN_MAX_BYTES)
+        return words if fits else None
     s = size if size is not None else measure(dictionary)
-    fits = s.fits(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES)
-    return "automaton" if HAVE_AUTOMATON and fits else "ngrams"
+    if not s.fits(PATTERN_MAX_WORDS, PATTERN_MAX_BYTES):
+        return None
+    return sorted({r["word"] for r in dictionary.select("word").collect()})
 
 
-def _bounded_words(dictionary: Dictionary, size: Size | None, docs: DataFrame) -> tuple[list[str], object]:
-    """The words as a Python list; a frame only after its size check passed
-    (the list then travels like a broadcast)."""
-    spark = docs.sparkSession
-    if not _is_frame(dictionary):
-        return sorted(set(dictionary)), spark
-    s = size if size is not None else measure(dictionary)
-    if not s.fits():
-        raise ValueError(
-            f"dictionary of {s.rows} words / {s.bytes} bytes is over the broadcast limits; "
-            "use method 'substrings' or 'spaces', which join instead"
+def _longest_words(
+    docs: DataFrame, dictionary: Dictionary, text: Column, size: Size | None, by: Sequence[str], plan: str
+) -> DataFrame:
+    """(by..., word), once per comment and word, of forward maximum matching:
+    left to right the longest word that starts at a position, no overlaps.
+
+    ``pattern``: one regex. ``join``, for a dictionary of any size: the
+    substrings of every word length at every position, semi-joined with the
+    dictionary; the longest per position; then the pick from left to right
+    inside each comment.
+    """
+    if plan not in ("auto", "pattern", "join"):
+        raise ValueError(f"unknown plan {plan!r}")
+    words = None if plan == "join" else _listed(dictionary, size)
+    if words is None and plan == "pattern":
+        raise ValueError("the dictionary is over the pattern limits; use plan 'join'")
+    if words is not None:
+        if not words:
+            return docs.select(*by, F.lit(None).cast("string").alias("word")).where(F.lit(False))
+        return docs.select(*by, F.explode(F.array_distinct(segment_dictionary(text, words))).alias("word"))
+    frame = _as_frame(dictionary, docs)
+    small, is_small = broadcast_if_small(frame, "word", size)
+    rows = docs.select(*by, text.alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    grams = _grams_by_length(rows, _word_lengths(frame), [*by, "_row"], positions=True)
+    if not is_small:
+        begins, few = broadcast_if_small(
+            frame.select(F.substring("word", 1, PREFIX).alias("word")).distinct(), "word"
         )
-    return sorted(r["word"] for r in dictionary.select("word").collect()), spark
+        if few:
+            begins = begins.withColumnRenamed("word", "_begin")
+            grams = grams.join(begins, F.substring("word", 1, PREFIX) == F.col("_begin"), "left_semi")
+    hits = grams.join(small, "word", "left_semi")
+    longest = hits.groupBy("_row", "_pos", *by).agg(F.max_by("word", F.char_length("word")).alias("word"))
+    spots = longest.groupBy("_row", *by).agg(F.array_sort(F.collect_list(F.struct("_pos", "word"))).alias("_spots"))
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("words"))
+    picked = F.aggregate(
+        "_spots",
+        start,
+        lambda acc, s: F.when(
+            s["_pos"] >= acc["next"],
+            F.struct(
+                (s["_pos"] + F.char_length(s["word"])).alias("next"),
+                F.when(F.array_contains(acc["words"], s["word"]), acc["words"])
+                .otherwise(F.concat(acc["words"], F.array(s["word"])))
+                .alias("words"),
+            ),
+        ).otherwise(acc),
+    )
+    return spots.select(*by, F.explode(picked["words"]).alias("word"))
+
+
+def _word_lengths(dictionary: DataFrame) -> list[int]:
+    """Distinct word lengths (at most the length of the longest word)."""
+    rows = dictionary.select(F.char_length("word").alias("n")).distinct().collect()
+    return sorted(r["n"] for r in rows)
+
+
+def _grams_by_length(
+    rows: DataFrame,
+    lengths: Sequence[int],
+    keep: Sequence[str],
+    prefixes: dict[int, list[str]] | None = None,
+    positions: bool = False,
+) -> DataFrame:
+    """(keep..., [_pos,] word): the substrings of the given lengths of
+    ``_text``. Lengths are exploded first, so an array holds the substrings of
+    one length only: all of them with their positions, or the distinct ones
+    that start with a prefix of a word of that length."""
+    if not lengths:
+        nothing = rows.select(*keep, F.lit(0).alias("_pos"), F.lit(None).cast("string").alias("word")).where(F.lit(False))
+        return nothing if positions else nothing.drop("_pos")
+    patterns = [F.lit(ngram_pattern(n, (prefixes or {}).get(n, ()))) for n in lengths]
+    each = rows.select(*keep, "_text", F.explode(F.array(*patterns)).alias("_pattern"))
+    grams = F.regexp_extract_all(F.col("_text"), F.col("_pattern"), F.lit(1))
+    if positions:
+        return each.select(*keep, F.posexplode(grams).alias("_pos", "word"))
+    return each.select(*keep, F.explode(F.array_distinct(grams)).alias("word"))
 
 
 def _substring_counts_by_ngrams(
@@ -224,18 +279,22 @@ def _substring_counts_by_ngrams(
 ) -> DataFrame:
     """Substring containment for a dictionary of any size.
 
-    The candidate set of a comment is its distinct n-grams for every distinct
-    word length n (one regex pass per length, all in one projection). N-grams
-    of different lengths never collide, so one explode feeds one join and one
-    aggregation, whatever the number of lengths.
+    The candidates of a comment are its distinct n-grams for every word length
+    n, one length at a time, that begin like a word of that length (the
+    beginnings are measured, then part of the pattern). They are aggregated
+    and joined with the dictionary; beyond the broadcast limits the counts
+    are joined, not the n-grams.
     """
-    lengths = sorted(
-        r["len"]
-        for r in dictionary.select(F.length("word").alias("len")).distinct().collect()
-    )
-    if not lengths:
-        raise ValueError("dictionary is empty")
-    grams = [F.array_distinct(ngrams(text, n)) for n in lengths]
-    candidates = grams[0] if len(grams) == 1 else F.concat(*grams)
-    tokens = docs.select(*by, F.explode(candidates).alias("word"))
-    return _count_joined(tokens, dictionary, size, name, by)
+    begins = dictionary.select(
+        F.char_length("word").alias("n"), F.substring("word", 1, PREFIX).alias("p")
+    ).distinct()
+    prefixes: dict[int, list[str]] | None = None
+    if measure(begins, "p").fits(PREFIX_MAX, PATTERN_MAX_BYTES):
+        prefixes = {}
+        for r in begins.collect():
+            prefixes.setdefault(r["n"], []).append(r["p"])
+        lengths = sorted(prefixes)
+    else:
+        lengths = _word_lengths(dictionary)
+    rows = docs.select(*by, text.alias("_text"))
+    return _count_joined(_grams_by_length(rows, lengths, by, prefixes), dictionary, size, name, by)

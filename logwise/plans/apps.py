@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from logwise.operators.counts import count_by
 from logwise.operators.filters import ERROR_LEVEL, filter_levels, non_empty
-from logwise.operators.parse import line_levels, parse_log_lines, quarantine
+from logwise.operators.parse import line_levels, parse_log_lines, quarantine, timed_levels
 from logwise.operators.windows import sliding_counts
 from logwise.operators.words import Dictionary, word_document_counts
 
@@ -28,7 +28,7 @@ class LogAnalysis:
     errors: DataFrame  # records of the kept levels
     quarantined: DataFrame  # lines with fewer than three fields
     totals: DataFrame  # (log_level, n) over all lines, incomplete ones included
-    windows: DataFrame  # (ws, we, log_level, n) sliding counts by event time
+    windows: DataFrame  # (ws, we, log_level, n) sliding counts over all lines by event time
 
 
 def log_analysis(
@@ -37,7 +37,11 @@ def log_analysis(
     length: str = LOG_WINDOW,
     slide: str = LOG_SLIDE,
 ) -> LogAnalysis:
-    """All outputs of the log application from a frame of ``value`` lines."""
+    """All outputs of the log application from a frame of ``value`` lines.
+
+    Windows hold every line; one without a readable date counts at the time
+    of its file (column ``file_time``), or now if the frame has none.
+    """
     parsed = parse_log_lines(lines)
     good, bad = quarantine(parsed)
     records = good.select("log_level", "method", "content", "event_ts")
@@ -46,7 +50,7 @@ def log_analysis(
         errors=filter_levels(records, levels),
         quarantined=bad.select("value"),
         totals=count_by(line_levels(lines), "log_level"),
-        windows=sliding_counts(records.where(F.col("event_ts").isNotNull()), "event_ts", "log_level", length, slide),
+        windows=sliding_counts(timed_levels(parsed), "event_ts", "log_level", length, slide),
     )
 
 
@@ -56,11 +60,11 @@ def comment_word_counts(
     method: str = "spaces",
     text: str = "value",
     date: str | None = None,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(word, [date,] count)``: comments containing each dictionary word."""
+    """``(word, by..., [date,] count)``: comments containing each dictionary word."""
     docs = non_empty(comments, text)
-    by: tuple[str, ...] = ()
     if date is not None:
         docs = docs.withColumn("date", F.to_date(F.col(date)))
-        by = ("date",)
+        by = (*by, "date")
     return word_document_counts(docs, dictionary, text=text, method=method, name="count", by=by)

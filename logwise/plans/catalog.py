@@ -7,7 +7,6 @@ month: a 4 s / 2 s window becomes 4 h / 2 h. Every query reads whole tables.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +16,12 @@ from logwise.functions import (
     collapse_whitespace,
     epoch_millis,
     format_millis,
-    format_response,
     format_seconds,
 )
-from logwise.functions.responses import RESPONSE_PREFIX, RESPONSE_SUFFIX
+from logwise.functions.responses import HTTP_OK, RET_OK
 from logwise.operators import (
     accumulate,
     count_by,
-    enrich_with_retry,
     filter_levels,
     line_levels,
     log_records,
@@ -63,6 +60,7 @@ from logwise.streaming import (
     level_totals_query,
     sliding_counts_query,
     snapshot_at,
+    window_totals,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,8 +70,8 @@ WORD_LIST = ["the", "in", "is", "widget", "nicht", "des", "und", "la"]
 SEGMENT_WORDS = ["tion", "the", "ent", "ation", "ch", "in", "und"]
 SUBSTRING_WORDS = ["the", "in", "ch", "ü"]
 
-ERROR_SQL = "select event_id, event_type, value from alldata where event_type = 'error'"
-LOG_ERROR_SQL = "select * from alldata where log_level = '[error]'"
+ERROR_SQL = "select event_id, event_type, value from batch_rows where event_type = 'error'"
+LOG_ERROR_SQL = "select * from batch_rows where log_level = '[error]'"
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -112,7 +110,7 @@ def error_logs_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def error_logs_sql_q(spark: SparkSession, d: str) -> DataFrame:
-    return sql_over_batch(_events(spark, d), ERROR_SQL, "alldata")
+    return sql_over_batch(_events(spark, d), ERROR_SQL)
 
 
 def error_log_stream_q(spark: SparkSession, d: str) -> DataFrame:
@@ -145,14 +143,14 @@ def level_totals_from_lines_q(spark: SparkSession, d: str) -> DataFrame:
 def level_totals_stream_q(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "level_totals_stream")
     stream = table_stream(spark, d, "events")
-    q = drain(
+    drain(
         level_totals_query(
             stream, "event_type", f"{root}/out", f"{root}/ckpt", mode="complete",
             state_partitions=spark.sparkContext.defaultParallelism,
         )
     )
     schema = "event_type string, n bigint, batch_id bigint"
-    last = last_batch_id(q)
+    last = last_batch_id(spark, f"{root}/out")
     if last is None:  # nothing was processed
         return latest_per_key(spark, f"{root}/out", schema, ["event_type"], ["n"])
     return snapshot_at(spark, f"{root}/out", schema, last)  # complete mode: every key
@@ -172,18 +170,11 @@ def sliding_level_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
     stream = table_stream(spark, d, "events")
     drain(
         sliding_counts_query(
-            stream, "event_type", f"{root}/out", f"{root}/ckpt", "4 hours", "2 hours",
-            time_col="ts", watermark="1 hour", state_partitions=spark.sparkContext.defaultParallelism,
+            stream, "event_type", f"{root}/out", f"{root}/ckpt", "4 hours", "2 hours", time_col="ts"
         )
     )
-    latest = latest_per_key(
-        spark,
-        f"{root}/out",
-        "ws timestamp, we timestamp, event_type string, n bigint, batch_id bigint",
-        ["ws", "we", "event_type"],
-        ["n"],
-    )
-    return latest.select(_ntz("ws"), _ntz("we"), "event_type", "n")
+    totals = window_totals(spark, f"{root}/out", "event_type")
+    return totals.select(_ntz("ws"), _ntz("we"), "event_type", "n")
 
 
 def sliding_level_counts_3_2_q(spark: SparkSession, d: str) -> DataFrame:
@@ -216,15 +207,21 @@ def segment_dictionary_counts_q(spark: SparkSession, d: str) -> DataFrame:
     return word_document_counts(docs, SEGMENT_WORDS, text="text", method="dictionary")
 
 
+def segment_dictionary_frame_counts_q(spark: SparkSession, d: str) -> DataFrame:
+    """Forward maximum matching against a frame dictionary, all benchmark words."""
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
+    return word_document_counts(docs, _benchmark_words(spark, d), text="text", method="dictionary")
+
+
 def segment_ngrams_counts_q(spark: SparkSession, d: str) -> DataFrame:
     docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, SUBSTRING_WORDS, text="text", method="substrings")
 
 
 def segment_ngrams_dictionary_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    """Substring containment against a frame dictionary (benchmark words of up
-    to three characters): the n-gram + join plan."""
-    words = _benchmark_words(spark, d).where(F.length("word") <= 3)
+    """Substring containment against a frame dictionary, all benchmark words:
+    the n-gram + join plan."""
+    words = _benchmark_words(spark, d)
     docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, words, text="text", method="substrings")
 
@@ -245,19 +242,20 @@ def comment_word_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def monthly_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    """Per-day batches of (type, date) counts written to the contributions
-    ledger in one distributed write, the months compacted, and the monthly
-    totals read back through the compacted table."""
+    """(type, date) counts written to the contributions ledger as one batch per
+    half day, the months compacted after the mornings and again after the
+    afternoons, and the totals read back through the compacted table."""
     root = scratch_path(spark, "monthly_counts")
+    afternoon = (F.hour("ts") >= 12).cast("int")
     ev = _events(spark, d).select(
         F.col("event_type").alias("word"),
         F.to_date("ts").alias("date"),
-        F.unix_date(F.to_date("ts")).alias("batch_id"),
+        (afternoon * 1_000_000 + F.unix_date(F.to_date("ts"))).alias("batch_id"),
     )
     counts = count_by(ev, "batch_id", "word", "date", name="count")
-    rows = contributions(counts).repartition("month", "batch_id")
-    write_contributions(rows, f"{root}/ledger")
-    compact_months(spark, f"{root}/ledger", f"{root}/compacted")
+    for half in (F.col("batch_id") < 1_000_000, F.col("batch_id") >= 1_000_000):
+        write_contributions(contributions(counts.where(half)), f"{root}/ledger")
+        compact_months(spark, f"{root}/ledger", f"{root}/compacted")
     return monthly_totals(spark, f"{root}/ledger", compacted_path=f"{root}/compacted").select(
         "month", "date", "word", F.col("count").cast("bigint").alias("count")
     )
@@ -273,41 +271,28 @@ def accumulate_counts_q(spark: SparkSession, d: str) -> DataFrame:
     return accumulate(base, delta)
 
 
-def service_terms_q(spark: SparkSession, d: str) -> DataFrame:
-    """Responses as the segmentation service writes them for each document
-    (terms = whitespace tokens), then parsed, validated and split."""
-    docs = _documents(spark, d, "doc_id", "text").select(
-        "doc_id", collapse_whitespace("text").alias("terms")
-    )
-    responses = docs.select(
+def _answers(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, code, body): an answer for each document, terms being its
+    words, in a body that escapes what JSON must escape."""
+    terms = collapse_whitespace("text")
+    return _documents(spark, d, "doc_id", "text").select(
         "doc_id",
-        F.when(F.col("terms") != "", F.lit(200)).otherwise(F.lit(404)).alias("code"),
-        format_response("terms").alias("body"),
+        F.when(terms != "", F.lit(HTTP_OK)).otherwise(F.lit(404)).alias("code"),
+        F.to_json(F.struct(F.lit(RET_OK).alias("ret"), F.lit("OK").alias("msg"), terms.alias("terms"))).alias("body"),
     )
-    ok = valid_terms(responses, keep=("doc_id",))
-    return ok.select("doc_id", F.size("terms").cast("bigint").alias("n"))
-
 
-# Fixed value: the whitespace class the service splits on.
-_SERVICE_SPACE = re.compile(r"[\t\n\f\r ]+")
 
-
-def segmentation_service(text: str) -> tuple[int, str]:
-    """An in-process stand-in for the segmentation service: whitespace
-    tokens joined by one space, pasted unescaped into its response body."""
-    terms = _SERVICE_SPACE.sub(" ", text).strip(" ")
-    if not terms:
-        return 404, ""
-    return 200, RESPONSE_PREFIX + terms + RESPONSE_SUFFIX
+def service_terms_q(spark: SparkSession, d: str) -> DataFrame:
+    """Service answers of all documents parsed, validated and split."""
+    ok = valid_terms(_answers(spark, d), keep=("doc_id",))
+    return ok.select("doc_id", F.size("terms").cast("bigint").alias("n"))
 
 
 def enriched_terms_q(spark: SparkSession, d: str) -> DataFrame:
-    """Every document sent through ``enrich_with_retry`` (Arrow batches), the
-    answers parsed, validated and split into term sets."""
-    docs = _documents(spark, d, "doc_id", "text").select("doc_id", F.col("text").alias("value"))
-    answers = enrich_with_retry(docs, segmentation_service, column="value")
-    ok = valid_terms(answers, keep=("doc_id",))
-    return ok.select("doc_id", F.size("terms").cast("bigint").alias("n"))
+    """The comment pipeline on service answers: every document's answer parsed
+    and validated, its terms counted against the benchmark dictionary."""
+    ok = valid_terms(_answers(spark, d), keep=("doc_id",))
+    return word_document_counts(ok, _benchmark_words(spark, d), text="terms", method="terms")
 
 
 def format_epochs_q(spark: SparkSession, d: str) -> DataFrame:
@@ -325,10 +310,11 @@ def format_epochs_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def comment_word_counts_q(spark: SparkSession, d: str) -> DataFrame:
-    """The batch form of the comment application (date from a time column is
-    not available in documents, so counts are per word)."""
-    comments = _documents(spark, d, "doc_id", "text").select(F.col("text").alias("value"))
-    return comment_word_counts(comments, WORD_LIST, method="spaces").withColumnRenamed("count", "n")
+    """The batch form of the comment application, counts per word and language
+    (documents have no date to group by)."""
+    comments = _documents(spark, d, "doc_id", "text", "lang").select(F.col("text").alias("value"), "lang")
+    counts = comment_word_counts(comments, WORD_LIST, method="spaces", by=("lang",))
+    return counts.withColumnRenamed("count", "n")
 
 
 QUERIES: dict[str, Query] = {
@@ -349,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "comment_word_counts": comment_word_counts_q,
     "segment_spaces_counts": segment_spaces_counts_q,
     "segment_dictionary_counts": segment_dictionary_counts_q,
+    "segment_dictionary_frame_counts": segment_dictionary_frame_counts_q,
     "segment_ngrams_counts": segment_ngrams_counts_q,
     "segment_ngrams_dictionary_counts": segment_ngrams_dictionary_counts_q,
     "comment_word_counts_stream": comment_word_counts_stream_q,
@@ -384,14 +371,11 @@ _SPACE_COUNTS = (
     "where word <> '' and word in ({dictionary}) group by 1"
 )
 
+_TERMS = "select doc_id, trim(regexp_replace(text, '[\\t\\n\\x0B\\f\\r ]+', ' ', 'g')) terms from documents"
+
 _SERVICE_TERMS = (
-    "with r as (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) terms from documents), "
-    "b as (select doc_id, case when terms <> '' then 200 else 404 end code, "
-    "'{\"ret\":0, \"msg\":\"OK\", \"terms\":\"' || terms || '\"}' body from r) "
-    "select doc_id, cast(len(list_filter(list_distinct(string_split("
-    "json_extract_string(body, '$.terms'), ' ')), lambda x: x <> '')) as bigint) n from b "
-    "where code = 200 and json_valid(body) and cast(json_extract(body, '$.ret') as integer) = 0 "
-    "and json_type(body, '$.msg') = 'VARCHAR' and json_type(body, '$.terms') = 'VARCHAR'"
+    "select doc_id, cast(len(list_filter(list_distinct(string_split(terms, ' ')), lambda x: x <> '')) as bigint) n "
+    "from (" + _TERMS + ") where terms <> ''"
 )
 
 ORACLES: dict[str, str] = {
@@ -426,7 +410,11 @@ ORACLES: dict[str, str] = {
     ),
     "dictionary_words": _BENCH_WORDS,
     "word_counts": _SPACE_COUNTS.format(dictionary=_WORD_IN),
-    "comment_word_counts": _SPACE_COUNTS.format(dictionary=_WORD_IN),
+    "comment_word_counts": (
+        "select word, lang, count(distinct doc_id) n from ("
+        "select doc_id, lang, unnest(string_split(text, ' ')) word from documents) "
+        f"where word in ({_WORD_IN}) group by all"
+    ),
     "segment_spaces_counts": _SPACE_COUNTS.format(dictionary=_BENCH_WORDS),
     "comment_word_counts_stream": _SPACE_COUNTS.format(dictionary=_BENCH_WORDS),
     "segment_dictionary_counts": (
@@ -434,6 +422,12 @@ ORACLES: dict[str, str] = {
         "unnest(regexp_extract_all(text, '(ation|tion|ent|the|und|ch|in)', 1)) word "
         "from documents) group by 1"
     ),
+    "segment_dictionary_frame_counts": (
+        "with b as (" + _BENCH_WORDS + "), p as (select '(' || string_agg(regexp_escape(word), '|' "
+        "order by length(word) desc, word) || ')' as pat from b) "
+        "select word, count(*) n from (select distinct doc_id, "
+        "unnest(regexp_extract_all(text, pat, 1)) word from documents, p) group by 1"
+    ),
     "segment_ngrams_counts": (
         "select word, count(*) n from documents join (values ('the'), ('in'), ('ch'), ('ü')) t(word) "
         "on contains(text, word) group by 1"
@@ -441,7 +435,7 @@ ORACLES: dict[str, str] = {
     "segment_ngrams_dictionary_counts": (
         "select t.word, count(*) n from documents d join ("
         + _BENCH_WORDS
-        + ") t on length(t.word) <= 3 and contains(d.text, t.word) group by 1"
+        + ") t on contains(d.text, t.word) group by 1"
     ),
     "monthly_counts": (
         "select strftime(ts, '%Y%m') as month, cast(ts as date) date, event_type word, "
@@ -451,7 +445,10 @@ ORACLES: dict[str, str] = {
         "select event_type word, cast(ts as date) date, count(*) count from events group by all"
     ),
     "service_terms": _SERVICE_TERMS,
-    "enriched_terms": _SERVICE_TERMS,
+    "enriched_terms": (
+        "select word, count(*) n from (select distinct doc_id, unnest(string_split(terms, ' ')) word "
+        "from (" + _TERMS + ")) where word <> '' and word in (" + _BENCH_WORDS + ") group by 1"
+    ),
     "format_epochs": (
         "select event_id, strftime(ts, '%Y%m') m, strftime(ts, '%Y-%m-%d') d, "
         "strftime(ts, '%Y-%m-%d') d2 from events"

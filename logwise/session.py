@@ -52,6 +52,11 @@ def build_session(
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process (not so for ``local-cluster``)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
@@ -63,7 +68,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder on a cluster"
             )
@@ -98,13 +103,8 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = checkpoint_root(spark)
-    if "://" in root and not root.startswith("file:"):
-        # addPyFile serves the file from the driver; only its build is local
-        out_dir = tempfile.mkdtemp(prefix="logwise-pyfiles-")
-    else:
-        out_dir = os.path.join(root.removeprefix("file:"), f"logwise-pyfiles-{uuid.uuid4().hex}")
-        os.makedirs(out_dir, exist_ok=True)
+    # addPyFile serves the file from the driver; only its build is local
+    out_dir = tempfile.mkdtemp(prefix="logwise-pyfiles-")
     target = os.path.join(out_dir, "logwise.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(pkg_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwise.schemas import CONTRIBUTION
+from logwise.sources.storage import is_folder, matching_folders, newest_number, remove_folder
 
 # Fixed value: the month a count belongs to, as in the per-month table names.
 MONTH_FORMAT = "yyyyMM"
@@ -34,10 +35,22 @@ def contributions(
     )
 
 
-def write_contributions(rows: DataFrame, path: str) -> None:
-    """Write ledger rows; partitions already there for the same (month, batch) are replaced."""
+def write_contributions(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Write ledger rows; partitions already there for the same (month, batch)
+    are replaced.
+
+    With ``batch_id`` (rows of one batch) months that an earlier attempt of
+    the batch wrote and this one does not touch are removed first. Rows are
+    rebalanced by (month, batch), so a small batch writes one file a month and
+    the adaptive planner splits a large one over tasks.
+    """
+    spark = rows.sparkSession
+    if batch_id is not None:
+        for folder in matching_folders(spark, f"{path.rstrip('/')}/month=*/batch_id={int(batch_id)}"):
+            remove_folder(spark, folder)
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", "month", "batch_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month", "batch_id")
         .parquet(path)
@@ -45,39 +58,67 @@ def write_contributions(rows: DataFrame, path: str) -> None:
 
 
 def read_contributions(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger with its fixed schema (inference would make ``month`` an INT)."""
+    """The ledger with its fixed schema (inference would make ``month`` an
+    INT); no rows if nothing has been written yet."""
+    if not is_folder(spark, path):
+        return spark.createDataFrame([], CONTRIBUTION)
     return spark.read.schema(CONTRIBUTION).parquet(path)
 
 
 COMPACTED = "word string, date date, count bigint, through_batch bigint, month string"
 
 
+def _read_compacted(spark: SparkSession, compacted_path: str | None) -> tuple[DataFrame | None, int]:
+    """(rows of the newest finished version or None, its number or 0)."""
+    version = newest_number(spark, compacted_path, "version", finished=True) if compacted_path else None
+    if version is None:
+        return None, 0
+    return spark.read.schema(COMPACTED).parquet(f"{compacted_path}/version={version}"), version
+
+
+def _after(ledger: DataFrame, done: DataFrame | None) -> DataFrame:
+    """Ledger rows that are not folded into ``done`` yet."""
+    if done is None:
+        return ledger
+    marks = done.groupBy("month").agg(F.max("through_batch").alias("through_batch"))  # one row per month
+    return (
+        ledger.join(marks, "month", "left")
+        .where(F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch")))
+        .drop("through_batch")
+    )
+
+
 def compact_months(
     spark: SparkSession, path: str, compacted_path: str, months: list[str] | None = None
 ) -> None:
     """Fold the contributions of (closed) months into one totals table.
 
     A stream that runs for months leaves one ledger partition per batch.
-    Compaction writes, per month, the totals and ``through_batch`` (the last
-    batch folded in) into ``compacted_path`` partitioned by month (dynamic
-    overwrite, so compacting a month again replaces it). Readers then take
-    that month from the compacted table plus only the ledger batches after
-    ``through_batch``; the folded ledger partitions may be deleted afterwards.
-    Compact a month again only while its ledger partitions still exist.
+    Compaction adds the ledger batches after each month's ``through_batch``
+    (the last batch folded in so far) to the totals it already has, and writes
+    the result as a new version folder below ``compacted_path``. Readers take
+    the newest version whose write was committed, so a failed compaction
+    changes nothing. Folded ledger partitions and older versions may be
+    deleted afterwards; compacting again keeps what they held.
     ``months=None`` compacts every month in the ledger.
     """
-    rows = read_contributions(spark, path)
+    done, version = _read_compacted(spark, compacted_path)
+    fresh = _after(read_contributions(spark, path), done)
     if months is not None:
-        rows = rows.where(F.col("month").isin(*months))
-    marks = rows.groupBy("month").agg(F.max("batch_id").alias("through_batch"))
+        fresh = fresh.where(F.col("month").isin(*months))
+    rows = fresh.select("month", "date", "word", "count", "batch_id")
+    if done is not None:
+        rows = rows.unionByName(
+            done.select("month", "date", "word", "count", F.col("through_batch").alias("batch_id"))
+        )
+    marks = rows.groupBy("month").agg(F.max("batch_id").alias("through_batch"))  # one row per month
     totals = rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))
     (
-        totals.join(F.broadcast(marks), "month")  # one row per month
+        totals.join(marks, "month")
         .select("word", "date", "count", "through_batch", "month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(compacted_path)
+        .hint("rebalance", "month")
+        .write.partitionBy("month")
+        .parquet(f"{compacted_path}/version={version + 1}")
     )
 
 
@@ -89,18 +130,10 @@ def monthly_totals(
     With ``compacted_path``, compacted months come from there and the ledger
     adds only batches after each month's ``through_batch`` (late data).
     """
-    ledger = read_contributions(spark, path).select("month", "date", "word", "count", "batch_id")
-    parts = None
-    if compacted_path is not None:
-        done = spark.read.schema(COMPACTED).parquet(compacted_path)
-        marks = done.select("month", "through_batch").distinct()  # one row per month
-        ledger = ledger.join(F.broadcast(marks), "month", "left").where(
-            F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch"))
-        )
-        parts = done.select("month", "date", "word", "count")
-    rows = ledger.select("month", "date", "word", "count")
-    if parts is not None:
-        rows = rows.unionByName(parts)
+    done, _ = _read_compacted(spark, compacted_path)
+    rows = _after(read_contributions(spark, path), done).select("month", "date", "word", "count")
+    if done is not None:
+        rows = rows.unionByName(done.select("month", "date", "word", "count"))
     if months:
         rows = rows.where(F.col("month").isin(*months))
     return rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))

@@ -3,30 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logwise.settings import CONSOLE_ROWS
+from logwise.sources.storage import is_folder
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Write one batch as partition ``batch_id=<id>``.
 
-    Written also when the batch is empty (the partition then holds no rows).
-    Writing the same batch id again replaces the partition, so a replay after a
-    failure does not duplicate rows.
+    The folder of the partition is overwritten as a whole: an empty batch
+    leaves a partition without rows, and a replay replaces what an earlier
+    attempt wrote, also when the replay has no rows.
     """
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .format(fmt)
-        .save(path)
-    )
+    df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 def read_batches(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """All appended batches; ``schema`` must include ``batch_id BIGINT``."""
+    """All appended batches; ``schema`` must include ``batch_id BIGINT``. No
+    rows if no batch has been written yet."""
+    if not is_folder(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).format(fmt).load(path)
 
 

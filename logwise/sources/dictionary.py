@@ -10,15 +10,17 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logwise.operators.sizing import Size, measure
+from logwise.operators.words import dictionary_words
 from logwise.session import checkpoint_root
 from logwise.settings import DICTIONARY_TTL_MS
 
 log = logging.getLogger(__name__)
 
 DEFAULT_TTL_MS = DICTIONARY_TTL_MS
+# Version name of the dictionary that stands in for one that failed to load.
+EMPTY = "empty"
 
 
 def load_words(
@@ -40,8 +42,7 @@ def load_words(
         src = spark.read.jdbc(jdbc_url, table, properties=properties or {})
     else:
         raise ValueError("give path, jdbc_url or frame")
-    w = F.col(column)
-    return src.select(w.alias("word")).where(w.isNotNull() & (w != "")).distinct()
+    return dictionary_words(src, column)
 
 
 def _now_ms() -> int:
@@ -113,6 +114,8 @@ class RefreshingDictionary:
     # -- snapshots -----------------------------------------------------------
 
     def _read_version(self, version: str) -> Snapshot:
+        if version == EMPTY:
+            return self._empty()
         words = self._spark.read.schema("word string").parquet(f"{self.store_path}/snapshots/version={version}")
         return Snapshot(words, measure(words), version)
 
@@ -133,7 +136,7 @@ class RefreshingDictionary:
         return snap
 
     def _empty(self) -> Snapshot:
-        return Snapshot(self._spark.createDataFrame([], "word string"), Size(0, 0), "empty")
+        return Snapshot(self._spark.createDataFrame([], "word string"), Size(0, 0), EMPTY)
 
     def refresh(self) -> DataFrame:
         now = self._clock()
@@ -180,7 +183,7 @@ class RefreshingDictionary:
             self._resume(batch_id)
         before = self._snap
         snap = self.current_snapshot()
-        if snap is not before and snap.version != "empty":
+        if snap is not before:
             self._spark.createDataFrame(
                 [(snap.version, self.loaded_at)], "version string, loaded_at long"
             ).coalesce(1).write.mode("overwrite").parquet(f"{self.store_path}/pins/first_batch={batch_id}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logwise import schemas
+from logwise.sources.storage import is_folder
 
 _SCHEMAS = {"events": schemas.EVENTS, "documents": schemas.DOCUMENTS}
 
@@ -25,10 +26,13 @@ def table_stream(
 ) -> DataFrame:
     """The same table as a streaming file source (new files become batches).
 
-    Files in ``data_dir`` are filtered by name so only ``<name>.parquet`` (or
-    ``<name>.parquet/part-*`` in a folder of that name) is read.
+    A table stored as a folder of part files is watched as that folder; of a
+    single file, the folder around it is watched for that name only.
     """
     reader = spark.readStream.schema(_SCHEMAS[name])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    if is_folder(spark, path):
+        return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(data_dir)

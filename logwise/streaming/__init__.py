@@ -1,8 +1,16 @@
 """Structured Streaming forms of the two applications."""
 
-from logwise.streaming.apps import LogAnalysisQueries, start_comment_word_counts, start_log_analysis
+from logwise.streaming.apps import start_comment_word_counts, start_log_analysis
 from logwise.streaming.comments import batch_word_counts, comment_counts_query
-from logwise.streaming.logs import error_log_query, level_totals_query, sliding_counts_query
+from logwise.streaming.logs import (
+    error_log_query,
+    level_snapshots,
+    level_totals,
+    level_totals_query,
+    log_analysis_query,
+    sliding_counts_query,
+    window_totals,
+)
 from logwise.streaming.runner import (
     compact_latest,
     console_query,
@@ -14,9 +22,9 @@ from logwise.streaming.runner import (
 )
 
 __all__ = [
-    "LogAnalysisQueries",
     "start_comment_word_counts",
     "start_log_analysis",
+    "window_totals",
     "batch_word_counts",
     "compact_latest",
     "console_query",
@@ -26,7 +34,10 @@ __all__ = [
     "last_batch_id",
     "latest_per_key",
     "snapshot_at",
+    "level_snapshots",
+    "level_totals",
     "level_totals_query",
+    "log_analysis_query",
     "sliding_counts_query",
     "start",
 ]

@@ -1,36 +1,23 @@
 """The two applications started as Structured Streaming jobs.
 
-``start_log_analysis`` watches a folder of log files and runs the three
-queries of the log application over it (error records to a table, running
-totals per level, sliding counts per level); ``start_comment_word_counts``
-runs the comment word count over any comment stream. Every query has its own
-checkpoint folder below ``checkpoint_dir``; restarting with the same folders
-continues from the stored offsets and state.
+``start_log_analysis`` watches a folder of log files and writes error records,
+incomplete lines, counts per level and sliding counts per level;
+``start_comment_word_counts`` runs the comment word count over any comment
+stream. Restarting with the same checkpoint folder continues from the stored
+offsets.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from logwise.operators.parse import log_records
+from logwise.operators.enrich import Fetch
 from logwise.settings import COMMENT_BATCH, LOG_BATCH, LOG_SLIDE, LOG_WINDOW
 from logwise.sources.dictionary import RefreshingDictionary
 from logwise.sources.logs import log_lines
 from logwise.streaming.comments import comment_counts_query
-from logwise.streaming.logs import error_log_query, level_totals_query, sliding_counts_query
-
-
-@dataclass
-class LogAnalysisQueries:
-    errors: StreamingQuery
-    totals: StreamingQuery
-    windows: StreamingQuery
-
-    def all(self) -> list[StreamingQuery]:
-        return [self.errors, self.totals, self.windows]
+from logwise.streaming.logs import log_analysis_query
 
 
 def start_log_analysis(
@@ -41,25 +28,11 @@ def start_log_analysis(
     trigger: str | None = LOG_BATCH,
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
-    watermark: str = "10 minutes",
-) -> LogAnalysisQueries:
-    """Start the three log queries; ``trigger=None`` drains what is there and stops."""
-
-    def lines() -> DataFrame:
-        return log_lines(spark, logs_dir, stream=True, glob=glob, max_files_per_trigger=max_files_per_trigger)
-
-    levels = lines().selectExpr("get(split(regexp_replace(value, '\\t+$', ''), '\\t'), 0) as log_level")
-    return LogAnalysisQueries(
-        errors=error_log_query(
-            lines(), f"{out_dir}/errors", f"{checkpoint_dir}/errors",
-            quarantine_path=f"{out_dir}/quarantine", trigger=trigger,
-        ),
-        totals=level_totals_query(levels, "log_level", f"{out_dir}/totals", f"{checkpoint_dir}/totals", trigger=trigger),
-        windows=sliding_counts_query(
-            log_records(lines()), "log_level", f"{out_dir}/windows", f"{checkpoint_dir}/windows",
-            LOG_WINDOW, LOG_SLIDE, watermark=watermark, trigger=trigger,
-        ),
-    )
+) -> StreamingQuery:
+    """Start the log application; ``trigger=None`` drains what is there and
+    stops. One query lists, reads and parses the folder for all outputs."""
+    lines = log_lines(spark, logs_dir, stream=True, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    return log_analysis_query(lines, out_dir, f"{checkpoint_dir}/logs", LOG_WINDOW, LOG_SLIDE, trigger=trigger)
 
 
 def start_comment_word_counts(
@@ -70,8 +43,15 @@ def start_comment_word_counts(
     trigger: str | None = COMMENT_BATCH,
     method: str = "spaces",
     time_col: str | None = "timestamp",
+    fetch: Fetch | None = None,
+    error_dir: str | None = None,
 ) -> StreamingQuery:
-    """Start the comment word count; read totals with ``sinks.monthly_totals``."""
+    """Start the comment word count; read totals with ``sinks.monthly_totals``.
+
+    With ``fetch``, comments are sent to a segmentation service and its terms
+    are counted; comments that got no valid answer go to ``error_dir``.
+    """
     return comment_counts_query(
-        comments, dictionary, ledger_dir, checkpoint_dir, method=method, time_col=time_col, trigger=trigger
+        comments, dictionary, ledger_dir, checkpoint_dir, method=method, time_col=time_col, trigger=trigger,
+        fetch=fetch, error_path=error_dir,
     )

@@ -17,8 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logwise.operators.balance import spread
 from logwise.operators.filters import non_empty
-from logwise.operators.words import AUTOMATON_MAX_BYTES, AUTOMATON_MAX_WORDS, word_document_counts
+from logwise.operators.enrich import Fetch, enrich_with_retry
+from logwise.operators.responses import failed_answers, valid_terms
+from logwise.operators.words import PATTERN_MAX_BYTES, PATTERN_MAX_WORDS, word_document_counts
 from logwise.sinks.ledger import contributions, write_contributions
+from logwise.sinks.tables import append_batch
 from logwise.sources.dictionary import RefreshingDictionary
 from logwise.streaming.runner import start
 
@@ -36,19 +39,20 @@ def batch_word_counts(
 
     The date comes from ``time_col`` (the message time) or, when it is None,
     from ``batch_time`` (the wall clock at processing, as a receiver would).
-    ``partitions``: a number repartitions the comments round-robin before
+    With method ``terms`` the batch has an array column ``terms`` instead of
+    ``value``. ``partitions``: a number repartitions the comments round-robin before
     segmentation; ``"auto"`` does so only when the batch has fewer partitions
     than the cluster has task slots; None never.
     """
     snap = dictionary.current_snapshot() if batch_id is None else dictionary.for_batch(batch_id)
     words = snap.words
-    if method != "spaces":
-        # collected once per snapshot: the matcher (broadcast + automaton) of
-        # an unchanged dictionary is reused by every batch
-        listed = snap.word_list(AUTOMATON_MAX_WORDS, AUTOMATON_MAX_BYTES)
+    if method == "dictionary":
+        # collected once per snapshot, if it is small enough for a pattern
+        listed = snap.word_list(PATTERN_MAX_WORDS, PATTERN_MAX_BYTES)
         if listed is not None:
             words = listed
-    docs = non_empty(df, "value")
+    text = "terms" if method == "terms" else "value"
+    docs = df if method == "terms" else non_empty(df, "value")
     if partitions == "auto":
         docs = spread(docs)
     elif partitions:
@@ -57,9 +61,9 @@ def batch_word_counts(
         date = F.to_date(F.col(time_col))
     else:
         date = F.lit((batch_time or dt.datetime.now(dt.timezone.utc)).date())
-    docs = docs.select("value", date.alias("date"))
+    docs = docs.select(text, date.alias("date"))
     return word_document_counts(
-        docs, words, text="value", method=method, name="count", size=snap.size, by=("date",)
+        docs, words, text=text, method=method, name="count", size=snap.size, by=("date",)
     )
 
 
@@ -72,9 +76,16 @@ def comment_counts_query(
     time_col: str | None = "timestamp",
     partitions: int | str | None = "auto",
     trigger: str | None = None,
+    fetch: Fetch | None = None,
+    error_path: str | None = None,
 ) -> StreamingQuery:
     """Start the comment word count stream; totals via ``monthly_totals``.
 
+    With ``fetch``, every comment is sent to a segmentation service (up to
+    three tries) and the terms of its answer are counted (method ``terms``).
+    Comments without a valid answer are appended to ``error_path``, one
+    partition per batch, with their time and the answer or error.
+
     ``time_col=None`` dates each comment by the time of its micro-batch, as a
     receiver would. That time is ``current_timestamp()`` of the stream, which
     Spark records in the offset log per batch and reuses when a batch is
@@ -95,15 +106,29 @@ def comment_counts_query(
         F.sum(F.when(F.coalesce(F.length("value"), F.lit(0)) == 0, 1).otherwise(0)).alias("empty"),
     )
 
-    def per_batch(df: DataFrame, batch_id: int) -> None:
+    def count(df: DataFrame, batch_id: int, by_method: str, spread_to: int | str | None) -> None:
         counts = batch_word_counts(
             df,
             dictionary,
-            method=method,
+            method=by_method,
             time_col=time_col,
-            partitions=partitions,
+            partitions=spread_to,
             batch_id=batch_id,
         )
-        write_contributions(contributions(counts, batch_id), ledger_path)
+        write_contributions(contributions(counts, batch_id), ledger_path, batch_id)
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        if fetch is None:
+            count(df, batch_id, method, partitions)
+            return
+        sent = spread(df) if partitions == "auto" else df
+        # two outputs read the answers: ask the service once
+        answers = enrich_with_retry(sent, fetch, keep=(time_col,)).persist()
+        try:
+            count(valid_terms(answers, keep=(time_col,)), batch_id, "terms", None)
+            if error_path:
+                append_batch(failed_answers(answers, keep=(time_col,)), error_path, batch_id)
+        finally:
+            answers.unpersist()
 
     return start(comments.writeStream.foreachBatch(per_batch), checkpoint, trigger)

@@ -1,25 +1,26 @@
 """Log analysis as Structured Streaming queries.
 
-Three independent queries over the same line stream, each with its own
-checkpoint: error records to a table, running totals per level, and sliding
-window counts per level. State lives in the state store (touched keys only)
-and every sink writes one partition per batch id, so a replay after a failure
-replaces what the failed attempt wrote.
+:func:`log_analysis_query` writes all outputs of the log application from one
+scan; the other queries write one of them each. Counts that add up are written
+per batch and summed by their readers, so they need no state and lose no late
+line; running totals can also be kept in the state store. Every sink writes
+one partition per batch id, so a replay after a failure replaces what the
+failed attempt wrote.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logwise.operators.counts import count_by
+from logwise.operators.counts import count_by, total_snapshots
 from logwise.operators.filters import ERROR_LEVEL, filter_levels, sql_over_batch
-from logwise.operators.parse import parse_log_lines, quarantine
+from logwise.operators.parse import parse_log_lines, quarantine, timed_levels
 from logwise.operators.windows import sliding_counts
-from logwise.sinks.tables import append_batch
+from logwise.sinks.tables import append_batch, read_batches
 from logwise.streaming.runner import start
 
 RECORD_OUT = ("log_level", "method", "content", "event_ts")
@@ -37,9 +38,9 @@ def error_log_query(
 ) -> StreamingQuery:
     """Parse each batch of ``value`` lines, keep the given levels, append.
 
-    ``sql`` (optional) runs against the records registered as view
-    ``alldata`` instead of the level filter, e.g. ``select * from alldata
-    where log_level='[error]'``. Incomplete lines go to ``quarantine_path``.
+    ``sql`` (optional) runs over the records, named ``batch_rows``, instead of
+    the level filter, e.g. ``select * from batch_rows where
+    log_level='[error]'``. Incomplete lines go to ``quarantine_path``.
 
     ``sink='batches'`` writes one partition per batch id from
     ``foreachBatch`` (a replay replaces its partition; needed for the
@@ -57,7 +58,7 @@ def error_log_query(
         if quarantine_path:
             raise ValueError("quarantine_path needs sink='batches'")
         records = quarantine(parsed)[0].select(*RECORD_OUT)
-        kept = sql_over_batch(records, sql, "alldata") if sql else filter_levels(records, levels)
+        kept = sql_over_batch(records, sql) if sql else filter_levels(records, levels)
         writer = kept.writeStream.format("parquet").option("path", out_path).outputMode("append")
         return start(writer, checkpoint, trigger)
     if sink != "batches":
@@ -70,7 +71,7 @@ def error_log_query(
             good, bad = quarantine(shared)
             records = good.select(*RECORD_OUT)
             if sql:
-                kept = sql_over_batch(records, sql, "alldata")
+                kept = sql_over_batch(records, sql)
             else:
                 kept = filter_levels(records, levels)
             append_batch(kept, out_path, batch_id)
@@ -120,43 +121,119 @@ def sliding_counts_query(
     length: str,
     slide: str,
     time_col: str | None = "event_ts",
-    watermark: str = "10 minutes",
+    watermark: str | None = None,
     trigger: str | None = None,
-    sink: str = "updates",
+    sink: str = "contributions",
     state_partitions: int | None = None,
     state_store: str | None = None,
 ) -> StreamingQuery:
-    """Counts per (window, key) with an event-time watermark.
-
-    ``time_col=None`` uses arrival time (the batch time) instead, like a
-    receiver-side window: replays then give different windows. With event
-    time, rows older than the watermark are dropped and their windows' state
-    is evicted, which bounds the state store.
-
-    ``sink='updates'``: update mode; every batch writes the windows it changed
-    to its own partition (read the current values with ``latest_per_key``).
-    ``sink='files'``: append mode into Spark's parquet file sink; each window
-    is written once, when the watermark has passed its end (windows still
-    open when the stream stops are not written).
+    """Counts per (window, key).
+
+    ``sink='contributions'``: window counts are additive, so every batch
+    writes the counts of its own rows as a partition and
+    :func:`window_totals` sums them. There is no state and no watermark: a
+    line counts in its window however late it comes, and a replayed batch
+    replaces its partition.
+
+    ``time_col=None`` uses arrival time (the batch time, which the offset log
+    keeps for replays) instead of event time.
+
+    The stateful forms drop rows older than ``watermark``, which must be given
+    for them: ``sink='updates'`` writes the windows a batch changed (read with
+    ``latest_per_key``); ``sink='files'`` writes each window once to Spark's
+    parquet file sink when the watermark has passed its end.
     """
     if time_col is None:
         stream = stream.withColumn("_arrival", F.current_timestamp())
         time_col = "_arrival"
-        watermark = "0 seconds"
+        watermark = watermark or "0 seconds"
     else:
         stream = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    if sink == "contributions":
+
+        def per_batch(df: DataFrame, batch_id: int) -> None:
+            append_batch(sliding_counts(df, time_col, key, length, slide), out_path, batch_id)
+
+        return start(stream.select(time_col, key).writeStream.foreachBatch(per_batch), checkpoint, trigger)
+    if sink not in ("updates", "files"):
+        raise ValueError(f"unknown sink {sink!r}")
+    if watermark is None:
+        raise ValueError(f"sink={sink!r} drops late rows; give its watermark")
     counts = sliding_counts(stream.withWatermark(time_col, watermark), time_col, key, length, slide)
     spark = stream.sparkSession
     if sink == "files":
         writer = counts.writeStream.format("parquet").option("path", out_path).outputMode("append")
-        return start(
-            writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions, state_store=state_store
+    else:
+        writer = counts.writeStream.outputMode("update").foreachBatch(
+            lambda df, batch_id: append_batch(df, out_path, batch_id)
         )
-    if sink != "updates":
-        raise ValueError(f"unknown sink {sink!r}")
-    writer = counts.writeStream.outputMode("update").foreachBatch(
-        lambda df, batch_id: append_batch(df, out_path, batch_id)
-    )
     return start(
         writer, checkpoint, trigger, spark=spark, state_partitions=state_partitions, state_store=state_store
     )
+
+
+def window_totals(spark: SparkSession, path: str, key: str, name: str = "n") -> DataFrame:
+    """(ws, we, key, n): the windows of a ``contributions`` sink, all batches."""
+    rows = read_batches(spark, path, f"ws timestamp, we timestamp, `{key}` string, `{name}` bigint, batch_id bigint")
+    return rows.groupBy("ws", "we", key).agg(F.sum(name).alias(name))
+
+
+LEVEL_ROWS = "log_level string, n bigint, batch_id bigint"
+
+
+def level_totals(spark: SparkSession, path: str, through: int | None = None) -> DataFrame:
+    """(log_level, n) over the batches of :func:`log_analysis_query` up to
+    ``through`` (all without it)."""
+    rows = read_batches(spark, path, LEVEL_ROWS)
+    if through is not None:
+        rows = rows.where(F.col("batch_id") <= through)
+    return rows.groupBy("log_level").agg(F.sum("n").alias("n"))
+
+
+def level_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_id, log_level, n): the running count of every level after each
+    batch of :func:`log_analysis_query`."""
+    return total_snapshots(read_batches(spark, path, LEVEL_ROWS), "log_level", "batch_id", "n", weight="n")
+
+
+def log_analysis_query(
+    lines: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    length: str,
+    slide: str,
+    levels: Sequence[str] = (ERROR_LEVEL,),
+    sql: str | None = None,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """All outputs of the log application from one scan of the lines.
+
+    Each batch is parsed once and kept while four partitions are written:
+    ``errors`` (complete records of the given levels, or of ``sql`` over
+    ``batch_rows``), ``quarantine`` (incomplete lines), ``levels`` (counts of
+    every line's level) and ``windows`` (sliding counts of every line). The
+    counts are contributions per batch, so a replay replaces them; read them
+    with :func:`level_totals`, :func:`level_snapshots`, :func:`window_totals`.
+    """
+    parsed = parse_log_lines(lines).observe(
+        "log_lines",
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.when(F.col("n_fields") < 3, 1).otherwise(0)).alias("quarantined"),
+    )
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        shared = df.persist()
+        try:
+            good, bad = quarantine(shared)
+            records = good.select(*RECORD_OUT)
+            kept = sql_over_batch(records, sql) if sql else filter_levels(records, levels)
+            append_batch(kept, f"{out_dir}/errors", batch_id)
+            append_batch(bad.select("value"), f"{out_dir}/quarantine", batch_id)
+            timed = timed_levels(shared)
+            append_batch(count_by(timed, "log_level"), f"{out_dir}/levels", batch_id)
+            windows = sliding_counts(timed, "event_ts", "log_level", length, slide)
+            append_batch(windows, f"{out_dir}/windows", batch_id)
+        finally:
+            shared.unpersist()
+
+    return start(parsed.writeStream.foreachBatch(per_batch), checkpoint, trigger)

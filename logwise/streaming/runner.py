@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from logwise.settings import CONSOLE_ROWS
+from logwise.sinks.tables import read_batches
+from logwise.sources.storage import newest_number
 
 
 # Fixed value: the state store Spark ships for large state (kept off-heap).
@@ -89,16 +91,25 @@ def latest_per_key(
     With ``compacted_path`` (written by :func:`compact_latest`), the folded
     batches come from there and the ledger adds only later batches.
     """
-    ledger = spark.read.schema(schema).parquet(path)
+    ledger = read_batches(spark, path, schema)
     cols = [*keys, *values, "batch_id"]
-    if compacted_path is not None:
-        done = spark.read.parquet(compacted_path)
-        through = done.select(F.max("through_batch")).scalar()
-        ledger = ledger.where(F.col("batch_id") > through).select(*cols).unionByName(done.select(*cols))
+    done, through, _ = _folded(spark, compacted_path)
+    if done is not None:
+        ledger = ledger.where(F.col("batch_id") > F.lit(through)).select(*cols).unionByName(done.select(*cols))
     aggs = [F.max_by(F.col(v), F.col("batch_id")).alias(v) for v in values]
     return ledger.groupBy(*keys).agg(*aggs)
 
 
+def _folded(spark: SparkSession, compacted_path: str | None) -> tuple[DataFrame | None, int, int]:
+    """(rows, last batch folded in, number) of the newest finished version."""
+    version = newest_number(spark, compacted_path, "version", finished=True) if compacted_path else None
+    if version is None:
+        return None, -1, 0
+    done = spark.read.parquet(f"{compacted_path}/version={version}")
+    through = done.agg(F.max("through_batch")).first()[0]
+    return done, -1 if through is None else int(through), version
+
+
 def compact_latest(
     spark: SparkSession,
     path: str,
@@ -112,22 +123,27 @@ def compact_latest(
 
     A stream that runs for months writes one partition per batch; after
     compaction readers scan the compacted rows and only the newer batches
-    (``latest_per_key(..., compacted_path=...)``), and the folded partitions
-    may be dropped. Run it between batches of the stream (a maintenance job):
-    it rewrites the compacted table from the ledger, so keep the ledger's
-    folded partitions until the rewrite has finished.
+    (``latest_per_key(..., compacted_path=...)``). The rows folded earlier and
+    the newer batches make a new version folder; readers take the newest one
+    that is complete. Folded partitions and older versions may be dropped.
     """
-    ledger = spark.read.schema(schema).parquet(path)
+    done, through, version = _folded(spark, compacted_path)
+    cols = [*keys, *values, "batch_id"]
+    rows = read_batches(spark, path, schema).where(F.col("batch_id") > F.lit(through)).select(*cols)
+    if done is not None:
+        rows = rows.unionByName(done.select(*cols))
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return  # nothing written yet
     aggs = [F.max_by(F.col(v), F.col("batch_id")).alias(v) for v in values]
-    latest = ledger.groupBy(*keys).agg(*aggs, F.max("batch_id").alias("batch_id"))
-    through = ledger.select(F.max("batch_id")).scalar()
-    latest.withColumn("through_batch", through).write.mode("overwrite").parquet(compacted_path)
+    latest = rows.groupBy(*keys).agg(*aggs, F.max("batch_id").alias("batch_id"))
+    latest = latest.withColumn("through_batch", F.lit(max(int(newest), through)).cast("bigint"))
+    latest.write.parquet(f"{compacted_path}/version={version + 1}")
 
 
-def last_batch_id(query: StreamingQuery) -> int | None:
-    """Id of the last micro-batch the query ran, from its progress reports."""
-    progress = query.lastProgress
-    return None if progress is None else int(progress["batchId"])
+def last_batch_id(spark: SparkSession, path: str) -> int | None:
+    """Id of the newest batch in a sink; None if nothing has been written."""
+    return newest_number(spark, path, "batch_id")
 
 
 def snapshot_at(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
@@ -136,7 +152,7 @@ def snapshot_at(spark: SparkSession, path: str, schema: str, batch_id: int) -> D
     Reads a single ``batch_id`` partition (partition pruning), so the cost is
     the number of keys, not keys x batches as with ``latest_per_key``.
     """
-    return spark.read.schema(schema).parquet(path).where(F.col("batch_id") == F.lit(batch_id)).drop("batch_id")
+    return read_batches(spark, path, schema).where(F.col("batch_id") == F.lit(batch_id)).drop("batch_id")
 
 
 def console_query(

@@ -5,14 +5,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from logwise.__main__ import run
-from logwise.streaming import latest_per_key
+from logwise.streaming import level_totals
 from conftest import rows, write_lines
 
 
 def test_cli_logs_once(spark, tmp):
     write_lines(f"{tmp}/in", "a.log", ["[error]\tmain\tDate:20200606215836"] * 2 + ["[info]\tx\tDate:20200606215837"])
     assert run(["logs", "--input", f"{tmp}/in", "--output", f"{tmp}/out", "--checkpoint", f"{tmp}/ck", "--once"], spark) == 0
-    totals = latest_per_key(spark, f"{tmp}/out/totals", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"])
+    totals = level_totals(spark, f"{tmp}/out/levels")
     assert rows(totals) == [("[error]", 2), ("[info]", 1)]
 
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from logwise.operators import count_by, sliding_counts, total_snapshots, tumbling_counts
+from logwise.operators import count_by, sliding_counts, total_intervals, total_snapshots, tumbling_counts
 from logwise.plans import log_analysis
 from conftest import rows
 
@@ -107,3 +107,12 @@ def test_snapshots_reject_streams_with_a_pointer(spark):
     s = spark.readStream.format("rate").load().selectExpr("value % 3 as k", "value as batch")
     with pytest.raises(ValueError, match="level_totals_query"):
         total_snapshots(s, "k", "batch")
+
+
+def test_snapshots_with_null_keys_and_weights(spark):
+    data = [("a", 1, 2), (None, 1, 1), (None, 4, 5), ("a", 3, 1), ("b", None, 9)]
+    df = spark.createDataFrame(data, "k string, b int, w long")
+    count = {(r.b, r.k): r.total for r in total_snapshots(df, "k", "b").collect()}
+    assert count == {(1, "a"): 1, (2, "a"): 1, (3, "a"): 2, (4, "a"): 2, (1, None): 1, (2, None): 1, (3, None): 1, (4, None): 2}
+    spans = sorted(map(tuple, total_intervals(df, "k", "b", weight="w", block=2).collect()), key=str)
+    assert spans == sorted([(1, 2, "a", 2), (3, 4, "a", 3), (1, 3, None, 1), (4, 4, None, 6)], key=str)

@@ -2,12 +2,13 @@
 time formatting and source options."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from logwise.functions import format_millis, format_response, format_seconds
-from logwise.operators import accumulate, enrich_with_retry, parse_responses, valid_terms
+from logwise.operators import accumulate, enrich_with_retry, failed_answers, parse_responses, valid_terms
 from logwise.sinks import append_batch, contributions, monthly_totals, read_batches, write_contributions
 from logwise.operators import Size
 from logwise.sources import RefreshingDictionary, comments_from_table, kafka_options, load_words, log_lines
@@ -76,25 +77,39 @@ def test_dictionary_reload_failure_modes(spark):
 def test_enrich_retries_on_exceptions_only(spark):
     calls = {}
 
-    def fetch(text):
-        calls[text] = calls.get(text, 0) + 1
-        fails = {"once": 1, "twice": 2, "always": 99}.get(text, 0)
-        if calls[text] <= fails:
-            raise ConnectionError("reset")
-        if text == "down":
-            return 500, "error"
-        return 200, '{"ret":0, "msg":"OK", "terms":"' + text + ' x"}'
+    def fetch(texts):
+        out = []
+        for text in texts:
+            calls[text] = calls.get(text, 0) + 1
+            fails = {"once": 1, "twice": 2, "always": 99}.get(text, 0)
+            if calls[text] <= fails:
+                raise ConnectionError("reset")
+            body = '{"ret":0, "msg":"OK", "terms":"' + text + ' x"}'
+            out.append((500, "error") if text == "down" else (200, body))
+        return out
 
     df = spark.createDataFrame([(t,) for t in ["ok", "once", "twice", "always", "down", "", None]], "value string")
-    out = {r.value: r for r in enrich_with_retry(df.coalesce(1), fetch).collect()}
+    single = enrich_with_retry(df.coalesce(1), fetch, keep=("value",), batch=1)
+    assert single.columns == ["value", "code", "body", "attempts", "error", "elapsed_ms"]
+    out = {r.value: r for r in single.collect()}
     assert (out["ok"].code, out["ok"].attempts) == (200, 1)
     assert (out["once"].code, out["once"].attempts) == (200, 2)
     assert (out["twice"].code, out["twice"].attempts) == (200, 3)
     assert out["always"].code is None and out["always"].attempts == 3 and "reset" in out["always"].error
     assert (out["down"].code, out["down"].attempts) == (500, 1)  # a status is not retried
     assert out[""].attempts == 0 and out[None].attempts == 0
-    words = {r.value: sorted(r.terms) for r in valid_terms(enrich_with_retry(df, fetch), keep=("value",)).collect()}
+    # a failing call of several texts is repeated text by text
+    several = enrich_with_retry(df.coalesce(1), fetch, keep=("value",))
+    words = {r.value: sorted(r.terms) for r in valid_terms(several, keep=("value",)).collect()}
     assert words == {"ok": ["ok", "x"], "once": ["once", "x"], "twice": ["twice", "x"]}
+    lost = {r.value: (r.code, r.attempts) for r in failed_answers(several, keep=("value",)).collect()}
+    assert lost == {"always": (None, 3), "down": (500, 1)}
+
+
+def test_enrich_checks_the_number_of_answers(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "value string").coalesce(1)
+    out = enrich_with_retry(df, lambda texts: [(200, "x")] * (2 if len(texts) == 1 else 1)).collect()
+    assert all(r.code is None and "answers" in r.error and r.attempts == 3 for r in out)
 
 
 def test_response_faults(spark):
@@ -148,8 +163,11 @@ def test_append_batch_replay_and_empty_batch(spark, tmp):
     append_batch(df, f"{tmp}/t", 0)
     append_batch(df, f"{tmp}/t", 0)
     append_batch(df.limit(0), f"{tmp}/t", 1)
-    out = read_batches(spark, f"{tmp}/t", "log_level string, method string, batch_id bigint")
-    assert rows(out) == [("[error]", "a", 0)]
+    schema = "log_level string, method string, batch_id bigint"
+    assert rows(read_batches(spark, f"{tmp}/t", schema)) == [("[error]", "a", 0)]
+    append_batch(df.limit(0), f"{tmp}/t", 0)  # a replay without rows clears what the first attempt wrote
+    assert rows(read_batches(spark, f"{tmp}/t", schema)) == []
+    assert rows(read_batches(spark, f"{tmp}/nothing-yet", schema)) == []
 
 
 def test_accumulate_adds_and_inserts(spark):
@@ -220,15 +238,109 @@ def test_ledger_compaction_keeps_totals_and_late_batches(spark, tmp):
     assert after[("201811", "狗", dt.date(2018, 11, 18))] == 1
 
 
+def _remove(folder):
+    import shutil
+
+    shutil.rmtree(folder)
+
+
+def test_compaction_after_the_folded_partitions_are_gone(spark, tmp):
+    from logwise.sinks import compact_months
+
+    def write(batch_id, count, day=5, month=8):
+        df = spark.createDataFrame([("w", dt.date(2018, month, day), count)], "word string, date date, count long")
+        write_contributions(contributions(df, batch_id), ledger, batch_id)
+
+    def total():
+        return rows(monthly_totals(spark, ledger, compacted_path=comp).groupBy().sum("count"))
+
+    ledger, comp = f"{tmp}/ledger", f"{tmp}/compacted"
+    write(0, 5)
+    write(1, 7, month=9)
+    compact_months(spark, ledger, comp)
+    for m in ("201808", "201809"):
+        _remove(f"{ledger}/month={m}")
+    assert total() == [(12,)]
+    write(2, 1)
+    assert total() == [(13,)]
+    compact_months(spark, ledger, comp, ["201808"])
+    assert total() == [(13,)]
+    _remove(f"{ledger}/month=201808")
+    _remove(f"{comp}/version=1")
+    compact_months(spark, ledger, comp)
+    assert total() == [(13,)]
+    # a compaction that did not finish is not read
+    os.makedirs(f"{comp}/version=9")
+    assert total() == [(13,)]
+
+
+def test_replay_that_leaves_a_month_clears_it(spark, tmp):
+    def write(months):
+        df = spark.createDataFrame([("w", dt.date(2018, m, 1), 1) for m in months], "word string, date date, count long")
+        write_contributions(contributions(df, 3), f"{tmp}/l", 3)
+
+    write([7, 8])
+    write([8])
+    assert rows(monthly_totals(spark, f"{tmp}/l").select("month", "count")) == [("201808", 1)]
+
+
+def test_compact_latest_after_the_folded_partitions_are_gone(spark, tmp):
+    from logwise.streaming import compact_latest, latest_per_key
+
+    schema = "k string, n bigint, batch_id bigint"
+    write = lambda b, data: append_batch(spark.createDataFrame(data, "k string, n long"), f"{tmp}/t", b)
+    read = lambda: rows(latest_per_key(spark, f"{tmp}/t", schema, ["k"], ["n"], f"{tmp}/c"))
+    write(0, [("a", 1), ("b", 1)])
+    write(1, [("a", 2)])
+    compact_latest(spark, f"{tmp}/t", schema, ["k"], ["n"], f"{tmp}/c")
+    _remove(f"{tmp}/t/batch_id=0")
+    _remove(f"{tmp}/t/batch_id=1")
+    assert read() == [("a", 2), ("b", 1)]
+    write(2, [("b", 5)])
+    compact_latest(spark, f"{tmp}/t", schema, ["k"], ["n"], f"{tmp}/c")
+    _remove(f"{tmp}/t/batch_id=2")
+    assert read() == [("a", 2), ("b", 5)]
+
+
+def test_empty_dictionary_is_pinned_for_replays(spark, tmp):
+    state = {"fail": False, "now": 0}
+
+    def loader():
+        if state["fail"]:
+            raise RuntimeError("down")
+        return spark.createDataFrame([("a",)], "word string")
+
+    make = lambda: RefreshingDictionary(
+        spark, loader, ttl_ms=10, clock=lambda: state["now"], on_error="empty", store_path=f"{tmp}/d"
+    )
+    first = make()
+    assert first.for_batch(0).size.rows == 1
+    state |= {"fail": True, "now": 20}
+    assert first.for_batch(1).size.rows == 0
+    state |= {"fail": False, "now": 25}
+    assert make().for_batch(1).size.rows == 0  # a new driver replays batch 1 with the same words
+
+
+def test_sql_over_batch_leaves_the_callers_views_alone(spark):
+    from logwise.operators import sql_over_batch
+
+    spark.range(3).createOrReplaceTempView("batch_rows")
+    out = sql_over_batch(spark.range(7), "select count(*) n from batch_rows")
+    other = sql_over_batch(spark.range(2), "select count(*) n from batch_rows b where b.id >= 0")
+    assert (out.first().n, other.first().n, spark.table("batch_rows").count()) == (7, 2, 3)
+    assert len(spark.catalog.listTables()) == 1
+    spark.catalog.dropTempView("batch_rows")
+
+
 def test_enrich_reports_elapsed_time(spark):
     import time as _time
 
-    def fetch(text):
-        _time.sleep(0.03 if text == "slow" else 0)
-        return 200, '{"ret":0, "msg":"OK", "terms":"x"}'
+    def fetch(texts):
+        _time.sleep(0.03 if "slow" in texts else 0)
+        return [(200, '{"ret":0, "msg":"OK", "terms":"x"}') for _ in texts]
 
     df = spark.createDataFrame([("slow",), ("fast",), ("",)], "value string")
-    out = {r.value: r.elapsed_ms for r in enrich_with_retry(df, fetch).collect()}
+    out = {r.value: r.elapsed_ms for r in enrich_with_retry(df, fetch, keep=("value",), batch=1).collect()}
     assert out["slow"] >= 30 and out["fast"] < 30 and out[""] is None
 
 

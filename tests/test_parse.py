@@ -71,7 +71,7 @@ def test_error_filter_and_sql_agree(spark):
     )
     recs = log_records(lines).select("log_level", "method", "content")
     by_filter = sorted(r.method for r in filter_levels(recs).collect())
-    by_sql = sorted(r.method for r in sql_over_batch(recs, "select * from alldata where log_level='[error]'").collect())
+    by_sql = sorted(r.method for r in sql_over_batch(recs, "select * from batch_rows where log_level='[error]'").collect())
     assert by_filter == by_sql == ["a", "c"]
 
 
@@ -142,4 +142,7 @@ def test_log_analysis_batch_outputs_agree(spark):
     assert sorted(r.method for r in la.errors.collect()) == ["calculate", "main"]
     assert sorted(r.value for r in la.quarantined.collect()) == ["", "[info]\tsaveFile"]
     assert {r.log_level: r.n for r in la.totals.collect()} == {"[error]": 2, "[warn]": 1, "[info]": 1, "": 1}
-    assert la.windows.agg(F.sum("n")).first()[0] == 2 * 3  # two windows per complete record
+    # two windows per line, also for lines without three fields or a readable date
+    assert la.windows.agg(F.sum("n")).first()[0] == 2 * 5
+    bad_date = log_analysis(_lines(spark, ["[error]\tmain\tDate:2020", "[error]\tmain\tDate:20200606215836"]))
+    assert bad_date.windows.agg(F.sum("n")).first()[0] == 2 * 2

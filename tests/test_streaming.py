@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logwise.operators import sliding_counts
@@ -13,8 +14,11 @@ from logwise.streaming import (
     drain,
     error_log_query,
     latest_per_key,
+    level_snapshots,
+    level_totals,
     level_totals_query,
     sliding_counts_query,
+    window_totals,
 )
 from conftest import rows, write_lines
 
@@ -62,10 +66,7 @@ def test_g1_sliding_window_stream(spark, tmp):
 
     recs = log_records(lines)
     drain(sliding_counts_query(recs, "log_level", f"{tmp}/w", f"{tmp}/ck", "4 seconds", "2 seconds"))
-    w = latest_per_key(
-        spark, f"{tmp}/w", "ws timestamp, we timestamp, log_level string, n bigint, batch_id bigint",
-        ["ws", "we", "log_level"], ["n"],
-    ).where("log_level = '[error]'")
+    w = window_totals(spark, f"{tmp}/w", "log_level").where("log_level = '[error]'")
     got = sorted((r.we.replace(tzinfo=None) - T0).seconds for r in w.collect() for _ in range(r.n))
     # windows ending after batches 1..3 hold 6, 6, 3; the one ending at 8 s
     # (the next batch) still holds the last 3
@@ -85,13 +86,10 @@ def test_stream_equals_batch_over_event_files(spark, tmp):
     ).option("pathGlobFilter", "*.parquet").parquet(f"{tmp}/ev")
     drain(
         sliding_counts_query(
-            stream, "event_type", f"{tmp}/w", f"{tmp}/ck", "4 hours", "2 hours", time_col="ts", watermark="6 hours"
+            stream, "event_type", f"{tmp}/w", f"{tmp}/ck", "4 hours", "2 hours", time_col="ts"
         )
     )
-    got = latest_per_key(
-        spark, f"{tmp}/w", "ws timestamp, we timestamp, event_type string, n bigint, batch_id bigint",
-        ["ws", "we", "event_type"], ["n"],
-    ).select(F.col("ws").cast("timestamp_ntz"), F.col("we").cast("timestamp_ntz"), "event_type", "n")
+    got = window_totals(spark, f"{tmp}/w", "event_type").select(F.col("ws").cast("timestamp_ntz"), F.col("we").cast("timestamp_ntz"), "event_type", "n")
     want = sliding_counts(ev, "ts", "event_type", "4 hours", "2 hours")
     assert rows(got) == rows(want)
 
@@ -130,7 +128,7 @@ def test_error_stream_from_events_matches_filter(spark, tmp):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     log_lines_from_events(ev, keep=()).select("value").repartition(3).write.text(f"{tmp}/logs")
     stream = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.txt", max_files_per_trigger=1)
-    drain(error_log_query(stream, f"{tmp}/out", f"{tmp}/ck", sql="select * from alldata where log_level='[error]'"))
+    drain(error_log_query(stream, f"{tmp}/out", f"{tmp}/ck", sql="select * from batch_rows where log_level='[error]'"))
     out = spark.read.schema(
         "log_level string, method string, content string, event_ts timestamp, batch_id bigint"
     ).parquet(f"{tmp}/out")
@@ -142,13 +140,25 @@ def test_log_analysis_app_drains_and_reports_metrics(spark, tmp):
     from logwise.streaming import start_log_analysis
 
     _g1_files(f"{tmp}/logs")
-    qs = start_log_analysis(spark, f"{tmp}/logs", f"{tmp}/out", f"{tmp}/ck", trigger=None, glob="*.log")
-    for q in qs.all():
-        drain(q)
-    metrics = [p["observedMetrics"].get("log_lines") for p in qs.errors.recentProgress if p.get("observedMetrics")]
+    q = drain(
+        start_log_analysis(
+            spark, f"{tmp}/logs", f"{tmp}/out", f"{tmp}/ck", trigger=None, glob="*.log", max_files_per_trigger=1
+        )
+    )
+    metrics = [p["observedMetrics"].get("log_lines") for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["lines"] for m in metrics) == 12 and sum(m["quarantined"] for m in metrics) == 1
-    totals = latest_per_key(spark, f"{tmp}/out/totals", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"])
-    assert rows(totals) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
+    levels = f"{tmp}/out/levels"
+    assert rows(level_totals(spark, levels)) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
+    assert rows(level_totals(spark, levels, through=0)) == [("[error]", 6)]
+    # the worked example: running errors 6, 6, 9; windows hold 6, 6, 3
+    errors = {r.batch_id: r.n for r in level_snapshots(spark, levels).where("log_level = '[error]'").collect()}
+    assert [errors[b] for b in sorted(errors)] == [6, 6, 9]
+    windows = window_totals(spark, f"{tmp}/out/windows", "log_level")
+    ends = sorted((r.we.replace(tzinfo=None) - T0).seconds for r in windows.where("log_level = '[error]'").collect() for _ in range(r.n))
+    assert ends == [2] * 6 + [4] * 6 + [6] * 3 + [8] * 3
+    assert windows.agg(F.sum("n")).first()[0] == 2 * 12  # the incomplete line included
+    err = spark.read.schema("log_level string, batch_id bigint").parquet(f"{tmp}/out/errors")
+    assert rows(err.groupBy("batch_id").count()) == [(0, 6), (2, 3)]
     bad = spark.read.schema("value string, batch_id bigint").parquet(f"{tmp}/out/quarantine")
     assert bad.count() == 1
 
@@ -178,10 +188,9 @@ def test_failed_batch_replayed_after_restart_counts_once(spark, tmp, monkeypatch
     real_write = comments_mod.write_contributions
     state = {"failed": False}
 
-    def flaky_write(rows, path):
-        real_write(rows, path)
-        batch_ids = {r.batch_id for r in rows.select("batch_id").distinct().collect()}
-        if 1 in batch_ids and not state["failed"]:
+    def flaky_write(rows, path, batch_id):
+        real_write(rows, path, batch_id)
+        if batch_id == 1 and not state["failed"]:
             state["failed"] = True
             raise RuntimeError("executor lost after the write")
 
@@ -226,8 +235,6 @@ G3_WINDOWS = {  # window start second -> error, warn, info, debug
 
 
 def test_g3_sample_logs_totals_and_windows(spark, tmp):
-    from logwise.streaming import start_log_analysis
-
     methods = ["main", "calculate", "saveFile", "openFile"]
     for i, (stamp, counts) in enumerate(G3_FILES.items()):
         lines = [
@@ -236,17 +243,10 @@ def test_g3_sample_logs_totals_and_windows(spark, tmp):
             for j in range(n)
         ]
         write_lines(f"{tmp}/logs", f"{stamp}.log", lines, mtime=1_591_480_000 + i)
-    qs = start_log_analysis(
-        spark, f"{tmp}/logs", f"{tmp}/out", f"{tmp}/ck", trigger=None, glob="*.log", max_files_per_trigger=1
-    )
-    for q in qs.all():
-        drain(q)
-    totals = latest_per_key(spark, f"{tmp}/out/totals", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"])
+    drain(start_log_analysis_once(spark, tmp, ""))
+    totals = level_totals(spark, f"{tmp}/out/levels")
     assert {r.log_level: r.n for r in totals.collect()} == {"[error]": 16, "[warn]": 15, "[info]": 11, "[debug]": 8}
-    w = latest_per_key(
-        spark, f"{tmp}/out/windows", "ws timestamp, we timestamp, log_level string, n bigint, batch_id bigint",
-        ["ws", "we", "log_level"], ["n"],
-    )
+    w = window_totals(spark, f"{tmp}/out/windows", "log_level")
     got = {}
     for r in w.collect():
         got.setdefault(r.ws.second, {})[r.log_level] = r.n
@@ -266,7 +266,7 @@ def test_file_sink_modes(spark, tmp):
 
     _g1_files(f"{tmp}/logs")
     lines = lambda: log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log", max_files_per_trigger=1)
-    drain(error_log_query(lines(), f"{tmp}/err", f"{tmp}/ck1", sql="select * from alldata where log_level='[error]'", sink="files"))
+    drain(error_log_query(lines(), f"{tmp}/err", f"{tmp}/ck1", sql="select * from batch_rows where log_level='[error]'", sink="files"))
     err = spark.read.parquet(f"{tmp}/err")
     assert err.count() == 9 and set(err.columns) == {"log_level", "method", "content", "event_ts"}
     drain(
@@ -298,17 +298,18 @@ def test_snapshot_at_last_batch_has_every_key(spark, tmp):
     _g1_files(f"{tmp}/logs")
     lines = log_lines(spark, f"{tmp}/logs", stream=True, glob="*.log", max_files_per_trigger=1)
     levels = lines.select(F.get(F.split("value", "\t"), 0).alias("log_level"))
-    q = drain(level_totals_query(levels, "log_level", f"{tmp}/out", f"{tmp}/ck", mode="complete"))
-    last = last_batch_id(q)
+    assert last_batch_id(spark, f"{tmp}/out") is None
+    drain(level_totals_query(levels, "log_level", f"{tmp}/out", f"{tmp}/ck", mode="complete"))
+    # a restart without new data does not move the newest batch
+    drain(level_totals_query(levels, "log_level", f"{tmp}/out", f"{tmp}/ck", mode="complete"))
+    last = last_batch_id(spark, f"{tmp}/out")
     assert last == 2
     snap = snapshot_at(spark, f"{tmp}/out", "log_level string, n bigint, batch_id bigint", last)
     # [info] had no rows in the last batch and is still there
     assert rows(snap) == [("[error]", 9), ("[info]", 2), ("[warn]", 1)]
 
 
-def test_substring_stream_reuses_one_matcher(spark, tmp):
-    import logwise.functions.matching as matching
-
+def test_substring_stream_over_a_refreshing_dictionary(spark, tmp):
     base = 1_600_000_000
     texts = [["the cat", "a theme"], ["catalog", "dog"], ["other", "the"]]
     for i, batch in enumerate(texts):
@@ -323,10 +324,8 @@ def test_substring_stream_reuses_one_matcher(spark, tmp):
     ).option("pathGlobFilter", "*.parquet").parquet(f"{tmp}/in").select(
         "value", F.lit(dt.datetime(2024, 5, 1)).cast("timestamp").alias("timestamp")
     )
-    before = len(matching._MATCHERS)
     q = drain(comment_counts_query(stream, dictionary, f"{tmp}/ledger", f"{tmp}/ck", method="substrings"))
     assert len(q.recentProgress) >= 3 and dictionary.loads == 1
-    assert len(matching._MATCHERS) - before <= 1
     got = rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "count"))
     flat = [t for batch in texts for t in batch]
     want = sorted((w, sum(1 for t in flat if w in t)) for w in words if any(w in t for t in flat))
@@ -405,3 +404,112 @@ def test_stream_ignores_files_older_than_start(spark, tmp):
     )
     drain(error_log_query(lines, f"{tmp}/out", f"{tmp}/ck", sink="files"))
     assert spark.read.parquet(f"{tmp}/out").count() == 2
+
+
+def test_table_streams_over_a_folder_of_parts_equal_their_batch_twins(spark, tmp, duck, monkeypatch):
+    """The three table-stream keys on tables of many part files, in several
+    micro-batches, the oldest events last."""
+    import __spark_entry__ as entry
+    from logwise.plans import catalog
+    from logwise.sources import table_stream
+
+    small = "/root/testdata/sf0.001"
+    for name, order in (("events", F.desc("ts")), ("documents", F.col("doc_id"))):
+        df = spark.read.parquet(f"{small}/{name}.parquet")
+        parts = [df.orderBy(order).offset(i * df.count() // 5).limit(df.count() // 5 + 1) for i in range(5)]
+        whole = df.count()
+        numbered = df.withColumn("_i", F.row_number().over(Window.orderBy(order)))
+        for i in range(5):
+            lo, hi = i * whole // 5, (i + 1) * whole // 5
+            part = numbered.where((F.col("_i") > lo) & (F.col("_i") <= hi)).drop("_i").coalesce(1)
+            part.write.mode("append").parquet(f"{tmp}/{name}.parquet")
+            for f in os.listdir(f"{tmp}/{name}.parquet"):
+                p = os.path.join(f"{tmp}/{name}.parquet", f)
+                if f.startswith("part-") and os.path.getmtime(p) > 1_650_000_000:
+                    os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    spark.read.parquet(f"{small}/benchmark.parquet").write.parquet(f"{tmp}/benchmark.parquet")
+    batches = []
+
+    def one_file(spark_, d, name, max_files_per_trigger=1):
+        batches.append(name)
+        return table_stream(spark_, d, name, max_files_per_trigger)
+
+    monkeypatch.setattr(catalog, "table_stream", one_file)
+    con = duck(small)
+    for key in ("level_totals_stream", "sliding_level_counts_stream", "comment_word_counts_stream"):
+        got = entry.queries()[key](spark, tmp)
+        cols = sorted(got.columns)
+        cur = con.execute(entry.oracle_sql()[key])
+        names = [x[0] for x in cur.description]
+        want = sorted(tuple(r[names.index(c)] for c in cols) for r in cur.fetchall())
+        assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == want, key
+    assert len(batches) == 3
+
+
+def test_window_contributions_keep_late_and_malformed_lines(spark, tmp):
+    base = 1_600_000_000
+    write_lines(f"{tmp}/logs", "new.log", [_line("error", 4000)] * 5, mtime=base)
+    write_lines(f"{tmp}/logs", "mid.log", ["[warn]\tshort", "", "[warn]\tm\tDate:2020"], mtime=base + 1)
+    write_lines(f"{tmp}/logs", "old.log", [_line("error", 0)] * 7, mtime=base + 2)
+    for attempt in range(2):  # a second run from the start gives the same windows
+        q = drain(start_log_analysis_once(spark, tmp, attempt))
+        assert len([p for p in q.recentProgress if p["numInputRows"]]) == 3
+    a, b = (rows(window_totals(spark, f"{tmp}/out{i}/windows", "log_level")) for i in range(2))
+    assert a == b and sum(r[3] for r in a) == 2 * 15
+    assert sum(r[3] for r in a if r[2] == "[warn]") == 2 * 2 and sum(r[3] for r in a if r[2] == "") == 2
+
+
+def start_log_analysis_once(spark, tmp, i):
+    from logwise.streaming import start_log_analysis
+
+    return start_log_analysis(
+        spark, f"{tmp}/logs", f"{tmp}/out{i}", f"{tmp}/ck{i}", trigger=None, glob="*.log", max_files_per_trigger=1
+    )
+
+
+def test_stateful_windows_need_an_explicit_watermark(spark, tmp):
+    import pytest
+
+    stream = spark.readStream.schema("ts timestamp, k string").parquet(tmp)
+    with pytest.raises(ValueError):
+        sliding_counts_query(stream, "k", f"{tmp}/o", f"{tmp}/c", "4 seconds", "2 seconds", time_col="ts", sink="updates")
+
+
+def test_comment_pipeline_through_a_failing_service(spark, tmp):
+    """Calls fail one, two and three times: the whole pipeline from comments
+    to monthly totals, the lost comments on the error output."""
+    import json
+
+    def fetch(texts):
+        path = f"{tmp}/calls"
+        os.makedirs(path, exist_ok=True)
+        out = []
+        for t in texts:
+            word = t.split(" ")[0]
+            fails = {"once": 1, "twice": 2, "always": 9}.get(word, 0)
+            log = f"{path}/{word}"
+            seen = os.path.getsize(log) if os.path.exists(log) else 0
+            if seen < fails:
+                with open(log, "a") as f:
+                    f.write("x")
+                raise ConnectionError(word)
+            code = 500 if word == "refused" else 200
+            out.append((code, json.dumps({"ret": 0, "msg": "OK", "terms": t})))
+        return out
+
+    comments = ['once cat "q"', "twice cat dog", "always cat", "refused cat", "plain cat cat", "", "dog"]
+    spark.createDataFrame([(c,) for c in comments], "value string").coalesce(1).write.parquet(f"{tmp}/in")
+    stream = spark.readStream.schema("value string").parquet(f"{tmp}/in").select(
+        "value", F.lit(dt.datetime(2024, 5, 1)).cast("timestamp").alias("timestamp")
+    )
+    words = ["cat", "dog", "once"]
+    dictionary = RefreshingDictionary(spark, lambda: spark.createDataFrame([(w,) for w in words], "word string"))
+    drain(
+        comment_counts_query(
+            stream, dictionary, f"{tmp}/ledger", f"{tmp}/ck", fetch=fetch, error_path=f"{tmp}/lost", partitions=None
+        )
+    )
+    assert rows(monthly_totals(spark, f"{tmp}/ledger").select("word", "count")) == [("cat", 3), ("dog", 2), ("once", 1)]
+    lost = spark.read.parquet(f"{tmp}/lost").collect()
+    assert sorted((r.code, r.attempts, r.error) for r in lost if r.code) == [(500, 1, None)]
+    assert [(r.attempts, r.error) for r in lost if r.code is None] == [(3, "ConnectionError: always")]

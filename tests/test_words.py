@@ -1,10 +1,11 @@
 """Dictionary matching: golden G2, document frequency, plan equivalence."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from logwise.functions import dictionary_pattern, segment_dictionary
-from logwise.functions.matching import longest_matcher
+from logwise.functions import dictionary_pattern, ngrams, segment_dictionary
 from logwise.operators import Size, dictionary_words, word_document_counts
 from logwise.plans import comment_word_counts
 from conftest import rows
@@ -70,12 +71,11 @@ def test_substring_plans_agree(spark):
         F.length("word") <= 4
     )
     word_list = [r.word for r in words.collect()]
-    a = rows(word_document_counts(docs, words, method="substrings", plan="automaton"))
     n = rows(word_document_counts(docs, words, method="substrings", plan="ngrams"))
     c = rows(word_document_counts(docs, word_list, method="substrings", plan="contains"))
     huge = Size(10**12, 10**15)
     u = rows(word_document_counts(docs, words, method="substrings", size=huge))  # auto -> ngrams, shuffle join
-    assert a == n == c == u and len(a) > 10
+    assert n == c == u and len(n) > 10
 
 
 def test_overlapping_substrings_all_count(spark):
@@ -89,30 +89,79 @@ def test_forward_maximum_matching_longest_first(spark):
     # left to right, the longest word starting at each position, no overlaps:
     # "nat" at 0, then "on" at 4 ("ion" is not a word), then "ation" in "station"
     assert got == ["nat", "on", "ation"]
-    assert dictionary_pattern(["a.b", "ab"]) == "(a\\.b|ab)"
-
-
-def test_automaton_longest_equals_regex_segmentation(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    words = ["tion", "the", "ent", "ation", "ch", "in", "und", "er", "ie", "les"]
-    match = longest_matcher(spark, words)
-    got = docs.select(
-        "doc_id",
-        F.array_distinct(segment_dictionary("text", words)).alias("re"),
-        match(F.col("text")).alias("ac"),
-    ).collect()
-    assert all(r.re == r.ac for r in got)
-
-
-def test_dictionary_method_over_limit_raises(spark):
-    docs = _docs(spark, ["a"])
-    words = spark.createDataFrame([("a",)], "word string")
-    with pytest.raises(ValueError):
-        word_document_counts(docs, words, method="dictionary", size=Size(10**12, 10**15))
+    assert dictionary_pattern(["a.b", "ab"]) == "(a(?:\\.b|b))"
+
+
+def _maximum_matching(text, words):
+    """Plain forward maximum matching: the distinct words taken."""
+    found, at = set(), 0
+    while at < len(text):
+        best = max((w for w in words if text.startswith(w, at)), key=len, default="")
+        if best:
+            found.add(best)
+        at += len(best) or 1
+    return found
+
+
+def test_known_case_of_nested_words(spark):
+    docs, words = _docs(spark, ["bda"]), ["a", "aab", "add", "b", "daaa"]
+    for plan in ("pattern", "join"):
+        assert rows(word_document_counts(docs, words, method="dictionary", plan=plan)) == [("a", 1), ("b", 1)]
+
+
+def test_every_plan_of_maximum_matching_gives_one_answer(spark):
+    """Thousands of random small-alphabet dictionaries and texts: the pattern
+    by Java's matcher, and the join plan on a frame of all of them."""
+    rnd = random.Random(11)
+    draw = lambda n: "".join(rnd.choice(["a", "b", "d", "😀"]) for _ in range(n))
+    cases = []
+    for _ in range(2500):
+        words = sorted({draw(rnd.randint(1, 4)) for _ in range(rnd.randint(1, 9))})
+        cases.append((draw(rnd.randint(0, 14)), words, dictionary_pattern(words)))
+    df = spark.createDataFrame(cases, "text string, words array<string>, pattern string")
+    got = df.select("text", "words", F.regexp_extract_all("text", F.col("pattern"), F.lit(1)).alias("found")).collect()
+    for text, words, found in got:
+        assert set(found) == _maximum_matching(text, words), (text, words)
+    for _ in range(12):
+        words = sorted({draw(rnd.randint(1, 4)) for _ in range(rnd.randint(1, 9))})
+        texts = [draw(rnd.randint(0, 14)) for _ in range(60)]
+        want = {}
+        for t in texts:
+            for w in _maximum_matching(t, words):
+                want[w] = want.get(w, 0) + 1
+        docs = _docs(spark, texts)
+        frame = spark.createDataFrame([(w,) for w in words], "word string")
+        for dictionary, plan, size in ((words, "pattern", None), (words, "join", None), (frame, "auto", Size(10**9, 10**12))):
+            assert dict(rows(word_document_counts(docs, dictionary, method="dictionary", plan=plan, size=size))) == want
+
+
+def test_dictionary_method_has_no_size_limit(spark):
+    words = [f"w{i}x" for i in range(30_000)] + ["cat", "cats"]
+    docs = _docs(spark, ["cats w29999x", "cat w7x w7x"])
+    want = [("cat", 1), ("cats", 1), ("w29999x", 1), ("w7x", 1)]
+    assert rows(word_document_counts(docs, words, method="dictionary")) == want
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    assert rows(word_document_counts(docs, frame, method="dictionary")) == want
+    assert rows(word_document_counts(docs, frame, method="dictionary", size=Size(10**12, 10**15))) == want
+
+
+def test_ngrams_beside_characters_of_two_code_units(spark):
+    df = _docs(spark, ["😀b", "a😀😀", ""])
+    got = {r.text: (r.one, r.two) for r in df.select("text", ngrams("text", 1).alias("one"), ngrams("text", 2).alias("two")).collect()}
+    assert got == {"😀b": (["😀", "b"], ["😀b"]), "a😀😀": (["a", "😀", "😀"], ["a😀", "😀😀"]), "": ([], [])}
+    words = spark.createDataFrame([("?b",), ("😀b",), ("😀",)], "word string")
+    assert rows(word_document_counts(df, words, method="substrings")) == [("😀", 2), ("😀b", 1)]
+
+
+def test_terms_of_a_service(spark):
+    df = spark.createDataFrame([(["a", "b", "a"],), (["b"],), ([],), (None,)], "terms array<string>")
+    words = spark.createDataFrame([("a",), ("b",), ("c",)], "word string")
+    for d in (words, ["a", "b", "c"]):
+        assert rows(word_document_counts(df, d, text="terms", method="terms")) == [("a", 1), ("b", 2)]
 
 
 def test_frame_dictionary_with_empty_and_null_words(spark):
     docs = _docs(spark, ["ab cd", "cd"])
     words = spark.createDataFrame([("cd",), ("",), (None,), ("cd",)], "word string")
-    for method, plan in [("spaces", "auto"), ("substrings", "ngrams"), ("substrings", "automaton"), ("dictionary", "auto")]:
+    for method, plan in [("spaces", "auto"), ("substrings", "ngrams"), ("substrings", "contains"), ("dictionary", "auto"), ("dictionary", "join")]:
         assert rows(word_document_counts(docs, words, method=method, plan=plan)) == [("cd", 2)]
