@@ -50,8 +50,9 @@ def trie_pattern(words: Iterable[str]) -> str:
 
     The words are folded into a prefix tree: every branch starts with another
     character, and a word that is a prefix of longer ones is followed by them
-    as a greedy option. The cost at a position is the length of the match, not
-    the number of words.
+    as a greedy option. Where a node has many branches, a look-ahead on the
+    next character halves them. So the cost at a position follows the length
+    of the match and the logarithm of the branches, not the number of words.
     """
     unique = sorted({w for w in words if w})
     if not unique:
@@ -60,16 +61,25 @@ def trie_pattern(words: Iterable[str]) -> str:
     def fold(tails: list[str]) -> str:
         """Pattern of sorted distinct tails; an empty tail comes first."""
         ends = tails[0] == ""
-        branches = []
+        branches, heads = [], []
         for head, group in itertools.groupby(tails[1:] if ends else tails, key=lambda t: t[0]):
             rest = list(group)
             shared = len(os.path.commonprefix(rest))
+            heads.append(head)
             branches.append(re.escape(rest[0][:shared]) + (fold([t[shared:] for t in rest]) if len(rest) > 1 else ""))
         if not branches:
             return ""
-        body = branches[0] if len(branches) == 1 and not ends else f"(?:{'|'.join(branches)})"
+        body = branches[0] if len(branches) == 1 and not ends else f"(?:{choose(branches, heads)})"
         return body + "?" if ends else body
 
+    def choose(branches: list[str], heads: list[str]) -> str:
+        if len(branches) <= 4:
+            return "|".join(branches)
+        half = len(branches) // 2
+        first = "".join(re.escape(h) if not h.isspace() else h for h in heads[:half])
+        left = choose(branches[:half], heads[:half])
+        return f"(?=[{first}])(?:{left})|{choose(branches[half:], heads[half:])}"
+
     return fold(unique)
 
 
@@ -104,6 +114,23 @@ def ngrams(text: str | Column, n: int = NGRAM) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(ngram_pattern(n)), 1)
 
 
+def nested_patterns(words: Iterable[str]) -> list[str]:
+    """Regexes that together find every one of ``words`` at every character.
+
+    Words that start at the same character are beginnings of each other. The
+    first pattern finds the longest of them; the next one is made of the
+    words that begin another word, and so on: as many patterns as words are
+    nested.
+    """
+    level = sorted({w for w in words if w})
+    out = []
+    while level:
+        out.append(f"{_CHARACTER}(?=({trie_pattern(level)}))")
+        # in sorted order the words that a word begins follow it directly
+        level = [w for w, after in zip(level, level[1:], strict=False) if after.startswith(w)]
+    return out
+
+
 def contained_words(text: str | Column, words: Iterable[str]) -> Column:
     """The words of a small literal list that occur anywhere in the text."""
     unique = sorted({w for w in words if w})

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from logwise.functions.text import (
     contained_words,
+    nested_patterns,
     ngram_pattern,
     segment_dictionary,
     segment_spaces,
@@ -43,9 +44,9 @@ PATTERN_MAX_WORDS = 5_000
 PATTERN_MAX_BYTES = 128 * 1024
 # Up to this many literal words, one ``contains`` per word.
 CONTAINS_MAX_WORDS = 8
-# Characters of a word by which candidate n-grams are filtered, and how many
-# such beginnings a regex may hold.
-PREFIX = 3
+# Characters of a word by which candidate substrings are filtered before a
+# join: as many as keep the beginnings of all words within these limits.
+PREFIXES = (64, 8, 5, 3)
 PREFIX_MAX = 5_000
 
 
@@ -138,7 +139,8 @@ def word_document_counts(
     ``size`` is a measurement of a frame dictionary taken earlier (for example
     by :class:`logwise.sources.dictionary.RefreshingDictionary`); it saves one
     aggregate. ``plan`` forces how words are found: ``pattern`` or ``join``
-    for forward maximum matching, ``contains`` or ``ngrams`` for substrings;
+    for forward maximum matching, ``contains``, ``pattern`` or ``ngrams`` for
+    substrings;
     ``auto`` chooses by size. With method ``terms``, ``text`` names an array
     column of terms.
     """
@@ -159,19 +161,20 @@ def word_document_counts(
         return count_by(found, "word", *by, name=name)
 
     if method == "substrings":
-        if plan == "auto":
-            literal = not _is_frame(dictionary) and len(set(dictionary)) <= CONTAINS_MAX_WORDS
-            plan = "contains" if literal else "ngrams"
-        if plan == "contains":
-            words = _listed(dictionary, size)
-            if words is None:
-                raise ValueError("the dictionary is over the pattern limits; use plan 'ngrams'")
+        if plan not in ("auto", "contains", "pattern", "ngrams"):
+            raise ValueError(f"unknown plan {plan!r}")
+        words = None if plan == "ngrams" else _listed(dictionary, size)
+        if words is not None:
             if not words:
                 return word_document_counts(docs, [], text, method, name, by=by)
-            found = contained_words(t, words)
+            if plan == "contains" or (plan == "auto" and len(words) <= CONTAINS_MAX_WORDS):
+                found = contained_words(t, words)
+            else:
+                at = [F.regexp_extract_all(t, F.lit(p), 1) for p in nested_patterns(words)]
+                found = F.array_distinct(F.concat(*[F.array_distinct(a) for a in at]))
             return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
-        if plan != "ngrams":
-            raise ValueError(f"unknown plan {plan!r}")
+        if plan in ("contains", "pattern"):
+            raise ValueError("the dictionary is over the pattern limits; use plan 'ngrams'")
         return _substring_counts_by_ngrams(docs, _as_frame(dictionary, docs), t, size, name, by)
 
     raise ValueError(f"unknown method {method!r}")
@@ -215,12 +218,11 @@ def _longest_words(
     rows = docs.select(*by, text.alias("_text"), F.monotonically_increasing_id().alias("_row"))
     grams = _grams_by_length(rows, _word_lengths(frame), [*by, "_row"], positions=True)
     if not is_small:
-        begins, few = broadcast_if_small(
-            frame.select(F.substring("word", 1, PREFIX).alias("word")).distinct(), "word"
-        )
+        short = PREFIXES[-1]
+        begins, few = broadcast_if_small(frame.select(F.substring("word", 1, short).alias("word")).distinct(), "word")
         if few:
             begins = begins.withColumnRenamed("word", "_begin")
-            grams = grams.join(begins, F.substring("word", 1, PREFIX) == F.col("_begin"), "left_semi")
+            grams = grams.join(begins, F.substring("word", 1, short) == F.col("_begin"), "left_semi")
     hits = grams.join(small, "word", "left_semi")
     longest = hits.groupBy("_row", "_pos", *by).agg(F.max_by("word", F.char_length("word")).alias("word"))
     spots = longest.groupBy("_row", *by).agg(F.array_sort(F.collect_list(F.struct("_pos", "word"))).alias("_spots"))
@@ -280,21 +282,25 @@ def _substring_counts_by_ngrams(
     """Substring containment for a dictionary of any size.
 
     The candidates of a comment are its distinct n-grams for every word length
-    n, one length at a time, that begin like a word of that length (the
-    beginnings are measured, then part of the pattern). They are aggregated
-    and joined with the dictionary; beyond the broadcast limits the counts
-    are joined, not the n-grams.
+    n, one length at a time, that begin like a word of that length. The
+    beginnings are measured; the longest that fit are part of the pattern.
+    N-grams are aggregated and joined with the dictionary; beyond the
+    broadcast limits the counts are joined, not the n-grams.
     """
-    begins = dictionary.select(
-        F.char_length("word").alias("n"), F.substring("word", 1, PREFIX).alias("p")
-    ).distinct()
-    prefixes: dict[int, list[str]] | None = None
-    if measure(begins, "p").fits(PREFIX_MAX, PATTERN_MAX_BYTES):
-        prefixes = {}
-        for r in begins.collect():
-            prefixes.setdefault(r["n"], []).append(r["p"])
-        lengths = sorted(prefixes)
-    else:
-        lengths = _word_lengths(dictionary)
+    prefixes = _beginnings(dictionary)
+    lengths = sorted(prefixes) if prefixes else _word_lengths(dictionary)
     rows = docs.select(*by, text.alias("_text"))
     return _count_joined(_grams_by_length(rows, lengths, by, prefixes), dictionary, size, name, by)
+
+
+def _beginnings(dictionary: DataFrame) -> dict[int, list[str]] | None:
+    """{word length: beginnings of its words}, as long as the pattern limits
+    allow; None if even the shortest are too many."""
+    for k in PREFIXES:
+        rows = dictionary.select(F.char_length("word").alias("n"), F.substring("word", 1, k).alias("p")).distinct()
+        if measure(rows, "p").fits(PREFIX_MAX, PATTERN_MAX_BYTES):  # two numbers; collected only then
+            out: dict[int, list[str]] = {}
+            for r in rows.collect():
+                out.setdefault(r["n"], []).append(r["p"])
+            return out
+    return None

@@ -220,7 +220,7 @@ def segment_ngrams_counts_q(spark: SparkSession, d: str) -> DataFrame:
 
 def segment_ngrams_dictionary_counts_q(spark: SparkSession, d: str) -> DataFrame:
     """Substring containment against a frame dictionary, all benchmark words:
-    the n-gram + join plan."""
+    nested patterns within the limits of a regex, n-grams and a join beyond."""
     words = _benchmark_words(spark, d)
     docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, words, text="text", method="substrings")

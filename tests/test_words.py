@@ -73,6 +73,7 @@ def test_substring_plans_agree(spark):
     word_list = [r.word for r in words.collect()]
     n = rows(word_document_counts(docs, words, method="substrings", plan="ngrams"))
     c = rows(word_document_counts(docs, word_list, method="substrings", plan="contains"))
+    assert c == rows(word_document_counts(docs, words, method="substrings", plan="pattern"))
     huge = Size(10**12, 10**15)
     u = rows(word_document_counts(docs, words, method="substrings", size=huge))  # auto -> ngrams, shuffle join
     assert n == c == u and len(n) > 10
@@ -153,6 +154,19 @@ def test_ngrams_beside_characters_of_two_code_units(spark):
     assert rows(word_document_counts(df, words, method="substrings")) == [("😀", 2), ("😀b", 1)]
 
 
+def test_every_plan_of_substrings_gives_one_answer(spark):
+    rnd = random.Random(12)
+    draw = lambda n: "".join(rnd.choice(["a", "b", "😀"]) for _ in range(n))
+    for _ in range(10):
+        words = sorted({draw(rnd.randint(1, 4)) for _ in range(rnd.randint(1, 14))})
+        texts = [draw(rnd.randint(0, 12)) for _ in range(50)]
+        want = {w: n for w in words if (n := sum(w in t for t in texts))}
+        docs = _docs(spark, texts)
+        frame = spark.createDataFrame([(w,) for w in words], "word string")
+        for dictionary, plan in ((words, "contains"), (words, "pattern"), (words, "ngrams"), (frame, "auto"), (frame, "ngrams")):
+            assert dict(rows(word_document_counts(docs, dictionary, method="substrings", plan=plan))) == want, plan
+
+
 def test_terms_of_a_service(spark):
     df = spark.createDataFrame([(["a", "b", "a"],), (["b"],), ([],), (None,)], "terms array<string>")
     words = spark.createDataFrame([("a",), ("b",), ("c",)], "word string")
@@ -163,5 +177,5 @@ def test_terms_of_a_service(spark):
 def test_frame_dictionary_with_empty_and_null_words(spark):
     docs = _docs(spark, ["ab cd", "cd"])
     words = spark.createDataFrame([("cd",), ("",), (None,), ("cd",)], "word string")
-    for method, plan in [("spaces", "auto"), ("substrings", "ngrams"), ("substrings", "contains"), ("dictionary", "auto"), ("dictionary", "join")]:
+    for method, plan in [("spaces", "auto"), ("substrings", "ngrams"), ("substrings", "pattern"), ("substrings", "contains"), ("dictionary", "auto"), ("dictionary", "join")]:
         assert rows(word_document_counts(docs, words, method=method, plan=plan)) == [("cd", 2)]

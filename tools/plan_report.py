@@ -32,28 +32,29 @@ NODES = [
 AT_SCALE = {
     "log_records": "Map-only: line built and split once per row (generator), no shuffle once the scan is wide (spread is a no-op).",
     "error_logs": "Map-only; the level predicate and the 3-column projection reach the parquet scan, so row groups without errors are skipped by statistics.",
-    "error_logs_sql": "Same plan as error_logs: the SQL over the registered view is optimized by Catalyst like the DataFrame form.",
+    "error_logs_sql": "Same plan as error_logs: the SQL over the batch is optimized by Catalyst like the DataFrame form.",
     "error_log_stream": "Text files written once per input task, then one file-stream batch per N files; parse + filter are map-only; the parquet file sink commits each batch exactly once, no directory per batch.",
     "level_totals": "One shuffle of partial counts (one row per key per map task); a key with a third of all rows costs no more than any other.",
     "level_totals_from_lines": "Map-only line building, then the same partial-count shuffle as level_totals.",
     "level_totals_stream": "Stateful count with state partitions fixed at first start; complete mode writes all keys per batch (keys are the 4-5 levels); read back from one batch partition.",
-    "level_total_snapshots": "Input scanned once into per-(batch, key) counts, checkpointed; windows run per (key, 4096-batch block), so no task holds more than 4096 rows of one key; output is keys x batches by definition.",
+    "level_total_snapshots": "Input scanned once into per-(batch, key) counts, checkpointed; windows run per (key, 4096-batch block), so no task holds more than 4096 rows of one key; output is keys x batches by definition, the interval form has one row per change.",
     "sliding_level_counts": "Each row expands into 2 windows before the partial aggregate; shuffle volume is windows x keys per map task, independent of row count.",
-    "sliding_level_counts_stream": "Same aggregate as state; the watermark evicts closed windows so state stays at open windows x keys.",
+    "sliding_level_counts_stream": "Every batch aggregates its own rows into window contributions (two windows per row before the partial aggregate); no state, no watermark, nothing dropped; the reader sums windows x keys x batches rows in one shuffle.",
     "sliding_level_counts_3_2": "As sliding_level_counts with a non-multiple length; rows outside a window are filtered inside the expansion.",
     "tumbling_counts": "One window per row, partial aggregate, one shuffle of window x key rows.",
     "dictionary_words": "Explode + distinct with map-side dedup; the shuffle carries each word at most once per map task.",
     "word_counts": "Literal list: array_intersect per comment, so only matched words are exploded; partial counts per word before the one shuffle.",
-    "comment_word_counts": "As word_counts, through the application entry point (empty comments dropped in the scan stage).",
+    "comment_word_counts": "As word_counts, through the application entry point, grouped by word and language (empty comments dropped in the scan stage).",
     "segment_spaces_counts": "Dictionary measured first (one aggregate); under the limit a broadcast semi-join filters tokens before the partial count; over it tokens are counted per word first and joined after, so a hot word is never one task's work.",
-    "segment_dictionary_counts": "Forward maximum matching by automaton (regex only for <= 4 words); map-only until the per-word partial count.",
+    "segment_dictionary_counts": "Forward maximum matching by one prefix-tree regex (cost per position is the length of the match, not the number of words); map-only until the per-word partial count.",
+    "segment_dictionary_frame_counts": "Dictionary frame measured, collected within the pattern limits and folded into one regex as above; beyond them the substrings of each word length are semi-joined with it (after a filter on beginnings), the longest per position aggregated and picked left to right per comment.",
     "segment_ngrams_counts": "<= 8 literal words: one JVM contains per word per comment, then the partial count; no explode of n-grams.",
-    "segment_ngrams_dictionary_counts": "Measured dictionary within the automaton bound: one Aho-Corasick pass per comment in Arrow batches (cost independent of dictionary size); beyond it n-grams + per-word aggregate + shuffle join.",
+    "segment_ngrams_dictionary_counts": "Within the pattern limits one prefix-tree regex per nesting level finds every word at every character, distinct per comment before the partial count; beyond them n-grams of one length at a time that begin like a word (the beginnings measured, then part of the pattern) are aggregated and semi-joined with the dictionary. No Python.",
     "comment_word_counts_stream": "Per micro-batch: dictionary snapshot reused until its TTL, comments spread only when the batch is narrow, broadcast/aggregate-first join as above, one ledger partition per batch (replay-safe).",
-    "monthly_counts": "Per-day contributions written once (one partition per month and batch), compacted per month; the reader adds only batches after each month's compaction mark (broadcast of one row per month).",
+    "monthly_counts": "Half-day batches of contributions, rebalanced by (month, batch) so that a small batch is one file and a large one is split; two compactions, each adding the batches after its month's mark to a new version; marks are one row per month and joined without a hint.",
     "accumulate_counts": "Two aggregates unioned and summed in one more aggregate: no sort-merge join; both inputs are already hash-partitioned on (word, date), so the union needs no extra exchange.",
     "service_terms": "Map-only: the response is parsed once per row inside a one-row generator (a filter would otherwise copy from_json once per field reference).",
-    "enriched_terms": "Per-comment external call in Arrow batches (mapInPandas), retries inside the task; parse as in service_terms. The call itself is the cost; Spark only spreads it.",
+    "enriched_terms": "Answers parsed once per row inside a one-row generator; the measured dictionary is broadcast and filters terms before the partial count.",
     "format_epochs": "Map-only field formatting.",
 }
 
