@@ -12,9 +12,8 @@ exact matching of coordinate blocks. Sets that link differ in at most
 coordinates, some block is equal in both points. Each set is dealt to one cell
 per block of its size class (and of the next class, if a larger partner can be
 there). A block with few shingles is equal in many unrelated sets, so there are
-more blocks than needed and each set leaves out as many of its smallest.
-Only sets that share a cell, directly or through others,
-meet again.
+more blocks than needed and each set leaves out as many of its smallest. Only
+sets that share a cell, directly or through others, meet again.
 
 Those families are packed into R-tree leaf pages by size. A page is searched
 within itself, pairs of pages only if their boxes can hold a link and their
@@ -276,13 +275,15 @@ def family_links(sets: DataFrame, bounds: Bounds) -> DataFrame:
     sets = materialize(sets.withColumn("tile", tile), "jaccard-sets")
     # leaf pages: sets of a family by size, cut by number and bytes
     tiles = sets.groupBy("family").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
-    tiles = tiles.withColumn("_one", (F.col("c") <= PAGE_SETS) & (F.col("w") * 8 <= PAGE_BYTES))
-    packed = sets.join(tiles.select("family", "_one"), "family").withColumn(
+    one = (F.col("c") <= PAGE_SETS) & (F.col("w") * 8 <= PAGE_BYTES)
+    tiles = small(materialize(tiles.select("family", one.alias("_one")), "jaccard-tiles"))
+    packed = sets.join(tiles, "family").withColumn(
         "tile", F.when(F.col("_one"), F.lit(0)).otherwise(F.col("tile"))
     )
     cuts = packed.groupBy("family", "tile").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / PAGE_SETS), F.ceil(F.sum("n") * 8 / PAGE_BYTES)).cast("int").alias("cuts")
     )
+    cuts = small(materialize(cuts, "jaccard-cuts"))
     paged = materialize(
         packed.join(cuts, ["family", "tile"])
         .withColumn("page", F.xxhash64("family", "tile", F.pmod(F.xxhash64("sid"), "cuts")))
@@ -321,7 +322,7 @@ def _across(wide: DataFrame, inside: DataFrame, bounds: Bounds, tasks: int) -> D
     )
     label = materialize(label.withColumn("component", F.coalesce("component", "sid")), "jaccard-label")
     heads = label.groupBy("family", "component").agg(F.min("sid").alias("sid"))
-    hubs = _first_hubs(heads)
+    hubs = small(materialize(_first_hubs(heads), "jaccard-hubs"))
     pairs = heads.join(hubs, "family").where(F.col("sid") != F.col("hub")).select("sid", "hub")
     left = wide.select("sid", "n", "hashes", "point")
     right = wide.select(
