@@ -71,7 +71,7 @@ def leaf_budgets(
     leaves: DataFrame,
     levels: Sequence[str],
     weights: Mapping[str, Mapping[str, int]],
-    target: Column | int | None,
+    target: int | None,
     max_epochs: int,
 ) -> DataFrame:
     """(levels..., tokens, budget) of leaves given as (levels..., tokens).
@@ -81,17 +81,14 @@ def leaf_budgets(
     are. One row per node and level; windows hold the children of a node.
     """
     leaves = leaves.withColumn("cap", F.col("tokens") * F.lit(max_epochs))
-    whole = leaves.agg(F.sum("tokens").alias("all"), F.sum("cap").alias("most"))
-    wanted = F.col("all") if target is None else (target if isinstance(target, Column) else F.lit(target))
-    above = whole.select(F.least(wanted.cast("long"), F.col("most")).alias("total"))
+    tokens, most = leaves.agg(F.sum("tokens"), F.sum("cap")).first()
+    total = min((tokens if target is None else target) or 0, most or 0)
+    above = None
     for depth, level in enumerate(levels):
         path = list(levels[: depth + 1])
         nodes = leaves.groupBy(*path).agg(F.sum("cap").alias("cap"))
         nodes = nodes.withColumn("weight", weight_of(F.col(level), weights.get(level, {})))
-        if depth:
-            nodes = nodes.join(above, path[:-1])
-        else:
-            nodes = nodes.join(F.broadcast(above))  # the root: one row
+        nodes = nodes.join(above, path[:-1]) if depth else nodes.withColumn("total", F.lit(total).cast("long"))
         above = split_budget(nodes, path[:-1] or [F.lit(0)], level).select(*path, F.col("budget").alias("total"))
     return leaves.select(*levels, "tokens").join(above.withColumnRenamed("total", "budget"), list(levels), "left").select(
         *levels, "tokens", F.coalesce("budget", F.lit(0).cast("long")).alias("budget")
@@ -109,7 +106,7 @@ def leaf_plans(
     id_col: str,
     token_col: str,
     weights: Mapping[str, Mapping[str, int]],
-    target: Column | int | None = None,
+    target: int | None = None,
     max_epochs: int = 4,
     seed: int = 0,
 ) -> DataFrame:
