@@ -228,6 +228,7 @@ def join_documents(
         .where(F.col("low") < F.col("high"))
         .select("cell", "low")
     )
+    shared = small(materialize(shared, "jaccard-shared"), 1_000_000)  # two longs a row
     meets = dealt.join(shared, "cell").where(F.col("sid") != F.col("low")).select("sid", "low").distinct()
     family = materialize(components(meets, "sid", "low").select(F.col("node").alias("sid"), F.col("component").alias("family")), "jaccard-family")
 
