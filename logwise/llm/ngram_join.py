@@ -41,7 +41,7 @@ PAGE_SETS, PAGE_BYTES = 128, 16 << 20
 #: Sets of each family that are compared with all page components first.
 HUBS = 4
 #: Bytes of sets handed to one task at a time.
-TASK_BYTES = 32 << 20
+TASK_BYTES = 16 << 20
 
 
 def lower_words(text: str) -> list[bytes]:
@@ -179,10 +179,18 @@ def search_page(sids, points, sizes, sets, bounds: Bounds, split: int | None = N
     return out
 
 
-def _open(pdf: pd.DataFrame):
+def _open(pdf: pd.DataFrame, by: str) -> Iterator[tuple[slice, tuple]]:
+    """Runs of equal ``by`` in sorted rows, each as (rows, (sids, points,
+    sizes, sets))."""
+    if not len(pdf):
+        return
     sets = [np.frombuffer(s, dtype=np.uint64) for s in pdf["hashes"]]
-    points = np.stack([np.frombuffer(p, dtype=np.int32) for p in pdf["point"]]) if len(pdf) else np.zeros((0, GROUPS))
-    return pdf["sid"].to_numpy(), points, pdf["n"].to_numpy(), sets
+    points = np.frombuffer(b"".join(pdf["point"]), dtype=np.int32).reshape(len(pdf), -1)
+    sids, sizes, key = pdf["sid"].to_numpy(), pdf["n"].to_numpy(), pdf[by].to_numpy()
+    ends = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(pdf)]
+    for a, b in zip(ends, ends[1:], strict=False):
+        part = slice(a, b)
+        yield part, (sids[part], points[part], sizes[part], sets[part])
 
 
 def join_documents(
@@ -292,17 +300,18 @@ def family_links(sets: DataFrame, bounds: Bounds) -> DataFrame:
         "jaccard-pages",
     )
     weight = paged.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 8
-    tasks = max(1, -(-int(weight) // TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    tasks = max(1, -(-int(weight) // TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, page in pdf.groupby("page", sort=False):
-            page = page.sort_values(["n", "sid"])
-            out += search_page(*_open(page), bounds)
+        for _, page in _open(pdf.sort_values(["page", "n", "sid"]), "page"):
+            if len(page[0]) > 1:
+                out += search_page(*page, bounds)
         return pd.DataFrame(out, columns=["a", "b"])
 
     inside = materialize(
         paged.withColumn("task", F.pmod(F.xxhash64("page"), F.lit(tasks)))
+        .repartition(tasks, "task")  # work follows pairs, not bytes: not to be coalesced
         .groupBy("task")
         .applyInPandas(lambda pdf: within(pdf), "a long, b long"),
         "jaccard-inside",
@@ -352,10 +361,11 @@ def _across(wide: DataFrame, inside: DataFrame, bounds: Bounds, tasks: int) -> D
     # page boxes: largest coordinate per group, smallest size, classes inside
     def box(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for (fam, page), rest in pdf.groupby(["family", "page"], sort=False):
-            _, points, sizes, _ = _open(rest)
-            classes = rest["known"].unique()
-            rows.append((fam, page, points.max(0).tobytes(), int(sizes.min()), int(classes[0]), len(classes)))
+        pdf = pdf.sort_values(["page", "n", "sid"])
+        for part, (_, points, sizes, _) in _open(pdf, "page"):
+            first, classes = pdf.iloc[part.start], pdf["known"].iloc[part].unique()
+            name = (int(first["family"]), int(first["page"]))
+            rows.append((*name, points.max(0).tobytes(), int(sizes.min()), int(classes[0]), len(classes)))
         return pd.DataFrame(rows, columns=["family", "page", "high", "least", "known", "classes"])
 
     boxes = materialize(
@@ -386,15 +396,17 @@ def _across(wide: DataFrame, inside: DataFrame, bounds: Bounds, tasks: int) -> D
 
     def between(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, unit in pdf.groupby("unit", sort=False):
-            unit = unit.sort_values(["side", "n", "sid"])
-            names = dict(zip(unit["sid"], unit["known"], strict=True))
-            out += search_page(*_open(unit), bounds, split=int((unit["side"] == 0).sum()), known=names)
+        pdf = pdf.sort_values(["unit", "side", "n", "sid"])
+        names = dict(zip(pdf["sid"], pdf["known"], strict=True))
+        side = pdf["side"].to_numpy()
+        for part, unit in _open(pdf, "unit"):
+            out += search_page(*unit, bounds, split=int((side[part] == 0).sum()), known=names)
         return pd.DataFrame(out, columns=["a", "b"])
 
     crossed = materialize(
         sides.join(known, "page")
         .select("unit", "side", "sid", "n", "hashes", "point", "known")
+        .repartition(4 * tasks, "unit")
         .groupBy("unit")
         .applyInPandas(lambda pdf: between(pdf), "a long, b long"),
         "jaccard-across",
