@@ -75,14 +75,15 @@ def frames(dim: int, tables: int, seed: int) -> list[tuple[np.ndarray, np.ndarra
 
 
 def cells(u: np.ndarray, frame: tuple[np.ndarray, np.ndarray], scale: float, table: int) -> np.ndarray:
-    """Keys of the own cell (column 0) and the probed cells of each unit row."""
+    """Keys of the own cell (column 0) and the probed cells of each unit row;
+    vectors of different length share none."""
     x = u @ frame[0] * scale + frame[1]
     own = nearest_e8(x)
     step = roots()
     near = np.argsort(-((x - own) @ step.T), axis=1, kind="stable")[:, :PROBES]
     points = np.concatenate([own[:, None, :], own[:, None, :] + step[near]], axis=1)
     whole = np.rint(points * 2).astype(np.int64).view(np.uint64)
-    key = np.full(points.shape[:2], np.uint64(table + 1))
+    key = np.full(points.shape[:2], np.uint64((u.shape[1] << 32) + table + 1))
     for c in range(8):
         key = mix64(key ^ whole[:, :, c] + np.uint64(c))
     return key.view(np.int64)
@@ -190,7 +191,8 @@ def near_duplicates(
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, cell_rows in pdf.groupby(["cell", "i", "j"], sort=False):
+        # by length too, should two keys be equal by chance
+        for _, cell_rows in pdf.groupby(["cell", "i", "j", pdf["vec"].map(len)], sort=False):
             if len(cell_rows) > 1:
                 out += _cell_links(cell_rows, threshold)
         return pd.DataFrame(out, columns=["rep", "links", "root"])
@@ -239,9 +241,6 @@ def _cell_links(rows: pd.DataFrame, threshold: float) -> list[tuple[int, int, in
     rep, n = rows["rep"].to_numpy(), rows["n"].to_numpy()
     cell, i, j = int(rows["cell"].iloc[0]), int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
     block = rows["block"].to_numpy()
-    width = {len(v) for v in rows["vec"]}
-    if len(width) > 1:
-        return []  # keys of different dimensions share no cell but by chance
     keys = np.stack(rows["keys"].to_list())
     own, step = keys[:, :: PROBES + 1], PROBES + 1
     u = _unit(np.stack([np.frombuffer(v) for v in rows["vec"]]))

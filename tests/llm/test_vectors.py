@@ -154,6 +154,18 @@ def test_recall_of_pairs_near_the_threshold(spark):
     assert sum(got.values()) >= 0.97 * sum(n for n, _ in want.values())
 
 
+def test_links_of_two_lengths_in_equal_numbers(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for dim in (64, 32):
+        base = rng.normal(size=(400, dim))
+        near = base + rng.normal(size=base.shape) * 0.1
+        rows += [(len(rows) + i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([base, near]))]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in lattice.near_duplicates(frame(spark, rows)).collect()}
+    want = brute_links(rows, 0.95)
+    assert sum(got[i] == w for i, w in want.items()) >= 0.99 * len(rows)
+
+
 def test_empty_near_duplicates(spark):
     assert lattice.near_duplicates(frame(spark, [])).count() == 0
     assert lattice.near_duplicates(frame(spark, ODD[:6])).where("n_links > 0").count() == 0
