@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwise.llm import chat, language, lattice, lm, mixing, mtree, ngram_join, paragraphs, pieces
+from logwise.llm import chat, codes, divergence, fingerprints, language, lattice, lm, mixing, mtree, ngram_join, paragraphs, pieces
 from logwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,3 +234,117 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of documents that occur in an earlier document or place."""
     return paragraphs.repeated_passages(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@register
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings after six rounds of refinement."""
+    return codes.codes_with_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def _sql_codes() -> str:
+    """The rounds written out: one pair of tables (nearest entry, next
+    codebook) per round."""
+    parts, entries, rounds = codes.PARTS, codes.ENTRIES, codes.ROUNDS
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} as materialized (
+  select pos, part, n, (min((list_sum(list_transform(list_zip(part, e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), entry))) as best
+  from parts join book{r} using (pos) group by all
+)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} as (
+  select pos, entry, list((s - ((s % c) + c) % c) // c order by place) as e
+  from (select pos, best[2] as entry, place, sum(n * part[place]) as s, sum(n) as c
+        from near{r}, (select unnest(range(1, 65)) as place) where place <= len(part) group by all)
+  group by all
+), book{r + 1} as materialized (
+  select pos, entry, coalesce(m.e, b.e) as e from book{r} b left join mean{r} m using (pos, entry)
+)""")
+    return f"""
+with v as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor({codes.SCALE} * cast(x as double)) as hugeint)) as z
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), cut as materialized (
+  select vec_id, label, pos, z[pos * len(z) // {parts} + 1 : (pos + 1) * len(z) // {parts}] as part
+  from v, (select unnest(range({parts})) as pos)
+), parts as materialized (select pos, part, count(*) as n from cut group by all)
+, book0 as materialized (
+  select pos, entry, part as e
+  from cut join (select vec_id, row_number() over (order by vec_id) - 1 as entry from v) using (vec_id) where entry < {entries}
+),{",".join(steps)}
+, coded as (
+  select vec_id, label, string_agg(printf('%02x', best[2]), '' order by pos) as code, cast(sum(best[1]) as bigint) as error
+  from cut join near{rounds} using (pos, part) group by all
+), digest as (
+  select sha256(string_agg(cast(x as varchar), ',' order by pos, entry, place)) as codebooks_sha256
+  from (select pos, entry, unnest(e) as x, unnest(range(len(e))) as place from book{rounds})
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded, digest
+"""
+
+
+ORACLES["op11_vector_codes"] = _sql_codes()
+
+
+@register
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.compare_edited(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language, and their leading terms."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def _sql_share(count: str, total: str) -> str:
+    return f"(1 + (1000000000 * (cast({count} as hugeint) + 2)) // ({total}))"
+
+
+def _sql_divergence(p: str, q: str) -> str:
+    return f"(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+
+ORACLES["op13_source_divergence"] = f"""
+with d as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{divergence.TERM}') as terms
+  from documents
+), t as materialized (select lang, source, row, unnest(terms) as term from d
+), kept as materialized (
+  select lang, term from t group by all having count(distinct row) >= {divergence.LEAST_DOCS}
+), occ as materialized (select lang, source, term, count(*) as c from t join kept using (lang, term) group by all
+), g as materialized (
+  select lang, source, coalesce(n, 0) as n, coalesce(v, 0) as v from (select distinct lang, source from d)
+  left join (select lang, source, sum(c) as n from occ group by all) using (lang, source)
+  left join (select lang, count(*) as v from kept group by all) using (lang)
+), p as materialized (
+  select lang, source, term, coalesce(c, 0) as c, {_sql_share("coalesce(c, 0)", "n + 2 * v")} as p
+  from g join kept using (lang) left join occ using (lang, source, term)
+), q as (
+  select lang, term, {_sql_share("sum(c)", "any_value(n + 2 * v)")} as q
+  from occ join (select lang, sum(n) as n, any_value(v) as v from g group by all) using (lang) group by all
+), pair as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select a.lang, a.source, b.source as item, sum({_sql_divergence("a.p", "b.p")}) as value
+    from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+  ) s on s.lang = a.lang and s.source = a.source and s.item = b.source
+), term as (
+  select lang, source, 'term' as part, term as item, {_sql_divergence("p", "q")} as value
+  from p join q using (lang, term) where c > 0 and p > q
+), r as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pair union all select * from term)
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from r where part = 'pair' or rank <= {divergence.TOP_TERMS}
+"""

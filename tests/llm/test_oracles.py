@@ -10,7 +10,7 @@ from logwise.llm.queries import ORACLES, QUERIES
 def test_registered_once_each():
     names = list(entry.queries())
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_ORACLE])
