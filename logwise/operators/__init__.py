@@ -15,12 +15,14 @@ from logwise.operators.parse import (
 )
 from logwise.operators.responses import failed_answers, parse_responses, valid_terms
 from logwise.operators.sizing import Size, broadcast_if_small, measure
+from logwise.operators.versions import as_of_word_counts, match_as_of, version_intervals
 from logwise.operators.windows import sliding_counts, tumbling_counts
 from logwise.operators.words import dictionary_words, match_words, word_document_counts
 
 __all__ = [
     "Size",
     "accumulate",
+    "as_of_word_counts",
     "broadcast_if_small",
     "call_with_retry",
     "count_by",
@@ -31,6 +33,7 @@ __all__ = [
     "line_levels",
     "lines_from_columns",
     "log_records",
+    "match_as_of",
     "match_words",
     "measure",
     "non_empty",
@@ -44,6 +47,7 @@ __all__ = [
     "total_snapshots",
     "tumbling_counts",
     "valid_terms",
+    "version_intervals",
     "word_document_counts",
 ]
 

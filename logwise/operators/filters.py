@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 
@@ -26,15 +25,20 @@ def non_empty(df: DataFrame, column: str = "value") -> DataFrame:
 
 
 def sql_over_batch(df: DataFrame, query: str, view: str = "batch_rows") -> DataFrame:
-    """Run ``query`` with the word ``view`` in it standing for ``df``.
-
-    The frame is registered under a name of its own while the query is
-    analysed, then dropped: the caller's views stay as they are, and two
-    threads cannot swap each other's rows.
+    """Run ``query`` with ``view`` as the name of ``df``, for example
+    ``select * from batch_rows``.
+
+    The rows are a common table expression of that name around the query, so
+    its text stays as it is: literals and columns may be called like the view.
+    What the expression reads is registered under a name of its own while the
+    query is analysed, then dropped: the caller's views stay as they are, and
+    two threads cannot swap each other's rows. A table or view called like
+    ``view`` is hidden inside the query.
     """
-    own = f"{view}_{uuid.uuid4().hex}"
+    own = f"_rows_{uuid.uuid4().hex}"
+    named = view.replace("`", "``")
     df.createTempView(own)
     try:
-        return df.sparkSession.sql(re.sub(rf"\b{re.escape(view)}\b", own, query))
+        return df.sparkSession.sql(f"WITH `{named}` AS (SELECT * FROM {own}) SELECT * FROM (\n{query}\n)")
     finally:
         df.sparkSession.catalog.dropTempView(own)

@@ -21,6 +21,7 @@ from logwise.functions import (
 from logwise.functions.responses import HTTP_OK, RET_OK
 from logwise.operators import (
     accumulate,
+    as_of_word_counts,
     count_by,
     filter_levels,
     line_levels,
@@ -32,6 +33,7 @@ from logwise.operators import (
     total_snapshots,
     tumbling_counts,
     valid_terms,
+    version_intervals,
     word_document_counts,
 )
 from logwise.operators.words import dictionary_words as distinct_words
@@ -41,8 +43,10 @@ from logwise.sinks.ledger import (
     compact_months,
     contributions,
     monthly_totals,
+    read_contributions,
     write_contributions,
 )
+from logwise.settings import DICTIONARY_TTL_MS
 from logwise.sources import (
     RefreshingDictionary,
     log_lines,
@@ -51,6 +55,7 @@ from logwise.sources import (
     table_stream,
     write_log_files,
 )
+from logwise.sources.storage import is_folder, matching_folders
 from logwise.streaming import (
     comment_counts_query,
     drain,
@@ -241,6 +246,65 @@ def comment_word_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
     return totals.groupBy("word").agg(F.sum("count").alias("n"))
 
 
+#: Batches of the documents as comments: five sources each. A version of the
+#: dictionary is valid from each of these batches on.
+SOURCES_PER_BATCH = 5
+VERSION_STARTS = (0, 1, 3)
+SHORT_WORD = 4
+
+
+def _comment_batches(spark: SparkSession, d: str) -> DataFrame:
+    number = F.regexp_extract("source", r"(\d+)", 1)
+    batch = F.floor(F.when(number == "", 0).otherwise(number.cast("bigint")) / SOURCES_PER_BATCH)
+    return _documents(spark, d, "doc_id", "text", "source").select("doc_id", "text", batch.alias("batch"))
+
+
+def _word_versions(spark: SparkSession, d: str) -> DataFrame:
+    """(valid_from, word): the benchmark's short words, then all of its words,
+    then the longer ones."""
+    first, second, third = VERSION_STARTS
+    short = F.char_length("word") <= SHORT_WORD
+    starts = F.when(short, F.array(F.lit(first), F.lit(second))).otherwise(F.array(F.lit(second), F.lit(third)))
+    return _benchmark_words(spark, d).select("word", F.explode(starts.cast("array<bigint>")).alias("valid_from"))
+
+
+def dictionary_versions_counts_q(spark: SparkSession, d: str) -> DataFrame:
+    """Comments per word and batch, each batch matched with the dictionary
+    version valid at it."""
+    words = _word_versions(spark, d)
+    starts = spark.createDataFrame([(v,) for v in VERSION_STARTS], "valid_from bigint")
+    intervals = version_intervals(starts, words)
+    docs = non_empty(_comment_batches(spark, d), "text")
+    return as_of_word_counts(docs, intervals, "batch", by=())
+
+
+def dictionary_versions_stream_q(spark: SparkSession, d: str) -> DataFrame:
+    """The same counts by the comment stream: batches arrive one after the
+    other, the dictionary table changes between them, its time to live runs
+    out before each, and each batch is processed by a query started anew. The
+    contributions of each batch are read back from the ledger."""
+    root = scratch_path(spark, "version_stream")
+    words = _word_versions(spark, d)
+    comments = _comment_batches(spark, d).select("batch", F.col("text").alias("value"))
+    comments.write.partitionBy("batch").parquet(f"{root}/all")
+    schema = "value string"
+    for n in range(max((int(f.rsplit("=", 1)[1]) for f in matching_folders(spark, f"{root}/all/batch=*")), default=-1) + 1):
+        if not is_folder(spark, f"{root}/all/batch={n}"):
+            continue
+        spark.read.schema(schema).parquet(f"{root}/all/batch={n}").write.mode("append").parquet(f"{root}/in")
+        valid = max(v for v in VERSION_STARTS if v <= n)
+        dictionary = RefreshingDictionary(
+            spark,
+            lambda valid=valid: words.where(F.col("valid_from") == valid),
+            clock=lambda n=n: (n + 1) * (DICTIONARY_TTL_MS + 1),
+            store_path=f"{root}/dictionary",
+        )
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in").withColumn("timestamp", F.current_timestamp())
+        drain(comment_counts_query(stream, dictionary, f"{root}/ledger", f"{root}/ckpt"))
+    ledger = read_contributions(spark, f"{root}/ledger")
+    return ledger.groupBy("word", F.col("batch_id").alias("batch")).agg(F.sum("count").alias("n"))
+
+
 def monthly_counts_q(spark: SparkSession, d: str) -> DataFrame:
     """(type, date) counts written to the contributions ledger as one batch per
     half day, the months compacted after the mornings and again after the
@@ -339,6 +403,8 @@ QUERIES: dict[str, Query] = {
     "segment_ngrams_counts": segment_ngrams_counts_q,
     "segment_ngrams_dictionary_counts": segment_ngrams_dictionary_counts_q,
     "comment_word_counts_stream": comment_word_counts_stream_q,
+    "dictionary_versions_counts": dictionary_versions_counts_q,
+    "dictionary_versions_stream": dictionary_versions_stream_q,
     "monthly_counts": monthly_counts_q,
     "accumulate_counts": accumulate_counts_q,
     "service_terms": service_terms_q,
@@ -378,6 +444,16 @@ _SERVICE_TERMS = (
     "from (" + _TERMS + ") where terms <> ''"
 )
 
+_VERSION_COUNTS = (
+    "with b as (" + _BENCH_WORDS + "), i as ("
+    f"select word, case when length(word) <= {SHORT_WORD} then {VERSION_STARTS[0]} else {VERSION_STARTS[1]} end valid_from, "
+    f"case when length(word) <= {SHORT_WORD} then {VERSION_STARTS[2]} end valid_to from b), "
+    "t as (select distinct doc_id, cast(floor(coalesce(try_cast(regexp_extract(source, '(\\d+)', 1) as bigint), 0) "
+    f"/ {SOURCES_PER_BATCH}) as bigint) batch, unnest(string_split(text, ' ')) word from documents) "
+    "select word, batch, count(*) n from t join i using (word) "
+    "where batch >= valid_from and (valid_to is null or batch < valid_to) group by all"
+)
+
 ORACLES: dict[str, str] = {
     "log_records": (
         "select event_id, '[' || event_type || ']' log_level, 'u' || user_id as method, "
@@ -437,6 +513,8 @@ ORACLES: dict[str, str] = {
         + _BENCH_WORDS
         + ") t on contains(d.text, t.word) group by 1"
     ),
+    "dictionary_versions_counts": _VERSION_COUNTS,
+    "dictionary_versions_stream": _VERSION_COUNTS,
     "monthly_counts": (
         "select strftime(ts, '%Y%m') as month, cast(ts as date) date, event_type word, "
         "count(*) count from events group by all"

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwise.schemas import CONTRIBUTION
-from logwise.sources.storage import is_folder, matching_folders, newest_number, remove_folder
+from logwise.sinks.fold import Ledger, fold, totals
+from logwise.sinks.tables import read_batches
+from logwise.sources.storage import matching_folders, remove_folder
 
 # Fixed value: the month a count belongs to, as in the per-month table names.
 MONTH_FORMAT = "yyyyMM"
@@ -60,66 +62,26 @@ def write_contributions(rows: DataFrame, path: str, batch_id: int | None = None)
 def read_contributions(spark: SparkSession, path: str) -> DataFrame:
     """The ledger with its fixed schema (inference would make ``month`` an
     INT); no rows if nothing has been written yet."""
-    if not is_folder(spark, path):
-        return spark.createDataFrame([], CONTRIBUTION)
-    return spark.read.schema(CONTRIBUTION).parquet(path)
+    return read_batches(spark, path, CONTRIBUTION)
 
 
-COMPACTED = "word string, date date, count bigint, through_batch bigint, month string"
-
-
-def _read_compacted(spark: SparkSession, compacted_path: str | None) -> tuple[DataFrame | None, int]:
-    """(rows of the newest finished version or None, its number or 0)."""
-    version = newest_number(spark, compacted_path, "version", finished=True) if compacted_path else None
-    if version is None:
-        return None, 0
-    return spark.read.schema(COMPACTED).parquet(f"{compacted_path}/version={version}"), version
-
-
-def _after(ledger: DataFrame, done: DataFrame | None) -> DataFrame:
-    """Ledger rows that are not folded into ``done`` yet."""
-    if done is None:
-        return ledger
-    marks = done.groupBy("month").agg(F.max("through_batch").alias("through_batch"))  # one row per month
-    return (
-        ledger.join(marks, "month", "left")
-        .where(F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch")))
-        .drop("through_batch")
-    )
+def monthly_ledger(path: str) -> Ledger:
+    """The contributions at ``path`` as an additive ledger, folded by month."""
+    return Ledger(path, CONTRIBUTION, ("month", "date", "word"), "count", "month", "month")
 
 
 def compact_months(
     spark: SparkSession, path: str, compacted_path: str, months: list[str] | None = None
 ) -> None:
-    """Fold the contributions of (closed) months into one totals table.
-
-    A stream that runs for months leaves one ledger partition per batch.
-    Compaction adds the ledger batches after each month's ``through_batch``
-    (the last batch folded in so far) to the totals it already has, and writes
-    the result as a new version folder below ``compacted_path``. Readers take
-    the newest version whose write was committed, so a failed compaction
-    changes nothing. Folded ledger partitions and older versions may be
-    deleted afterwards; compacting again keeps what they held.
-    ``months=None`` compacts every month in the ledger.
+    """Fold the contributions of (closed) months into totals below
+    ``compacted_path``; see :mod:`logwise.sinks.fold`.
+
+    Only months with batches that are not folded yet are rewritten. Folded
+    ledger partitions may be removed afterwards
+    (:func:`logwise.sinks.fold.drop_folded`); compacting again keeps what they
+    held. ``months=None`` compacts every month in the ledger.
     """
-    done, version = _read_compacted(spark, compacted_path)
-    fresh = _after(read_contributions(spark, path), done)
-    if months is not None:
-        fresh = fresh.where(F.col("month").isin(*months))
-    rows = fresh.select("month", "date", "word", "count", "batch_id")
-    if done is not None:
-        rows = rows.unionByName(
-            done.select("month", "date", "word", "count", F.col("through_batch").alias("batch_id"))
-        )
-    marks = rows.groupBy("month").agg(F.max("batch_id").alias("through_batch"))  # one row per month
-    totals = rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))
-    (
-        totals.join(marks, "month")
-        .select("word", "date", "count", "through_batch", "month")
-        .hint("rebalance", "month")
-        .write.partitionBy("month")
-        .parquet(f"{compacted_path}/version={version + 1}")
-    )
+    fold(spark, monthly_ledger(path), compacted_path, months)
 
 
 def monthly_totals(
@@ -127,13 +89,7 @@ def monthly_totals(
 ) -> DataFrame:
     """``(month, date, word, count)``: the sum of all contributions per key.
 
-    With ``compacted_path``, compacted months come from there and the ledger
-    adds only batches after each month's ``through_batch`` (late data).
+    With ``compacted_path``, folded batches come from there and the ledger
+    adds only the later batches of each month.
     """
-    done, _ = _read_compacted(spark, compacted_path)
-    rows = _after(read_contributions(spark, path), done).select("month", "date", "word", "count")
-    if done is not None:
-        rows = rows.unionByName(done.select("month", "date", "word", "count"))
-    if months:
-        rows = rows.where(F.col("month").isin(*months))
-    return rows.groupBy("month", "date", "word").agg(F.sum("count").alias("count"))
+    return totals(spark, monthly_ledger(path), compacted_path, months or None)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logwise.settings import CONSOLE_ROWS
-from logwise.sources.storage import is_folder
+from logwise.sources.storage import is_folder, newest_mark
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -20,10 +21,19 @@ def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet")
 
 def read_batches(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
     """All appended batches; ``schema`` must include ``batch_id BIGINT``. No
-    rows if no batch has been written yet."""
+    rows if no batch has been written yet.
+
+    Where the writer marks finished batches beside the table (one mark for
+    all outputs of a batch, see :func:`logwise.sources.storage.put_mark`),
+    batches after the mark are left out: a reader sees all outputs of a batch
+    or none.
+    """
+    path = path.rstrip("/")
+    finished = newest_mark(spark, path.rpartition("/")[0], "batch_id")
     if not is_folder(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).format(fmt).load(path)
+    rows = spark.read.schema(schema).format(fmt).load(path)
+    return rows if finished is None else rows.where(F.col("batch_id") <= finished)
 
 
 def jdbc_append(

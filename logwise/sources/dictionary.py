@@ -10,11 +10,13 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logwise.operators.sizing import Size, measure
 from logwise.operators.words import dictionary_words
 from logwise.session import checkpoint_root
 from logwise.settings import DICTIONARY_TTL_MS
+from logwise.sources.storage import is_folder
 
 log = logging.getLogger(__name__)
 
@@ -199,3 +201,27 @@ class RefreshingDictionary:
             row = None
         if row is not None:
             self._snap, self.loaded_at = self._read_version(row["version"]), row["loaded_at"]
+
+
+def stored_versions(spark: SparkSession, store_path: str, start: str = "first_batch") -> tuple[DataFrame, DataFrame]:
+    """(versions, words) of a dictionary's ``store_path``, for
+    :func:`logwise.operators.versions.version_intervals`.
+
+    ``start`` says from when a version is valid: ``first_batch``, the first
+    micro-batch that used it, or ``loaded_at``, its load time in epoch
+    milliseconds. So a stream's counts can be checked or made again later with
+    the words each batch saw. No rows if nothing has been pinned yet.
+    """
+    if start not in ("first_batch", "loaded_at"):
+        raise ValueError(f"unknown start {start!r}")
+    root = store_path.rstrip("/")
+    if not is_folder(spark, f"{root}/pins"):
+        return spark.createDataFrame([], "valid_from bigint"), spark.createDataFrame([], "valid_from bigint, word string")
+    pins = spark.read.schema("version string, loaded_at long, first_batch long").parquet(f"{root}/pins")
+    pins = pins.select("version", F.col(start).alias("valid_from"))
+    versions = pins.select("valid_from").distinct()
+    if not is_folder(spark, f"{root}/snapshots"):
+        return versions, spark.createDataFrame([], "valid_from bigint, word string")
+    words = spark.read.schema("word string, version string").parquet(f"{root}/snapshots")
+    # one row per reload
+    return versions, words.join(F.broadcast(pins), "version").select("valid_from", "word")

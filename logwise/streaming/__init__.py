@@ -4,11 +4,13 @@ from logwise.streaming.apps import start_comment_word_counts, start_log_analysis
 from logwise.streaming.comments import batch_word_counts, comment_counts_query
 from logwise.streaming.logs import (
     error_log_query,
+    level_ledger,
     level_snapshots,
     level_totals,
     level_totals_query,
     log_analysis_query,
     sliding_counts_query,
+    window_ledger,
     window_totals,
 )
 from logwise.streaming.runner import (
@@ -24,6 +26,7 @@ from logwise.streaming.runner import (
 __all__ = [
     "start_comment_word_counts",
     "start_log_analysis",
+    "window_ledger",
     "window_totals",
     "batch_word_counts",
     "compact_latest",
@@ -34,6 +37,7 @@ __all__ = [
     "last_batch_id",
     "latest_per_key",
     "snapshot_at",
+    "level_ledger",
     "level_snapshots",
     "level_totals",
     "level_totals_query",

@@ -20,7 +20,9 @@ from logwise.operators.counts import count_by, total_snapshots
 from logwise.operators.filters import ERROR_LEVEL, filter_levels, sql_over_batch
 from logwise.operators.parse import parse_log_lines, quarantine, timed_levels
 from logwise.operators.windows import sliding_counts
+from logwise.sinks.fold import Ledger, totals
 from logwise.sinks.tables import append_batch, read_batches
+from logwise.sources.storage import put_mark, take_back_marks
 from logwise.streaming.runner import start
 
 RECORD_OUT = ("log_level", "method", "content", "event_ts")
@@ -136,7 +138,7 @@ def sliding_counts_query(
     replaces its partition.
 
     ``time_col=None`` uses arrival time (the batch time, which the offset log
-    keeps for replays) instead of event time.
+    keeps for replays) instead of event time; so do rows whose time is NULL.
 
     The stateful forms drop rows older than ``watermark``, which must be given
     for them: ``sink='updates'`` writes the windows a batch changed (read with
@@ -148,7 +150,9 @@ def sliding_counts_query(
         time_col = "_arrival"
         watermark = watermark or "0 seconds"
     else:
-        stream = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
+        # rows without a time count at the time of their batch
+        at = F.coalesce(F.col(time_col).cast("timestamp"), F.current_timestamp())
+        stream = stream.withColumn(time_col, at)
     if sink == "contributions":
 
         def per_batch(df: DataFrame, batch_id: int) -> None:
@@ -172,21 +176,37 @@ def sliding_counts_query(
     )
 
 
-def window_totals(spark: SparkSession, path: str, key: str, name: str = "n") -> DataFrame:
-    """(ws, we, key, n): the windows of a ``contributions`` sink, all batches."""
-    rows = read_batches(spark, path, f"ws timestamp, we timestamp, `{key}` string, `{name}` bigint, batch_id bigint")
-    return rows.groupBy("ws", "we", key).agg(F.sum(name).alias(name))
+def window_ledger(path: str, key: str, name: str = "n") -> Ledger:
+    """The windows of a ``contributions`` sink as an additive ledger, folded by
+    the day (UTC) a window starts on: new batches rewrite recent days only."""
+    schema = f"ws timestamp, we timestamp, `{key}` string, `{name}` bigint, batch_id bigint"
+    return Ledger(path, schema, ("ws", "we", key), name, "cast(floor(unix_seconds(ws) / 86400) as string)")
+
+
+def window_totals(
+    spark: SparkSession, path: str, key: str, name: str = "n", folded_path: str | None = None
+) -> DataFrame:
+    """(ws, we, key, n): the windows of a ``contributions`` sink, all batches;
+    those folded by :func:`logwise.sinks.fold.fold` from ``folded_path``."""
+    return totals(spark, window_ledger(path, key, name), folded_path)
 
 
 LEVEL_ROWS = "log_level string, n bigint, batch_id bigint"
 
 
-def level_totals(spark: SparkSession, path: str, through: int | None = None) -> DataFrame:
-    """(log_level, n) over the batches of :func:`log_analysis_query` up to
-    ``through`` (all without it)."""
-    rows = read_batches(spark, path, LEVEL_ROWS)
-    if through is not None:
-        rows = rows.where(F.col("batch_id") <= through)
+def level_ledger(path: str) -> Ledger:
+    """The level counts of :func:`log_analysis_query` as an additive ledger."""
+    return Ledger(path, LEVEL_ROWS, ("log_level",), "n")
+
+
+def level_totals(
+    spark: SparkSession, path: str, through: int | None = None, folded_path: str | None = None
+) -> DataFrame:
+    """(log_level, n) over the batches of :func:`log_analysis_query`; with
+    ``through`` up to that batch, which needs the batches themselves."""
+    if through is None:
+        return totals(spark, level_ledger(path), folded_path)
+    rows = read_batches(spark, path, LEVEL_ROWS).where(F.col("batch_id") <= through)
     return rows.groupBy("log_level").agg(F.sum("n").alias("n"))
 
 
@@ -213,8 +233,12 @@ def log_analysis_query(
     ``batch_rows``), ``quarantine`` (incomplete lines), ``levels`` (counts of
     every line's level) and ``windows`` (sliding counts of every line). The
     counts are contributions per batch, so a replay replaces them; read them
-    with :func:`level_totals`, :func:`level_snapshots`, :func:`window_totals`.
+    with :func:`level_totals`, :func:`level_snapshots`, :func:`window_totals`
+    and the rows with :func:`logwise.sinks.read_batches`. A mark below
+    ``out_dir`` is set after the last of the four, and all these readers stop
+    at it: they see all outputs of a batch or none.
     """
+    spark = lines.sparkSession
     parsed = parse_log_lines(lines).observe(
         "log_lines",
         F.count(F.lit(1)).alias("lines"),
@@ -224,6 +248,7 @@ def log_analysis_query(
     def per_batch(df: DataFrame, batch_id: int) -> None:
         shared = df.persist()
         try:
+            take_back_marks(spark, out_dir, "batch_id", batch_id)
             good, bad = quarantine(shared)
             records = good.select(*RECORD_OUT)
             kept = sql_over_batch(records, sql) if sql else filter_levels(records, levels)
@@ -233,6 +258,7 @@ def log_analysis_query(
             append_batch(count_by(timed, "log_level"), f"{out_dir}/levels", batch_id)
             windows = sliding_counts(timed, "event_ts", "log_level", length, slide)
             append_batch(windows, f"{out_dir}/windows", batch_id)
+            put_mark(spark, out_dir, "batch_id", batch_id)
         finally:
             shared.unpersist()
 

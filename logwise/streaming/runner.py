@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from logwise.settings import CONSOLE_ROWS
 from logwise.sinks.tables import read_batches
-from logwise.sources.storage import newest_number
+from logwise.sources.storage import newest_mark, newest_number, put_mark
 
 
 # Fixed value: the state store Spark ships for large state (kept off-heap).
@@ -101,9 +101,10 @@ def latest_per_key(
 
 
 def _folded(spark: SparkSession, compacted_path: str | None) -> tuple[DataFrame | None, int, int]:
-    """(rows, last batch folded in, number) of the newest finished version."""
-    version = newest_number(spark, compacted_path, "version", finished=True) if compacted_path else None
-    if version is None:
+    """(rows, last batch folded in, number) of the newest version that is
+    marked as finished."""
+    version = newest_mark(spark, compacted_path, "version") if compacted_path else None
+    if version is None or version < 0:
         return None, -1, 0
     done = spark.read.parquet(f"{compacted_path}/version={version}")
     through = done.agg(F.max("through_batch")).first()[0]
@@ -138,7 +139,10 @@ def compact_latest(
     aggs = [F.max_by(F.col(v), F.col("batch_id")).alias(v) for v in values]
     latest = rows.groupBy(*keys).agg(*aggs, F.max("batch_id").alias("batch_id"))
     latest = latest.withColumn("through_batch", F.lit(max(int(newest), through)).cast("bigint"))
-    latest.write.parquet(f"{compacted_path}/version={version + 1}")
+    # a number that no earlier attempt has used, also one that did not finish
+    number = 1 + max(version, newest_number(spark, compacted_path, "version") or 0)
+    latest.write.parquet(f"{compacted_path}/version={number}")
+    put_mark(spark, compacted_path, "version", number)
 
 
 def last_batch_id(spark: SparkSession, path: str) -> int | None:

@@ -245,7 +245,7 @@ def _remove(folder):
 
 
 def test_compaction_after_the_folded_partitions_are_gone(spark, tmp):
-    from logwise.sinks import compact_months
+    from logwise.sinks import compact_months, drop_folded, monthly_ledger
 
     def write(batch_id, count, day=5, month=8):
         df = spark.createDataFrame([("w", dt.date(2018, month, day), count)], "word string, date date, count long")
@@ -266,11 +266,11 @@ def test_compaction_after_the_folded_partitions_are_gone(spark, tmp):
     compact_months(spark, ledger, comp, ["201808"])
     assert total() == [(13,)]
     _remove(f"{ledger}/month=201808")
-    _remove(f"{comp}/version=1")
+    drop_folded(spark, monthly_ledger(ledger), comp)
     compact_months(spark, ledger, comp)
     assert total() == [(13,)]
     # a compaction that did not finish is not read
-    os.makedirs(f"{comp}/version=9")
+    os.makedirs(f"{comp}/totals/part=201808/fold=9")
     assert total() == [(13,)]
 
 
