@@ -95,7 +95,7 @@ def segment_dictionary(text: str | Column, words: Iterable[str]) -> Column:
 
 
 # Start of a character: not between the two halves of one beyond the BMP.
-_CHARACTER = r"(?s)(?![\uDC00-\uDFFF])"
+CHARACTER = r"(?s)(?![\uDC00-\uDFFF])"
 
 
 def ngram_pattern(n: int, prefixes: Iterable[str] = ()) -> str:
@@ -106,7 +106,7 @@ def ngram_pattern(n: int, prefixes: Iterable[str] = ()) -> str:
         raise ValueError("n must be positive")
     prefixes = list(prefixes)
     only = f"(?={trie_pattern(prefixes)})" if prefixes else ""
-    return f"{_CHARACTER}{only}(?=(.{{{n}}}))"
+    return f"{CHARACTER}{only}(?=(.{{{n}}}))"
 
 
 def ngrams(text: str | Column, n: int = NGRAM) -> Column:
@@ -114,23 +114,6 @@ def ngrams(text: str | Column, n: int = NGRAM) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(ngram_pattern(n)), 1)
 
 
-def nested_patterns(words: Iterable[str]) -> list[str]:
-    """Regexes that together find every one of ``words`` at every character.
-
-    Words that start at the same character are beginnings of each other. The
-    first pattern finds the longest of them; the next one is made of the
-    words that begin another word, and so on: as many patterns as words are
-    nested.
-    """
-    level = sorted({w for w in words if w})
-    out = []
-    while level:
-        out.append(f"{_CHARACTER}(?=({trie_pattern(level)}))")
-        # in sorted order the words that a word begins follow it directly
-        level = [w for w, after in zip(level, level[1:], strict=False) if after.startswith(w)]
-    return out
-
-
 def contained_words(text: str | Column, words: Iterable[str]) -> Column:
     """The words of a small literal list that occur anywhere in the text."""
     unique = sorted({w for w in words if w})

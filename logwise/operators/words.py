@@ -8,6 +8,9 @@ is a document frequency. Four ways to find words in a comment:
 * ``substrings``  every occurrence as a substring (overlaps allowed);
 * ``terms``       the set of terms that a segmentation service answered.
 
+Words on the most likely path through a comment are in
+:mod:`logwise.operators.paths`.
+
 A dictionary is either a Python list (a literal that travels with the plan) or
 a DataFrame with a ``word`` column. A DataFrame dictionary is measured first:
 below the broadcast limits it is broadcast and filters the tokens before the
@@ -28,20 +31,30 @@ from pyspark.sql import functions as F
 
 from logwise.functions.text import (
     contained_words,
-    nested_patterns,
     ngram_pattern,
     segment_dictionary,
     segment_spaces,
 )
 from logwise.operators.counts import count_by
+from logwise.operators.hits import (
+    CHUNK_MAX_BYTES,
+    CHUNK_MAX_WORDS,
+    MAX_CHUNKS,
+    longest_words,
+    pattern_chunks,
+    words_inside,
+)
 from logwise.operators.sizing import Size, broadcast_if_small, measure
 
 Dictionary = Sequence[str] | DataFrame
 
-# Up to this size a dictionary is folded into one regex; beyond it, candidate
-# substrings are joined with it. Both give the same words.
+# Up to this size a dictionary is folded into one regex; beyond it, into a
+# regex per chunk; beyond MAX_CHUNKS, candidate substrings are joined with it.
+# All give the same words.
 PATTERN_MAX_WORDS = 5_000
 PATTERN_MAX_BYTES = 128 * 1024
+# Half of what the chunks can hold, as chunks are filled to one of their limits.
+LISTED_MAX = (CHUNK_MAX_WORDS * MAX_CHUNKS // 2, CHUNK_MAX_BYTES * MAX_CHUNKS // 2)
 # Up to this many literal words, one ``contains`` per word.
 CONTAINS_MAX_WORDS = 8
 # Characters of a word by which candidate substrings are filtered before a
@@ -132,17 +145,20 @@ def word_document_counts(
     size: Size | None = None,
     by: Sequence[str] = (),
     plan: str = "auto",
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """``(word, by..., n)``: number of comments that contain each dictionary word.
 
     ``by`` adds grouping columns (for example the date of the comment).
     ``size`` is a measurement of a frame dictionary taken earlier (for example
     by :class:`logwise.sources.dictionary.RefreshingDictionary`); it saves one
-    aggregate. ``plan`` forces how words are found: ``pattern`` or ``join``
-    for forward maximum matching, ``contains``, ``pattern`` or ``ngrams`` for
-    substrings;
-    ``auto`` chooses by size. With method ``terms``, ``text`` names an array
-    column of terms.
+    aggregate. ``plan`` forces how words are found: ``pattern``, ``chunks`` or
+    ``join`` for forward maximum matching, ``contains``, ``pattern``,
+    ``chunks`` or ``ngrams`` for substrings; ``auto`` chooses by size. With
+    method ``terms``, ``text`` names an array column of terms. ``key`` names
+    columns that identify a comment; plan ``join`` gathers the words of a
+    comment by them (without them, by row numbers, which need an input whose
+    rows come in the same order if a task is repeated).
     """
     t = F.col(text)
     dictionary = _clean(dictionary)
@@ -157,65 +173,72 @@ def word_document_counts(
         return _count_joined(docs.select(*by, F.explode(tokens).alias("word")), dictionary, size, name, by)
 
     if method == "dictionary":
-        found = _longest_words(docs, dictionary, t, size, by, plan)
+        found = _longest_words(docs, dictionary, t, size, by, plan, key)
         return count_by(found, "word", *by, name=name)
 
     if method == "substrings":
-        if plan not in ("auto", "contains", "pattern", "ngrams"):
+        if plan not in ("auto", "contains", "pattern", "chunks", "ngrams"):
             raise ValueError(f"unknown plan {plan!r}")
-        words = None if plan == "ngrams" else _listed(dictionary, size)
+        words = None if plan == "ngrams" else _listed(dictionary, size, plan)
         if words is not None:
             if not words:
                 return word_document_counts(docs, [], text, method, name, by=by)
             if plan == "contains" or (plan == "auto" and len(words) <= CONTAINS_MAX_WORDS):
-                found = contained_words(t, words)
+                found = docs.select(*by, F.explode(contained_words(t, words)).alias("word"))
             else:
-                at = [F.regexp_extract_all(t, F.lit(p), 1) for p in nested_patterns(words)]
-                found = F.array_distinct(F.concat(*[F.array_distinct(a) for a in at]))
-            return count_by(docs.select(*by, F.explode(found).alias("word")), "word", *by, name=name)
-        if plan in ("contains", "pattern"):
+                chunks = [sorted(set(words))] if plan == "pattern" else pattern_chunks(words)
+                found = words_inside(docs, t, chunks, by)
+            return count_by(found, "word", *by, name=name)
+        if plan in ("contains", "pattern", "chunks"):
             raise ValueError("the dictionary is over the pattern limits; use plan 'ngrams'")
         return _substring_counts_by_ngrams(docs, _as_frame(dictionary, docs), t, size, name, by)
 
     raise ValueError(f"unknown method {method!r}")
 
 
-def _listed(dictionary: Dictionary, size: Size | None) -> list[str] | None:
-    """The words as a sorted list if they are within the pattern limits; a
-    frame is collected only after its measurement."""
+def _listed(dictionary: Dictionary, size: Size | None, plan: str = "auto") -> list[str] | None:
+    """The words as a sorted list if they are within the limits of one pattern
+    (plan ``pattern``) or of the chunks of a plan; a frame is collected only
+    after its measurement."""
+    rows, octets = (PATTERN_MAX_WORDS, PATTERN_MAX_BYTES) if plan == "pattern" else LISTED_MAX
     if not _is_frame(dictionary):
         words = sorted({w for w in dictionary if w})
-        fits = Size(len(words), sum(len(w.encode()) for w in words)).fits(PATTERN_MAX_WORDS, PATTERN_MAX_BYTES)
+        fits = Size(len(words), sum(len(w.encode()) for w in words)).fits(rows, octets)
         return words if fits else None
     s = size if size is not None else measure(dictionary)
-    if not s.fits(PATTERN_MAX_WORDS, PATTERN_MAX_BYTES):
+    if not s.fits(rows, octets):
         return None
     return sorted({r["word"] for r in dictionary.select("word").collect()})
 
 
 def _longest_words(
-    docs: DataFrame, dictionary: Dictionary, text: Column, size: Size | None, by: Sequence[str], plan: str
+    docs: DataFrame, dictionary: Dictionary, text: Column, size: Size | None, by: Sequence[str], plan: str,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """(by..., word), once per comment and word, of forward maximum matching:
     left to right the longest word that starts at a position, no overlaps.
 
-    ``pattern``: one regex. ``join``, for a dictionary of any size: the
-    substrings of every word length at every position, semi-joined with the
+    ``pattern``: one regex. ``chunks``: a regex per chunk, then one of the words
+    that they found in the comment. ``join``, for a dictionary of any size: the substrings of every word length at every position, semi-joined with the
     dictionary; the longest per position; then the pick from left to right
     inside each comment.
     """
-    if plan not in ("auto", "pattern", "join"):
+    if plan not in ("auto", "pattern", "chunks", "join"):
         raise ValueError(f"unknown plan {plan!r}")
-    words = None if plan == "join" else _listed(dictionary, size)
-    if words is None and plan == "pattern":
+    words = None if plan == "join" else _listed(dictionary, size, plan)
+    if words is None and plan in ("pattern", "chunks"):
         raise ValueError("the dictionary is over the pattern limits; use plan 'join'")
     if words is not None:
         if not words:
             return docs.select(*by, F.lit(None).cast("string").alias("word")).where(F.lit(False))
-        return docs.select(*by, F.explode(F.array_distinct(segment_dictionary(text, words))).alias("word"))
+        chunks = pattern_chunks(words)
+        if plan == "pattern" or (plan == "auto" and len(chunks) == 1):
+            return docs.select(*by, F.explode(F.array_distinct(segment_dictionary(text, words))).alias("word"))
+        return longest_words(docs, text, chunks, by)
     frame = _as_frame(dictionary, docs)
     small, is_small = broadcast_if_small(frame, "word", size)
-    rows = docs.select(*by, text.alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    row = F.struct(*key) if key else F.monotonically_increasing_id()
+    rows = docs.select(*by, text.alias("_text"), row.alias("_row"))
     grams = _grams_by_length(rows, _word_lengths(frame), [*by, "_row"], positions=True)
     if not is_small:
         short = PREFIXES[-1]

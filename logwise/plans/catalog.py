@@ -36,6 +36,7 @@ from logwise.operators import (
     version_intervals,
     word_document_counts,
 )
+from logwise.operators.paths import WEIGHT_SCALE, best_path_counts
 from logwise.operators.words import dictionary_words as distinct_words
 from logwise.plans.apps import comment_word_counts
 from logwise.session import scratch_path
@@ -218,6 +219,23 @@ def segment_dictionary_frame_counts_q(spark: SparkSession, d: str) -> DataFrame:
     return word_document_counts(docs, _benchmark_words(spark, d), text="text", method="dictionary")
 
 
+def segment_best_path_counts_q(spark: SparkSession, d: str) -> DataFrame:
+    """Words on the most likely path of each document, by the frequencies of
+    the benchmark's words."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
+    return best_path_counts(docs, count_by(words, "word", name="count"), ("doc_id",))
+
+
+def segment_document_words_counts_q(spark: SparkSession, d: str) -> DataFrame:
+    """Forward maximum matching against every distinct word of the documents,
+    a dictionary of many patterns. As no word holds a space and every token is
+    a word, the words found are the tokens."""
+    docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
+    words = distinct_words(docs.select(F.explode(F.split("text", " ")).alias("word")))
+    return word_document_counts(docs, words, text="text", method="dictionary", key=("doc_id",))
+
+
 def segment_ngrams_counts_q(spark: SparkSession, d: str) -> DataFrame:
     docs = non_empty(_documents(spark, d, "doc_id", "text"), "text")
     return word_document_counts(docs, SUBSTRING_WORDS, text="text", method="substrings")
@@ -400,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "segment_spaces_counts": segment_spaces_counts_q,
     "segment_dictionary_counts": segment_dictionary_counts_q,
     "segment_dictionary_frame_counts": segment_dictionary_frame_counts_q,
+    "segment_best_path_counts": segment_best_path_counts_q,
+    "segment_document_words_counts": segment_document_words_counts_q,
     "segment_ngrams_counts": segment_ngrams_counts_q,
     "segment_ngrams_dictionary_counts": segment_ngrams_dictionary_counts_q,
     "comment_word_counts_stream": comment_word_counts_stream_q,
@@ -504,6 +524,36 @@ ORACLES: dict[str, str] = {
         "select word, count(*) n from (select distinct doc_id, "
         "unnest(regexp_extract_all(text, pat, 1)) word from documents, p) group by 1"
     ),
+    # the lattice from right to left: sums and paths of the positions that the
+    # longest word reaches, the best option of each position in front
+    "segment_best_path_counts": (
+        "with recursive f as materialized (select word, count(*) c from (select unnest(string_split(text, ' ')) word "
+        "from benchmark) where word <> '' group by 1), t as (select sum(c) total, max(length(word)) longest from f), "
+        f"w as materialized (select word, cast(floor(ln(c::double / total) * {WEIGHT_SCALE} + 0.5) as bigint) w from f, t), "
+        "p as materialized (select doc_id, unnest(list_distinct(regexp_extract_all(text, (select '[' || "
+        "string_agg(regexp_escape(ch), '') || ']+' from (select distinct unnest(string_split(word, '')) ch from w))))) piece "
+        "from documents), "
+        "u as materialized (select distinct piece from p), "
+        "s as (select piece, pos, unnest(range(1, least(longest, length(piece) - pos) + 1)) len from "
+        "(select piece, unnest(range(length(piece))) pos from u), t), "
+        "o as (select piece, pos, len, w, 1 k from s join w on word = substr(piece, pos + 1, len)), "
+        "a as (select piece, pos, list({'w': w, 'len': len, 'k': k}) opts from (select * from o union all "
+        f"select piece, pos, 1, cast(floor(ln(1.0::double / total) * {WEIGHT_SCALE} + 0.5) as bigint), 0 from s, t where len = 1 "
+        "and not exists (select 1 from o where o.piece = s.piece and o.pos = s.pos and o.len = 1)) group by 1, 2), "
+        "m as materialized (select * from a), "
+        "r as (select piece, length(piece) pos, [0::bigint] sums, [[]::varchar[]] paths from u union all "
+        "select piece, pos, list_prepend(best.s, sums)[1:longest], list_prepend(case when best.k = 1 then "
+        "list_prepend(substr(piece, pos + 1, best.len), paths[best.len]) else paths[best.len] end, paths)[1:longest] from ("
+        "select r.piece, m.pos, sums, paths, longest, list_max(list_transform(opts, "
+        "lambda x: {'s': x.w + sums[x.len], 'len': x.len, 'k': x.k})) best "
+        "from r join m on m.piece = r.piece and m.pos = r.pos - 1, t)) "
+        "select word, count(distinct doc_id) n from (select doc_id, unnest(paths[1]) word from p join r using (piece) "
+        "where pos = 0) group by 1"
+    ),
+    "segment_document_words_counts": (
+        "select word, count(distinct doc_id) n from ("
+        "select doc_id, unnest(string_split(text, ' ')) word from documents) where word <> '' group by 1"
+    ),
     "segment_ngrams_counts": (
         "select word, count(*) n from documents join (values ('the'), ('in'), ('ch'), ('ü')) t(word) "
         "on contains(text, word) group by 1"

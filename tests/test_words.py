@@ -179,3 +179,72 @@ def test_frame_dictionary_with_empty_and_null_words(spark):
     words = spark.createDataFrame([("cd",), ("",), (None,), ("cd",)], "word string")
     for method, plan in [("spaces", "auto"), ("substrings", "ngrams"), ("substrings", "pattern"), ("substrings", "contains"), ("dictionary", "auto"), ("dictionary", "join")]:
         assert rows(word_document_counts(docs, words, method=method, plan=plan)) == [("cd", 2)]
+
+
+def test_chunked_plans_give_one_answer(spark, monkeypatch):
+    from logwise.operators import hits
+
+    rnd = random.Random(13)
+    draw = lambda n: "".join(rnd.choice(["a", "b", "\\", "E", "😀"]) for _ in range(n))
+    monkeypatch.setattr(hits, "CHUNK_MAX_WORDS", 3)
+    for _ in range(6):
+        words = sorted({draw(rnd.randint(1, 4)) for _ in range(rnd.randint(4, 20))})
+        texts = [draw(rnd.randint(0, 14)) for _ in range(60)] + [None]
+        inside = {w: n for w in words if (n := sum(w in t for t in texts if t))}
+        longest = {}
+        for t in texts:
+            for w in _maximum_matching(t or "", words):
+                longest[w] = longest.get(w, 0) + 1
+        docs = _docs(spark, texts)
+        assert dict(rows(word_document_counts(docs, words, method="substrings", plan="chunks"))) == inside
+        assert dict(rows(word_document_counts(docs, words, method="dictionary", plan="chunks"))) == longest
+        frame = spark.createDataFrame([(w,) for w in words], "word string")
+        assert dict(rows(word_document_counts(docs, frame, method="dictionary", plan="chunks"))) == longest
+        keyed = docs.withColumn("id", F.monotonically_increasing_id())
+        assert dict(rows(word_document_counts(keyed, frame, method="dictionary", plan="join", key=("id",)))) == longest
+
+
+def test_substrings_need_no_shuffle_of_texts(spark):
+    docs, words = _docs(spark, ["abc ab", "bc"]), ["a", "ab", "abc", "b", "bc", "c", "d", "e", "f", "g"]
+    plan = word_document_counts(docs, words, method="substrings")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(word") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def _best_path(text, weights, unknown):
+    """Largest (sum, lengths of the words in order) over all paths."""
+    best = None
+    stack = [(0, 0, (), ())]
+    while stack:
+        at, total, lengths, words = stack.pop()
+        if at == len(text):
+            if best is None or (total, lengths) > best[:2]:
+                best = (total, lengths, words)
+            continue
+        for n in range(1, len(text) - at + 1):
+            w = text[at : at + n]
+            if w in weights:
+                stack.append((at + n, total + weights[w], (*lengths, n), (*words, w)))
+            elif n == 1:
+                stack.append((at + 1, total + unknown, (*lengths, 1), words))
+    return set(best[2])
+
+
+def test_best_paths_equal_all_paths_tried(spark):
+    from logwise.operators.paths import best_path_counts, word_weights
+
+    rnd = random.Random(14)
+    for alphabet in (["a", "b"], ["a", "b", "]", "😀", " "]):
+        draw = lambda n: "".join(rnd.choice(alphabet) for _ in range(n))  # noqa: B023, E731
+        for _ in range(4):
+            counts = [(draw(rnd.randint(1, 4)), rnd.randint(1, 3)) for _ in range(rnd.randint(1, 9))]
+            frame = spark.createDataFrame([*counts, ("", 5), (None, 5), ("zz", 0)], "word string, count long")
+            weights, unknown = word_weights(frame)
+            texts = [draw(rnd.randint(0, 11)) + rnd.choice(["", "-", "x y"]) for _ in range(40)] + [None]
+            want = {}
+            for t in texts:
+                for w in _best_path(t or "", weights, unknown):
+                    want[w] = want.get(w, 0) + 1
+            docs = _docs(spark, texts).withColumn("id", F.monotonically_increasing_id())
+            assert dict(rows(best_path_counts(docs, frame, ("id",)))) == want
+    nothing = spark.createDataFrame([], "word string, count long")
+    assert best_path_counts(docs, nothing, ("id",)).count() == 0
