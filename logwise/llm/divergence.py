@@ -40,23 +40,34 @@ TOP_TERMS = 10
 
 
 def chunks(text: Column) -> Column:
-    """Chunks of a text between ASCII white space."""
-    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    """Chunks of a text between ASCII white space; the first or last may be
+    empty."""
+    return F.split(text, r"[\x20\x09-\x0D]+")
 
 
 def _source_rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     empty = F.lit("")
-    return docs.select(
+    plain = docs.select(
         *[F.coalesce(F.col(c).cast("string"), empty).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))]
     )
+    return plain.withColumn("g", F.xxhash64("lang", "source"))
+
+
+def source_names(rows: DataFrame) -> DataFrame:
+    """(g, lang, source): the (lang, source) pairs by the number that stands
+    for them while chunks are counted; two pairs of one number are an error."""
+    names = materialize(rows.select("g", "lang", "source").distinct(), "audit-names")
+    if names.groupBy("g").count().where(F.col("count") > 1).count():
+        raise RuntimeError("two sources share a hash")
+    return names
 
 
 def count_chunks(rows: DataFrame) -> DataFrame:
-    """(lang, source, chunk, docs, n): documents and occurrences per chunk."""
-    both = rows.select("lang", "source", F.explode(F.array(chunks(F.col("text")))).alias("all"))
-    kinds = both.select("lang", "source", F.posexplode(F.array("all", F.array_distinct("all"))).alias("once", "some"))
-    each = kinds.select("lang", "source", "once", F.explode("some").alias("chunk"))
-    return each.groupBy("lang", "source", "chunk").agg(
+    """(g, chunk, docs, n): documents and occurrences per source and chunk."""
+    both = rows.select("g", F.explode(F.array(chunks(F.col("text")))).alias("all"))
+    kinds = both.select("g", F.posexplode(F.array("all", F.array_distinct("all"))).alias("once", "some"))
+    each = kinds.select("g", "once", F.explode("some").alias("chunk")).where(F.col("chunk") != "")
+    return each.groupBy("g", "chunk").agg(
         F.sum("once").cast("long").alias("docs"), F.sum(1 - F.col("once")).cast("long").alias("n")
     )
 
@@ -69,9 +80,9 @@ def tokenize(counted: DataFrame) -> DataFrame:
     return terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
 
 
-def kept_terms(rows: DataFrame, counted: DataFrame, terms: DataFrame, least_docs: int) -> DataFrame:
+def kept_terms(rows: DataFrame, names: DataFrame, counted: DataFrame, terms: DataFrame, least_docs: int) -> DataFrame:
     """(lang, term) in at least ``least_docs`` documents of the language."""
-    by_lang = counted.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
+    by_lang = counted.join(names.select("g", "lang"), "g").groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
     held = materialize(by_lang.join(terms.select("chunk", "term"), "chunk"), "audit-chunks")
     bounds = held.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = materialize(bounds.where(F.col("high") >= least_docs), "audit-bounds")
@@ -127,13 +138,17 @@ def audit(
     that is read, not computed by a shuffle, as row numbers are taken from it.
     """
     rows = _source_rows(docs, text, lang, source)
+    names = source_names(rows)
     counted = materialize(count_chunks(rows), "audit-counts")
     terms = materialize(tokenize(counted), "audit-terms")
-    kept = materialize(kept_terms(rows, counted, terms, least_docs), "audit-kept")
-    # occurrences of kept terms per source
+    known, _ = broadcast_if_small(names, "source")
+    kept = materialize(kept_terms(rows, known, counted, terms, least_docs), "audit-kept")
+    # occurrences of kept terms per source; chunks without one go first
+    some, _ = broadcast_if_small(kept.select("term").distinct(), "term")
     by_term = (
-        counted.select("lang", "source", "chunk", "n")
-        .join(terms, "chunk")
+        counted.select("g", "chunk", "n")
+        .join(terms.join(some, "term", "left_semi"), "chunk")
+        .join(known, "g")
         .groupBy("lang", "source", "term")
         .agg(F.sum(F.col("n") * F.col("times")).alias("c"))
         .join(kept, ["lang", "term"], "left_semi")
@@ -142,8 +157,7 @@ def audit(
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     totals = by_term.groupBy("lang", "source").agg(F.sum("c").alias("total"))
     groups = (
-        rows.select("lang", "source")
-        .distinct()
+        names.select("lang", "source")
         .join(totals, ["lang", "source"], "left")
         .join(vocabulary, "lang", "left")
         .select("lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"))
