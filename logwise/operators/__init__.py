@@ -4,7 +4,7 @@ unless its docstring says otherwise."""
 from logwise.operators.accumulate import accumulate
 from logwise.operators.balance import spread
 from logwise.operators.counts import count_by, total_intervals, total_snapshots
-from logwise.operators.enrich import call_with_retry, enrich_with_retry
+from logwise.operators.enrich import call_with_retry, enrich_with_retry, enrich_with_store, with_time_limit
 from logwise.operators.filters import filter_levels, non_empty, sql_over_batch
 from logwise.operators.parse import (
     line_levels,
@@ -28,6 +28,7 @@ __all__ = [
     "count_by",
     "dictionary_words",
     "enrich_with_retry",
+    "enrich_with_store",
     "failed_answers",
     "filter_levels",
     "line_levels",
@@ -48,6 +49,7 @@ __all__ = [
     "tumbling_counts",
     "valid_terms",
     "version_intervals",
+    "with_time_limit",
     "word_document_counts",
 ]
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logwise.operators.balance import spread
 from logwise.operators.filters import non_empty
-from logwise.operators.enrich import Fetch, enrich_with_retry
+from logwise.operators.enrich import Fetch, enrich_with_retry, enrich_with_store
 from logwise.operators.responses import failed_answers, valid_terms
 from logwise.operators.words import PATTERN_MAX_BYTES, PATTERN_MAX_WORDS, word_document_counts
 from logwise.sinks.ledger import contributions, write_contributions
@@ -78,13 +78,16 @@ def comment_counts_query(
     trigger: str | None = None,
     fetch: Fetch | None = None,
     error_path: str | None = None,
+    answers_path: str | None = None,
 ) -> StreamingQuery:
     """Start the comment word count stream; totals via ``monthly_totals``.
 
     With ``fetch``, every comment is sent to a segmentation service (up to
     three tries) and the terms of its answer are counted (method ``terms``).
     Comments without a valid answer are appended to ``error_path``, one
-    partition per batch, with their time and the answer or error.
+    partition per batch, with their time and the answer or error. With
+    ``answers_path`` answers are stored there: equal texts are sent once, and
+    a replayed batch sends nothing that it has sent before.
 
     ``time_col=None`` dates each comment by the time of its micro-batch, as a
     receiver would. That time is ``current_timestamp()`` of the stream, which
@@ -123,7 +126,10 @@ def comment_counts_query(
             return
         sent = spread(df) if partitions == "auto" else df
         # two outputs read the answers: ask the service once
-        answers = enrich_with_retry(sent, fetch, keep=(time_col,)).persist()
+        if answers_path:
+            answers = enrich_with_store(sent, fetch, answers_path, batch_id, keep=(time_col,)).persist()
+        else:
+            answers = enrich_with_retry(sent, fetch, keep=(time_col,)).persist()
         try:
             count(valid_terms(answers, keep=(time_col,)), batch_id, "terms", None)
             if error_path:

@@ -1,0 +1,84 @@
+"""Calls to a service: how often a text is sent, stored answers, time limits."""
+
+import os
+import threading
+import time
+
+from conftest import rows
+
+from logwise.operators import call_with_retry, enrich_with_retry, enrich_with_store, with_time_limit
+
+
+def _counting(folder, bad=()):
+    """A service that notes every text it is sent in a file of its own."""
+    os.makedirs(folder, exist_ok=True)
+
+    def fetch(texts):
+        for t in texts:
+            with open(f"{folder}/{t}.{time.time_ns()}.{threading.get_ident()}", "w"):
+                pass
+        if any(t in bad for t in texts):
+            raise OSError("down")
+        return [(200, f"<{t}>") for t in texts]
+
+    return fetch
+
+
+def _sent(folder):
+    out = {}
+    for f in os.listdir(folder):
+        out[f.split(".")[0]] = out.get(f.split(".")[0], 0) + 1
+    return out
+
+
+def test_no_text_is_sent_more_than_attempts_times():
+    sent = []
+
+    def fetch(texts):
+        sent.extend(texts)
+        if "bad" in texts:
+            raise OSError("down")
+        return [(200, t) for t in texts]
+
+    for attempts in (1, 2, 3):
+        sent.clear()
+        good, bad = call_with_retry(fetch, ["good", "bad"], attempts)
+        assert sent.count("bad") == attempts and sent.count("good") <= attempts
+        assert good == (200, "good", sent.count("good"), None)
+        assert bad == (None, None, attempts, "OSError: down")
+
+
+def test_each_distinct_text_is_sent_once_and_none_on_replay(spark, tmp):
+    df = spark.createDataFrame(
+        [(i, t) for i, t in enumerate(["a", "b", "a", "bad", "", None, "a"])], "id long, value string"
+    ).repartition(3)
+    calls = f"{tmp}/calls"
+    run = lambda rows_, batch, bad=("bad",): rows(
+        enrich_with_store(rows_, _counting(calls, bad), f"{tmp}/store", batch, keep=("id",), batch=1).select(
+            "id", "code", "body", "attempts", "error"
+        ).na.fill({"code": -1, "body": "", "error": ""})
+    )
+    first = run(df, 0)
+    assert _sent(calls) == {"a": 1, "b": 1, "bad": 3}
+    assert first == [
+        (0, 200, "<a>", 1, ""), (1, 200, "<b>", 1, ""), (2, 200, "<a>", 1, ""), (3, -1, "", 3, "OSError: down"),
+        (4, -1, "", 0, ""), (5, -1, "", 0, ""), (6, 200, "<a>", 1, ""),
+    ]
+    assert run(df, 0) == first  # replay of the batch
+    assert _sent(calls) == {"a": 1, "b": 1, "bad": 3}
+    later = spark.createDataFrame([(9, "a"), (10, "bad"), (11, "new")], "id long, value string")
+    assert run(later, 1, ()) == [(9, 200, "<a>", 1, ""), (10, 200, "<bad>", 1, ""), (11, 200, "<new>", 1, "")]
+    assert _sent(calls) == {"a": 1, "b": 1, "bad": 4, "new": 1}
+
+
+def test_time_limit_and_concurrent_calls(spark):
+    def slow(texts):
+        time.sleep(0.3 if texts == ["slow"] else 0.05)
+        return [(200, t) for t in texts]
+
+    assert with_time_limit(slow, 5)(["x"]) == [(200, "x")]
+    assert call_with_retry(with_time_limit(slow, 0.15), ["slow"], 2) == [(None, None, 2, "TimeoutError: no answer in 0.15 s")]
+    df = spark.createDataFrame([("slow",)] + [(f"t{i}",) for i in range(12)], "value string").coalesce(1)
+    got = enrich_with_retry(df, slow, keep=("value",), attempts=1, batch=1, concurrency=4, time_limit=0.2).collect()
+    assert [r["value"] for r in got] == ["slow"] + [f"t{i}" for i in range(12)]
+    assert [r["code"] for r in got] == [None] + [200] * 12
