@@ -104,7 +104,7 @@ def test_enrich_retries_on_exceptions_only(spark):
     words = {r.value: sorted(r.terms) for r in valid_terms(several, keep=("value",)).collect()}
     assert words == {"ok": ["ok", "x"], "once": ["once", "x"]}
     lost = {r.value: (r.code, r.attempts) for r in failed_answers(several, keep=("value",)).collect()}
-    assert lost == {"always": (None, 3), "twice": (None, 3), "down": (500, 1)}
+    assert lost == {"always": (None, 3), "twice": (None, 3), "down": (500, 2)}
 
 
 def test_enrich_checks_the_number_of_answers(spark):
