@@ -6,6 +6,7 @@ from logwise.operators.balance import spread
 from logwise.operators.counts import count_by, total_intervals, total_snapshots
 from logwise.operators.enrich import call_with_retry, enrich_with_retry, enrich_with_store, with_time_limit
 from logwise.operators.filters import filter_levels, non_empty, sql_over_batch
+from logwise.operators.panes import pane_counts, pane_length, windows_of_panes
 from logwise.operators.parse import (
     line_levels,
     lines_from_columns,
@@ -38,6 +39,8 @@ __all__ = [
     "match_words",
     "measure",
     "non_empty",
+    "pane_counts",
+    "pane_length",
     "parse_log_lines",
     "parse_responses",
     "quarantine",
@@ -49,6 +52,7 @@ __all__ = [
     "tumbling_counts",
     "valid_terms",
     "version_intervals",
+    "windows_of_panes",
     "with_time_limit",
     "word_document_counts",
 ]

@@ -196,6 +196,26 @@ def word_document_counts(
     raise ValueError(f"unknown method {method!r}")
 
 
+def bucketed_word_counts(
+    docs: DataFrame,
+    dictionary: DataFrame,
+    buckets: int,
+    text: str = "text",
+    name: str = "n",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`word_document_counts` of space tokens with a dictionary stored in
+    ``buckets`` (:func:`logwise.sources.dictionary.store_buckets`).
+
+    Tokens are counted per word first; the counts, one row a word, are dealt
+    to the buckets and merged with them. Nothing of the dictionary is
+    broadcast, shuffled or sorted, so its size costs a read of its buckets only.
+    """
+    tokens = docs.select(*by, F.explode(_token_set(F.col(text))).alias("word"))
+    counts = count_by(tokens, "word", *by, name=name).repartition(buckets, "word")
+    return counts.join(dictionary.select("word").hint("merge"), "word", "left_semi")
+
+
 def _listed(dictionary: Dictionary, size: Size | None, plan: str = "auto") -> list[str] | None:
     """The words as a sorted list if they are within the limits of one pattern
     (plan ``pattern``) or of the chunks of a plan; a frame is collected only

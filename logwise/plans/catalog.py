@@ -7,6 +7,7 @@ month: a 4 s / 2 s window becomes 4 h / 2 h. Every query reads whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from logwise.operators import (
     line_levels,
     log_records,
     non_empty,
+    pane_counts,
+    pane_length,
     sliding_counts,
     spread,
     sql_over_batch,
@@ -34,9 +37,11 @@ from logwise.operators import (
     tumbling_counts,
     valid_terms,
     version_intervals,
+    windows_of_panes,
     word_document_counts,
 )
 from logwise.operators.paths import WEIGHT_SCALE, best_path_counts
+from logwise.operators.words import bucketed_word_counts
 from logwise.operators.words import dictionary_words as distinct_words
 from logwise.plans.apps import comment_word_counts
 from logwise.session import scratch_path
@@ -52,6 +57,8 @@ from logwise.sources import (
     RefreshingDictionary,
     log_lines,
     log_lines_from_events,
+    record_view,
+    store_buckets,
     table,
     table_stream,
     write_log_files,
@@ -61,9 +68,13 @@ from logwise.streaming import (
     comment_counts_query,
     drain,
     error_log_query,
+    keyed_state_query,
     last_batch_id,
     latest_per_key,
+    latest_states,
     level_totals_query,
+    pane_counts_query,
+    pane_window_totals,
     sliding_counts_query,
     snapshot_at,
     window_totals,
@@ -187,6 +198,51 @@ def sliding_level_counts_3_2_q(spark: SparkSession, d: str) -> DataFrame:
     return sliding_counts(_events(spark, d), "ts", "event_type", "3 hours", "2 hours")
 
 
+#: Window forms that one stream of panes serves: (length, slide) in hours.
+PANE_FORMS = ((4, 2), (3, 2))
+
+
+def pane_level_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
+    """One stream of panes; the windows of every form read from it."""
+    root = scratch_path(spark, "pane_stream")
+    forms = [(f"{length} hours", f"{slide} hours") for length, slide in PANE_FORMS]
+    stream = table_stream(spark, d, "events")
+    drain(pane_counts_query(stream, "event_type", f"{root}/out", f"{root}/ckpt", forms, time_col="ts"))
+    counts = None
+    for (hours, _), (length, slide) in zip(PANE_FORMS, forms, strict=True):
+        one = pane_window_totals(spark, f"{root}/out", "event_type", length, slide)
+        one = one.select(F.lit(hours).cast("bigint").alias("hours"), _ntz("ws"), _ntz("we"), "event_type", "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+def pane_level_counts_long_q(spark: SparkSession, d: str) -> DataFrame:
+    """Windows a thousand slides long, without a row per event and window."""
+    length, slide = "1000 hours", "1 hour"
+    panes = pane_counts(_events(spark, d), "ts", "event_type", pane_length(spark, [(length, slide)]))
+    return windows_of_panes(panes, "event_type", length, slide).select(_ntz("ws"), _ntz("we"), "event_type", "n")
+
+
+def keyed_state_stream_q(spark: SparkSession, d: str) -> DataFrame:
+    """Events per user by a state function over the stream of afternoon events,
+    beginning with the morning's counts."""
+    root = scratch_path(spark, "keyed_state")
+    noon = 12
+    morning = count_by(_events(spark, d).where(F.hour("ts") < noon), "user_id", name="state")
+    morning.write.parquet(f"{root}/morning")
+    morning = spark.read.schema(morning.schema).parquet(f"{root}/morning")
+    stream = table_stream(spark, d, "events").where(F.hour("ts") >= noon).select("user_id", F.lit(1).alias("one"))
+    drain(
+        keyed_state_query(
+            stream, "user_id", "one", lambda values, state: values.sum() + (state or 0),
+            f"{root}/out", f"{root}/ckpt", partial=lambda values: values.sum(), start_from=morning,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
+    )
+    states = latest_states(spark, f"{root}/out", "user_id", "bigint", start_from=morning)
+    return states.withColumnRenamed("state", "n")
+
+
 def tumbling_counts_q(spark: SparkSession, d: str) -> DataFrame:
     return tumbling_counts(_events(spark, d), "ts", "event_type", "3 hours")
 
@@ -264,6 +320,30 @@ def comment_word_counts_stream_q(spark: SparkSession, d: str) -> DataFrame:
     return totals.groupBy("word").agg(F.sum("count").alias("n"))
 
 
+#: Buckets of a stored dictionary.
+BUCKETS = 16
+
+
+def segment_spaces_bucketed_counts_q(spark: SparkSession, d: str) -> DataFrame:
+    """Space tokens with a dictionary stored in buckets of the word."""
+    name = f"words_{uuid.uuid4().hex}"
+    words = store_buckets(_benchmark_words(spark, d), scratch_path(spark, "bucketed_words"), name, BUCKETS)
+    return bucketed_word_counts(non_empty(_documents(spark, d, "doc_id", "text"), "text"), words, BUCKETS)
+
+
+def comment_records_q(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as messages of a topic (bytes, a partition per source), as
+    the records that a reader of the topic sees."""
+    messages = _documents(spark, d).select(
+        F.encode(F.col("doc_id").cast("string"), "UTF-8").alias("key"),
+        F.encode("text", "UTF-8").alias("value"),
+        F.col("source").alias("partition"),
+        F.col("doc_id").alias("offset"),
+        F.col("n_chars").alias("timestamp"),
+    )
+    return record_view(messages)
+
+
 #: Batches of the documents as comments: five sources each. A version of the
 #: dictionary is valid from each of these batches on.
 SOURCES_PER_BATCH = 5
@@ -411,11 +491,16 @@ QUERIES: dict[str, Query] = {
     "sliding_level_counts": sliding_level_counts_q,
     "sliding_level_counts_stream": sliding_level_counts_stream_q,
     "sliding_level_counts_3_2": sliding_level_counts_3_2_q,
+    "pane_level_counts_stream": pane_level_counts_stream_q,
+    "pane_level_counts_long": pane_level_counts_long_q,
+    "keyed_state_stream": keyed_state_stream_q,
     "tumbling_counts": tumbling_counts_q,
     "dictionary_words": dictionary_words_q,
     "word_counts": word_counts_q,
     "comment_word_counts": comment_word_counts_q,
     "segment_spaces_counts": segment_spaces_counts_q,
+    "segment_spaces_bucketed_counts": segment_spaces_bucketed_counts_q,
+    "comment_records": comment_records_q,
     "segment_dictionary_counts": segment_dictionary_counts_q,
     "segment_dictionary_frame_counts": segment_dictionary_frame_counts_q,
     "segment_best_path_counts": segment_best_path_counts_q,
@@ -501,6 +586,15 @@ ORACLES: dict[str, str] = {
     "sliding_level_counts": _SLIDING.format(length=4),
     "sliding_level_counts_stream": _SLIDING.format(length=4),
     "sliding_level_counts_3_2": _SLIDING.format(length=3),
+    "pane_level_counts_stream": " union all ".join(
+        f"select cast({length} as bigint) as hours, * from (" + _SLIDING.format(length=length) + ")" for length, _ in PANE_FORMS
+    ),
+    "pane_level_counts_long": (
+        "with h as (select date_trunc('hour', ts) h, event_type, count(*) c from events group by all) "
+        "select ws, ws + interval 1000 hour we, event_type, cast(sum(c) as bigint) n from ("
+        "select event_type, c, unnest(generate_series(h - interval 999 hour, h, interval 1 hour)) ws from h) group by all"
+    ),
+    "keyed_state_stream": "select user_id, count(*) n from events group by 1",
     "tumbling_counts": (
         "select time_bucket(interval 3 hour, ts) ws, event_type, count(*) n from events group by all"
     ),
@@ -512,6 +606,11 @@ ORACLES: dict[str, str] = {
         f"where word in ({_WORD_IN}) group by all"
     ),
     "segment_spaces_counts": _SPACE_COUNTS.format(dictionary=_BENCH_WORDS),
+    "segment_spaces_bucketed_counts": _SPACE_COUNTS.format(dictionary=_BENCH_WORDS),
+    "comment_records": (
+        "select cast(doc_id as varchar) as key, text as value, source as partition, doc_id as offset, "
+        "n_chars as timestamp from documents"
+    ),
     "comment_word_counts_stream": _SPACE_COUNTS.format(dictionary=_BENCH_WORDS),
     "segment_dictionary_counts": (
         "select word, count(*) n from (select distinct doc_id, "

@@ -47,6 +47,34 @@ def load_words(
     return dictionary_words(src, column)
 
 
+def store_buckets(words: DataFrame, path: str, table: str, buckets: int, column: str = "word") -> DataFrame:
+    """Write the distinct words below ``path`` in ``buckets`` by the word, as
+    table ``table`` of the session's catalog, and read it.
+
+    For dictionaries too large to broadcast: a join on the word that has as
+    many partitions as there are buckets reads each bucket where it is needed,
+    without a shuffle or sort of the dictionary, in every batch
+    (:func:`logwise.operators.words.bucketed_word_counts`).
+    """
+    spark = words.sparkSession
+    rows = dictionary_words(words, column).repartition(buckets, "word")  # one file a bucket
+    writer = rows.write.format("parquet").option("path", path).bucketBy(buckets, "word").sortBy("word")
+    writer.mode("overwrite").saveAsTable(table)
+    return spark.table(table)
+
+
+def open_buckets(spark: SparkSession, path: str, table: str, buckets: int) -> DataFrame:
+    """A dictionary stored by :func:`store_buckets`, in a session whose catalog
+    does not know it yet; ``buckets`` as it was written."""
+    if not spark.catalog.tableExists(table):
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"create table {table} (word string) using parquet clustered by (word) sorted by (word) "
+            f"into {int(buckets)} buckets location '{place}'"
+        )
+    return spark.table(table)
+
+
 def _now_ms() -> int:
     return int(time.time() * 1000)
 

@@ -17,6 +17,8 @@ def log_lines(
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
     ignore_existing_before: dt.datetime | None = None,
+    archive: str | None = None,
+    max_file_age: str | None = None,
 ) -> DataFrame:
     """``value`` (one line) plus ``file_path`` and ``file_time``.
 
@@ -24,8 +26,21 @@ def log_lines(
     there are read too, which a replay needs. ``ignore_existing_before`` keeps
     only files modified at or after a time, like a watcher started then.
     Spark orders new files by modification time, not by name.
+
+    A folder of small files that only grows is listed for ever. With
+    ``archive`` (a folder beside ``path``, on the same file system) the stream
+    moves files there once the batch that read them is finished, so a listing
+    sees new files only; what a stopped stream has not yet moved is moved after
+    its restart. ``max_file_age`` (such as ``7d``, before the newest file) is how
+    far back unseen files are still read; Spark forgets names of older ones.
     """
+    if (archive or max_file_age) and not stream:
+        raise ValueError("archive and max_file_age are options of a stream")
     reader = spark.readStream if stream else spark.read
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if stream and max_files_per_trigger:

@@ -9,6 +9,9 @@ from logwise.streaming.logs import (
     level_totals,
     level_totals_query,
     log_analysis_query,
+    pane_counts_query,
+    pane_ledger,
+    pane_window_totals,
     sliding_counts_query,
     window_ledger,
     window_totals,
@@ -22,6 +25,7 @@ from logwise.streaming.runner import (
     snapshot_at,
     start,
 )
+from logwise.streaming.state import keyed_state_query, keyed_states, latest_states
 
 __all__ = [
     "start_comment_word_counts",
@@ -42,6 +46,12 @@ __all__ = [
     "level_totals",
     "level_totals_query",
     "log_analysis_query",
+    "keyed_state_query",
+    "keyed_states",
+    "latest_states",
+    "pane_counts_query",
+    "pane_ledger",
+    "pane_window_totals",
     "sliding_counts_query",
     "start",
 ]

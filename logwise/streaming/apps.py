@@ -28,10 +28,16 @@ def start_log_analysis(
     trigger: str | None = LOG_BATCH,
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
+    max_file_age: str | None = None,
 ) -> StreamingQuery:
     """Start the log application; ``trigger=None`` drains what is there and
-    stops. One query lists, reads and parses the folder for all outputs."""
-    lines = log_lines(spark, logs_dir, stream=True, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    stops. One query lists, reads and parses the folder for all outputs. With
+    ``archive_dir`` files that were read are moved there."""
+    lines = log_lines(
+        spark, logs_dir, stream=True, glob=glob, max_files_per_trigger=max_files_per_trigger,
+        archive=archive_dir, max_file_age=max_file_age,
+    )
     return log_analysis_query(lines, out_dir, f"{checkpoint_dir}/logs", LOG_WINDOW, LOG_SLIDE, trigger=trigger)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logwise.operators.counts import count_by, total_snapshots
 from logwise.operators.filters import ERROR_LEVEL, filter_levels, sql_over_batch
 from logwise.operators.parse import parse_log_lines, quarantine, timed_levels
+from logwise.operators.panes import pane_counts, pane_length, windows_of_panes
 from logwise.operators.windows import sliding_counts
 from logwise.sinks.fold import Ledger, totals
 from logwise.sinks.tables import append_batch, read_batches
@@ -191,6 +192,49 @@ def window_totals(
     return totals(spark, window_ledger(path, key, name), folded_path)
 
 
+def pane_counts_query(
+    stream: DataFrame,
+    key: str,
+    out_path: str,
+    checkpoint: str,
+    windows: Sequence[tuple[str, str]],
+    time_col: str = "event_ts",
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Counts per (pane, key) for all the (length, slide) forms in ``windows``.
+
+    Every batch writes the panes of its own rows, so there is no state and no
+    late row is dropped; :func:`pane_window_totals` sums any of the forms from
+    them. A row is in one pane, whatever the windows: unlike
+    :func:`sliding_counts_query` it is not repeated length / slide times, and
+    one table serves several forms. Rows without a time count at the time of
+    their batch.
+    """
+    pane = pane_length(stream.sparkSession, windows)
+    at = F.coalesce(F.col(time_col).cast("timestamp"), F.current_timestamp())
+    rows = stream.select(F.col(key), at.alias("_at"))
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        append_batch(pane_counts(df, "_at", key, pane), out_path, batch_id)
+
+    return start(rows.writeStream.foreachBatch(per_batch), checkpoint, trigger)
+
+
+def pane_ledger(path: str, key: str) -> Ledger:
+    """The panes of :func:`pane_counts_query` as an additive ledger, folded by
+    the day (UTC) a pane starts on."""
+    schema = f"ps timestamp, pe timestamp, `{key}` string, n bigint, batch_id bigint"
+    return Ledger(path, schema, ("ps", "pe", key), "n", "cast(floor(unix_seconds(ps) / 86400) as string)")
+
+
+def pane_window_totals(
+    spark: SparkSession, path: str, key: str, length: str, slide: str, folded_path: str | None = None
+) -> DataFrame:
+    """(ws, we, key, n): windows of one form over all batches of panes; those
+    folded by :func:`logwise.sinks.fold.fold` from ``folded_path``."""
+    return windows_of_panes(totals(spark, pane_ledger(path, key), folded_path), key, length, slide)
+
+
 LEVEL_ROWS = "log_level string, n bigint, batch_id bigint"
 
 

@@ -1,0 +1,203 @@
+"""Panes, keyed state of the user's own, archived log files, bucketed dictionaries."""
+
+import os
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import rows, write_lines
+from logwise.operators import pane_counts, pane_length, sliding_counts, windows_of_panes, word_document_counts
+from logwise.operators.words import bucketed_word_counts
+from logwise.session import scratch_path
+from logwise.sinks.fold import fold
+from logwise.sources import log_lines, open_buckets, store_buckets
+from logwise.streaming import (
+    drain,
+    keyed_state_query,
+    latest_per_key,
+    latest_states,
+    level_totals_query,
+    pane_counts_query,
+    pane_ledger,
+    pane_window_totals,
+)
+
+FORMS = [("4 seconds", "2 seconds"), ("3 seconds", "2 seconds"), ("5 seconds", "5 seconds"), ("7 seconds", "1 second")]
+
+
+def _times(spark, n, seed):
+    rng = random.Random(seed)
+    data = [(rng.randrange(-30, 60) + rng.random(), rng.choice(["a", "b", None])) for _ in range(n)]
+    df = spark.createDataFrame(data + [(None, "a")], "s double, k string")
+    return df.select(F.timestamp_micros((F.col("s") * 1_000_000).cast("bigint")).alias("t"), "k")
+
+
+@pytest.mark.parametrize("n", [0, 1, 40])
+def test_windows_of_panes_equal_sliding_counts(spark, n):
+    df = _times(spark, n, n)
+    pane = pane_length(spark, FORMS)
+    assert pane == "1000000 microseconds"
+    panes = pane_counts(df, "t", "k", pane)
+    for length, slide in FORMS:
+        got = windows_of_panes(panes, "k", length, slide)
+        assert _sorted(got) == _sorted(sliding_counts(df, "t", "k", length, slide)), (length, slide)
+
+
+def test_windows_with_gaps_between_them(spark):
+    df = _times(spark, 40, 9)
+    got = windows_of_panes(pane_counts(df, "t", "k", "1 second"), "k", "2 seconds", "5 seconds")
+    got = sorted((r.ws, str(r.k), r.n) for r in got.select(F.unix_seconds("ws").alias("ws"), "k", "n").collect())
+    want = {}
+    for r in df.where("t is not null").select(F.unix_micros("t").alias("t"), "k").collect():
+        start = r.t // 5_000_000 * 5
+        if r.t < (start + 2) * 1_000_000:
+            want[start, str(r.k)] = want.get((start, str(r.k)), 0) + 1
+    assert got == sorted((s, k, n) for (s, k), n in want.items())
+
+
+def _sorted(df):
+    return sorted(map(str, df.select("ws", "we", "k", "n").collect()))
+
+
+def test_pane_lengths(spark):
+    assert pane_length(spark, [("4 hours", "2 hours"), ("3 hours", "2 hours")]) == "3600000000 microseconds"
+    assert pane_length(spark, [("90 minutes", "1 hour")]) == "1800000000 microseconds"
+    with pytest.raises(ValueError):
+        pane_length(spark, [("1 month", "1 day")])
+    with pytest.raises(ValueError):
+        pane_length(spark, [])
+    panes = pane_counts(_times(spark, 5, 1), "t", "k", "2 seconds")
+    with pytest.raises(PySparkException, match="does not divide"):
+        windows_of_panes(panes, "k", "3 seconds", "2 seconds").collect()
+
+
+def test_long_windows_expand_no_rows(spark):
+    df = _times(spark, 50, 3)
+    panes = pane_counts(df, "t", "k", pane_length(spark, [("1000 seconds", "1 second")]))
+    plan = panes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan
+    got = windows_of_panes(panes, "k", "1000 seconds", "1 second")
+    assert _sorted(got) == _sorted(sliding_counts(df, "t", "k", "1000 seconds", "1 second"))
+
+
+def test_pane_stream_over_batches_and_folds(spark, tmp):
+    parts = [_times(spark, 20, seed) for seed in (1, 2, 3)]
+    forms, out = FORMS[:2], f"{tmp}/out"
+    stream = lambda: spark.readStream.schema("t timestamp, k string").parquet(f"{tmp}/in")
+    for i, part in enumerate(parts):  # a query started anew for each batch
+        part.where("t is not null").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+        drain(pane_counts_query(stream(), "k", out, f"{tmp}/ck", forms, time_col="t"))
+        if i == 1:
+            assert fold(spark, pane_ledger(out, "k"), f"{tmp}/folded") is not None
+    df = parts[0].union(parts[1]).union(parts[2])
+    for length, slide in forms:
+        want = _sorted(sliding_counts(df, "t", "k", length, slide))
+        assert _sorted(pane_window_totals(spark, out, "k", length, slide)) == want
+        assert _sorted(pane_window_totals(spark, out, "k", length, slide, f"{tmp}/folded")) == want
+
+
+def _level_stream(spark, folder):
+    lines = log_lines(spark, folder, stream=True, glob="*.log", max_files_per_trigger=1)
+    return lines.select(F.get(F.split("value", "\t"), 0).alias("log_level"), F.lit(1).alias("one"))
+
+
+def _adder():
+    return lambda values, state: values.sum() + (state or 0)  # sent by value: workers do not know this module
+
+
+def test_state_function_gives_the_running_totals(spark, tmp):
+    base = 1_600_000_000
+    for i, levels in enumerate([["a", "a", "b"], ["b"], ["a", "c"]]):
+        write_lines(f"{tmp}/logs", f"{i}.log", [f"[{x}]\tm" for x in levels], mtime=base + i)
+    partial = lambda values: values.sum()
+    for out, extra in (("plain", {}), ("partial", {"partial": partial})):
+        for _ in range(2):
+            drain(keyed_state_query(_level_stream(spark, f"{tmp}/logs"), "log_level", "one", _adder(), f"{tmp}/{out}", f"{tmp}/ck-{out}", **extra))
+    write_lines(f"{tmp}/logs", "3.log", ["[a]\tm", "", "[d]\tm"], mtime=base + 9)  # after a restart
+    for out, extra in (("plain", {}), ("partial", {"partial": partial})):
+        drain(keyed_state_query(_level_stream(spark, f"{tmp}/logs"), "log_level", "one", _adder(), f"{tmp}/{out}", f"{tmp}/ck-{out}", **extra))
+    drain(level_totals_query(_level_stream(spark, f"{tmp}/logs"), "log_level", f"{tmp}/n", f"{tmp}/ck-n", mode="update"))
+    want = rows(latest_per_key(spark, f"{tmp}/n", "log_level string, n bigint, batch_id bigint", ["log_level"], ["n"]))
+    assert want == [("", 1), ("[a]", 4), ("[b]", 2), ("[c]", 1), ("[d]", 1)]
+    assert rows(latest_states(spark, f"{tmp}/plain", "log_level")) == want
+    assert rows(latest_states(spark, f"{tmp}/partial", "log_level")) == want
+
+
+def test_state_begins_with_given_totals(spark, tmp):
+    big = 2**53 + 1
+    write_lines(f"{tmp}/logs", "0.log", ["[a]\tm", "[b]\tm", "[a]\tm"], mtime=1_600_000_000)
+    start = spark.createDataFrame([("[a]", big), ("[z]", 7)], "log_level string, state bigint")
+    run = lambda: drain(
+        keyed_state_query(_level_stream(spark, f"{tmp}/logs"), "log_level", "one", _adder(), f"{tmp}/out", f"{tmp}/ck", start_from=start)
+    )
+    run()
+    write_lines(f"{tmp}/logs", "1.log", ["[a]\tm"], mtime=1_600_000_009)
+    run()
+    got = rows(latest_states(spark, f"{tmp}/out", "log_level", start_from=start))
+    assert got == [("[a]", big + 3), ("[b]", 1), ("[z]", 7)]
+
+
+def test_states_of_none_null_keys_and_text(spark, tmp):
+    schema = "k string, v string"
+    spark.createDataFrame([("a", "x"), (None, "y"), ("b", "drop"), ("a", "z")], schema).coalesce(1).write.parquet(f"{tmp}/in")
+
+    def join(values, state):
+        kept = sorted({*values, *(state or "").split()} - {"drop"})
+        return " ".join(kept) or None
+
+    stream = spark.readStream.schema(schema).parquet(f"{tmp}/in")
+    drain(keyed_state_query(stream, "k", "v", join, f"{tmp}/out", f"{tmp}/ck", state_type="string"))
+    got = latest_states(spark, f"{tmp}/out", "k", state_type="string").collect()
+    assert sorted(map(str, got)) == sorted(["Row(k='a', state='x z')", "Row(k=None, state='y')"])
+
+
+def test_read_log_files_are_archived_and_a_restart_loses_none(spark, tmp):
+    base = 1_600_000_000
+    logs, old = f"{tmp}/logs", f"{tmp}/old"
+    run = lambda: drain(
+        level_totals_query(
+            log_lines(spark, logs, stream=True, glob="*.log", max_files_per_trigger=1, archive=old, max_file_age="7d"),
+            "value", f"{tmp}/out", f"{tmp}/ck",
+        )
+    )
+    for i in range(3):
+        write_lines(logs, f"{i}.log", ["a"] * (i + 1), mtime=base + i)
+    run()
+    write_lines(logs, "9.log", ["a"] * 10, mtime=base + 9)
+    run()
+    write_lines(logs, "10.log", ["b"], mtime=base + 10)
+    run()
+    moved = sorted(f for _, _, files in os.walk(old) for f in files if f.endswith(".log"))
+    left = sorted(f for f in os.listdir(logs) if f.endswith(".log"))
+    assert sorted([*moved, *left]) == ["0.log", "1.log", "10.log", "2.log", "9.log"]
+    assert {"0.log", "1.log", "2.log"} <= set(moved) and "10.log" in left
+    ledger = spark.read.schema("value string, n bigint, batch_id bigint").parquet(f"{tmp}/out")
+    last = ledger.groupBy("value").agg(F.max("n").alias("n"))
+    assert rows(last) == [("a", 16), ("b", 1)]
+    with pytest.raises(ValueError):
+        log_lines(spark, logs, archive=old)
+
+
+def test_bucketed_dictionary_is_not_shuffled(spark, tmp):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    words = docs.select(F.explode(F.split("text", " ")).alias("word")).where("length(word) > 3")
+    path = scratch_path(spark, "words")
+    stored = store_buckets(words, path, "bucketed_dictionary", 4)
+    try:
+        for reader in (stored, None):
+            if reader is None:  # a session that does not know the table
+                spark.sql("drop table bucketed_dictionary")
+                reader = open_buckets(spark, path, "bucketed_dictionary", 4)
+            got = bucketed_word_counts(docs, reader, 4, by=("lang",))
+            assert rows(got) == rows(word_document_counts(docs, words, by=("lang",)))
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+            right = plan[plan.index("Final Plan") : plan.index("Initial Plan")] if "Final Plan" in plan else plan
+            side = right[right.rindex("Exchange") :]
+            assert "Bucketed: true" in side and side.count("Exchange") == 1  # the last exchange is of the tokens
+            scan = next(x for x in right.splitlines() if "Bucketed: true" in x)
+            assert "SelectedBucketsCount: 4 out of 4" in scan
+    finally:
+        spark.sql("drop table if exists bucketed_dictionary")
