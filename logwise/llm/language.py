@@ -247,31 +247,29 @@ class Predictor:
 
 
 def training_rows(
-    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_label: int, max_labels: int
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_label: int, max_rows: int
 ) -> list[tuple[str, str]]:
-    """The bounded sample: up to ``per_label`` documents of each of the
-    ``max_labels`` most frequent labels, drawn by a hash of the id. Ids are
-    drawn first; texts are read for those only."""
+    """The bounded sample: up to ``per_label`` documents of each label, drawn by
+    a hash of the id; fewer of each, but one at least, if labels are so many
+    that this would be more than ``max_rows``. Ids are drawn first; texts are
+    read for those only."""
     known = docs.where(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
     ).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
-    common = [
-        r["_lang"]
-        for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(max_labels).collect()
-    ]
-    if not common:
+    labels = known.select("_lang").distinct().count()
+    if not labels:
         return []
+    per_label = max(1, min(per_label, max_rows // labels))
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
     drawn = (
-        known.where(F.col("_lang").isin(common))
-        .select("_id", "_lang")
+        known.select("_id", "_lang")
         .withColumn("_n", F.row_number().over(order))
         .where(F.col("_n") <= per_label)
         .select("_id")
         .distinct()
-    )  # at most per_label * max_labels ids
-    picked = known.join(F.broadcast(drawn), "_id").where(F.col("_lang").isin(common)).select("_id", "_lang", "_text")
-    rows = picked.limit(2 * per_label * len(common)).collect()
+    )  # at most max_rows ids, or one a label
+    picked = known.join(F.broadcast(drawn), "_id").select("_id", "_lang", "_text")
+    rows = picked.limit(2 * per_label * labels).collect()
     rows.sort(key=lambda r: (str(r["_id"]), r["_lang"], r["_text"]))
     return [(r["_text"], r["_lang"]) for r in rows if has_letter(r["_text"])]
 
@@ -282,7 +280,7 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     per_label: int = 150,
-    max_labels: int = 64,
+    max_rows: int = 9600,
     keep: tuple[str, ...] = (),
     names: tuple[str, str, str] = ("held_out", "lang_pred", "score"),
 ) -> DataFrame:
@@ -291,7 +289,8 @@ def identify(
     names of the three added columns.
 
     Learns from rows with a text and a label whose id is not held out, at most
-    ``per_label`` documents per label (the documented bound of the fit).
+    ``per_label`` documents per label and about ``max_rows`` in all (the
+    documented bound of the fit); every label that has such a row is learned.
     Prediction sees the text only. A text that is null or has no letter is
     "und" with score 0, as is every text if there is nothing to learn from.
     Repeated rows and null ids are kept; other columns are ignored; an empty
@@ -299,7 +298,7 @@ def identify(
     """
     spark = docs.sparkSession
     ship_package(spark)
-    samples = training_rows(docs, id_col, text_col, lang_col, per_label, max_labels)
+    samples = training_rows(docs, id_col, text_col, lang_col, per_label, max_rows)
     shared = spark.sparkContext.broadcast(fit(samples) if samples else None)
 
     wanted = list(keep) or [id_col]

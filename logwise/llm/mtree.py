@@ -27,8 +27,6 @@ from pyspark.sql.window import Window
 from logwise.llm.common import materialize, ship_package
 from logwise.llm.vectors import distinct_vectors, is_finite
 
-#: Components are kept below this size, so that scores fit into a long.
-LIMIT = 2**31
 #: Slack of bounds: they are computed in floating point, scores exactly.
 SLACK = 1e-9
 
@@ -39,23 +37,27 @@ PAGES = (
 
 
 def scale_vector(v: np.ndarray, scale: float = 256.0) -> np.ndarray:
-    """floor(scale * x) per component, in doubles."""
-    return np.floor(scale * v)
+    """floor(scale * x) per component, in doubles, within the finite ones."""
+    most = np.finfo(np.float64).max
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(scale * v), -most, most)
 
 
 def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Integer inner products of rows of ``x`` with ``q`` as int64, exact
     unless beyond a long, where they saturate."""
-    top = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, q.size)
+    most = (int(np.abs(x).max(initial=0)), int(np.abs(q).max(initial=0)))
+    top = most[0] * most[1] * max(1, q.size)
     if top < 2**53:
         return (x @ q).astype(np.int64)
-    if top < 2**63:
+    if top < 2**63 and max(most) < 2**63:
         return x.astype(np.int64) @ q.astype(np.int64)
     edge = 2**63 - 1
     big = [sum(int(a) * int(b) for a, b in zip(row, q, strict=True)) for row in x]
     return np.array([max(-edge, min(edge, s)) for s in big], dtype=np.int64)
 
 
+@np.errstate(over="ignore", invalid="ignore")
 def build_tree(tree: int, x: np.ndarray, ids: list, fanout: int, capacity: int) -> list[dict]:
     """Pages of an M-tree over rows of ``x``, top page 0.
 
@@ -109,6 +111,14 @@ def _page(tree, page, leaf, centre, norms, radii, parent, children, entries, ids
     }
 
 
+def _bound(norms: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Upper bounds of inner products from sums of squared norms and least
+    distances, with slack; no bound where the numbers leave the doubles."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        upper = (norms - low * low) / 2 + SLACK * norms + SLACK
+    return np.where(np.isfinite(norms) & np.isfinite(low), upper, np.inf)
+
+
 class Tree:
     """Pages of one tree, opened for searching."""
 
@@ -122,6 +132,7 @@ class Tree:
             )
         self.computed = self.avoided = 0
 
+    @np.errstate(over="ignore", invalid="ignore")  # then there is no bound
     def search(self, q: np.ndarray, own: int, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
         """The k best (score, id) with score >= floor, ties to smaller ids;
         id ``own`` takes no part."""
@@ -138,18 +149,18 @@ class Tree:
             leaf, norms, radii, parent, children, entries, ids, _ = self.pages[number]
             # triangle inequality on stored distances only
             low = np.maximum(np.abs(dist - parent) - radii, 0)
-            upper = (qq + norms - low * low) / 2
-            upper += SLACK * (qq + norms) + SLACK
-            near = np.flatnonzero(upper >= least)
+            near = np.flatnonzero(_bound(qq + norms, low) >= least)
             self.avoided += len(norms) - len(near)
             self.computed += len(near)
             if not len(near):
                 continue
             if leaf:
                 scores = exact_scores(entries[near], q)
-                for s, i in zip(scores.tolist(), near.tolist(), strict=True):
+                # best first: once k are found, the first that is worse ends the page
+                order = np.argsort(scores, kind="stable")[::-1]
+                for s, i in zip(scores[order].tolist(), near[order].tolist(), strict=True):
                     if s < floor or (len(best) == k and s < best[0][0]):
-                        continue
+                        break
                     for d in ids[i]:
                         if d != own:
                             heapq.heappush(best, (s, -int(d)))
@@ -157,8 +168,7 @@ class Tree:
                                 heapq.heappop(best)
             else:
                 own_dist = np.sqrt(((entries[near] - q) ** 2).sum(1))
-                low = np.maximum(own_dist - radii[near], 0)
-                upper = (qq + norms[near] - low * low) / 2 + SLACK * (qq + norms[near]) + SLACK
+                upper = _bound(qq + norms[near], np.maximum(own_dist - radii[near], 0))
                 for u, d, i in zip(upper.tolist(), own_dist.tolist(), near.tolist(), strict=True):
                     if u >= least:
                         heapq.heappush(queue, (-u, next(ticket), int(children[i]), d))
@@ -183,9 +193,9 @@ def top_k(
     Components become ``floor(scale * x)``. Result: query_id, rank (from 1),
     vec_id, score; ties go to the smaller id; a query meets every row but
     rows of its own id, and fewer than k rows give fewer ranks. Vectors that
-    are null or empty, or hold null, non-finite or too large components
-    (2^31 after scaling), take no part on either side, as do null ids;
-    vectors of different length never meet. A repeated query row counts once,
+    are null or empty, or hold null or non-finite components, take no part on
+    either side, as do null ids; scores beyond a long are the largest or
+    smallest long; vectors of different length never meet. A repeated query row counts once,
     a repeated candidate row as often as it occurs. Other columns are ignored.
     Empty tables give no rows.
 
@@ -195,18 +205,21 @@ def top_k(
     """
     spark = rows.sparkSession
     ship_package(spark)
-    fits = lambda c: is_finite(c) & ~F.exists(c, lambda x: F.abs(x * scale) >= float(LIMIT))
     encode = lambda v: scale_vector(v, scale).tobytes()
 
     points = materialize(
-        distinct_vectors(rows.where(fits(F.col(vec_col).cast("array<double>"))), id_col, vec_col, encode, k + 1),
+        distinct_vectors(rows.where(is_finite(F.col(vec_col).cast("array<double>"))), id_col, vec_col, encode, k + 1),
         "mtree-points",
     )
-    asked = materialize(
-        distinct_vectors(queries.where(fits(F.col(vec_col).cast("array<double>"))), id_col, vec_col, encode, 2**31 - 1)
-        .select("vec", F.explode(F.array_distinct("ids")).alias("query_id")),
-        "mtree-queries",
-    )
+
+    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"vec": [encode(np.asarray(v)) for v in pdf["v"]], "query_id": pdf["query_id"]})
+
+    vector = F.col(vec_col).cast("array<double>")
+    wanted = queries.where(is_finite(vector) & F.col(id_col).isNotNull())
+    wanted = wanted.select(F.col(id_col).cast("long").alias("query_id"), vector.alias("v"))
+    asked = materialize(wanted.mapInPandas(encoded, "vec binary, query_id long").distinct(), "mtree-queries")
     n, n_queries = points.count(), asked.count()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n or not n_queries:
@@ -244,7 +257,7 @@ def top_k(
     # a query's home tree: the first tree of its nearest pivot
     found = asked.select("vec", F.lit(0).cast("long").alias("n"), F.array("query_id").alias("ids"))
     home = found.mapInPandas(assign, "vec binary, n long, ids array<long>, share long").select(
-        F.col("ids")[0].alias("query_id"), "vec", (F.col("share") * 2**20).alias("tree"), F.lit(None).cast("long").alias("least")
+        F.col("ids")[0].alias("query_id"), "vec", (F.col("share") * 2**20).alias("tree"), F.lit(None).cast("double").alias("least")
     )
     blocks = max(1, -(-n_queries // query_block))
 
@@ -253,7 +266,8 @@ def top_k(
         if len(right):
             tree = Tree(right)
             for q, raw, least in zip(left["query_id"], left["vec"], left["least"], strict=True):
-                floor = -np.inf if pd.isna(least) else int(least)
+                # a double: beyond 2^53 it may be rounded upwards
+                floor = -np.inf if pd.isna(least) else int(least) - (abs(int(least)) >> 50)
                 out += [(int(q), d, s) for s, d in tree.search(np.frombuffer(raw), int(q), k, floor)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
@@ -269,7 +283,7 @@ def top_k(
 
     first = materialize(run(home), "mtree-home")
     floor = first.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("least")  # a home tree gives at most k rows
+        F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("least")  # a home tree gives at most k rows
     )
     # root pages: mean centre, covering radius and largest norm of every tree
     roots = {
@@ -290,17 +304,16 @@ def top_k(
                 if len(v) not in table:
                     continue
                 names, centres, radii, norms = table[len(v)]
-                low = np.maximum(np.sqrt(((centres - v) ** 2).sum(1)) - radii, 0)
-                upper = (v @ v + norms - low * low) / 2 + SLACK * (v @ v + norms) + SLACK
+                with np.errstate(over="ignore", invalid="ignore"):
+                    low = np.maximum(np.sqrt(((centres - v) ** 2).sum(1)) - radii, 0)
+                    upper = _bound(v @ v + norms, low)
                 open_ = names != h if pd.isna(least) else (names != h) & (upper >= least)
                 rows += [(q, raw, int(t), least) for t in names[open_]]
             if rows:
-                out = pd.DataFrame(rows, columns=["query_id", "vec", "tree", "least"])
-                out["least"] = out["least"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=["query_id", "vec", "tree", "least"])
 
     rest = home.drop("least").join(floor, "query_id", "left").select("query_id", "vec", "tree", "least")
-    second = run(rest.mapInPandas(others, "query_id long, vec binary, tree long, least long"))
+    second = run(rest.mapInPandas(others, "query_id long, vec binary, tree long, least double"))
     ranked = first.unionByName(second).withColumn(
         "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
     )

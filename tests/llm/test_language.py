@@ -50,6 +50,32 @@ def test_switches_inside_a_text_are_labelled():
     assert (p[:12].argmax(1) == field.labels.index("en")).all() and (p[12:].argmax(1) == field.labels.index("de")).all()
 
 
+def test_every_label_is_learned(docs_of):  # noqa: F811
+    """A hundred languages, each with words of its own; none is left out."""
+    words = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{x}" for x in ("ora", "ilu", "ent", "asko"))
+    rows = [doc(1000 * k + i, f"{words(i)} {words(i)}", f"l{i:03d}") for i in range(100) for k in range(1, 7)]
+    got = language.identify(docs_of(rows)).collect()
+    right = [r["lang_pred"] == f"l{r['doc_id'] % 1000:03d}" for r in got]
+    assert len({r["lang_pred"] for r in got}) == 100 and np.mean(right) >= 0.95
+    assert len(language.training_rows(docs_of(rows), "doc_id", "text", "lang", 150, 200)) == 200
+
+
+def test_text_score_by_plain_loops():
+    """A text's score is the mean over its words of the label's probability,
+    summed over all paths of labels."""
+    field = language.fit([("the cat and the dog", "en"), ("der hund und die katze", "de"), ("le chat et le chien", "fr")])
+    text = "the hund et dog"
+    (label,), (score,) = language.Predictor(field).predict([text])
+    e = language.emissions(field.weights, text.split())
+    total, mean = 0.0, np.zeros(3)
+    for path in np.ndindex(3, 3, 3, 3):
+        w = np.exp(sum(e[i, x] for i, x in enumerate(path)) + sum(field.transitions[a, b] for a, b in zip(path, path[1:], strict=False)))
+        total += w
+        for x in path:
+            mean[x] += w / 4
+    assert label == field.labels[int(mean.argmax())] and abs(score - (mean / total).max()) < 1e-6
+
+
 def test_edge_rows(docs_of, odd_rows):  # noqa: F811
     more = [doc(100 + i, "the cat and the dog", "en") for i in range(8)] + [doc(200 + i, "der hund und die katze", "de") for i in range(8)]
     got = language.identify(docs_of(odd_rows + more)).collect()

@@ -71,9 +71,34 @@ def test_top_k_of_small_and_empty_tables(spark):
     assert mtree.top_k(df, frame(spark, ODD[:3])).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(4)
+    numbers = lambda v: [float(np.float32(x)) for x in v]
+    rows = [(i, numbers(v)) for i, v in enumerate(rng.normal(size=(60, 4)) * 1e7)]
+    rows += [(70 + i, numbers(v)) for i, v in enumerate(rng.normal(size=(20, 4)) * 1e9)]
+    rows += [(100 + i, numbers(v)) for i, v in enumerate([[1e18] * 4, [-1e18] * 4, [3e38, 0.0, 0.0, 1.0], [-3e38] * 4, [0.5] * 4])]
+    rows += [(200, rows[0][1]), (201, rows[0][1])]
+
+    def whole(v):
+        return [int(np.clip(np.floor(256.0 * x), -np.finfo(float).max, np.finfo(float).max)) for x in v]
+
+    edge = 2**63 - 1
+    want = []
+    with np.errstate(over="ignore"):
+        ints = {i: whole(np.array(v)) for i, v in rows}
+    for q in ints:
+        found = [(max(-edge, min(edge, sum(a * b for a, b in zip(ints[q], ints[i], strict=True)))), i) for i in ints if i != q]
+        found.sort(key=lambda x: (-x[0], x[1]))
+        want += [(q, r + 1, i, s) for r, (s, i) in enumerate(found[:5])]
+    df = frame(spark, rows)
+    for tree_size in (1000, 16):
+        assert sorted(map(tuple, mtree.top_k(df, df, tree_size=tree_size, capacity=4, fanout=3).collect())) == sorted(want)
+
+
 def test_large_components_stay_exact():
     x = np.array([[2.0**30, 1.0], [2.0**30, 2.0]])
     assert mtree.exact_scores(x, np.array([2.0**30, 1.0])).tolist() == [2**60 + 1, 2**60 + 2]
+    assert np.isfinite(mtree.scale_vector(np.array([1.7e308, -1.7e308]))).all()
     huge = np.array([[2.0**31 - 1] * 8])
     assert mtree.exact_scores(huge, huge[0]).tolist() == [2**63 - 1]
 
