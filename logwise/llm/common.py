@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwise.session import scratch_path, ship_package
+from logwise.sources.storage import remove_folder
 
-__all__ = ["components", "materialize", "mix64", "read_table", "ship_package", "small", "word_hashes"]
+__all__ = ["components", "discard", "materialize", "mix64", "read_table", "ship_package", "small", "word_hashes"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`materialize` wrote, once all that reads them
+    has been written itself."""
+    for df in tables:
+        if hasattr(df, "_jdf") and "_scratch" in vars(df):
+            remove_folder(df.sparkSession, df._scratch)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -111,7 +122,9 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
         joined = large.join(least, "u")
         star = joined.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = star.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(tasks)
+        before = cur
         cur = materialize(after.mapInPandas(_contract, "u long, v long").distinct().coalesce(tasks), "cc-round")
+        discard(before)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = cur.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))

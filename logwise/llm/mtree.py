@@ -116,7 +116,8 @@ def _bound(norms: np.ndarray, low: np.ndarray) -> np.ndarray:
     distances, with slack; no bound where the numbers leave the doubles."""
     with np.errstate(over="ignore", invalid="ignore"):
         upper = (norms - low * low) / 2 + SLACK * norms + SLACK
-    return np.where(np.isfinite(norms) & np.isfinite(low), upper, np.inf)
+    # scores end at the smallest long
+    return np.where(np.isfinite(norms) & np.isfinite(low), np.maximum(upper, -9.2e18), np.inf)
 
 
 class Tree:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwise.llm.common import components, materialize, mix64, ship_package, small, word_hashes
+from logwise.llm.common import components, discard, materialize, mix64, ship_package, small, word_hashes
 
 #: Coordinates of a point that is used for bounds.
 GROUPS = 64
@@ -126,9 +126,12 @@ def route(hashes: np.ndarray, bounds: Bounds, ends: list[int]) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.empty(0, dtype=np.int64)
 
 
-def point(hashes: np.ndarray) -> np.ndarray:
-    """Shingles per group: the set's point."""
-    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def points(sets: list[np.ndarray]) -> np.ndarray:
+    """Shingles per group: the sets' points, a row each."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets]) * GROUPS
+    flat = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
+    counts = np.bincount(row + (flat >> np.uint64(58)).astype(np.int64), minlength=len(sets) * GROUPS)
+    return counts.astype(np.int32).reshape(-1, GROUPS)
 
 
 class Forest:
@@ -185,12 +188,11 @@ def _open(pdf: pd.DataFrame, by: str) -> Iterator[tuple[slice, tuple]]:
     if not len(pdf):
         return
     sets = [np.frombuffer(s, dtype=np.uint64) for s in pdf["hashes"]]
-    points = np.frombuffer(b"".join(pdf["point"]), dtype=np.int32).reshape(len(pdf), -1)
     sids, sizes, key = pdf["sid"].to_numpy(), pdf["n"].to_numpy(), pdf[by].to_numpy()
     ends = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(pdf)]
     for a, b in zip(ends, ends[1:], strict=False):
         part = slice(a, b)
-        yield part, (sids[part], points[part], sizes[part], sets[part])
+        yield part, (sids[part], points(sets[part]), sizes[part], sets[part])
 
 
 def join_documents(
@@ -249,14 +251,14 @@ def join_documents(
             for sid, fam, text in zip(pdf["sid"], pdf["family"], pdf["t"], strict=True):
                 s = shingle_set(lower_words(text), k)
                 if set_id(s) == sid:  # an id may repeat with another text
-                    rows.append((sid, fam, len(s), s.tobytes(), point(s).tobytes()))
+                    rows.append((sid, fam, len(s), s.tobytes()))
             if rows:
-                yield pd.DataFrame(rows, columns=["sid", "family", "n", "hashes", "point"])
+                yield pd.DataFrame(rows, columns=["sid", "family", "n", "hashes"])
 
     sets = (
         source.where(F.col("t").isNotNull())
         .join(small(wanted), "id")
-        .mapInPandas(gather, "sid long, family long, n long, hashes binary, point binary")
+        .mapInPandas(gather, "sid long, family long, n long, hashes binary")
         .dropDuplicates(["sid"])
     )
     edges = family_links(sets, bounds)
@@ -277,7 +279,8 @@ def join_documents(
 
 def family_links(sets: DataFrame, bounds: Bounds) -> DataFrame:
     """Links (a, b) between sets of the same family, enough to connect what
-    is connected. ``sets``: sid, family, n, hashes, point; every sid once.
+    is connected. ``sets``: sid, family, n, hashes; every sid once. They are
+    written once; pages and points are made of them by the tasks that search.
     """
     spark = sets.sparkSession
     tile = F.floor(F.log(F.col("n").cast("double")) / F.lit(0.02)).cast("int")
@@ -293,13 +296,12 @@ def family_links(sets: DataFrame, bounds: Bounds) -> DataFrame:
         F.greatest(F.ceil(F.count(F.lit(1)) / PAGE_SETS), F.ceil(F.sum("n") * 8 / PAGE_BYTES)).cast("int").alias("cuts")
     )
     cuts = small(materialize(cuts, "jaccard-cuts"))
-    paged = materialize(
+    paged = (
         packed.join(cuts, ["family", "tile"])
         .withColumn("page", F.xxhash64("family", "tile", F.pmod(F.xxhash64("sid"), "cuts")))
-        .select("sid", "family", "n", "hashes", "point", "page"),
-        "jaccard-pages",
+        .select("sid", "family", "n", "hashes", "page")
     )
-    weight = paged.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 8
+    weight = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 8
     tasks = max(1, -(-int(weight) // TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -320,6 +322,7 @@ def family_links(sets: DataFrame, bounds: Bounds) -> DataFrame:
     wide = paged.join(tiles.where(~F.col("_one")).select("family"), "family", "left_semi")
     if wide.limit(1).count():
         edges = edges.unionByName(_across(wide, inside, bounds, tasks))
+    discard(sets)
     return edges
 
 
@@ -334,21 +337,16 @@ def _across(wide: DataFrame, inside: DataFrame, bounds: Bounds, tasks: int) -> D
     heads = label.groupBy("family", "component").agg(F.min("sid").alias("sid"))
     hubs = small(materialize(_first_hubs(heads), "jaccard-hubs"))
     pairs = heads.join(hubs, "family").where(F.col("sid") != F.col("hub")).select("sid", "hub")
-    left = wide.select("sid", "n", "hashes", "point")
-    right = wide.select(
-        F.col("sid").alias("hub"), F.col("n").alias("hub_n"), F.col("hashes").alias("hub_hashes"), F.col("point").alias("hub_point")
-    )
+    left = wide.select("sid", "n", "hashes")
+    right = wide.select(F.col("sid").alias("hub"), F.col("n").alias("hub_n"), F.col("hashes").alias("hub_hashes"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for a, b, n, m, p, q, s, t in zip(
-                pdf["sid"], pdf["hub"], pdf["n"], pdf["hub_n"], pdf["point"], pdf["hub_point"], pdf["hashes"], pdf["hub_hashes"], strict=True
-            ):
-                best = int(np.minimum(np.frombuffer(p, dtype=np.int32), np.frombuffer(q, dtype=np.int32)).sum())
-                if bounds.links(best, n, m) and bounds.links(
-                    common_count(np.frombuffer(s, dtype=np.uint64), np.frombuffer(t, dtype=np.uint64)), n, m
-                ):
+            own, other = ([np.frombuffer(s, dtype=np.uint64) for s in pdf[c]] for c in ("hashes", "hub_hashes"))
+            best = np.minimum(points(own), points(other)).sum(1).tolist()
+            for a, b, n, m, most, s, t in zip(pdf["sid"], pdf["hub"], pdf["n"], pdf["hub_n"], best, own, other, strict=True):
+                if bounds.links(most, n, m) and bounds.links(common_count(s, t), n, m):
                     out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"])
 
@@ -405,7 +403,7 @@ def _across(wide: DataFrame, inside: DataFrame, bounds: Bounds, tasks: int) -> D
 
     crossed = materialize(
         sides.join(known, "page")
-        .select("unit", "side", "sid", "n", "hashes", "point", "known")
+        .select("unit", "side", "sid", "n", "hashes", "known")
         .repartition(4 * tasks, "unit")
         .groupBy("unit")
         .applyInPandas(lambda pdf: between(pdf), "a long, b long"),
