@@ -38,6 +38,12 @@ def matching_files(spark: SparkSession, pattern: str) -> list[str]:
     return _matching(spark, pattern, False)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, p = _open(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder or a file, if it is there."""
     fs, p = _open(spark, path)
