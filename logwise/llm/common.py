@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwise.session import scratch_path, ship_package
-from logwise.sources.storage import remove_folder
+from logwise.sources.storage import folder_bytes, remove_folder
 
 __all__ = ["components", "discard", "materialize", "mix64", "read_table", "ship_package", "small", "word_hashes"]
 
@@ -81,9 +81,12 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return _HASHES(words)
 
 
-def small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+def small(df: DataFrame, max_rows: int = 500_000, max_bytes: int | None = None) -> DataFrame:
     """A written table of narrow rows as the small side of a join: broadcast
-    up to ``max_rows`` counted rows, else joined by a shuffle."""
+    up to ``max_rows`` counted rows and, of a table that :func:`materialize`
+    wrote, ``max_bytes`` of files; else joined by a shuffle."""
+    if max_bytes is not None and "_scratch" in vars(df) and folder_bytes(df.sparkSession, df._scratch) > max_bytes:
+        return df.hint("merge")
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
