@@ -98,6 +98,37 @@ def segment_dictionary(text: str | Column, words: Iterable[str]) -> Column:
 CHARACTER = r"(?s)(?![\uDC00-\uDFFF])"
 
 
+# Ranges of a class of characters beyond Latin-1.
+MAX_RANGES = 64
+
+
+def runs_pattern(characters: Iterable[str]) -> str:
+    """Regex of the longest runs of ``characters``. Where they make too many
+    ranges, those nearest to each other are joined with what lies between, so
+    a run may hold other characters too; what it leaves out is never one of
+    them."""
+    points = sorted({ord(c) for c in characters})
+    if not points:
+        raise ValueError("no characters")
+    ranges: list[list[int]] = []
+    for p in points:
+        if p > 0xFF and ranges and ranges[-1][1] == p - 1 > 0xFF:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    gaps = sorted(b[0] - a[1] for a, b in itertools.pairwise(ranges) if a[0] > 0xFF)
+    if len(gaps) > MAX_RANGES:
+        widest, joined = gaps[-MAX_RANGES], []
+        for r in ranges:
+            if joined and joined[-1][0] > 0xFF and r[0] - joined[-1][1] < widest:
+                joined[-1][1] = r[1]
+            else:
+                joined.append(r)
+        ranges = joined
+    body = "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+    return f"[{body}]+"
+
+
 def ngram_pattern(n: int, prefixes: Iterable[str] = ()) -> str:
     """Regex of n-character substrings at every character, overlaps included
     (a zero-width look-ahead); only those that start with one of ``prefixes``

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from logwise.functions.text import (
     contained_words,
     ngram_pattern,
+    runs_pattern,
     segment_dictionary,
     segment_spaces,
 )
@@ -45,6 +46,7 @@ from logwise.operators.hits import (
     words_inside,
 )
 from logwise.operators.sizing import Size, broadcast_if_small, measure
+from logwise.session import checkpoint_root
 
 Dictionary = Sequence[str] | DataFrame
 
@@ -152,13 +154,14 @@ def word_document_counts(
     ``by`` adds grouping columns (for example the date of the comment).
     ``size`` is a measurement of a frame dictionary taken earlier (for example
     by :class:`logwise.sources.dictionary.RefreshingDictionary`); it saves one
-    aggregate. ``plan`` forces how words are found: ``pattern``, ``chunks`` or
-    ``join`` for forward maximum matching, ``contains``, ``pattern``,
+    aggregate. ``plan`` forces how words are found: ``pattern``, ``chunks``,
+    ``join`` or ``pieces`` for forward maximum matching, ``contains``, ``pattern``,
     ``chunks`` or ``ngrams`` for substrings; ``auto`` chooses by size. With
     method ``terms``, ``text`` names an array column of terms. ``key`` names
     columns that identify a comment; plan ``join`` gathers the words of a
-    comment by them (without them, by row numbers, which need an input whose
-    rows come in the same order if a task is repeated).
+    comment by them (without them, and in plan ``pieces``, by row numbers,
+    which need an input whose rows come in the same order if a task is
+    repeated).
     """
     t = F.col(text)
     dictionary = _clean(dictionary)
@@ -173,6 +176,10 @@ def word_document_counts(
         return _count_joined(docs.select(*by, F.explode(tokens).alias("word")), dictionary, size, name, by)
 
     if method == "dictionary":
+        if _is_frame(dictionary) and size is None:
+            size = measure(dictionary)
+        if plan == "pieces" or (plan == "auto" and not docs.isStreaming and not _one_pattern(dictionary, size)):
+            return _counts_by_piece(docs, _as_frame(dictionary, docs), t, size, name, by)
         found = _longest_words(docs, dictionary, t, size, by, plan, key)
         return count_by(found, "word", *by, name=name)
 
@@ -231,6 +238,46 @@ def _listed(dictionary: Dictionary, size: Size | None, plan: str = "auto") -> li
     return sorted({r["word"] for r in dictionary.select("word").collect()})
 
 
+def _one_pattern(dictionary: Dictionary, size: Size | None) -> bool:
+    """Whether a dictionary, a frame with its size, is within the limits of one chunk."""
+    return size.fits(CHUNK_MAX_WORDS, CHUNK_MAX_BYTES) if _is_frame(dictionary) else len(pattern_chunks(dictionary)) <= 1
+
+
+def _counts_by_piece(
+    docs: DataFrame, dictionary: DataFrame, text: Column, size: Size | None, name: str, by: Sequence[str]
+) -> DataFrame:
+    """Counts of forward maximum matching with a dictionary of many patterns.
+
+    No word goes over a character that no word holds, so texts are cut there.
+    A piece that is a word itself has no longer word at its start and is all
+    that matching finds in it: such pieces are counted and joined with the
+    dictionary. Each distinct other piece is matched once, and its words are
+    joined back to the texts; only words that both kinds of pieces give are
+    gathered per text before they are counted.
+    """
+    checkpoint_root(docs.sparkSession)
+    words = dictionary.distinct().checkpoint(eager=True)
+    held = words.select(F.explode(F.split("word", "")).alias("c")).where(F.col("c") != "").distinct().collect()
+    if not held:
+        return word_document_counts(docs, [], name=name, by=by)
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(runs_pattern(r["c"] for r in held)), F.lit(0)))
+    counts = count_by(docs.select(F.explode(runs).alias("word"), *by), "word", *by, name=name).checkpoint(eager=True)
+    whole = counts.join(words, "word", "left_semi")
+    others = counts.select("word").distinct().join(words, "word", "left_anti").withColumnRenamed("word", "_piece")
+    others = others.checkpoint(eager=True)
+    if others.isEmpty():
+        return whole
+    parts = _longest_words(others, words, F.col("_piece"), size, ("_piece",), "auto", ("_piece",)).checkpoint(eager=True)
+    shared = parts.select("word").distinct()
+    given, _ = broadcast_if_small(parts.unionByName(shared.select(F.col("word").alias("_piece"), "word")), "_piece")
+    # row numbers come straight from the texts: a repeated task gives the same
+    numbered = docs.select(*by, F.monotonically_increasing_id().alias("_row"), runs.alias("_runs"))
+    rows = numbered.select("_row", *by, F.explode("_runs").alias("_piece"))
+    both = rows.join(given, "_piece").select("_row", *by, "word").distinct()
+    shared, _ = broadcast_if_small(shared, "word")
+    return whole.join(shared, "word", "left_anti").unionByName(count_by(both, "word", *by, name=name))
+
+
 def _longest_words(
     docs: DataFrame, dictionary: Dictionary, text: Column, size: Size | None, by: Sequence[str], plan: str,
     key: Sequence[str] = (),

@@ -248,3 +248,50 @@ def test_best_paths_equal_all_paths_tried(spark):
             assert dict(rows(best_path_counts(docs, frame, ("id",)))) == want
     nothing = spark.createDataFrame([], "word string, count long")
     assert best_path_counts(docs, nothing, ("id",)).count() == 0
+
+
+def test_pieces_give_what_maximum_matching_finds(spark, monkeypatch):
+    from logwise.operators import words as module
+
+    rnd = random.Random(15)
+    draw = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    for limit in ((2, 20), (10_000, 100_000)):  # other pieces by substrings, by patterns
+        monkeypatch.setattr(module, "LISTED_MAX", limit)
+        for letters in (["a", "b", "]"], ["a", "b", "\\", "😀", "ü"]):
+            words = sorted({draw(letters, rnd.randint(1, 4)) for _ in range(9)})
+            texts = [draw([*letters, " ", "-"], rnd.randint(0, 14)) for _ in range(60)] + [None, words[0], words[0]]
+            want = {}
+            for t in texts:
+                for w in _maximum_matching(t or "", words):
+                    want[w] = want.get(w, 0) + 1
+            frame = spark.createDataFrame([(w,) for w in [*words, words[0], "", None]], "word string")
+            docs = _docs(spark, texts).withColumn("half", F.col("doc_id") % 2)
+            assert dict(rows(word_document_counts(docs, frame, method="dictionary", plan="pieces"))) == want
+            halves = rows(word_document_counts(docs, words, method="dictionary", plan="pieces", by=("half",)))
+            by_half = rows(word_document_counts(docs, words, method="dictionary", plan="pattern", by=("half",)))
+            assert halves == by_half
+    nothing = spark.createDataFrame([], "word string")
+    assert word_document_counts(docs, nothing, method="dictionary", plan="pieces").count() == 0
+
+
+def test_words_of_the_texts_need_no_substrings(spark, monkeypatch):
+    from logwise.operators import words as module
+
+    monkeypatch.setattr(module, "CHUNK_MAX_WORDS", 2)
+    monkeypatch.setattr(module, "LISTED_MAX", (2, 10))
+    monkeypatch.setattr(module, "_grams_by_length", None)  # the substrings of every length at every position
+    docs = _docs(spark, ["ab abc b", "abc  abc d", "ab", None])
+    words = docs.select(F.explode(F.split("text", " ")).alias("word"))
+    found = word_document_counts(docs, words, method="dictionary", key=("doc_id",))
+    assert rows(found) == [("ab", 2), ("abc", 2), ("b", 1), ("d", 1)]
+
+
+def test_runs_of_many_characters():
+    import re
+
+    from logwise.functions.text import MAX_RANGES, runs_pattern
+
+    held = [chr(0x4E00 + 3 * i) for i in range(500)] + list("a-]^\\ ")
+    body = re.sub(r"\\x\{(\w+)\}", lambda m: re.escape(chr(int(m[1], 16))), runs_pattern(held))
+    assert body.count("-") <= MAX_RANGES + 2
+    assert all(re.fullmatch(body, c) for c in held) and not re.search(body, "bc_\t")
