@@ -8,23 +8,25 @@ best weight after it.
 
 Weights are whole millionths, so sums are exact and ties are defined: of equal
 weights the path whose first word is longer, then by the same rule after it.
-Texts are cut at characters that no word holds, and each distinct piece is
-segmented once. All of it is Spark's own expressions.
+Texts are cut at characters that no word holds. The paths of a text are found
+next to its scan; only words travel, as counts.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logwise.operators.balance import spread
 from logwise.operators.counts import count_by
-from logwise.operators.hits import beginnings, longest_at, pattern_chunks
-from logwise.operators.sizing import broadcast_if_small, measure
+from logwise.operators.sizing import measure
 from logwise.operators.words import LISTED_MAX
+from logwise.session import ship_package
 
 # Weights per unit of the natural logarithm.
 WEIGHT_SCALE = 1_000_000
@@ -45,61 +47,86 @@ def word_weights(frequencies: DataFrame) -> tuple[dict[str, int], int]:
     return {w: weigh(c) for w, c in counts.items()}, weigh(1) if total else 0
 
 
-def _pieces(text: Column, words: Sequence[str]) -> Column:
-    """Longest runs of characters that occur in words."""
-    held = "".join(re.escape(c) if not c.isspace() else f"\\x{{{ord(c):x}}}" for c in sorted({c for w in words for c in w}))
-    return F.regexp_extract_all(text, F.lit(f"[{held}]+"), F.lit(0))
-
-
-def segment_pieces(pieces: DataFrame, weights: dict[str, int], unknown: int) -> DataFrame:
-    """(piece, words): dictionary words of the best path of each distinct
-    ``piece``, in order, each once."""
-    words = sorted(weights)
-    longest = max(len(w) for w in words)
-    spark = pieces.sparkSession
-    options = [(w, [(len(b), weights[b], 1) for b in found]) for w, found in beginnings(words)]
-    table = spark.createDataFrame(options, "_hit string, _options array<struct<len:int,weight:bigint,known:int>>")
-    distinct = pieces.select("piece").distinct()
-    spots = distinct.select("piece", F.posexplode(longest_at(F.col("piece"), pattern_chunks(words))).alias("_pos", "_hit"))
-    # within the limits checked by word_weights
-    hits = spots.join(F.broadcast(table), "_hit", "left").select("piece", "_pos", "_options")
-    lone = F.array(F.struct(F.lit(1).alias("len"), F.lit(unknown).cast("bigint").alias("weight"), F.lit(0).alias("known")))
-    single = F.exists("_options", lambda o: o["len"] == 1)
-    every = F.when(F.col("_options").isNull(), lone).when(single, F.col("_options")).otherwise(F.concat("_options", lone))
-    lattice = hits.groupBy("piece").agg(F.array_sort(F.collect_list(F.struct("_pos", every.alias("o")))).alias("_lattice"))
-
-    def step(acc: Column, spot: Column) -> Column:
-        rated = F.transform(
-            spot["o"],
-            lambda o: F.struct(
-                (o["weight"] + F.element_at(acc["sums"], o["len"])).alias("sum"), o["len"].alias("len"), o["known"].alias("known")
-            ),
-        )
-        best = F.array_max(rated)
-        return F.struct(
-            F.slice(F.concat(F.array(best["sum"]), acc["sums"]), 1, longest).alias("sums"),
-            F.concat(F.array(F.struct(best["len"].alias("len"), best["known"].alias("known"))), acc["cuts"]).alias("cuts"),
-        )
-
-    start = F.struct(
-        F.array(F.lit(0).cast("bigint")).alias("sums"), F.array().cast("array<struct<len:int,known:int>>").alias("cuts")
-    )
-    cuts = lattice.select("piece", F.explode(F.array(F.aggregate(F.reverse("_lattice"), start, step)["cuts"])).alias("_cuts"))
-    placed = F.transform("_cuts", lambda c, i: F.struct(c["len"].alias("len"), c["known"].alias("known"), i.alias("at")))
-    begin = F.struct(F.lit(0).alias("skip"), F.array().cast("array<string>").alias("words"))
-    walked = F.aggregate(
-        placed,
-        begin,
-        lambda acc, c: F.when(acc["skip"] > 0, F.struct((acc["skip"] - 1).alias("skip"), acc["words"].alias("words"))).otherwise(
-            F.struct(
-                (c["len"] - 1).alias("skip"),
-                F.when(c["known"] == 0, acc["words"])
-                .otherwise(F.concat(acc["words"], F.array(F.substring(F.col("piece"), c["at"] + 1, c["len"]))))
-                .alias("words"),
-            )
-        ),
-    )
-    return cuts.select("piece", F.array_distinct(walked["words"]).alias("words"))
+# Pieces, and beginnings, of which a task remembers what it found.
+MEMO = 200_000
+# Characters by which the words that start at a character are looked up; longer
+# words by twice as many, and so on.
+BEGIN = 4
+
+
+class BestPaths:
+    """Dictionary words on the best paths of texts. What was found is
+    remembered, at most twice MEMO pieces, those met last."""
+
+    def __init__(self, weights: dict[str, int], unknown: int):
+        self.weights, self.unknown = weights, unknown
+        self.memo, self.before, self.starts = {}, {}, {}
+        held = sorted({c for w in weights for c in w})
+        self.runs = re.compile(f"[{''.join(map(re.escape, held))}]+")
+        # lengths above k, up to 2 k, of the words behind their first k characters
+        longer: dict[str, set[int]] = {}
+        for w in weights:
+            k = BEGIN
+            while k < len(w):
+                sizes = longer.setdefault(w[:k], set())
+                k *= 2
+                if len(w) <= k:
+                    sizes.add(len(w))
+        self.longer = {b: tuple(sorted(n)) for b, n in longer.items()}
+
+    def __call__(self, text: str) -> list[str]:
+        """The words of a text, each once."""
+        found: set[str] = set()
+        for piece in set(self.runs.findall(text)):
+            words = self.memo.get(piece)
+            if words is None:
+                words = self.before.get(piece)
+                if words is None:
+                    words = tuple(self.path(piece))
+                if len(self.memo) >= MEMO:
+                    self.before, self.memo = self.memo, {}
+                self.memo[piece] = words
+            found.update(words)
+        return list(found)
+
+    def start(self, begin: str) -> tuple[int, list[tuple[int, int]]]:
+        """What starts with the characters ``begin``: the weight of the first
+        one, (length, weight) of longer words."""
+        if len(self.starts) >= MEMO:
+            self.starts.clear()
+        some = [(n, self.weights[begin[:n]]) for n in range(2, len(begin) + 1) if begin[:n] in self.weights]
+        out = self.starts[begin] = (self.weights.get(begin[0], self.unknown), some)
+        return out
+
+    def path(self, piece: str) -> list[str]:
+        """The dictionary words of the best path, in order."""
+        n, weights, starts, longer = len(piece), self.weights, self.starts, self.longer
+        sums, sizes = [0] * (n + 1), [1] * n
+        for i in range(n - 1, -1, -1):
+            begin = piece[i : i + BEGIN]
+            one, some = starts.get(begin) or self.start(begin)
+            best = one + sums[i + 1]
+            for size, weight in some:
+                if weight + sums[i + size] >= best:
+                    best, sizes[i] = weight + sums[i + size], size
+            k = BEGIN
+            while i + k < n and (known := longer.get(begin)) is not None:
+                for size in known:
+                    if i + size > n:
+                        break
+                    weight = weights.get(piece[i : i + size])
+                    if weight is not None and weight + sums[i + size] >= best:
+                        best, sizes[i] = weight + sums[i + size], size
+                k *= 2
+                begin = piece[i : i + k]
+            sums[i] = best
+        words, i = [], 0
+        while i < n:
+            word = piece[i : i + sizes[i]]
+            if word in weights:
+                words.append(word)
+            i += sizes[i]
+        return words
 
 
 def best_path_counts(
@@ -120,9 +147,21 @@ def best_path_counts(
     if not weights:
         nothing = docs.select(*by, F.lit(None).cast("string").alias("word")).where(F.lit(False))
         return count_by(nothing, "word", *by, name=name)
-    found = _pieces(F.col(text), list(weights))
-    pieces = docs.select(*dict.fromkeys((*key, *by)), F.explode(F.array_distinct(found)).alias("piece"))
-    segmented = segment_pieces(pieces, weights, unknown).where(F.size("words") > 0)
-    small, _ = broadcast_if_small(segmented, "piece")
-    each = pieces.join(small, "piece").select(*dict.fromkeys((*key, *by)), F.explode("words").alias("word")).distinct()
+    spark = docs.sparkSession
+    ship_package(spark)
+    known = spark.sparkContext.broadcast((weights, unknown))  # within the limits checked by word_weights
+
+    @F.pandas_udf("array<string>")
+    def words(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        paths = BestPaths(*known.value)
+        for batch in texts:
+            yield batch.map(lambda t: paths(t) if isinstance(t, str) else [])
+
+    own = list(dict.fromkeys((*key, *by)))
+    narrow = docs.select(*own, F.col(text).alias("_text"))
+    found = spread(narrow, key[0]).select(*own, words("_text").alias("_words"))
+    # outer, as a filter on the size of the array would run the function twice
+    each = found.select(*own, F.explode_outer("_words").alias("word")).where(F.col("word").isNotNull())
+    if not count_by(narrow, *own, name="_rows").where(F.col("_rows") > 1).isEmpty():
+        each = each.distinct()  # several rows of one comment
     return count_by(each, "word", *by, name=name)

@@ -295,3 +295,38 @@ def test_runs_of_many_characters():
     body = re.sub(r"\\x\{(\w+)\}", lambda m: re.escape(chr(int(m[1], 16))), runs_pattern(held))
     assert body.count("-") <= MAX_RANGES + 2
     assert all(re.fullmatch(body, c) for c in held) and not re.search(body, "bc_\t")
+
+
+def test_best_paths_run_once_next_to_the_scan(spark):
+    from logwise.operators.paths import best_path_counts
+
+    frame = spark.createDataFrame([("a", 2), ("ab", 1)], "word string, count long")
+    docs = spark.createDataFrame([(1, "ab a"), (1, "a"), (None, "ab"), (None, "ab"), (2**53 + 1, "ab"), (2**53, "ab")], "id long, text string")
+    found = best_path_counts(docs, frame, ("id",))
+    assert rows(found) == [("a", 1), ("ab", 4)]  # rows of one key are one comment
+    plan = best_path_counts(docs.where("id > 1"), frame, ("id",))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate ") == 1 and "Join" not in plan and "collect_list" not in plan
+    assert plan.count("ArrowEvalPython [words") == 1
+
+
+def test_best_paths_of_long_words():
+    from logwise.operators.paths import BestPaths
+
+    rnd = random.Random(16)
+    draw = lambda n: "".join(rnd.choice("ab") for _ in range(n))
+    for _ in range(60):
+        text = draw(rnd.randint(15, 45))
+        cuts = [(i, rnd.choice([1, 3, 4, 5, 7, 8, 9, 15, 16, 17, 31, 32, 33])) for i in range(0, len(text), 4)]
+        weights = {text[i : i + n]: -rnd.randint(1, 9) for i, n in cuts} | {"ab": -9, draw(6): -2}
+        paths = BestPaths(weights, -12)
+        best = {0: ((0, ()), ())}  # by characters left: (sum, lengths) of the best path and its words
+        for left in range(1, len(text) + 1):
+            at = len(text) - left
+            options = []
+            for n in range(1, left + 1):
+                w = text[at : at + n]
+                (total, lengths), after = best[left - n]
+                if w in weights or n == 1:
+                    options.append(((weights.get(w, -12) + total, (n, *lengths)), ((w,) if w in weights else ()) + after))
+            best[left] = max(options)
+        assert tuple(paths.path(text)) == best[len(text)][1]
