@@ -159,7 +159,7 @@ def best_path_counts(
 
     own = list(dict.fromkeys((*key, *by)))
     narrow = docs.select(*own, F.col(text).alias("_text"))
-    found = spread(narrow, key[0]).select(*own, words("_text").alias("_words"))
+    found = spread(narrow, key[0] if key else None).select(*own, words("_text").alias("_words"))
     # outer, as a filter on the size of the array would run the function twice
     each = found.select(*own, F.explode_outer("_words").alias("word")).where(F.col("word").isNotNull())
     if not count_by(narrow, *own, name="_rows").where(F.col("_rows") > 1).isEmpty():
