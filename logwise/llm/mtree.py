@@ -9,7 +9,8 @@ node, a lower bound of the distance bounds every score below it. Stored
 parent distances give that bound without computing the entry's own distance.
 
 Each query searches its home tree first. Its k-th score there decides which
-other trees can hold a better vector; only those are searched.
+other trees can hold a better vector; only those are searched. The queries of
+a block walk a tree together, so a page is opened once for all of them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from logwise.llm.vectors import distinct_vectors, is_finite
 
 #: Slack of bounds: they are computed in floating point, scores exactly.
 SLACK = 1e-9
+#: Largest score, its negative the smallest; below that: no score.
+EDGE = 2**63 - 1
+NONE = np.int64(-(2**63))
 
 PAGES = (
     "tree long, page long, leaf boolean, centre binary, size int, norms binary, radii binary, "
@@ -52,9 +56,20 @@ def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
         return (x @ q).astype(np.int64)
     if top < 2**63 and max(most) < 2**63:
         return x.astype(np.int64) @ q.astype(np.int64)
-    edge = 2**63 - 1
     big = [sum(int(a) * int(b) for a, b in zip(row, q, strict=True)) for row in x]
-    return np.array([max(-edge, min(edge, s)) for s in big], dtype=np.int64)
+    return np.array([max(-EDGE, min(EDGE, s)) for s in big], dtype=np.int64)
+
+
+def exact_products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """:func:`exact_scores` of rows of ``x`` with every row of ``q``, (rows of
+    ``q``, rows of ``x``)."""
+    top = int(np.abs(x).max(initial=0))
+    plain = np.abs(q).max(axis=1, initial=0) < 2**53 / max(1, top * x.shape[1])
+    out = np.empty((len(q), len(x)), dtype=np.int64)
+    out[plain] = (q[plain] @ x.T).astype(np.int64)
+    for i in np.flatnonzero(~plain).tolist():
+        out[i] = exact_scores(x, q[i])
+    return out
 
 
 @np.errstate(over="ignore", invalid="ignore")
@@ -133,47 +148,89 @@ class Tree:
             )
         self.computed = self.avoided = 0
 
-    @np.errstate(over="ignore", invalid="ignore")  # then there is no bound
     def search(self, q: np.ndarray, own: int, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
-        """The k best (score, id) with score >= floor, ties to smaller ids;
-        id ``own`` takes no part."""
-        qq = float(q @ q)
-        best: list[tuple[int, int]] = []  # heap of (score, -id): the worst on top
+        """The k best (score, id) of one query, as in :meth:`search_all`."""
+        least = -EDGE if floor == -np.inf else int(floor)
+        _, ids, scores = self.search_all(q[None, :], np.array([own]), k, np.array([least], dtype=np.int64))
+        return list(zip(scores.tolist(), ids.tolist(), strict=True))
+
+    @np.errstate(over="ignore", invalid="ignore")  # then there is no bound
+    def search_all(self, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``q``, id, score): of every query the k best ids with a
+        score >= its floor, ties to smaller ids; its id ``own`` takes no part.
+
+        The queries walk the tree together: of the waiting pages the one with
+        the best bound of any query is read next, once, by all queries whose
+        bound there still reaches their k-th score."""
+        qq = np.einsum("ij,ij->i", q, q)
+        scores = np.full((len(q), k), NONE)
+        found = np.zeros((len(q), k), dtype=np.int64)
+        least = floor.copy()
         ticket = itertools.count()
         root = self.pages[0]
-        queue = [(-np.inf, next(ticket), 0, float(np.sqrt(((q - root[7]) ** 2).sum())))]
+        dist = np.sqrt(((q - root[7]) ** 2).sum(1))
+        queue = [(-np.inf, next(ticket), 0, np.arange(len(q)), np.full(len(q), np.inf), dist)]
         while queue:
-            bound, _, number, dist = heapq.heappop(queue)
-            least = best[0][0] if len(best) == k else floor
-            if -bound < least:
-                break
+            _, _, number, rows, bound, dist = heapq.heappop(queue)
+            live = bound >= least[rows]
+            if not live.any():
+                continue
+            rows, dist = rows[live], dist[live]
             leaf, norms, radii, parent, children, entries, ids, _ = self.pages[number]
             # triangle inequality on stored distances only
-            low = np.maximum(np.abs(dist - parent) - radii, 0)
-            near = np.flatnonzero(_bound(qq + norms, low) >= least)
-            self.avoided += len(norms) - len(near)
-            self.computed += len(near)
-            if not len(near):
+            low = np.maximum(np.abs(dist[:, None] - parent) - radii, 0)
+            near = _bound(qq[rows, None] + norms, low) >= least[rows, None]
+            self.avoided += near.size - int(near.sum())
+            self.computed += int(near.sum())
+            some = np.flatnonzero(near.any(1))
+            used = np.flatnonzero(near.any(0))
+            if not len(some):
                 continue
+            rows, near = rows[some], near[np.ix_(some, used)]
             if leaf:
-                scores = exact_scores(entries[near], q)
-                # best first: once k are found, the first that is worse ends the page
-                order = np.argsort(scores, kind="stable")[::-1]
-                for s, i in zip(scores[order].tolist(), near[order].tolist(), strict=True):
-                    if s < floor or (len(best) == k and s < best[0][0]):
-                        break
-                    for d in ids[i]:
-                        if d != own:
-                            heapq.heappush(best, (s, -int(d)))
-                            if len(best) > k:
-                                heapq.heappop(best)
+                self._take(exact_products(entries[used], q[rows]), near, [ids[i] for i in used], rows, own, scores, found, floor, least)
             else:
-                own_dist = np.sqrt(((entries[near] - q) ** 2).sum(1))
-                upper = _bound(qq + norms[near], np.maximum(own_dist - radii[near], 0))
-                for u, d, i in zip(upper.tolist(), own_dist.tolist(), near.tolist(), strict=True):
-                    if u >= least:
-                        heapq.heappush(queue, (-u, next(ticket), int(children[i]), d))
-        return sorted(((s, -d) for s, d in best), key=lambda x: (-x[0], x[1]))
+                for j, i in enumerate(used.tolist()):
+                    at = rows[near[:, j]]
+                    own_dist = np.sqrt(((q[at] - entries[i]) ** 2).sum(1))
+                    upper = _bound(qq[at] + norms[i], np.maximum(own_dist - radii[i], 0))
+                    keep = upper >= least[at]
+                    if keep.any():
+                        waiting = (at[keep], upper[keep], own_dist[keep])
+                        heapq.heappush(queue, (-float(upper[keep].max()), next(ticket), int(children[i]), *waiting))
+        row, rank = np.nonzero(scores > NONE)
+        return row, found[row, rank], scores[row, rank]
+
+    @staticmethod
+    def _take(new: np.ndarray, near: np.ndarray, ids: list, rows: np.ndarray, own: np.ndarray, scores: np.ndarray, found: np.ndarray, floor: np.ndarray, least: np.ndarray) -> None:
+        """Merges a leaf's scores, (queries, entries), into the k best of the
+        queries ``rows``; every entry stands for its ids."""
+        k = scores.shape[1]
+        times = np.array([len(x) for x in ids])
+        name = np.concatenate([np.asarray(x, dtype=np.int64) for x in ids])
+        new = np.repeat(np.where(near, new, NONE), times, axis=1)
+        new[name == own[rows, None]] = NONE
+        enough = least[rows]
+        if new.shape[1] > k:
+            enough = np.maximum(enough, np.partition(new, -k, axis=1)[:, -k])
+        r, c = np.nonzero((new >= enough[:, None]) & (new > NONE))
+        if not len(r):
+            return
+        hit = np.unique(r)
+        old_r, old_c = np.nonzero(scores[rows[hit]] > NONE)
+        old_q = rows[hit][old_r]
+        who = np.concatenate([rows[r], old_q])
+        score = np.concatenate([new[r, c], scores[old_q, old_c]])
+        what = np.concatenate([name[c], found[old_q, old_c]])
+        # a score beyond the smallest long has no negative
+        order = np.lexsort((what, ~score, who))
+        who, score, what = who[order], score[order], what[order]
+        rank = np.arange(len(who)) - np.searchsorted(who, who)
+        best = rank < k
+        scores[who[best], rank[best]] = score[best]
+        found[who[best], rank[best]] = what[best]
+        full = scores[rows[hit], k - 1]
+        least[rows[hit]] = np.maximum(floor[rows[hit]], full)
 
 
 def top_k(
@@ -263,14 +320,13 @@ def top_k(
     blocks = max(1, -(-n_queries // query_block))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(right):
-            tree = Tree(right)
-            for q, raw, least in zip(left["query_id"], left["vec"], left["least"], strict=True):
-                # a double: beyond 2^53 it may be rounded upwards
-                floor = -np.inf if pd.isna(least) else int(least) - (abs(int(least)) >> 50)
-                out += [(int(q), d, s) for s, d in tree.search(np.frombuffer(raw), int(q), k, floor)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        if not len(left) or not len(right):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
+        # a double: beyond 2^53 it may be rounded upwards
+        floor = [-EDGE if pd.isna(x) else max(-EDGE, int(x) - (abs(int(x)) >> 50)) for x in left["least"]]
+        own, q = left["query_id"].to_numpy(), np.stack([np.frombuffer(raw) for raw in left["vec"]])
+        row, ids, scores = Tree(right).search_all(q, own, k, np.array(floor, dtype=np.int64))
+        return pd.DataFrame({"query_id": own[row], "vec_id": ids, "score": scores})
 
     def run(todo: DataFrame) -> DataFrame:
         todo = materialize(todo.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "mtree-todo")

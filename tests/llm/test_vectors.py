@@ -194,3 +194,35 @@ def test_links_of_two_lengths_in_equal_numbers(spark):
 def test_empty_near_duplicates(spark):
     assert lattice.near_duplicates(frame(spark, [])).count() == 0
     assert lattice.near_duplicates(frame(spark, ODD[:6])).where("n_links > 0").count() == 0
+
+
+def test_queries_of_a_block_open_each_page_once():
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    x = np.floor(rng.normal(size=(600, 8)) * 100)
+    x[50:60] = x[7]
+    found = {}
+    for i, v in enumerate(x):
+        found.setdefault(v.tobytes(), []).append(i)
+    distinct = np.stack([np.frombuffer(v) for v in found])
+
+    class Opened(dict):
+        times = 0
+
+        def __getitem__(self, page):
+            self.times += 1
+            return super().__getitem__(page)
+
+    tree = mtree.Tree(pd.DataFrame(mtree.build_tree(1, distinct, list(found.values()), 4, 16)))
+    tree.pages = Opened(tree.pages)
+    own, floor = np.arange(0, 600, 3), np.full(200, -mtree.EDGE)
+    floor[::2] = 40_000
+    row, ids, scores = tree.search_all(x[own], own, 5, floor)
+    assert tree.pages.times <= len(tree.pages) + 1  # once each; the root's centre first
+    got = {}
+    for r, i, s in zip(row.tolist(), ids.tolist(), scores.tolist(), strict=True):
+        got.setdefault(r, []).append((-s, i))
+    for r, q in enumerate(own):
+        every = sorted((-int(x[q] @ x[i]), i) for i in range(600) if i != q)
+        assert got.get(r, []) == [(s, i) for s, i in every if -s >= floor[r]][:5]
