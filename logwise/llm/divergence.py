@@ -25,11 +25,17 @@ is in longs and exact for up to 9e15 occurrences.
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwise.llm.common import materialize
-from logwise.operators.sizing import broadcast_if_small
+from logwise.operators.sizing import broadcast_if_small, measure
 
 #: A term: ASCII letters and all characters beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -37,6 +43,10 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 10
 #: Terms listed per source.
 TOP_TERMS = 10
+#: Chunks of sources that a task counts before it hands them on, and bytes of text.
+TALLY_CHUNKS, TALLY_BYTES = 600_000, 1 << 26
+#: Chunks of undecided terms that are sent to the tasks, at most, and their bytes.
+OPEN_CHUNKS, OPEN_BYTES = 500_000, 1 << 24
 
 
 def chunks(text: Column) -> Column:
@@ -63,13 +73,65 @@ def source_names(rows: DataFrame) -> DataFrame:
 
 
 def count_chunks(rows: DataFrame) -> DataFrame:
-    """(g, chunk, docs, n): documents and occurrences per source and chunk."""
-    both = rows.select("g", F.explode(F.array(chunks(F.col("text")))).alias("all"))
-    kinds = both.select("g", F.posexplode(F.array("all", F.array_distinct("all"))).alias("once", "some"))
-    each = kinds.select("g", "once", F.explode("some").alias("chunk")).where(F.col("chunk") != "")
-    return each.groupBy("g", "chunk").agg(
-        F.sum("once").cast("long").alias("docs"), F.sum(1 - F.col("once")).cast("long").alias("n")
-    )
+    """(g, chunk, docs, n): documents and occurrences per source and chunk;
+    both are summed per task before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally: dict[int, tuple[Counter[bytes], Counter[bytes]]] = {}
+
+        def flush() -> pa.RecordBatch:
+            names = [list(n) for _, n in tally.values()]
+            flat = itertools.chain.from_iterable
+            out = [
+                pa.array(np.repeat(list(tally), [len(x) for x in names]), pa.int64()),
+                pa.array(list(flat(names)), pa.binary()),
+                pa.array(list(flat(map(d.__getitem__, x) for x, (d, _) in zip(names, tally.values(), strict=True))), pa.int64()),
+                pa.array(list(flat(n.values() for _, n in tally.values())), pa.int64()),
+            ]
+            tally.clear()
+            return pa.RecordBatch.from_arrays(out, ["g", "chunk", "docs", "n"])
+
+        kinds = held = 0
+        for batch in batches:
+            for g, text in zip(batch["g"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                words = text.split()  # bytes: at ASCII white space
+                docs, n = tally.setdefault(g, (Counter(), Counter()))
+                before = len(n)
+                n.update(words)
+                docs.update(set(words))
+                kinds, held = kinds + len(n) - before, held + len(text)
+                if kinds > TALLY_CHUNKS or held > TALLY_BYTES:
+                    yield flush()
+                    kinds = held = 0
+        if kinds:
+            yield flush()
+
+    parts = rows.select("g", F.col("text").cast("binary").alias("text")).mapInArrow(run, "g long, chunk binary, docs long, n long")
+    return parts.groupBy("g", F.col("chunk").cast("string").alias("chunk")).agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+
+
+def chunk_rows(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """(lang, row, chunk): the chunks of each text that are asked for in any
+    language, each once. More than OPEN_CHUNKS or OPEN_BYTES of them are not
+    sent to the tasks; then every chunk of a text is given."""
+    # row numbers come straight from the scan: a repeated task gives the same
+    numbered = rows.select("lang", F.monotonically_increasing_id().alias("row"), "text")
+    wanted = asked.select("chunk").distinct()
+    if not measure(wanted, "chunk").fits(OPEN_CHUNKS, OPEN_BYTES):
+        return numbered.select("lang", "row", F.explode(F.array_distinct(chunks(F.col("text")))).alias("chunk"))
+    names = wanted.select(F.col("chunk").cast("binary").alias("chunk")).toArrow()["chunk"].to_pylist()
+    sent = rows.sparkSession.sparkContext.broadcast(frozenset(names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sent.value.intersection(t.split()) for t in batch["text"].to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            flat = pa.array(list(itertools.chain.from_iterable(found)), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["lang"].take(at), batch["row"].take(at), flat], ["lang", "row", "chunk"])
+
+    seen = numbered.select("lang", "row", F.col("text").cast("binary").alias("text"))
+    seen = seen.mapInArrow(run, "lang string, row long, chunk binary")
+    return seen.select("lang", "row", F.col("chunk").cast("string").alias("chunk"))
 
 
 def tokenize(counted: DataFrame) -> DataFrame:
@@ -88,10 +150,9 @@ def kept_terms(rows: DataFrame, names: DataFrame, counted: DataFrame, terms: Dat
     bounds = materialize(bounds.where(F.col("high") >= least_docs), "audit-bounds")
     open_terms = bounds.where(F.col("low") < least_docs).select("lang", "term")
     asked = materialize(held.join(open_terms, ["lang", "term"]).select("lang", "chunk", "term"), "audit-open")
-    # row numbers come straight from the scan: a repeated task gives the same
-    numbered = rows.select("lang", F.monotonically_increasing_id().alias("row"), F.array_distinct(chunks(F.col("text"))).alias("c"))
+    given = chunk_rows(rows, asked)
     asked, _ = broadcast_if_small(asked, "term")
-    seen = numbered.select("lang", "row", F.explode("c").alias("chunk")).join(asked, ["lang", "chunk"])
+    seen = given.join(asked, ["lang", "chunk"])
     exact = seen.select("lang", "term", "row").distinct().groupBy("lang", "term").count()
     found = exact.where(F.col("count") >= least_docs).select("lang", "term")
     return bounds.where(F.col("low") >= least_docs).select("lang", "term").unionByName(found)

@@ -71,3 +71,21 @@ def test_shares_stay_exact_for_large_counts(spark):
     df = spark.createDataFrame(pairs, "c long, d long")
     got = [r[0] for r in df.select(divergence.share(F.col("c"), F.col("d"))).collect()]
     assert got == [1 + 10**9 * (c + 2) // d for c, d in pairs]
+
+
+@pytest.mark.parametrize("asked,kinds", [(0, 600_000), (500_000, 7)])
+def test_limits_of_tasks_change_no_row(docs_of, odd_rows, monkeypatch, asked, kinds):
+    monkeypatch.setattr(divergence, "OPEN_CHUNKS", asked)
+    monkeypatch.setattr(divergence, "TALLY_CHUNKS", kinds)
+    rows = cases(odd_rows)
+    assert sorted(map(tuple, divergence.audit(docs_of(rows)).collect())) == brute(rows, 10, 10)
+
+
+def test_task_counts_documents_and_occurrences_of_a_source(docs_of):
+    rows = [doc(i, "One\x0btwo two\x85 two", "en", f"src{i % 2}") for i in range(6)]
+    counted = divergence.count_chunks(divergence._source_rows(docs_of(rows), "text", "lang", "source")).collect()
+    each = [("One", 3, 3), ("two", 3, 6), ("two\x85", 3, 3)]
+    assert sorted((r["chunk"], r["docs"], r["n"]) for r in counted) == sorted(2 * each)
+    one_task = divergence._source_rows(docs_of(rows).coalesce(1), "text", "lang", "source")
+    plan = divergence.count_chunks(one_task)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
