@@ -3,13 +3,14 @@
 Texts are cut at ASCII white space into chunks, and chunks are counted per
 (lang, source): documents that hold the chunk, and occurrences. A term is a
 run of letters or of characters beyond ASCII, so no term spans two chunks and
-each distinct chunk needs to be tokenized once only, however often it occurs.
-Its terms are joined back to the counts.
+a chunk needs to be tokenized once per source only, however often it occurs.
+That is done where its counts are summed, so nothing is joined back to them.
 
 Occurrences of a term are a sum over its chunks. Documents are not, since one
 document may hold several chunks of a term ("word", "word,"). The number of
 documents lies between that of the term's most frequent chunk and the sum over
-its chunks; where both lie on the same side of the threshold it is decided.
+its chunks; where both lie on the same side of the threshold it is decided,
+first by the chunks of single sources, then by those of the whole language.
 Only the rest, terms of a few rare chunks, is counted document by document.
 
 Sums over all kept terms of a pair of sources do not walk terms that neither
@@ -135,27 +136,43 @@ def chunk_rows(rows: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def tokenize(counted: DataFrame) -> DataFrame:
-    """(chunk, term, times): terms of each distinct chunk."""
-    distinct = counted.select("chunk").distinct()
+    """(g, chunk, term, docs, c): terms of each counted chunk, with the
+    documents that hold the chunk and the term's occurrences in it."""
     low = F.translate("chunk", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    terms = distinct.select("chunk", F.explode(F.regexp_extract_all(low, F.lit(TERM), F.lit(0))).alias("term"))
-    return terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
+    cut = counted.select("g", "chunk", "docs", "n", F.regexp_extract_all(low, F.lit(TERM), F.lit(0)).alias("found"))
+    terms = cut.select("g", "chunk", "docs", "n", "found", F.explode(F.array_distinct("found")).alias("term"))
+    times = F.size("found") - F.size(F.array_remove("found", F.col("term")))
+    return terms.select("g", "chunk", "term", "docs", (F.col("n") * times).alias("c"))
 
 
-def kept_terms(rows: DataFrame, names: DataFrame, counted: DataFrame, terms: DataFrame, least_docs: int) -> DataFrame:
-    """(lang, term) in at least ``least_docs`` documents of the language."""
-    by_lang = counted.join(names.select("g", "lang"), "g").groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
-    held = materialize(by_lang.join(terms.select("chunk", "term"), "chunk"), "audit-chunks")
-    bounds = held.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
+def sum_terms(held: DataFrame) -> DataFrame:
+    """(g, term, c, low, high): occurrences of a term in a source, documents
+    of its most frequent chunk and the sum over its chunks."""
+    return held.groupBy("g", "term").agg(F.sum("c").alias("c"), F.max("docs").alias("low"), F.sum("docs").alias("high"))
+
+
+def kept_terms(rows: DataFrame, names: DataFrame, held: DataFrame, summed: DataFrame, least_docs: int) -> DataFrame:
+    """(lang, term) in at least ``least_docs`` documents of the language.
+
+    The bounds of the sources decide most terms. Only for the rest are the
+    documents of a chunk summed over sources, and documents counted."""
+    langs = names.select("g", "lang")
+    bounds = summed.join(langs, "g").groupBy("lang", "term").agg(F.max("low").alias("low"), F.sum("high").alias("high"))
     bounds = materialize(bounds.where(F.col("high") >= least_docs), "audit-bounds")
-    open_terms = bounds.where(F.col("low") < least_docs).select("lang", "term")
-    asked = materialize(held.join(open_terms, ["lang", "term"]).select("lang", "chunk", "term"), "audit-open")
+    rest, _ = broadcast_if_small(bounds.where(F.col("low") < least_docs).select("lang", "term"), "term")
+    by_lang = held.select("g", "chunk", "term", "docs").join(langs, "g").join(rest, ["lang", "term"])
+    by_lang = by_lang.groupBy("lang", "chunk", "term").agg(F.sum("docs").alias("docs"))
+    by_lang = materialize(by_lang, "audit-chunks")
+    low = materialize(by_lang.groupBy("lang", "term").agg(F.max("docs").alias("low")), "audit-low")
+    open_terms = low.where(F.col("low") < least_docs).select("lang", "term")
+    asked = materialize(by_lang.join(open_terms, ["lang", "term"]).select("lang", "chunk", "term"), "audit-open")
     given = chunk_rows(rows, asked)
     asked, _ = broadcast_if_small(asked, "term")
     seen = given.join(asked, ["lang", "chunk"])
     exact = seen.select("lang", "term", "row").distinct().groupBy("lang", "term").count()
     found = exact.where(F.col("count") >= least_docs).select("lang", "term")
-    return bounds.where(F.col("low") >= least_docs).select("lang", "term").unionByName(found)
+    sure = [x.where(F.col("low") >= least_docs).select("lang", "term") for x in (bounds, low)]
+    return sure[0].unionByName(sure[1]).unionByName(found)
 
 
 def share(count: Column, total: Column) -> Column:
@@ -200,18 +217,17 @@ def audit(
     """
     rows = _source_rows(docs, text, lang, source)
     names = source_names(rows)
-    counted = materialize(count_chunks(rows), "audit-counts")
-    terms = materialize(tokenize(counted), "audit-terms")
+    held = materialize(tokenize(count_chunks(rows)), "audit-counts")
+    summed = materialize(sum_terms(held), "audit-terms")
     known, _ = broadcast_if_small(names, "source")
-    kept = materialize(kept_terms(rows, known, counted, terms, least_docs), "audit-kept")
-    # occurrences of kept terms per source; chunks without one go first
+    kept = materialize(kept_terms(rows, known, held, summed, least_docs), "audit-kept")
+    # occurrences of kept terms per source; terms kept in no language go first
     some, _ = broadcast_if_small(kept.select("term").distinct(), "term")
     by_term = (
-        counted.select("g", "chunk", "n")
-        .join(terms.join(some, "term", "left_semi"), "chunk")
+        summed.select("g", "term", "c")
+        .join(some, "term", "left_semi")
         .join(known, "g")
-        .groupBy("lang", "source", "term")
-        .agg(F.sum(F.col("n") * F.col("times")).alias("c"))
+        .select("lang", "source", "term", "c")
         .join(kept, ["lang", "term"], "left_semi")
     )
     by_term = materialize(by_term, "audit-by-term")

@@ -89,3 +89,13 @@ def test_task_counts_documents_and_occurrences_of_a_source(docs_of):
     one_task = divergence._source_rows(docs_of(rows).coalesce(1), "text", "lang", "source")
     plan = divergence.count_chunks(one_task)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_terms_of_counted_chunks_need_no_join(spark):
+    rows = [(1, "A-b-a,", 2, 3), (2, "a", 4, 5), (1, "12;", 1, 1), (1, "Éa", 1, 1)]
+    counted = spark.createDataFrame(rows, "g long, chunk string, docs long, n long")
+    held = divergence.tokenize(counted)
+    want = [(1, "A-b-a,", "a", 2, 6), (1, "A-b-a,", "b", 2, 3), (1, "Éa", "Éa", 1, 1), (2, "a", "a", 4, 5)]
+    assert sorted(tuple(r[c] for c in ("g", "chunk", "term", "docs", "c")) for r in held.collect()) == want
+    plan = held._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan
