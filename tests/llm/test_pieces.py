@@ -79,3 +79,18 @@ def test_queries_over_all_documents(spark):
     assert counts == {i: len(LIB.encode(t or "")) for i, t in texts.items()}
     trips = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op4_piece_round_trip"](spark, SF_SMALL).collect()}
     assert trips == {i: expected(t) for i, t in texts.items()}
+
+
+def test_cached_ids_are_plain_bytes():
+    enc = pieces.Encoder(pieces.load_model(PATH))
+    texts = random_texts(50, 5)
+    assert [e.tolist() for _ in range(2) for e in enc.encode(texts)] == 2 * [LIB.encode(t) for t in texts]
+    assert enc.ids and all(type(x) is bytes for x in enc.ids.values())
+
+
+def test_ids_without_decoded_text(docs_of, odd_rows):
+    both = pieces.encode_documents(docs_of(odd_rows), PATH, with_ids=True)
+    ids = pieces.encode_documents(docs_of(odd_rows), PATH, with_ids=True, with_text=False)
+    assert ids.columns == [c for c in both.columns if c != "decoded"]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1:])
+    assert sorted(map(tuple, ids.collect()), key=key) == sorted(map(tuple, both.drop("decoded").collect()), key=key)
